@@ -90,9 +90,10 @@ def write_fact(
     """
     key, by = PRIMARY_KEYS[fact], "month_key" if s.partition_facts else None
 
-    def finish(rows: DataFrame, after) -> DataFrame:
-        keyed = with_loaded_at(load_keys(rows, key, after), s.run_ts)
-        return _month(fact, keyed) if by else keyed
+    def finish(rows: DataFrame, after: int) -> DataFrame:
+        # keys come after the last shuffle, so the task that writes a row numbers it
+        laid_out = _month(fact, rows).hint("rebalance", by) if by else rows
+        return with_loaded_at(load_keys(laid_out, key, after), s.run_ts)
 
     if existing is None:
         layers.write(DWH, fact, finish(batch, 0), s.run_id, by)
@@ -103,8 +104,8 @@ def write_fact(
     layers.append(DWH, fact, finish(fresh, last or 0), by)
 
 
-def build_warehouse(layers: Layers, settings: Settings) -> DataFrame:
-    """Staging to star schema.
+def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Staging (the published one unless given) to star schema.
 
     ``refresh`` rebuilds five dimensions and two facts next to the old ones and
     switches over when all are written; the calendar is kept. ``upsert`` merges
@@ -113,7 +114,7 @@ def build_warehouse(layers: Layers, settings: Settings) -> DataFrame:
     s = settings
     if s.mode not in ("refresh", "upsert"):
         raise ValueError(f"mode: {s.mode!r}")
-    stg = layers.tables(STG)
+    stg = stg or layers.tables(STG)
     stored = layers.tables(DWH)
     upsert = s.mode == "upsert" and "fact_transactions" in stored
     old = stored if upsert else {k: v for k, v in stored.items() if k == "dim_date"}
@@ -173,9 +174,15 @@ def mart_frames(
     }
 
 
-def build_marts(layers: Layers, settings: Settings) -> DataFrame:
-    """Rebuild the four marts and switch to them together."""
-    frames = mart_frames(layers.tables(STG), layers.tables(DWH), settings.branch_limit, settings.run_ts)
+def build_marts(
+    layers: Layers,
+    settings: Settings,
+    stg: dict[str, DataFrame] | None = None,
+    dwh: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Rebuild the four marts (from the published tables unless given) and switch to them together."""
+    stg, dwh = stg or layers.tables(STG), dwh or layers.tables(DWH)
+    frames = mart_frames(stg, dwh, settings.branch_limit, settings.run_ts)
     layers.publish_all(MART, settings.run_id, frames)
     return audit.row_counts(layers.tables(MART))
 
@@ -288,6 +295,8 @@ def reset_demo(layers: Layers, settings: Settings) -> None:
     """Rewrite the fact without demonstration rows, then rebuild the marts."""
     by = "month_key" if settings.partition_facts else None
     kept = incremental.without_demo(layers.read(DWH, "fact_transactions"))
+    if by:
+        kept = kept.hint("rebalance", by)
     layers.write(DWH, "fact_transactions", kept, settings.run_id, by)
     layers.publish(DWH, settings.run_id, ["fact_transactions"])
     build_marts(layers, settings)

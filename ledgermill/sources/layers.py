@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _RELEASE = "layer string, run_id string, table_name string, path string"
 
@@ -21,6 +22,8 @@ class Layers:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._current: dict[str, dict[str, str]] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, layer: str, table: str, run_id: str) -> str:
         return f"{self.root}/{layer}/{table}/run={run_id}"
@@ -30,19 +33,21 @@ class Layers:
     ) -> DataFrame:
         """Write one table of a run (not yet published) and return it as stored."""
         target = self.path(layer, table, run_id)
-        if partition_by:
-            rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(target)
-        else:
-            rows.write.mode("overwrite").parquet(target)
-        return self.spark.read.parquet(target)
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
+        self._schemas[target] = rows.schema
+        return self._open(target)
+
+    def _open(self, path: str) -> DataFrame:
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def append(self, layer: str, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
         """Add rows to the published table."""
         target = self._published(layer)[table]
-        if partition_by:
-            rows.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(target)
-        else:
-            rows.write.mode("append").parquet(target)
+        writer = rows.write.mode("append")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
 
     def publish(self, layer: str, run_id: str, tables: list[str]) -> None:
         """Make a run's tables the current ones; tables not named keep their last run."""
@@ -50,13 +55,14 @@ class Layers:
         self.spark.createDataFrame(rows, _RELEASE).coalesce(1).write.mode("append").json(
             f"{self.root}/{layer}/_published/run={run_id}"
         )
+        self._current.setdefault(layer, self._listed(layer)).update({t: self.path(layer, t, run_id) for t in tables})
 
     def publish_all(self, layer: str, run_id: str, tables: dict[str, Callable[[], DataFrame] | DataFrame]) -> None:
         for name, rows in tables.items():
             self.write(layer, name, rows() if callable(rows) else rows, run_id)
         self.publish(layer, run_id, list(tables))
 
-    def _published(self, layer: str) -> dict[str, str]:
+    def _listed(self, layer: str) -> dict[str, str]:
         """table -> path of its newest published run (a few rows per run)."""
         try:
             runs = self.spark.read.schema(_RELEASE).json(f"{self.root}/{layer}/_published/*")
@@ -65,11 +71,20 @@ class Layers:
             return {}
         return {r[0]: r[1] for r in rows}
 
+    def _published(self, layer: str) -> dict[str, str]:
+        if not self._current.get(layer):
+            self._current[layer] = self._listed(layer)
+        return self._current[layer]
+
+    def refresh(self) -> None:
+        """Forget what was read about runs, to see those published elsewhere."""
+        self._current.clear()
+
     def tables(self, layer: str) -> dict[str, DataFrame]:
-        return {t: self.spark.read.parquet(p) for t, p in self._published(layer).items()}
+        return {t: self._open(p) for t, p in self._published(layer).items()}
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self._published(layer)[table])
+        return self._open(self._published(layer)[table])
 
     def has(self, layer: str, table: str) -> bool:
         return table in self._published(layer)

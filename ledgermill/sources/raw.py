@@ -40,6 +40,8 @@ def land(rows: DataFrame, base: str, table: str, ingest_date: date | Column) ->
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("ingest_date")
         .csv(f"{base}/{table}")
     )
