@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,7 +48,12 @@ EVENT_SCHEMA = T.StructType(
 
 def run_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """The few stage records of one run as a frame."""
-    return spark.createDataFrame([tuple(r.get(f) for f in RUN_SCHEMA.names) for r in records], RUN_SCHEMA)
+
+    def entry(record: dict) -> Column:
+        return F.struct(*[F.lit(record.get(f.name)).cast(f.dataType).alias(f.name) for f in RUN_SCHEMA.fields])
+
+    one = spark.range(1, numPartitions=1)
+    return one.select(F.explode(F.array(*[entry(r) for r in records])).alias("x")).select("x.*")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _RELEASE = "layer string, run_id string, table_name string, path string"
@@ -51,11 +52,14 @@ class Layers:
 
     def publish(self, layer: str, run_id: str, tables: list[str]) -> None:
         """Make a run's tables the current ones; tables not named keep their last run."""
-        rows = [(layer, run_id, t, self.path(layer, t, run_id)) for t in tables]
-        self.spark.createDataFrame(rows, _RELEASE).coalesce(1).write.mode("append").json(
+        paths = {t: self.path(layer, t, run_id) for t in tables}
+        known = self._published(layer)
+        entries = [F.struct(F.lit(t).alias("table_name"), F.lit(p).alias("path")) for t, p in paths.items()]
+        note = self.spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("x"))
+        note.select(F.lit(layer).alias("layer"), F.lit(run_id).alias("run_id"), "x.*").write.mode("append").json(
             f"{self.root}/{layer}/_published/run={run_id}"
         )
-        self._current.setdefault(layer, self._listed(layer)).update({t: self.path(layer, t, run_id) for t in tables})
+        self._current[layer] = known | paths
 
     def publish_all(self, layer: str, run_id: str, tables: dict[str, Callable[[], DataFrame] | DataFrame]) -> None:
         for name, rows in tables.items():
@@ -72,7 +76,7 @@ class Layers:
         return {r[0]: r[1] for r in rows}
 
     def _published(self, layer: str) -> dict[str, str]:
-        if not self._current.get(layer):
+        if layer not in self._current:
             self._current[layer] = self._listed(layer)
         return self._current[layer]
 
