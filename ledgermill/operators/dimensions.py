@@ -134,14 +134,20 @@ def duplicate_ids(members: DataFrame, id_col: str) -> DataFrame:
     return members.groupBy(id_col).count().filter("count > 1")
 
 
-def one_per_id(members: DataFrame, id_col: str, on_duplicate: str = "raise") -> DataFrame:
+def one_per_id(members: DataFrame, id_col: str, on_duplicate: str = "raise", spare: DataFrame | None = None) -> DataFrame:
     """One row per natural key.
 
     ``raise`` fails the job on a repeated key, ``keep_first`` keeps the smallest
     row in column order. Either way a repeated key collapses before the shuffle.
+    ``spare`` rows stand in for ids the members lack (column ``_spare`` tells).
     """
     rest = [c for c in members.columns if c != id_col]
-    one = members.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row"), F.count("*").alias("_n"))
+    rows = members.withColumn("_spare", F.lit(False))
+    if spare is not None:
+        rows = rows.unionByName(spare.withColumn("_spare", F.lit(True)))
+    one = rows.groupBy(id_col).agg(
+        F.min(F.struct("_spare", *rest)).alias("_row"), F.count_if(~F.col("_spare")).alias("_n")
+    )
     if on_duplicate == "raise":
         message = F.concat(F.lit(f"duplicate {id_col} in one batch: "), F.col(id_col))
         kept_id = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(id_col)).alias(id_col)
@@ -149,14 +155,17 @@ def one_per_id(members: DataFrame, id_col: str, on_duplicate: str = "raise") ->
         kept_id = F.col(id_col)
     else:
         raise ValueError(f"on_duplicate: {on_duplicate!r}")
-    return one.select(kept_id, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*members.columns)
+    return one.select(kept_id, *[F.col(f"_row.{c}").alias(c) for c in ("_spare", *rest)]).select(
+        *members.columns, "_spare"
+    )
 
 
 def unknown_member(spark: SparkSession, dim: str, like: DataFrame) -> DataFrame:
     """The UNKNOWN row of a dimension, typed as the given members."""
     values = UNKNOWN_MEMBERS[dim]
     kinds = {f.name: f.dataType for f in like.schema.fields}
-    return spark.range(1).select([F.lit(values[c]).cast(kinds[c]).alias(c) for c in values])
+    one = spark.range(1, numPartitions=1)
+    return one.select([F.lit(values[c]).cast(kinds[c]).alias(c) for c in values])
 
 
 def upsert_dimension(
@@ -173,36 +182,22 @@ def upsert_dimension(
     """
     spec = DIMENSIONS[dim]
     nk, sk = spec.natural_key, spec.surrogate_key
-    spark = batch.sparkSession
-    new = one_per_id(batch, nk, on_duplicate)
-    stand_in = unknown_member(spark, dim, batch)
+    new = one_per_id(batch, nk, on_duplicate, unknown_member(batch.sparkSession, dim, batch))
     if existing is None:
-        members = new.unionByName(stand_in.join(new, nk, "left_anti"))
-        return dense_keys(members, nk, sk).select(sk, *batch.columns)
+        return dense_keys(new.drop("_spare"), nk, sk)
 
-    seeded = new.unionByName(
-        stand_in.join(new, nk, "left_anti").join(existing.select(nk), nk, "left_anti")
-    )
     old = existing.select(nk, sk, F.struct(*spec.attributes).alias("_old"))
-    fresh = seeded.select(nk, F.struct(*spec.attributes).alias("_new"))
+    fresh = new.select(nk, F.struct(*spec.attributes).alias("_new"), "_spare")
     both = old.join(fresh, nk, "full_outer")
+    update = F.col("_new").isNotNull() & ~F.col("_spare")
 
     def merged(column: str) -> Column:
-        if column in spec.insert_only:
-            first, second = "_old", "_new"
-        else:
-            first, second = "_new", "_old"
-        return (
-            F.when(F.col(first).isNotNull(), F.col(f"{first}.{column}"))
-            .otherwise(F.col(f"{second}.{column}"))
-            .alias(column)
-        )
+        from_new = F.col("_old").isNull() if column in spec.insert_only else F.col("_old").isNull() | update
+        return F.when(from_new, F.col(f"_new.{column}")).otherwise(F.col(f"_old.{column}")).alias(column)
 
     rows = both.select(sk, nk, *[merged(c) for c in spec.attributes]).select(sk, *batch.columns)
-    added = dense_keys(
-        rows.filter(F.col(sk).isNull()).drop(sk), nk, sk, after=max_key(existing, sk)
-    )
-    return rows.filter(F.col(sk).isNotNull()).unionByName(added.select(sk, *batch.columns))
+    added = dense_keys(rows.filter(F.col(sk).isNull()).drop(sk), nk, sk, after=max_key(existing, sk))
+    return rows.filter(F.col(sk).isNotNull()).unionByName(added)
 
 
 def build_dimension(

@@ -62,18 +62,14 @@ def load_staging(layers: Layers, source: Callable[[str], DataFrame], settings: S
 
 
 def _load_dims(layers: Layers, stg: dict[str, DataFrame], old: dict[str, DataFrame], s: Settings):
-    dims: dict[str, DataFrame] = {}
-    for name, spec in DIMENSIONS.items():
-        rows = dimensions.build_dimension(
-            name, stg[f"stg_{spec.source}"], s.run_date, old.get(name), s.on_duplicate
-        )
-        dims[name] = layers.write(DWH, name, rows, s.run_id)
-    if "dim_date" in old:
-        dims["dim_date"] = old["dim_date"]
-    else:
-        days = dimensions.build_dim_date(layers.spark, s.calendar_start, s.calendar_end)
-        dims["dim_date"] = layers.write(DWH, "dim_date", days, s.run_id)
-    return dims
+    rows = {
+        name: dimensions.build_dimension(name, stg[f"stg_{spec.source}"], s.run_date, old.get(name), s.on_duplicate)
+        for name, spec in DIMENSIONS.items()
+    }
+    if "dim_date" not in old:
+        rows["dim_date"] = dimensions.build_dim_date(layers.spark, s.calendar_start, s.calendar_end)
+    dims = layers.write_all(DWH, rows, s.run_id)
+    return {"dim_date": old.get("dim_date")} | dims
 
 
 def _month(fact: str, rows: DataFrame) -> DataFrame:
@@ -183,7 +179,8 @@ def build_marts(
     """Rebuild the four marts (from the published tables unless given) and switch to them together."""
     stg, dwh = stg or layers.tables(STG), dwh or layers.tables(DWH)
     frames = mart_frames(stg, dwh, settings.branch_limit, settings.run_ts)
-    layers.publish_all(MART, settings.run_id, frames)
+    layers.write_all(MART, frames, settings.run_id)
+    layers.publish(MART, settings.run_id, list(frames))
     return audit.row_counts(layers.tables(MART))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+SIDE_BY_SIDE = 4
 _RELEASE = "layer string, run_id string, table_name string, path string"
 
 
@@ -61,10 +62,11 @@ class Layers:
         )
         self._current[layer] = known | paths
 
-    def publish_all(self, layer: str, run_id: str, tables: dict[str, Callable[[], DataFrame] | DataFrame]) -> None:
-        for name, rows in tables.items():
-            self.write(layer, name, rows() if callable(rows) else rows, run_id)
-        self.publish(layer, run_id, list(tables))
+    def write_all(self, layer: str, tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame]:
+        """Write independent tables at the same time, so small ones do not wait for large ones."""
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            jobs = {t: pool.submit(self.write, layer, t, rows, run_id) for t, rows in tables.items()}
+        return {t: job.result() for t, job in jobs.items()}
 
     def _listed(self, layer: str) -> dict[str, str]:
         """table -> path of its newest published run (a few rows per run)."""

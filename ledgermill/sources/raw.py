@@ -130,7 +130,8 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 def discover(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files anywhere below a folder: (table_name, file_name, path, file_size_bytes).
 
-    File contents are not read. No file at all is an error.
+    File contents are not read. Files of zero bytes are left out, as by every
+    Spark scan. No file at all is an error.
     """
     found = _files(spark, folder).select(
         _table_of(F.col("path")).alias("table_name"),
