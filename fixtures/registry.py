@@ -24,7 +24,7 @@ from ledgermill.operators import (
     staging,
 )
 from ledgermill.operators.keys import load_keys
-from ledgermill.operators.lookups import spread_lookup
+from ledgermill.operators.lookups import lookup, spread_lookup
 from ledgermill.plans import pipeline
 from ledgermill.schemas import DIMENSIONS, MARTS, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
@@ -343,10 +343,11 @@ def _(wb):
 
 
 def natural(rows: DataFrame, wb: Workbench, *dims: str) -> DataFrame:
-    """Surrogate keys turned back into natural ids."""
+    """Surrogate keys turned back into natural ids (the UNKNOWN key may be a hot one)."""
+    spread_by = next((c for c in ("transaction_id", "loan_id") if c in rows.columns), rows.columns[0])
     for dim in dims:
         spec = DIMENSIONS[dim]
-        rows = rows.join(wb[dim].select(spec.surrogate_key, spec.natural_key), spec.surrogate_key, "left")
+        rows = lookup(rows, wb[dim].select(spec.surrogate_key, spec.natural_key), spec.surrogate_key, spread_by)
     return rows
 
 
@@ -391,7 +392,7 @@ def _(wb):
 @query("fact_account_customer")
 def _(wb):
     known = wb["dim_customer"].select("customer_id", F.lit(True).alias("known"))
-    return facts.account_owners(wb["stg_accounts"]).join(known, "customer_id", "left").select(
+    return lookup(facts.account_owners(wb["stg_accounts"]), known, "customer_id", "account_id").select(
         "account_id", "customer_id", F.coalesce("known", F.lit(False)).alias("known_customer")
     )
 
@@ -412,10 +413,9 @@ def _(wb):
 
 @query("fact_skew_lookup")
 def _(wb):
-    valid = facts.valid_transactions(wb["stg_transactions"])
-    rows = facts.first_transactions(valid)
+    rows = facts.first_transactions(facts.valid_transactions(wb["stg_transactions"]))
     merchants = wb["dim_merchant"].select("merchant_id", "merchant_name", "city")
-    return spread_lookup(rows, merchants, "merchant_id", "transaction_id", valid, hot_keys=16)
+    return spread_lookup(rows, merchants, "merchant_id", "transaction_id", wb["stg_transactions"], hot_keys=16)
 
 
 @query("fact_branch_unknown")

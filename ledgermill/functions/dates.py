@@ -18,6 +18,10 @@ _NAMED_MONTHS = ("d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
 _CLOCK = r"[T ](\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?\z"
 _ANY_CLOCK = r"[T ]\d{1,2}:"
 
+# The layouts nearly all values have, tried first because they need one match only.
+_PLAIN_DATE = r"\A\d{4}-\d{2}-\d{2}\z"
+_PLAIN_TIMESTAMP = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?\z"
+
 
 def _as_date(text: Column, pattern: str, order: str) -> Column:
     return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, order)).try_cast("date")
@@ -31,6 +35,7 @@ def parse_date(text: Column) -> Column:
     """
     t = F.trim(text)
     return F.coalesce(
+        F.when(t.rlike(_PLAIN_DATE), t).try_cast("date"),
         _as_date(t, _YEAR_FIRST, "$1-$2-$3"),
         _as_date(t, _YEAR_LAST, "$3-$1-$2"),
         _as_date(t, _YEAR_LAST, "$3-$2-$1"),
@@ -53,7 +58,10 @@ def parse_timestamp(text: Column) -> Column:
         ),
     ).when(~t.rlike(_ANY_CLOCK), F.lit("00:00:00"))
     day = parse_date(F.regexp_replace(t, _CLOCK, ""))
-    return F.concat(day.cast("string"), F.lit(" "), clock).try_cast("timestamp_ntz")
+    return F.coalesce(
+        F.when(t.rlike(_PLAIN_TIMESTAMP), F.substring(t, 1, 19)).try_cast("timestamp_ntz"),
+        F.concat(day.cast("string"), F.lit(" "), clock).try_cast("timestamp_ntz"),
+    )
 
 
 def date_key(day: Column) -> Column:

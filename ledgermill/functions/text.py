@@ -31,14 +31,19 @@ MISSING_MARKERS = (
 # Fixed value: shape of an accepted e-mail address (matched on lower-cased text).
 EMAIL_PATTERN = r"\A[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\z"
 
-# (?U) makes \s cover Unicode blanks; the range adds the ASCII separators.
-_EDGE_BLANKS = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# Characters that count as whitespace (ASCII, then the other Unicode spaces).
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 _WORDS_AND_GAPS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 
 
 def strip_whitespace(text: Column) -> Column:
     """Drop leading and trailing whitespace of any kind (``trim`` drops spaces only)."""
-    return F.regexp_replace(text, _EDGE_BLANKS, "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def missing_to_null(text: Column) -> Column:

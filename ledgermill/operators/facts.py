@@ -93,6 +93,7 @@ def account_keys(
     dim_account: DataFrame,
     dim_card: DataFrame,
     owners: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Everything an account id resolves to: customer, account and card keys.
 
@@ -106,8 +107,11 @@ def account_keys(
         links = links.join(kept, "account_id", "full_outer").select(
             "account_id", F.coalesce("customer_id", "_kept").alias("customer_id")
         )
-    customers = links.join(dim_customer.select("customer_id", "customer_key"), "customer_id").select(
-        "account_id", "customer_key"
+    known = dim_customer.select("customer_id", "customer_key")
+    customers = (
+        lookup(links, known, "customer_id", "account_id", broadcast_rows=broadcast_rows)
+        .filter("customer_key is not null")
+        .select("account_id", "customer_key")
     )
     cards = latest_cards(stg_cards).join(dim_card.select("card_id", "card_key"), "card_id").select(
         "account_id", "card_key"
@@ -164,11 +168,10 @@ def build_transactions(
 
     ``keys_by_account`` is the stored result of :func:`account_keys`.
     """
-    valid = valid_transactions(stg_transactions)
-    rows = first_transactions(valid)
-    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", valid, broadcast_rows)
+    rows = first_transactions(valid_transactions(stg_transactions))
+    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_rows)
     merchants = dims["dim_merchant"].select("merchant_id", "merchant_key")
-    rows = lookup(rows, merchants, "merchant_id", "transaction_id", valid, broadcast_rows)
+    rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_rows)
     keyed = rows.select(
         "transaction_id",
         F.coalesce("customer_key", _unknown(dims, "dim_customer")).alias("customer_key"),
@@ -189,10 +192,9 @@ def build_loans(
     on_missing_date: str = "raise",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    valid = valid_loans(stg_loans)
-    rows = first_loans(valid)
+    rows = first_loans(valid_loans(stg_loans))
     customers = dims["dim_customer"].select("customer_id", "customer_key")
-    rows = lookup(rows, customers, "customer_id", "loan_id", valid, broadcast_rows)
+    rows = lookup(rows, customers, "customer_id", "loan_id", stg_loans, broadcast_rows)
     keyed = rows.select(
         "loan_id",
         F.coalesce("customer_key", _unknown(dims, "dim_customer")).alias("customer_key"),

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 256
 SPREAD = 512
+COUNTED_SHARE = 0.05
 
 
-def frequent_keys(rows: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent non-null keys: any key above 1/limit of the rows is in it."""
+def frequent_keys(rows: DataFrame, key: str, limit: int = HOT_KEYS, share: float = 1.0) -> DataFrame:
+    """The ``limit`` most frequent non-null keys, counted on a ``share`` of the rows."""
+    counted = rows.select(key) if share >= 1 else rows.select(key).sample(share, seed=7)
     return (
-        rows.filter(F.col(key).isNotNull())
+        counted.filter(F.col(key).isNotNull())
         .groupBy(key)
         .count()
         .orderBy(F.desc("count"), key)
@@ -30,29 +32,31 @@ def spread_lookup(
     seen: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     spread: int = SPREAD,
+    share: float = COUNTED_SHARE,
 ) -> DataFrame:
     """Left join to a large table with unique keys, without piling hot keys on one task.
 
-    ``seen`` may be a cheaper frame to count key frequencies on (it only steers
-    the spreading; any key is joined correctly whether or not it is found hot).
-
-    The most frequent keys (at most ``hot_keys`` rows of ``table``) are resolved
-    by a broadcast. Rows resolved that way go through the shuffle join under a
-    salt that matches nothing, so they are spread evenly; all others meet their
+    The most frequent keys (at most ``hot_keys``), whether ``table`` holds them or
+    not, are resolved by a broadcast. Their rows go through the shuffle join under
+    a salt that matches nothing, so they are spread evenly; all others meet their
     match under salt 0. Null keys match nothing and are spread as well.
+
+    ``seen`` may be a cheaper frame to count frequencies on, and ``share`` the part
+    of it that is counted. Both only steer the spreading: every key is joined
+    correctly whether or not it is found hot.
     """
     values = [c for c in table.columns if c != key]
-    hot = F.broadcast(
-        table.join(F.broadcast(frequent_keys(rows if seen is None else seen, key, hot_keys)), key, "left_semi").select(
-            key, F.lit(True).alias("_hot"), F.struct(*values).alias("_hot_values")
-        )
-    )
+    keys = frequent_keys(rows if seen is None else seen, key, hot_keys, share)
+    found = table.join(F.broadcast(keys), key, "left_semi").select(key, F.struct(*values).alias("_hot_values"))
+    hot = keys.join(F.broadcast(found), key, "left").select(key, F.lit(True).alias("_hot"), "_hot_values")
     salt = F.when(
         F.col("_hot") | F.col(key).isNull(),
         F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int") + 1,
     ).otherwise(F.lit(0))
-    marked = rows.join(hot, key, "left").withColumn("_salt", salt)
-    cold = table.select(key, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold_values"))
+    marked = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
+    # a literal 0 would be folded into a plain condition and drop out of the shuffle key
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+    cold = table.select(key, zero.alias("_salt"), F.struct(*values).alias("_cold_values"))
     return marked.join(cold, [key, "_salt"], "left").select(
         *rows.columns,
         *[F.coalesce(F.col(f"_hot_values.{v}"), F.col(f"_cold_values.{v}")).alias(v) for v in values],

@@ -128,7 +128,13 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
         DWH,
         "account_keys",
         facts.account_keys(
-            stg["stg_accounts"], stg["stg_cards"], dims["dim_customer"], dims["dim_account"], dims["dim_card"], links
+            stg["stg_accounts"],
+            stg["stg_cards"],
+            dims["dim_customer"],
+            dims["dim_account"],
+            dims["dim_card"],
+            links,
+            s.broadcast_rows,
         ),
         s.run_id,
     )

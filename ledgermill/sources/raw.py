@@ -16,6 +16,8 @@ from ledgermill.operators.staging import clean_staging
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": False, "enforceSchema": False}
 
+RECORDS_PER_FILE = 1_000_000
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -29,13 +31,19 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def land(rows: DataFrame, base: str, table: str, ingest_date: date | Column) -> None:
-    """Write rows under the table's dated folder; landing a date again replaces only that date."""
+def land(
+    rows: DataFrame, base: str, table: str, ingest_date: date | Column, records_per_file: int = RECORDS_PER_FILE
+) -> None:
+    """Write rows under the table's dated folder; landing a date again replaces only that date.
+
+    ``records_per_file`` bounds the files, so that each can be checksummed in one task.
+    """
     day = ingest_date if isinstance(ingest_date, Column) else F.lit(ingest_date)
     (
         rows.withColumn("ingest_date", day.cast("date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", records_per_file)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -179,7 +187,7 @@ def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True
 
 
 def manifest(
-    tables: DataFrame | None,
+    files: DataFrame | None,
     spark: SparkSession,
     batch_id: str,
     source: str,
@@ -188,12 +196,24 @@ def manifest(
     completed_at: datetime,
     error: str | None = None,
 ) -> DataFrame:
-    """One document per batch with its file records nested: SUCCESS, or FAILED with the error."""
-    if tables is None:
-        records = spark.range(1).select(F.array().cast(T.ArrayType(MANIFEST_SCHEMA)).alias("tables"))
+    """One document per batch with a record per table nested: SUCCESS, or FAILED with the error.
+
+    A table of one file carries that file's checksum; with more files the
+    checksums are in the file records (:func:`manifest_tables`).
+    """
+    record = F.struct("table_name", "files", "record_count", "file_size_bytes", "checksum_sha256", "status")
+    kind = "array<struct<table_name:string,files:bigint,record_count:bigint,file_size_bytes:bigint,checksum_sha256:string,status:string>>"
+    if files is None:
+        records = spark.range(1, numPartitions=1).select(F.array().cast(kind).alias("tables"))
     else:
-        record = F.struct(*[F.col(c) for c in MANIFEST_SCHEMA.names])
-        records = tables.agg(F.array_sort(F.collect_list(record)).alias("tables"))
+        per_table = files.groupBy("table_name").agg(
+            F.count("*").alias("files"),
+            F.sum("record_count").alias("record_count"),
+            F.sum("file_size_bytes").alias("file_size_bytes"),
+            F.when(F.count("*") == 1, F.min("checksum_sha256")).alias("checksum_sha256"),
+            F.min("status").alias("status"),
+        )
+        records = per_table.agg(F.array_sort(F.collect_list(record)).cast(kind).alias("tables"))
     return records.select(
         F.lit(batch_id).alias("batch_id"),
         F.lit(source).alias("source"),
@@ -206,5 +226,8 @@ def manifest(
     )
 
 
-def write_manifest(document: DataFrame, base: str, batch_id: str) -> None:
+def write_manifest(document: DataFrame, base: str, batch_id: str, files: DataFrame | None = None) -> None:
+    """Write the document, and the file records beside it."""
     document.coalesce(1).write.mode("overwrite").json(f"{base}/manifests/manifest_{batch_id}")
+    if files is not None:
+        files.write.mode("overwrite").json(f"{base}/manifest_files/manifest_{batch_id}")

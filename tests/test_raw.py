@@ -95,9 +95,12 @@ def test_discovery_and_manifest(spark, base, tmp_path):
     assert [r.record_count for k, r in rows.items() if k[0] == "Loans.csv"] == [0]
     at = datetime(2024, 1, 2, 3)
     document = raw.manifest(files, spark, "b1", "folder", date(2024, 1, 2), at, at)
-    raw.write_manifest(document, str(tmp_path / "out"), "b1")
+    raw.write_manifest(document, str(tmp_path / "out"), "b1", files)
+    assert spark.read.json(str(tmp_path / "out/manifest_files/manifest_b1")).count() == 3
     stored = spark.read.json(str(tmp_path / "out/manifests/manifest_b1")).first()
-    assert stored.status == "SUCCESS" and len(stored.tables) == 3
+    assert stored.status == "SUCCESS" 
+    assert [(t.table_name, t.files, t.record_count) for t in stored.tables] == [("accounts", 2, 4), ("loans", 1, 0)]
+    assert stored.tables[0].checksum_sha256 is None and len(stored.tables[1].checksum_sha256) == 64
     failed = raw.manifest(None, spark, "b2", "folder", date(2024, 1, 2), at, at, "no source").first()
     assert (failed.status, failed.error, failed.tables) == ("FAILED", "no source", [])
 

@@ -231,14 +231,14 @@ def test_insert_if_absent(transactions):
 def test_hot_keys_join_like_any_other(spark):
     rows = spark.range(3000).selectExpr(
         "concat('t', id) as t",
-        "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else concat('k', id % 400) end as k",
+        "case when id % 3 = 0 then 'hot' when id % 7 = 0 then 'gone' when id % 50 = 1 then null else concat('k', id % 400) end as k",
     )
     table = spark.range(300).selectExpr("concat('k', id) as k", "id as v", "cast(null as string) as w").unionByName(
         spark.sql("select 'hot' as k, -1L as v, 'x' as w")
     )
     plain = rows.join(table, "k", "left").select("t", "k", "v", "w")
     for hot in (1, 5, 1000):
-        got = spread_lookup(rows, table, "k", "t", hot_keys=hot, spread=16).select("t", "k", "v", "w")
+        got = spread_lookup(rows, table, "k", "t", hot_keys=hot, spread=16, share=1.0).select("t", "k", "v", "w")
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
     small = lookup(rows, table, "k", "t").select("t", "k", "v", "w")
     large = lookup(rows, table, "k", "t", broadcast_rows=10).select("t", "k", "v", "w")
@@ -251,11 +251,15 @@ def test_hot_rows_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        rows = spark.range(8000).selectExpr("concat('t', id) as t", "'hot' as k")
-        table = spark.sql("select 'hot' as k, 1 as v")
-        joined = spread_lookup(rows, table, "k", "t")
+        rows = spark.range(8000).selectExpr(
+            "concat('t', id) as t",
+            "case when id % 3 = 0 then 'k7' when id % 3 = 1 then 'gone' when id % 5 = 1 then null else concat('k', id % 400) end as k",
+        )
+        table = spark.range(300).selectExpr("concat('k', id) as k", "id as v")
+        joined = spread_lookup(rows, table, "k", "t", hot_keys=4, share=1.0)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == 8 and max(sizes) < 2000
+        assert joined.filter("v is not null").count() == rows.join(table, "k").count()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
