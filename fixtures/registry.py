@@ -457,7 +457,8 @@ def first_load(wb: Workbench) -> DataFrame:
 @query("fact_insert_if_absent")
 def _(wb):
     stored = first_load(wb)
-    added = facts.insert_if_absent(wb.transactions(), stored, "transaction_id")
+    arrived = wb.stored("arrived_transactions", wb.transactions)
+    added = facts.insert_if_absent(arrived, stored, "transaction_id")
     return transaction_rows(stored.select(*facts.TRANSACTION_COLUMNS).unionByName(added), wb)
 
 

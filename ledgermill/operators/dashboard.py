@@ -96,7 +96,7 @@ def credit_tier_count(c360: DataFrame) -> DataFrame:
 
 def spend_debt_sample(c360: DataFrame, rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
     """A repeatable sample of an exact size: the rows with the smallest seeded id hash."""
-    rank = F.xxhash64("customer_id", F.lit(seed))
+    rank = F.md5(F.concat_ws(":", "customer_id", F.lit(str(seed))))
     return (
         c360.orderBy(rank, "customer_id")
         .limit(rows)

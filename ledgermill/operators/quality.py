@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.schemas import (
@@ -38,24 +37,11 @@ SUITE = (
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _text(value: str | Column) -> Column:
-    return F.lit(value) if isinstance(value, str) else value
-
-
-def _result(
-    rows: DataFrame, check: str | Column, table: str, column: str | Column, bad: Column, detail: Column
-) -> DataFrame:
-    return rows.select(
-        _text(check).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        _text(column).alias("column_name"),
-        bad.cast("bigint").alias("bad_count"),
-        (bad == 0).alias("passed"),
-        detail.alias("detail"),
-    )
+    """Union in pairs, which keeps the plans that are analysed on the way small."""
+    while len(frames) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = pairs + frames[len(pairs) * 2 :]
+    return frames[0]
 
 
 @dataclass(frozen=True)
@@ -75,21 +61,21 @@ def scan(tables: Tables, checks: list[ScanCheck]) -> DataFrame:
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
 
-    def one(table: str, group: list[ScanCheck]) -> DataFrame:
-        measured = [x for i, c in enumerate(group) for x in (c.bad.alias(f"b{i}"), c.detail.alias(f"d{i}"))]
-        entries = [
-            F.struct(
-                F.lit(c.check).alias("check"),
-                F.lit(c.column).alias("column"),
-                F.col(f"b{i}").cast("bigint").alias("bad"),
-                F.col(f"d{i}").cast("string").alias("detail"),
-            )
-            for i, c in enumerate(group)
-        ]
-        rows = tables[table].agg(*measured).select(F.explode(F.array(*entries)).alias("x")).select("x.*")
-        return _result(rows, F.col("check"), table, F.col("column"), F.col("bad"), F.col("detail"))
+    def entry(c: ScanCheck) -> Column:
+        return F.struct(
+            F.lit(c.check).alias("check_name"),
+            F.lit(c.table).alias("table_name"),
+            F.lit(c.column).alias("column_name"),
+            c.bad.cast("bigint").alias("bad_count"),
+            c.detail.cast("string").alias("detail"),
+        )
 
-    return union_all([one(t, group) for t, group in by_table.items()])
+    rows = union_all(
+        [tables[t].agg(F.array(*[entry(c) for c in group]).alias("x")) for t, group in by_table.items()]
+    )
+    return rows.select(F.inline("x")).select(
+        "check_name", "table_name", "column_name", "bad_count", (F.col("bad_count") == 0).alias("passed"), "detail"
+    )
 
 
 def _min_rows(check: str, thresholds: dict[str, int]) -> list[ScanCheck]:
@@ -157,40 +143,74 @@ def fico_range(tables: Tables) -> DataFrame:
     return scan(tables, _fico_range())
 
 
-def _unique(check: str, table: DataFrame, name: str, key: str) -> DataFrame:
-    """Repeated key values, with the five smallest of them as detail."""
-    repeated = table.groupBy(key).count().filter("count > 1").select(F.col(key).cast("string").alias("k"))
-    examples = repeated.orderBy("k").limit(5).agg(F.array_join(F.array_sort(F.collect_list("k")), ", "))
-    counted = repeated.agg(F.count("*").alias("n"))
-    return _result(counted, check, name, key, F.col("n"), examples.scalar())
+def _listed(tables: Tables, check: str, found: DataFrame, targets: list[tuple[str, str]], detail: Column) -> DataFrame:
+    """A result row for each (table, column), with what was ``found`` for its position ``i``.
+
+    ``found`` has at most one row per position.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    entries = [
+        F.struct(F.lit(i).alias("i"), F.lit(t).alias("t"), F.lit(c).alias("c")) for i, (t, c) in enumerate(targets)
+    ]
+    wanted = spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("x")).select("x.*")
+    rows = wanted.join(F.broadcast(found), "i", "left")
+    bad = F.coalesce("n", F.lit(0))
+    return rows.select(
+        F.lit(check).alias("check_name"),
+        F.col("t").alias("table_name"),
+        F.col("c").alias("column_name"),
+        bad.cast("bigint").alias("bad_count"),
+        (bad == 0).alias("passed"),
+        detail.alias("detail"),
+    )
+
+
+def _unique(check: str, tables: Tables, keys: dict[str, str], kind: str) -> DataFrame:
+    """Repeated key values of all tables in one grouping, with the five smallest as detail.
+
+    Ranking keeps five values per table and task, so no task sees them all.
+    """
+    targets = list(keys.items())
+    values = union_all(
+        [tables[t].select(F.lit(i).alias("i"), F.col(key).cast(kind).alias("k")) for i, (t, key) in enumerate(targets)]
+    )
+    repeated = values.groupBy("i", "k").count().filter("count > 1").select("i", "k")
+    rank = F.row_number().over(Window.partitionBy("i").orderBy("k"))
+    smallest = repeated.withColumn("r", rank).filter("r <= 5").groupBy("i").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("k")), lambda k: k.cast("string")), ", ").alias("examples")
+    )
+    found = repeated.groupBy("i").agg(F.count("*").alias("n")).join(smallest, "i", "left")
+    return _listed(tables, check, found, targets, F.coalesce("examples", F.lit("")))
 
 
 def pk_unique(tables: Tables, keys: dict[str, str] = PRIMARY_KEYS) -> DataFrame:
-    return union_all([_unique("pk_unique", tables[name], name, key) for name, key in keys.items()])
+    return _unique("pk_unique", tables, keys, "bigint")
 
 
 def natural_key_unique(tables: Tables) -> DataFrame:
     """Natural keys of dimensions and facts occur once."""
     keys = {name: spec.natural_key for name, spec in DIMENSIONS.items()} | FACT_NATURAL_KEYS
-    return union_all([_unique("natural_key_unique", tables[n], n, k) for n, k in keys.items() if n in tables])
+    return _unique("natural_key_unique", tables, {t: k for t, k in keys.items() if t in tables}, "string")
 
 
-def _orphans(check: str, fact: DataFrame, fact_name: str, key: str, dim: DataFrame, dim_name: str, dim_key: str):
-    """Fact rows whose key finds no dimension row; a null key is an orphan.
+def _foreign_keys(check: str, fact: str, tables: Tables) -> DataFrame:
+    """Fact rows whose key finds no dimension row, for all keys in one pass; a null key is an orphan.
 
-    The fact shrinks to one row per key value first, so the anti join is as
-    small as the dimension however skewed the keys are.
+    The fact shrinks to one row per key value before anything is joined, so the
+    anti join is as small as the dimensions however skewed the keys are.
     """
-    used = fact.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
-    lost = used.join(dim.select(F.col(dim_key).alias("k")), "k", "left_anti")
-    counted = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return _result(counted, check, fact_name, key, F.col("n"), F.lit(f"not in {dim_name}"))
-
-
-def _foreign_keys(check: str, fact: str, tables: Tables) -> DataFrame:
-    return union_all(
-        [_orphans(check, tables[fact], fact, key, tables[dim], dim, pk) for key, dim, pk in FOREIGN_KEYS[fact]]
+    links = FOREIGN_KEYS[fact]
+    entries = [
+        F.struct(F.lit(i).alias("i"), F.col(key).cast("bigint").alias("k")) for i, (key, _, _) in enumerate(links)
+    ]
+    used = tables[fact].select(F.explode(F.array(*entries)).alias("x")).groupBy("x.i", "x.k").count()
+    known = union_all(
+        [tables[d].select(F.lit(i).alias("i"), F.col(pk).cast("bigint").alias("k")) for i, (_, d, pk) in enumerate(links)]
     )
+    lost = used.join(known, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("count").alias("n"))
+    dims = F.array(*[F.lit(f"not in {d}") for _, d, _ in links])
+    targets = [(fact, key) for key, _, _ in links]
+    return _listed(tables, check, lost, targets, F.get(dims, F.col("i")))
 
 
 def fk_transactions(tables: Tables) -> DataFrame:
@@ -205,9 +225,15 @@ def _reconcile(check: str, mart: str, column: str, expected: DataFrame, actual:
     both = expected.select(F.col(expected.columns[0]).alias("e")).crossJoin(
         actual.select(F.col(actual.columns[0]).alias("a"))
     )
-    gap = F.abs(F.coalesce(F.col("e"), F.lit(0)) - F.coalesce(F.col("a"), F.lit(0)))
-    detail = F.concat_ws("/", F.col("a").cast("string"), F.col("e").cast("string"))
-    return _result(both, check, mart, column, F.ceil(gap), detail)
+    gap = F.abs(F.coalesce(F.col("e"), F.lit(0)) - F.coalesce(F.col("a"), F.lit(0))).cast("bigint")
+    return both.select(
+        F.lit(check).alias("check_name"),
+        F.lit(mart).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        gap.alias("bad_count"),
+        (gap == 0).alias("passed"),
+        F.concat_ws("/", F.col("a").cast("string"), F.col("e").cast("string")).alias("detail"),
+    )
 
 
 def recon_c360(tables: Tables) -> DataFrame:

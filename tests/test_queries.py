@@ -21,8 +21,7 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_oracles_name_queries():
-    assert set(__spark_entry__.oracle_sql()) <= set(QUERIES)
-    assert set(QUERIES) - set(__spark_entry__.oracle_sql()) == {"dash_spend_debt_sample"}
+    assert set(__spark_entry__.oracle_sql()) == set(QUERIES)
 
 
 def test_entry(spark):
