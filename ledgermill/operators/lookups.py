@@ -11,17 +11,11 @@ SPREAD = 512
 COUNTED_SHARE = 0.05
 
 
-def frequent_keys(rows: DataFrame, key: str, limit: int = HOT_KEYS, share: float = 1.0) -> DataFrame:
+def frequent_keys(rows: DataFrame, key: str, limit: int = HOT_KEYS, share: float = 1.0) -> list:
     """The ``limit`` most frequent non-null keys, counted on a ``share`` of the rows."""
     counted = rows.select(key) if share >= 1 else rows.select(key).sample(share, seed=7)
-    return (
-        counted.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .orderBy(F.desc("count"), key)
-        .limit(limit)
-        .select(key)
-    )
+    top = counted.filter(F.col(key).isNotNull()).groupBy(key).count().orderBy(F.desc("count"), key).limit(limit)
+    return [r[0] for r in top.collect()]
 
 
 def spread_lookup(
@@ -37,22 +31,24 @@ def spread_lookup(
     """Left join to a large table with unique keys, without piling hot keys on one task.
 
     The most frequent keys (at most ``hot_keys``), whether ``table`` holds them or
-    not, are resolved by a broadcast. Their rows go through the shuffle join under
-    a salt that matches nothing, so they are spread evenly; all others meet their
-    match under salt 0. Null keys match nothing and are spread as well.
+    not, are resolved by a broadcast of as many rows. Their rows go through the
+    shuffle join under a salt that matches nothing, so they are spread evenly; all
+    others meet their match under salt 0. Null keys match nothing and are spread
+    as well.
 
     ``seen`` may be a cheaper frame to count frequencies on, and ``share`` the part
     of it that is counted. Both only steer the spreading: every key is joined
-    correctly whether or not it is found hot.
+    correctly whether or not it is found hot. The hot keys are fixed before the
+    join is planned, so a task that is run again sees the same ones.
     """
     values = [c for c in table.columns if c != key]
     keys = frequent_keys(rows if seen is None else seen, key, hot_keys, share)
-    found = table.join(F.broadcast(keys), key, "left_semi").select(key, F.struct(*values).alias("_hot_values"))
-    hot = keys.join(F.broadcast(found), key, "left").select(key, F.lit(True).alias("_hot"), "_hot_values")
+    is_hot = F.col(key).isin(keys)
     salt = F.when(
-        F.col("_hot") | F.col(key).isNull(),
+        F.col(key).isNull() | is_hot,
         F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int") + 1,
     ).otherwise(F.lit(0))
+    hot = table.filter(is_hot).select(key, F.struct(*values).alias("_hot_values"))
     marked = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
     # a literal 0 would be folded into a plain condition and drop out of the shuffle key
     zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
