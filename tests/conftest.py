@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()

@@ -18,8 +18,20 @@ def frame(spark, table, rows):
 
 
 @pytest.fixture(scope="module")
-def stg(spark):
-    return {
+def stored(spark, tmp_path_factory):
+    """Writes a frame and returns it as read back, as the layers do."""
+
+    def write(rows):
+        path = str(tmp_path_factory.mktemp("t") / "rows")
+        rows.coalesce(1).write.parquet(path)
+        return spark.read.parquet(path)
+
+    return write
+
+
+@pytest.fixture(scope="module")
+def stg(spark, stored):
+    tables = {
         "customers": frame(
             spark,
             "customers",
@@ -75,11 +87,12 @@ def stg(spark):
             ],
         ),
     }
+    return {name: stored(rows) for name, rows in tables.items()}
 
 
 @pytest.fixture(scope="module")
-def dims(spark, stg):
-    out = {n: dimensions.build_dimension(n, stg[s.source], RUN) for n, s in schemas.DIMENSIONS.items()}
+def dims(spark, stg, stored):
+    out = {n: stored(dimensions.build_dimension(n, stg[s.source], RUN)) for n, s in schemas.DIMENSIONS.items()}
     out["dim_date"] = dimensions.build_dim_date(spark, date(2024, 1, 1), date(2024, 1, 31))
     return out
 
@@ -90,11 +103,17 @@ def ids(table, dim):
 
 
 @pytest.fixture(scope="module")
-def transactions(stg, dims):
-    keys = facts.account_keys(
-        stg["accounts"], stg["cards"], dims["dim_customer"], dims["dim_account"], dims["dim_card"]
+def by_account(stg, dims, stored):
+    return stored(
+        facts.account_keys(
+            stg["accounts"], stg["cards"], dims["dim_customer"], dims["dim_account"], dims["dim_card"]
+        )
     )
-    return facts.build_transactions(stg["transactions"], keys, dims)
+
+
+@pytest.fixture(scope="module")
+def transactions(stg, dims, by_account, stored):
+    return stored(facts.build_transactions(stg["transactions"], by_account, dims))
 
 
 def test_customer_rules(dims):
@@ -206,20 +225,14 @@ def test_transactions_resolve_or_fall_back_to_unknown(transactions, dims):
     }
 
 
-def test_dates_outside_the_calendar_fail_or_are_set_aside(spark, stg, dims):
+def test_dates_outside_the_calendar_fail_or_are_set_aside(spark, stg, dims, by_account, transactions):
     short = dims | {"dim_date": dimensions.build_dim_date(spark, date(2024, 1, 1), date(2024, 1, 2))}
-    keys = facts.account_keys(
-        stg["accounts"], stg["cards"], dims["dim_customer"], dims["dim_account"], dims["dim_card"]
-    )
     with pytest.raises(Exception, match="date_key not in dim_date: 20240106"):
-        facts.build_transactions(stg["transactions"], keys, short).collect()
-    kept = facts.build_transactions(stg["transactions"], keys, short, "quarantine")
+        facts.build_transactions(stg["transactions"], by_account, short).collect()
+    kept = facts.build_transactions(stg["transactions"], by_account, short, "quarantine")
     assert sorted(r.transaction_id for r in kept.collect()) == ["T1", "T2"]
-    whole = facts.build_transactions(stg["transactions"], keys, dims)
-    assert sorted(r.transaction_id for r in facts.outside_calendar(whole, short["dim_date"], "date_key").collect()) == [
-        "T3",
-        "T4",
-    ]
+    outside = facts.outside_calendar(transactions, short["dim_date"], "date_key")
+    assert sorted(r.transaction_id for r in outside.collect()) == ["T3", "T4"]
 
 
 def test_insert_if_absent(transactions):
@@ -268,8 +281,8 @@ def test_hot_rows_are_spread_over_tasks(spark):
 
 
 @pytest.fixture(scope="module")
-def loans(stg, dims):
-    return load_keys(facts.build_loans(stg["loans"], dims), "loan_key")
+def loans(stg, dims, stored):
+    return stored(load_keys(facts.build_loans(stg["loans"], dims), "loan_key"))
 
 
 def test_loans(loans, dims):
