@@ -74,12 +74,9 @@ def events_from_run(runs: DataFrame, report: DataFrame, ingest_date: date) -> Da
     stage rows of one run and the at most seven suite parts.
     """
     failed = F.col("status") != "PASSED"
-    suite = report.agg(
-        F.count("*").alias("total_tests"),
-        F.array_sort(
-            F.collect_list(F.when(failed, F.struct(F.col("part").alias("name"), F.col("reason").alias("reason"))))
-        ).alias("failed_tests"),
-    )
+    named = F.struct(F.col("part").alias("name"), F.col("reason").alias("reason"))
+    total_tests = report.agg(F.count("*")).scalar()
+    failed_tests = report.agg(F.array_sort(F.collect_list(F.when(failed, named)))).scalar()
     stages = runs.agg(
         F.count_if(F.col("status") == "FAILED").alias("failed_stages"),
         F.sum("duration_seconds").alias("duration_seconds"),
@@ -87,7 +84,7 @@ def events_from_run(runs: DataFrame, report: DataFrame, ingest_date: date) -> Da
         F.min_by(F.col("stage"), F.when(F.col("status") == "FAILED", F.col("started_at"))).alias("failed_stage"),
         F.min_by(F.col("error"), F.when(F.col("status") == "FAILED", F.col("started_at"))).alias("failed_error"),
     )
-    both = stages.crossJoin(suite)
+    both = stages.withColumn("total_tests", total_tests).withColumn("failed_tests", failed_tests)
     none = F.lit(None)
     common = ["duration_seconds", "records_loaded", F.lit(ingest_date).alias("ingest_date"), "total_tests", "failed_tests"]
 

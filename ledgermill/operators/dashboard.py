@@ -57,7 +57,8 @@ def exec_kpis(c360: DataFrame, risk: DataFrame) -> DataFrame:
         _total("total_balance_usd"),
         _total("total_loan_debt_usd"),
     )
-    return customers.crossJoin(risk.agg(_total("estimated_annual_interest_revenue_usd")))
+    revenue = risk.agg(_total("estimated_annual_interest_revenue_usd")).scalar()
+    return customers.withColumn("estimated_annual_interest_revenue_usd", revenue)
 
 
 def year_volume(branch_days: DataFrame) -> DataFrame:
@@ -65,11 +66,11 @@ def year_volume(branch_days: DataFrame) -> DataFrame:
 
 
 def with_share(rows: DataFrame, value: str) -> DataFrame:
-    """Percent of the total, which is one broadcast row."""
-    total = rows.agg(F.sum(value).alias("_total"))
+    """Percent of the total, which is a scalar subquery."""
+    total = rows.agg(F.sum(value)).scalar()
     share = F.when(F.col("_total") != 0, F.round(F.col(value) * F.lit(100) / F.col("_total"), 2))
     return (
-        rows.crossJoin(F.broadcast(total))
+        rows.withColumn("_total", total)
         .withColumn("share_percent", F.coalesce(share.cast("double"), F.lit(0.0)))
         .drop("_total")
     )

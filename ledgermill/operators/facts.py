@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import date_key
@@ -122,18 +122,15 @@ def account_keys(
 
 def unknown_keys(dims: dict[str, DataFrame]) -> DataFrame:
     """One row with the UNKNOWN surrogate key of each given dimension (null if there is none)."""
-    row = None
-    for name, table in dims.items():
-        spec = DIMENSIONS[name]
-        one = table.filter(F.col(spec.natural_key) == UNKNOWN_ID).agg(
-            F.max(spec.surrogate_key).alias(f"unknown_{spec.surrogate_key}")
-        )
-        row = one if row is None else row.crossJoin(one)
-    return row
+    spark = next(iter(dims.values())).sparkSession
+    keys = [unknown_key(dims, name).alias(f"unknown_{DIMENSIONS[name].surrogate_key}") for name in dims]
+    return spark.range(1, numPartitions=1).select(*keys)
 
 
-def _unknown(dims: dict[str, DataFrame], name: str):
-    return unknown_keys({name: dims[name]}).scalar()
+def unknown_key(dims: dict[str, DataFrame], name: str) -> Column:
+    """The UNKNOWN surrogate key of one dimension, as a scalar subquery."""
+    spec = DIMENSIONS[name]
+    return dims[name].filter(F.col(spec.natural_key) == UNKNOWN_ID).agg(F.max(spec.surrogate_key)).scalar()
 
 
 def outside_calendar(keyed: DataFrame, dim_date: DataFrame, key: str) -> DataFrame:
@@ -174,11 +171,11 @@ def build_transactions(
     rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_rows)
     keyed = rows.select(
         "transaction_id",
-        F.coalesce("customer_key", _unknown(dims, "dim_customer")).alias("customer_key"),
-        F.coalesce("account_key", _unknown(dims, "dim_account")).alias("account_key"),
-        F.coalesce("card_key", _unknown(dims, "dim_card")).alias("card_key"),
-        F.coalesce("merchant_key", _unknown(dims, "dim_merchant")).alias("merchant_key"),
-        _unknown(dims, "dim_branch").alias("branch_key"),
+        F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),
+        F.coalesce("account_key", unknown_key(dims, "dim_account")).alias("account_key"),
+        F.coalesce("card_key", unknown_key(dims, "dim_card")).alias("card_key"),
+        F.coalesce("merchant_key", unknown_key(dims, "dim_merchant")).alias("merchant_key"),
+        unknown_key(dims, "dim_branch").alias("branch_key"),
         date_key(F.col("transaction_date").cast("date")).alias("date_key"),
         "amount_usd",
         "transaction_date",
@@ -197,8 +194,8 @@ def build_loans(
     rows = lookup(rows, customers, "customer_id", "loan_id", stg_loans, broadcast_rows)
     keyed = rows.select(
         "loan_id",
-        F.coalesce("customer_key", _unknown(dims, "dim_customer")).alias("customer_key"),
-        _unknown(dims, "dim_branch").alias("branch_key"),
+        F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),
+        unknown_key(dims, "dim_branch").alias("branch_key"),
         date_key(F.col("start_date")).alias("start_date_key"),
         "loan_amount",
         "interest_rate",

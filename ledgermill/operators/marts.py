@@ -173,6 +173,14 @@ def first_branches(dim_branch: DataFrame, limit: int = BRANCH_LIMIT, with_unknow
     return known
 
 
+def _for_each_branch(days: DataFrame, branches: DataFrame) -> DataFrame:
+    """Each day once per branch; the branches are a list of known, small length."""
+    listed = branches.agg(F.collect_list(F.struct(*_BRANCH_COLUMNS))).scalar()
+    return days.withColumn("_branches", listed).select(
+        *days.columns, F.inline("_branches").alias(*_BRANCH_COLUMNS)
+    )
+
+
 def daily_branch_performance(
     dim_date: DataFrame,
     dim_branch: DataFrame,
@@ -186,7 +194,7 @@ def daily_branch_performance(
     the days are repeated for at most ``limit`` branches.
     """
     days = dim_date.join(_per_day(fact_transactions, "date_key"), "date_key", "left")
-    rows = days.crossJoin(F.broadcast(first_branches(dim_branch, limit)))
+    rows = _for_each_branch(days, first_branches(dim_branch, limit))
     return _stamped(rows.select(*_branch_day_columns()), run_ts)
 
 
@@ -198,7 +206,7 @@ def daily_branch_by_branch(
     run_ts: datetime | None = None,
 ) -> DataFrame:
     """Day by branch with each branch's own transactions, UNKNOWN branch included."""
-    grid = dim_date.crossJoin(F.broadcast(first_branches(dim_branch, limit, with_unknown=True)))
+    grid = _for_each_branch(dim_date, first_branches(dim_branch, limit, with_unknown=True))
     own = _per_day(fact_transactions, "date_key", "branch_key")
     rows = grid.join(own, ["date_key", "branch_key"], "left")
     return _stamped(rows.select(*_branch_day_columns()), run_ts)

@@ -222,9 +222,8 @@ def fk_loans(tables: Tables) -> DataFrame:
 
 
 def _reconcile(check: str, mart: str, column: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
-    both = expected.select(F.col(expected.columns[0]).alias("e")).crossJoin(
-        actual.select(F.col(actual.columns[0]).alias("a"))
-    )
+    one = expected.sparkSession.range(1, numPartitions=1)
+    both = one.select(expected.scalar().alias("e"), actual.scalar().alias("a"))
     gap = F.abs(F.coalesce(F.col("e"), F.lit(0)) - F.coalesce(F.col("a"), F.lit(0))).cast("bigint")
     return both.select(
         F.lit(check).alias("check_name"),

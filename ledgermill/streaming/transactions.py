@@ -37,7 +37,8 @@ def load_available(
 
     Each micro-batch is written under its own number, so a batch that is run
     again after a failure replaces its first try. Ids found in earlier batches
-    are left out, which makes the load insert-if-absent.
+    are left out, which makes the load insert-if-absent; for that the batch is
+    written down first, so that its size is known and it is built only once.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -50,7 +51,9 @@ def load_available(
                 .parquet(target)
                 .filter(F.col("batch") < batch_id)
             )
-            rows = facts.insert_if_absent(rows, earlier, "transaction_id")
+            arrived = f"{target}_arrived/batch={batch_id}"
+            rows.write.mode("overwrite").parquet(arrived)
+            rows = facts.insert_if_absent(spark.read.schema(rows.schema).parquet(arrived), earlier, "transaction_id")
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
