@@ -22,6 +22,7 @@ def settings(hour, **changes):
         "calendar_start": CALENDAR[0],
         "calendar_end": CALENDAR[1],
         "branch_limit": 10,
+        "partition_facts": False,
     }
     return Settings(**(plan | changes))
 
@@ -65,7 +66,8 @@ def test_loading_a_batch_again_changes_nothing(built):
 
 def test_upsert_from_empty_equals_refresh(spark, stg, tmp_path, built):
     layers = Layers(spark, str(tmp_path))
-    pipeline.build_warehouse(layers, settings(1, mode="upsert", partition_facts=False), stg)
+    pipeline.build_warehouse(layers, settings(1, mode="upsert", partition_facts=True), stg)
+    assert "month_key" in layers.read(DWH, "fact_transactions").columns
     assert by_natural_ids(layers.tables(DWH)) == built[1]
 
 
