@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__
+from fixtures import oracles, registry
 from fixtures.check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = sorted(__spark_entry__.queries())
+QUERIES = sorted(registry.registered())
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +21,10 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_oracles_name_queries():
-    assert set(__spark_entry__.oracle_sql()) == set(QUERIES)
+    assert set(oracles.all_oracles()) == set(QUERIES)
 
 
 def test_entry(spark):
+    import __spark_entry__
+
     assert __spark_entry__.entry(spark).count() > 0
