@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.mixing import op2_pivotal_mixing
 from ledgermill.llm.sharding import op3_kd_sharding
+from ledgermill.llm.simhash import op6_simhash
+from ledgermill.llm.substrings import OP7_SQL, op7_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_pivotal_mixing,
         op3_kd_sharding,
+        op6_simhash,
+        op7_substring_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_substring_dedup": OP7_SQL,
+}
