@@ -261,7 +261,7 @@ def covered(words: list[bytes], removed: np.ndarray, window: int) -> np.ndarray:
 
 
 def _cut(window: int):
-    names = ["doc_id", "n_words", "n_removed", "kept"]
+    names = ["key", "n_words", "n_removed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,7 +274,7 @@ def _cut(window: int):
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
                 kept.append(b" ".join(w for w, g in zip(words, gone, strict=True) if not g).decode())
-            columns = [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
+            columns = [batch.column("key"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
@@ -302,14 +302,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     block = block_words(window)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / PART_BYTES))
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("bigint").alias("key"), "doc_id", "text")
-    found = rows.select("key", "text").mapInArrow(_probe(parts, block), SHUFFLED)
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("bigint").alias("key"), "text")
+    found = rows.mapInArrow(_probe(parts, block), SHUFFLED)
     hits = _by_key(found.groupBy("part").applyInArrow(_hits, LISTED))
     near = rows.join(hits, "key").select("key", "text", "listed").mapInArrow(_extend(parts, block, window), SHUFFLED)
     later = _by_key(near.groupBy("part").applyInArrow(_later, LISTED))
-    return rows.join(later, "key", "left").select("doc_id", "text", "listed").mapInArrow(
-        _cut(window), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, kept string"
+    # both joins shuffle the same rows, so the texts move once
+    cut = rows.join(later, "key", "left").select("key", "text", "listed").mapInArrow(
+        _cut(window), "key bigint, n_words bigint, n_removed bigint, kept string"
     )
+    return cut.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def _by_key(listed: DataFrame) -> DataFrame:
