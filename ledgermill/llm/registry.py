@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.llm.decontamination import OP5_SQL, op5_decontamination
+from ledgermill.llm.licenses import OP9_SQL, op9_license_scan
+from ledgermill.llm.lines import OP8_SQL, op8_line_dedup
 from ledgermill.llm.mixing import op2_pivotal_mixing
 from ledgermill.llm.sharding import op3_kd_sharding
 from ledgermill.llm.simhash import op6_simhash
@@ -16,11 +19,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_pivotal_mixing,
         op3_kd_sharding,
+        op5_decontamination,
         op6_simhash,
         op7_substring_dedup,
+        op8_line_dedup,
+        op9_license_scan,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op5_decontamination": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op8_line_dedup": OP8_SQL,
+    "op9_license_scan": OP9_SQL,
 }
