@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.llm.ann import op4_kmeans_tree
 from ledgermill.llm.decontamination import OP5_SQL, op5_decontamination
 from ledgermill.llm.licenses import OP9_SQL, op9_license_scan
 from ledgermill.llm.lines import OP8_SQL, op8_line_dedup
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_pivotal_mixing,
         op3_kd_sharding,
+        op4_kmeans_tree,
         op5_decontamination,
         op6_simhash,
         op7_substring_dedup,
