@@ -118,7 +118,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     entries = prints.select("fp", F.explode(_signatures(F.col("fp"))).alias("key"))
     shared = written(entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
     which = F.shiftright("key", SEGMENT).cast("int").alias("which")
-    met = written(entries.join(shared, "key").select("fp", "key", which, (F.col("members") > HOT).alias("hot")))
+    # shuffled at every size: whether few keys are shared says nothing about the next table
+    met = written(entries.join(shared.hint("merge"), "key").select("fp", "key", which, (F.col("members") > HOT).alias("hot")))
     small = met.where(~F.col("hot"))
     left, right = small.select("key", "which", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b"))
     # under a wildcard only those meet that differ in its bit; the others meet under the whole segment
