@@ -68,7 +68,7 @@ def _by_document(part: int, kind: int, ids: np.ndarray, values: np.ndarray) -> d
 
 
 SHUFFLED = "part int, kind int, ids binary, counts binary, values binary"
-LISTED = "key bigint, part int, values binary"
+"""Values by the partition that compares them; on their way back, by the documents' bucket (``kind`` is then the partition)."""
 
 
 def _read(group: pa.Table, kind: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,13 +83,37 @@ def _read(group: pa.Table, kind: int, width: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(ids), np.concatenate(values)
 
 
-def _listed(part: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    order = np.argsort(ids, kind="stable")
-    ids, values = ids[order], np.ascontiguousarray(values[order])
-    own, starts = np.unique(ids, return_index=True)
-    for k, at in enumerate(starts):
-        end = starts[k + 1] if k + 1 < len(starts) else len(ids)
-        yield int(own[k]), part, values[at:end].tobytes()
+def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """What ``pmod(xxhash64(key), buckets)`` is for each id."""
+    own, back = np.unique(ids, return_inverse=True)
+    hashed = np.fromiter((xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42) for i in own), np.uint64, len(own))
+    return np.mod(hashed.view(np.int64), buckets)[back]
+
+
+def _returned(part: int, buckets: int, ids: np.ndarray, values: np.ndarray) -> pa.Table:
+    """A partition's findings, packed by the bucket of the documents they are for."""
+    bucket = bucket_of(ids, buckets)
+    rows = [_by_document(int(b), part, ids[bucket == b], values[bucket == b]) for b in np.unique(bucket)]
+    return _tables(rows, _SHUFFLED)
+
+
+class Findings:
+    """What partitions found for the documents of one bucket."""
+
+    def __init__(self, packed: pa.Table, width: int):
+        ids, values, parts = [], [], []
+        for part, own, counts, raw in zip(*(packed.column(c).to_pylist() for c in ("kind", "ids", "counts", "values")), strict=True):
+            ids.append(np.repeat(np.frombuffer(own, "<i8"), np.frombuffer(counts, "<u4")))
+            values.append(_eight(np.frombuffer(raw, np.uint8).reshape(-1, width)))
+            parts.append(np.full(len(ids[-1]), part, np.uint64))
+        every = np.concatenate(ids) if ids else np.empty(0, np.int64)
+        order = np.argsort(every, kind="stable")
+        self.ids = every[order]
+        self.values = np.concatenate(values)[order] if ids else np.empty(0, np.uint64)
+        self.parts = np.concatenate(parts)[order] if ids else np.empty(0, np.uint64)
+
+    def of(self, key: int) -> slice:
+        return slice(int(np.searchsorted(self.ids, key, "left")), int(np.searchsorted(self.ids, key, "right")))
 
 
 def _anchors(h: np.ndarray) -> np.ndarray:
@@ -111,30 +135,32 @@ def _eight(raw: np.ndarray) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def _tables(rows: list[tuple] | list[dict], schema: pa.Schema) -> pa.Table:
-    columns = [[r[f.name] if isinstance(r, dict) else r[i] for r in rows] for i, f in enumerate(schema)]
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+_SHUFFLED = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("values", pa.binary())])
 
 
-_SHUFFLED = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("values", pa.binary())])
-_LISTED = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("values", pa.binary())])
+def _tables(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], hashed) -> Iterator[list[tuple]]:
-    """Lists of ``hashed(row)`` of at most ``CHUNK`` words together."""
+def _chunks(found: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Lists of a document's ``(key, hashes, ...)`` of at most ``CHUNK`` hashes together."""
     held, words = [], 0
-    for batch in batches:
-        for k in range(batch.num_rows):
-            found = hashed(batch, k)
-            if words and words + len(found[1]) > CHUNK:
-                yield held
-                held, words = [], 0
-            held.append(found)
-            words += len(found[1])
+    for one in found:
+        if words and words + len(one[1]) > CHUNK:
+            yield held
+            held, words = [], 0
+        held.append(one)
+        words += len(one[1])
     if held:
         yield held
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    for batch in batches:
+        for key, text in zip(batch.column("key"), batch.column("text"), strict=True):
+            yield key.as_py(), (text.as_py() or "").encode().split()
+
+
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and sizes of the runs of equal values in sorted ``keys``."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
@@ -149,12 +175,8 @@ def _probe(parts: int, block: int):
     of all documents is one entry per chunk and not one per document.
     """
 
-    def hashed(batch: pa.RecordBatch, k: int) -> tuple:
-        h = rolling(word_hashes((batch.column("text")[k].as_py() or "").encode().split()), block)
-        return batch.column("key")[k].as_py(), h
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _chunks(batches, hashed):
+        for held in _chunks((key, rolling(word_hashes(words), block)) for key, words in _texts(batches)):
             h = np.concatenate([x[1] for x in held])
             ids = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[1]) for x in held])
             is_block = np.concatenate([np.arange(len(x[1])) % block == 0 for x in held])
@@ -181,40 +203,44 @@ def _probe(parts: int, block: int):
     return run
 
 
-def _hits(group: pa.Table) -> pa.Table:
+def _hits(buckets: int):
     """Anchors that are a block in one place and occur in another document."""
-    part = group.column("part")[0].as_py()
-    ids, raw = _read(group, 0, 5)
-    values = _eight(raw)
-    order = np.argsort(values >> np.uint64(1), kind="stable")
-    ids, values = ids[order], values[order]
-    starts, sizes = _groups(values >> np.uint64(1))
-    known_ids, known = _read(group, 1, 5)
-    if len(starts):
-        hit = np.repeat((sizes > 1) & (np.bitwise_or.reduceat(values & np.uint64(1), starts) > 0), sizes)
-        known_ids = np.concatenate([known_ids, ids[hit]])
-        known = np.concatenate([known, _five(values[hit] & ~np.uint64(1))])
-    return _tables(list(_listed(part, known_ids, known)), _LISTED)
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, raw = _read(group, 0, 5)
+        values = _eight(raw)
+        order = np.argsort(values >> np.uint64(1), kind="stable")
+        ids, values = ids[order], values[order]
+        starts, sizes = _groups(values >> np.uint64(1))
+        known_ids, known = _read(group, 1, 5)
+        if len(starts):
+            hit = np.repeat((sizes > 1) & (np.bitwise_or.reduceat(values & np.uint64(1), starts) > 0), sizes)
+            known_ids = np.concatenate([known_ids, ids[hit]])
+            known = np.concatenate([known, _five(values[hit] & ~np.uint64(1))])
+        return _returned(group.column("part")[0].as_py(), buckets, known_ids, known)
+
+    return run
 
 
 def _extend(parts: int, block: int, window: int):
     """Every window around a hit, by partition of its hash; the smallest document of a chunk stands for it."""
 
-    def hashed(batch: pa.RecordBatch, k: int) -> tuple:
-        words = word_hashes((batch.column("text")[k].as_py() or "").encode().split())
-        h = rolling(words, block)
-        listed = batch.column("listed")[k].as_py() or []
-        own = _anchors(h) * np.uint64(parts) + h % np.uint64(parts)
-        hits = [_eight(np.frombuffer(x["values"], np.uint8).reshape(-1, 5)) * np.uint64(parts) + np.uint64(x["part"]) for x in listed]
-        at = np.isin(own, np.concatenate(hits)) if hits else np.zeros(len(own), bool)
-        whole = rolling(words, window)
-        seen = np.r_[0, np.cumsum(at)]
-        span = window - block + 1
-        near = seen[span : span + len(whole)] > seen[: len(whole)]
-        return batch.column("key")[k].as_py(), whole[near], _second(words, window)[near]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _chunks(batches, hashed):
+    def near(docs: pa.Table, hits: Findings) -> Iterator[tuple]:
+        found = hits.values * np.uint64(parts) + hits.parts
+        for key, words in _texts(docs.to_batches()):
+            mine = hits.of(key)
+            if mine.start == mine.stop:
+                continue
+            hashes = word_hashes(words)
+            h = rolling(hashes, block)
+            at = np.isin(_anchors(h) * np.uint64(parts) + h % np.uint64(parts), found[mine])
+            whole, seen, span = rolling(hashes, window), np.r_[0, np.cumsum(at)], window - block + 1
+            close = seen[span : span + len(whole)] > seen[: len(whole)]
+            yield key, whole[close], _second(hashes, window)[close]
+
+    def run(docs: pa.Table, packed: pa.Table) -> pa.Table:
+        rows: list[dict] = []
+        for held in _chunks(near(docs, Findings(packed, 5))):
             h, more = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
             ids = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[1]) for x in held])
             order = np.lexsort((ids, more, h))
@@ -226,28 +252,30 @@ def _extend(parts: int, block: int, window: int):
             least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
             part = (h % np.uint64(parts)).astype(np.int64)
             raw = np.concatenate([h.astype("<u8").view(np.uint8).reshape(-1, 8), more.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1)
-            rows = []
             for kind, chosen in ((0, new), (1, once & (ids > least))):
                 for p in np.unique(part[chosen]):
                     mine = chosen & (part == p)
                     rows.append(_by_document(int(p), kind, ids[mine], raw[mine]))
-            yield from _tables(rows, _SHUFFLED).to_batches()
+        return _tables(rows, _SHUFFLED)
 
     return run
 
 
-def _later(group: pa.Table) -> pa.Table:
+def _later(buckets: int):
     """Windows that also start in a document with a smaller id."""
-    part = group.column("part")[0].as_py()
-    ids, raw = _read(group, 0, 12)
-    h, more = _eight(raw[:, :8]), _eight(raw[:, 8:])
-    order = np.lexsort((ids, more, h))
-    ids, h, more = ids[order], h[order], more[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (more[1:] != more[:-1])] if len(h) else np.empty(0, bool)
-    later = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else new
-    known_ids, known = _read(group, 1, 12)
-    values = np.concatenate([known[:, :8], h[later].astype("<u8").view(np.uint8).reshape(-1, 8)])
-    return _tables(list(_listed(part, np.concatenate([known_ids, ids[later]]), values)), _LISTED)
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, raw = _read(group, 0, 12)
+        h, more = _eight(raw[:, :8]), _eight(raw[:, 8:])
+        order = np.lexsort((ids, more, h))
+        ids, h, more = ids[order], h[order], more[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (more[1:] != more[:-1])] if len(h) else np.empty(0, bool)
+        later = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else new
+        known_ids, known = _read(group, 1, 12)
+        values = np.concatenate([known[:, :8], h[later].astype("<u8").view(np.uint8).reshape(-1, 8)])
+        return _returned(group.column("part")[0].as_py(), buckets, np.concatenate([known_ids, ids[later]]), values)
+
+    return run
 
 
 def covered(words: list[bytes], removed: np.ndarray, window: int) -> np.ndarray:
@@ -260,22 +288,17 @@ def covered(words: list[bytes], removed: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(out[:-1]) > 0
 
 
-def _cut(window: int):
-    names = ["key", "n_words", "n_removed", "kept"]
+_KEPT = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for k in range(batch.num_rows):
-                words = (batch.column("text")[k].as_py() or "").encode().split()
-                listed = batch.column("listed")[k].as_py() or []
-                removed = np.frombuffer(b"".join(x["values"] for x in listed), "<u8")
-                gone = covered(words, removed, window)
-                n_words.append(len(words))
-                n_removed.append(int(gone.sum()))
-                kept.append(b" ".join(w for w, g in zip(words, gone, strict=True) if not g).decode())
-            columns = [batch.column("key"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names)
+
+def _cut(window: int):
+    def run(docs: pa.Table, packed: pa.Table) -> pa.Table:
+        removed, rows = Findings(packed, 8), []
+        for key, words in _texts(docs.to_batches()):
+            gone = covered(words, removed.values[removed.of(key)], window)
+            kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode()
+            rows.append((key, len(words), int(gone.sum()), kept))
+        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_KEPT)], schema=_KEPT)
 
     return run
 
@@ -291,8 +314,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     index; every window holds a whole one. All rolling windows of that width
     probe it by equality of hashes. Around each hit the windows are compared
     whole (96 bits of hash), so hits grow to maximal repeats. Values travel
-    packed by document; a task compares those of ``PART_BYTES`` of text, and a
-    passage common to many documents counts once per chunk of a task.
+    packed: to the task that compares those of about ``PART_BYTES`` of text,
+    and back to the documents' bucket of that size; a passage common to many
+    documents counts once per chunk of a task.
 
     Words are split at ASCII white space and compared unchanged. A null text
     has no words; a null id counts as larger than all; rows that share an id
@@ -302,23 +326,19 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     block = block_words(window)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / PART_BYTES))
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("bigint").alias("key"), "text")
-    found = rows.mapInArrow(_probe(parts, block), SHUFFLED)
-    hits = _by_key(found.groupBy("part").applyInArrow(_hits, LISTED))
-    near = rows.join(hits, "key").select("key", "text", "listed").mapInArrow(_extend(parts, block, window), SHUFFLED)
-    later = _by_key(near.groupBy("part").applyInArrow(_later, LISTED))
-    # both joins shuffle the same rows, so the texts move once
-    cut = rows.join(later, "key", "left").select("key", "text", "listed").mapInArrow(
+    key = F.coalesce("doc_id", F.lit(NO_ID)).cast("bigint")
+    rows = docs.select(F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"), key.alias("key"), "text")
+    found = rows.select("key", "text").mapInArrow(_probe(parts, block), SHUFFLED)
+    hits = found.groupBy("part").applyInArrow(_hits(parts), SHUFFLED)
+    # both meetings shuffle the same rows, so the texts move once
+    near = rows.groupBy("part").cogroup(hits.groupBy("part")).applyInArrow(_extend(parts, block, window), SHUFFLED)
+    later = near.groupBy("part").applyInArrow(_later(parts), SHUFFLED)
+    cut = rows.groupBy("part").cogroup(later.groupBy("part")).applyInArrow(
         _cut(window), "key bigint, n_words bigint, n_removed bigint, kept string"
     )
     return cut.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
-def _by_key(listed: DataFrame) -> DataFrame:
-    """A document's values from all partitions: no more than it has windows."""
-    return listed.groupBy("key").agg(F.collect_list(F.struct("part", "values")).alias("listed"))
-
-
 def _sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
