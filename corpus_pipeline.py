@@ -5,27 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.common import table, written
+from ledgermill.llm.decontamination import decontaminated
 from ledgermill.llm.mixing import mixed
+from ledgermill.llm.quality import accepted, trusted_ids
 from ledgermill.llm.sharding import sharded
+from ledgermill.llm.simhash import first_of_each
 
 SHARDS = 8
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier does not reject."""
+    return accepted(docs, trusted_ids(table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that SimHash links."""
+    return first_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
     return mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their place in it."""
+    """Documents with their shard."""
     return sharded(docs, shards=SHARDS)
 
 
 STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
 ]
 
+# The classifier and the random rounding have no SQL form; tests hold the run against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -11,13 +11,16 @@ from ledgermill.llm.decontamination import OP5_SQL, op5_decontamination
 from ledgermill.llm.licenses import OP9_SQL, op9_license_scan
 from ledgermill.llm.lines import OP8_SQL, op8_line_dedup
 from ledgermill.llm.mixing import op2_pivotal_mixing
+from ledgermill.llm.quality import op1_pu_quality
 from ledgermill.llm.sharding import op3_kd_sharding
 from ledgermill.llm.simhash import op6_simhash
 from ledgermill.llm.substrings import OP7_SQL, op7_substring_dedup
+from ledgermill.llm.toxicity import op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pu_quality,
         op2_pivotal_mixing,
         op3_kd_sharding,
         op4_kmeans_tree,
@@ -26,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_substring_dedup,
         op8_line_dedup,
         op9_license_scan,
+        op10_toxicity,
     )
 }
 
