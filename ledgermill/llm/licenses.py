@@ -43,8 +43,8 @@ def needed(tokens: int, threshold: float) -> int:
     return math.ceil(threshold * tokens - 1e-9)
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0))
+def words_of(lower: Column) -> Column:
+    return F.regexp_extract_all(lower, F.lit(TOKEN), F.lit(0))
 
 
 def _stands(words: Column, at: Column, phrase: str) -> Column:
@@ -66,12 +66,12 @@ def _texts(values: list[str]) -> Column:
 
 def _measured(docs: DataFrame, vocabulary: list[str], phrases: Mapping[str, str]) -> DataFrame:
     """One pass over the texts: counts, phrase places, and each line's template tokens."""
-    text = F.coalesce("text", F.lit(""))
+    # a line break parts words, so a text's words are those of its lines, one after the other
+    by_line = F.transform(F.split(ascii_lower(F.coalesce("text", F.lit(""))), "\n"), words_of)
     words = F.col("_words")
-    lines = F.transform(
-        F.split(text, "\n"), lambda line: _line(words_of(line), vocabulary)
+    rows = docs.select("doc_id", by_line.alias("_lines")).select(
+        "doc_id", "_lines", F.flatten("_lines").alias("_words"), F.transform("_lines", lambda line: _line(line, vocabulary)).alias("lines")
     )
-    rows = docs.select("doc_id", words_of(text).alias("_words"), lines.alias("lines"))
     places = {p: _places(words, p) for p in phrases}
     return rows.select(
         F.monotonically_increasing_id().alias("row"),
