@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.common import WORD, table, written
 
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 """Rows that one task pairs at a time; a source of any size is split into such groups."""
 FAN_IN = 64
 """Groups whose residuals meet in one group of the next level of the reduction tree."""
