@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import table
@@ -10,12 +10,21 @@ from ledgermill.llm.common import table
 LINES = 3
 
 
-def _window_hashes(lines: Column, width: int) -> Column:
-    """128 bits for each ``width`` consecutive lines, in the order of their starts."""
-    taken = lambda at: [F.get(lines, at + k) for k in range(width)]
-    both = lambda at: F.struct(F.xxhash64(*taken(at)).alias("h"), F.xxhash64(F.lit(width), *reversed(taken(at))).alias("g"))
-    starts = F.sequence(F.lit(0), F.size(lines) - width)
-    return F.when(F.size(lines) >= width, F.transform(starts, both))
+def _windows(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` with every ``width`` consecutive lines: their start ``at`` and 128 bits of hash, ``h`` and ``g``.
+
+    Lines are hashed once, windows from the lines' hashes; each step is a
+    column of its own, so that none is worked out again for every window.
+    """
+    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit(width), x).alias("g"))
+    hashed = rows.withColumn("_lines", F.split("text", "\n")).withColumn("_hashes", F.transform("_lines", line))
+    hashes = F.col("_hashes")
+    taken = lambda at, f: F.xxhash64(*(F.get(hashes, at + k)[f] for k in range(width)))
+    starts = F.sequence(F.lit(0), F.size(hashes) - width)
+    windows = F.when(F.size(hashes) >= width, F.transform(starts, lambda at: F.struct(taken(at, "h").alias("h"), taken(at, "g").alias("g"))))
+    # the outer form keeps the optimiser from hashing once more to test for short texts
+    each = hashed.select(*rows.columns, F.posexplode_outer(windows).alias("at", "w"))
+    return each.where("w IS NOT NULL").select(*(c for c in rows.columns if c != "text"), "at", "w.h", "w.g")
 
 
 def without_repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
@@ -39,8 +48,7 @@ def without_repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
         "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"), F.xxhash64("text").alias("text_hash")
     )
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "row", "at").alias("place")
-    windows = rows.select("doc_id", "text_hash", "row", F.posexplode_outer(_window_hashes(F.split("text", "\n"), width)).alias("at", "w"))
-    windows = windows.where("w IS NOT NULL").select("w.h", "w.g", place)
+    windows = _windows(rows, width).select("h", "g", place)
     first = windows.groupBy("h", "g").agg(F.min("place").alias("first"), F.max("place").alias("last"))
     repeated = first.where("first <> last").select("h", "g", "first")
     later = windows.join(repeated, ["h", "g"]).where(F.col("place") > F.col("first"))
