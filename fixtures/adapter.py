@@ -58,7 +58,6 @@ SELECT 'K' || lpad(CAST(o_orderkey AS STRING), 9, '0') AS card_id,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'credit' WHEN '2-HIGH' THEN ' Debit' WHEN '3-MEDIUM' THEN 'PREPAID' WHEN '5-LOW' THEN '' ELSE 'gift' END AS card_type,
        CASE WHEN o_orderkey % 70 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) + INTERVAL '4' YEAR AS DATE) END AS expiration_date
 FROM orders
-WHERE o_orderkey % 10 = 0
 """,
     "stg_merchants": """
 SELECT 'M' || lpad(CAST(s_suppkey AS STRING), 9, '0') AS merchant_id,
@@ -82,7 +81,6 @@ SELECT 'L' || lpad(CAST(o_orderkey AS STRING), 9, '0') AS loan_id,
        CAST(((o_orderkey * 13) % 4200) * 0.01 AS DECIMAL(6,2)) AS interest_rate,
        CAST(o_orderdate AS DATE) AS start_date
 FROM orders
-WHERE o_orderkey % 5 = 0
 """,
     "stg_transactions": """
 SELECT 'T' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS transaction_id,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,9 +86,15 @@ def yearly_loans(wb: Workbench) -> str:
     return wb.once("raw_yearly", land)
 
 
+def as_text(rows: DataFrame, name: str) -> DataFrame:
+    """(table_name, line): each row's values side by side, nulls as a tilde."""
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns])
+    return rows.select(F.lit(name).alias("table_name"), line.alias("line"))
+
+
 @query("src_csv_typed")
 def _(wb):
-    return raw.read_typed(wb.spark, raw_base(wb), "customers", RUN_DATE)
+    return quality.union_all([as_text(raw.read_typed(wb.spark, raw_base(wb), t, RUN_DATE), t) for t in STAGING])
 
 
 @query("src_csv_chunked")
@@ -112,19 +118,63 @@ def _(wb):
     return raw.discover(wb.spark, raw_base(wb)).select("table_name").distinct()
 
 
+def broken_regions(wb: Workbench) -> str:
+    """One file with quoted line breaks in a folder with a blank in its name."""
+
+    def land(folder: str) -> None:
+        label = F.concat(F.col("r_name"), F.lit("\n"), F.lit("second line"))
+        rows = wb.source("region").orderBy("r_regionkey").select("r_regionkey", label.alias("label"))
+        rows.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/my regions")
+
+    return wb.once("raw_regions", land)
+
+
 @query("src_manifest")
 def _(wb):
     files = raw.manifest_tables(wb.spark, raw_base(wb))
-    return files.groupBy("table_name", "status").agg(
+    tables = files.groupBy("table_name", "status").agg(
         F.sum("record_count").alias("record_count"),
-        F.min(F.length("checksum_sha256")).alias("checksum_length"),
+        F.lit(None).cast("string").alias("checksum_sha256"),
         (F.min("file_size_bytes") > 0).alias("has_bytes"),
     )
+    one = raw.manifest_tables(wb.spark, broken_regions(wb), multiline=True)
+    return tables.unionByName(
+        one.select("table_name", "status", "record_count", "checksum_sha256", (F.col("file_size_bytes") > 0).alias("has_bytes"))
+    )
+
+
+# table -> columns whose totals tell its contents
+TOTALS = {
+    "fact_transactions": ("amount_usd",),
+    "fact_loans": ("loan_amount", "interest_rate"),
+    "customer_360": (
+        "total_accounts",
+        "total_balance_usd",
+        "total_transactions",
+        "total_spend_usd",
+        "active_loans_count",
+        "total_loan_debt_usd",
+    ),
+    "daily_branch_performance": ("daily_transactions_count", "daily_transaction_volume_usd"),
+    "merchant_analytics": ("total_transactions", "total_sales_volume_usd", "min_txn_amount_usd", "max_txn_amount_usd"),
+    "credit_risk_monitoring": ("total_loans_originated", "total_loan_debt_usd"),
+}
+
+
+def contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, rows, total) for every table, with ``*`` where no column is summed."""
+    parts = []
+    for name, table in tables.items():
+        for column in TOTALS.get(name, ("*",)):
+            total = F.lit(None) if column == "*" else F.sum(column)
+            sums = table.agg(F.count("*").alias("rows"), total.cast("decimal(28,2)").alias("total"))
+            parts.append(sums.select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "rows", "total"))
+    return quality.union_all(parts)
 
 
 @query("src_mart_scan")
 def _(wb):
-    return audit.row_counts(wb.marts())
+    return contents(wb.marts())
 
 
 @query("snk_staging_overwrite")
@@ -132,8 +182,9 @@ def _(wb):
     layers = Layers(wb.spark, f"{wb.root}/overwrite")
 
     def load_twice(folder: str) -> None:
-        for run in ("1", "2"):
-            layers.write("staging", "stg_accounts", wb["stg_accounts"], run)
+        older = wb["stg_accounts"].filter("account_id like 'S%'").withColumn("balance_usd", F.lit(1).cast("decimal(15,2)"))
+        for run, rows in (("1", older), ("2", wb["stg_accounts"])):
+            layers.write("staging", "stg_accounts", rows, run)
             layers.publish("staging", run, ["stg_accounts"])
 
     wb.once("overwrite_done", load_twice)
@@ -141,13 +192,20 @@ def _(wb):
 
 
 def refreshed(wb: Workbench) -> Layers:
+    """A refresh from half of the tables, then one from all of them."""
     layers = Layers(wb.spark, f"{wb.root}/refresh")
 
     def refresh_twice(folder: str) -> None:
-        for hour in (1, 2):
+        stg = wb.staging()
+        older = stg | {
+            "stg_transactions": stg["stg_transactions"].filter("transaction_id like '%1'"),
+            "stg_loans": stg["stg_loans"].filter("loan_id like '%1'"),
+            "stg_merchants": stg["stg_merchants"].filter("merchant_id like '%1'"),
+        }
+        for hour, rows in ((1, older), (2, stg)):
             settings = wb.settings(run_ts=RUN_TS.replace(hour=hour))
-            pipeline.build_warehouse(layers, settings, wb.staging())
-            pipeline.build_marts(layers, settings, wb.staging())
+            pipeline.build_warehouse(layers, settings, rows)
+            pipeline.build_marts(layers, settings, rows)
 
     wb.once("refresh_done", refresh_twice)
     return layers
@@ -156,12 +214,12 @@ def refreshed(wb: Workbench) -> Layers:
 @query("snk_warehouse_refresh")
 def _(wb):
     stored = refreshed(wb).tables(pipeline.DWH)
-    return audit.row_counts({t: stored[t] for t in PRIMARY_KEYS})
+    return contents({t: stored[t] for t in PRIMARY_KEYS})
 
 
 @query("snk_mart_rebuild")
 def _(wb):
-    return audit.row_counts(refreshed(wb).tables(pipeline.MART))
+    return contents(refreshed(wb).tables(pipeline.MART))
 
 
 @query("snk_rowcount_report")
@@ -189,7 +247,7 @@ def _(wb):
 @query("stg_parse_date")
 def _(wb):
     day = F.col("o_orderdate").cast("date")
-    pick = F.col("o_orderkey") % 8
+    pick = F.col("o_orderkey") % 12
     text = (
         F.when(pick == 0, F.date_format(day, "yyyy-MM-dd"))
         .when(pick == 1, F.date_format(day, "yyyy/MM/dd"))
@@ -198,6 +256,10 @@ def _(wb):
         .when(pick == 4, F.date_format(day, "yyyyMMdd"))
         .when(pick == 5, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 23:59:59")))
         .when(pick == 6, F.lit("soon"))
+        .when(pick == 8, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" garbage")))
+        .when(pick == 9, F.date_format(day, "MM/dd/yy"))
+        .when(pick == 10, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:30 PM")))
+        .when(pick == 11, F.concat(F.date_format(day, "yyyyMMdd"), F.lit(" xyz")))
     )
     return wb.source("orders").select("o_orderkey", text.alias("raw_text"), parse_date(text).alias("parsed"))
 
@@ -205,11 +267,13 @@ def _(wb):
 @query("stg_parse_timestamp")
 def _(wb):
     moment = F.col("ts").cast("string")
-    pick = F.col("event_id") % 4
+    pick = F.col("event_id") % 6
     text = (
         F.when(pick == 0, moment)
         .when(pick == 1, F.regexp_replace(F.substring(moment, 1, 19), " ", "T"))
         .when(pick == 2, F.substring(moment, 1, 10))
+        .when(pick == 3, F.date_format("ts", "yyyy-MM-dd hh:mm a"))
+        .when(pick == 4, F.concat(F.substring(moment, 1, 19), F.lit(" junk")))
         .otherwise(F.concat(F.lit("at "), moment))
     )
     return wb.source("events").select("event_id", text.alias("raw_text"), parse_timestamp(text).alias("parsed"))
@@ -306,7 +370,29 @@ def _(wb):
 
 @query("dim_duplicate_guard")
 def _(wb):
-    return dimensions.duplicate_ids(wb["stg_transactions"], "transaction_id")
+    """Dimension batches in which ids that end in 3 come again, merchants under another name."""
+    parts = []
+    for dim, spec in DIMENSIONS.items():
+        key = spec.natural_key
+        members = dimensions.CLEANERS[dim](wb[f"stg_{spec.source}"], RUN_DATE)
+        again = members.filter(F.col(key).endswith("3"))
+        if dim == "dim_merchant":
+            again = again.withColumn("merchant_name", F.concat("merchant_name", F.lit(" again")))
+        batch = members.unionByName(again)
+        counted = batch.agg(F.count("*").alias("batch_rows"))
+        kept = dimensions.one_per_id(batch, key, "quarantine").agg(F.count("*")).scalar()
+        rejected = dimensions.rejected_members(batch, key).agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
+        ids = dimensions.duplicate_ids(batch, key).agg(F.count("*")).scalar()
+        parts.append(
+            counted.select(
+                F.lit(dim).alias("dimension"),
+                "batch_rows",
+                kept.alias("kept_rows"),
+                rejected.alias("rejected_rows"),
+                ids.alias("repeated_ids"),
+            )
+        )
+    return quality.union_all(parts)
 
 
 @query("dim_surrogate_key")
@@ -415,7 +501,7 @@ def _(wb):
 def _(wb):
     rows = facts.first_transactions(facts.valid_transactions(wb["stg_transactions"]))
     merchants = wb["dim_merchant"].select("merchant_id", "merchant_name", "city")
-    return spread_lookup(rows, merchants, "merchant_id", "transaction_id", wb["stg_transactions"], hot_keys=16)
+    return spread_lookup(rows, merchants, "merchant_id", "transaction_id", wb["stg_transactions"], hot_share=1 / 64)
 
 
 @query("fact_branch_unknown")
@@ -432,8 +518,10 @@ def _(wb):
 @query("fact_date_lookup")
 def _(wb):
     short = dimensions.build_dim_date(wb.spark, CALENDAR[0], date(1999, 12, 31))
-    outside = facts.outside_calendar(wb["fact_transactions"], short, "date_key")
-    return outside.groupBy("date_key").agg(F.count("*").alias("rows"))
+    fact = wb["fact_transactions"]
+    kept = facts.inside_calendar(fact, short, "date_key", "quarantine").withColumn("part", F.lit("kept"))
+    rejected = facts.outside_calendar(fact, short, "date_key").withColumn("part", F.lit("rejected"))
+    return kept.unionByName(rejected).groupBy("part", "date_key").agg(F.count("*").alias("rows"))
 
 
 @query("fact_tx_build")
@@ -510,9 +598,26 @@ def _(wb):
     return wb.mart("daily_branch_performance").drop("branch_key")
 
 
+@query("mart_daily_branch_default")
+def _(wb):
+    mart = marts.daily_branch_performance(wb["dim_date"], wb["dim_branch"], wb["fact_transactions"])
+    return mart.drop("branch_key")
+
+
 @query("mart_daily_branch_by_branch")
 def _(wb):
-    return wb.build("daily_branch_by_branch").drop("branch_key")
+    """Transactions handed to branches by their day of month; the 25th to none that exists."""
+    number = F.dayofmonth("transaction_date") % 26
+    branch_id = F.concat(F.lit("B"), F.lpad(number.cast("string"), 3, "0"))
+    fact = lookup(
+        wb["fact_transactions"].drop("branch_key").withColumn("branch_id", branch_id),
+        wb["dim_branch"].select("branch_id", "branch_key"),
+        "branch_id",
+        "transaction_id",
+    )
+    unknown = facts.unknown_key(wb.dims(), "dim_branch")
+    fact = fact.withColumn("branch_key", F.coalesce("branch_key", unknown))
+    return marts.daily_branch_by_branch(wb["dim_date"], wb["dim_branch"], fact).drop("branch_key")
 
 
 @query("mart_merchant")
@@ -581,7 +686,17 @@ def _(wb):
 @query("prof_schema_sample")
 def _(wb):
     rows = profiling.schema_sample(wb.spark, wb.plain_staging())
-    return rows.select("table_name", "column_count", "column_names", F.size("sample_rows").alias("sample_size"))
+    parts = []
+    for table, columns in STAGING.items():
+        own = rows.filter(F.col("table_name") == table)
+        shown = [
+            F.array_join(F.transform("sample_rows", lambda row: F.get_json_object(row, f"$.{c}")), ",", "~")  # noqa: B023
+            for c in (columns[0].name, columns[1].name)
+        ]
+        parts.append(
+            own.select("table_name", "column_count", "column_names", shown[0].alias("sample_ids"), shown[1].alias("sample_next"))
+        )
+    return quality.union_all(parts)
 
 
 @query("prof_key_distinct")
@@ -601,7 +716,7 @@ def _(wb):
 
 @query("prof_column_presence")
 def _(wb):
-    return profiling.column_presence(wb.spark, wb.plain_staging(), names=tuple(STAGING))
+    return profiling.column_presence(wb.plain_staging(), names=tuple(STAGING))
 
 
 # --- dashboard ---------------------------------------------------------------
@@ -763,7 +878,7 @@ def _(wb):
 @query("audit_alert_rows")
 def _(wb):
     _, alerts = pipeline_run(wb)
-    return alerts.select("alert_type", "priority", "stage", "subject")
+    return alerts.select("alert_type", "priority", "stage", "subject", "message")
 
 
 @query("audit_log_classify")
@@ -787,7 +902,15 @@ def _(wb):
 
 @query("stream_fact_load")
 def _(wb):
-    base, by_account, dims = raw_base(wb), wb["account_keys"], wb.dims()
+    """Transactions that land on one day and, a third of them, again on the next."""
+    by_account, dims = wb["account_keys"], wb.dims()
+    rows = wb.stored("first_copies", lambda: facts.first_transactions(facts.valid_transactions(wb["stg_transactions"])))
+
+    def land(folder: str) -> None:
+        raw.land(rows, folder, "transactions", RUN_DATE)
+        raw.land(rows.filter("transaction_id like '%-1'"), folder, "transactions", RUN_DATE + timedelta(1))
+
+    base = wb.once("raw_stream", land)
 
     def build(batch: DataFrame) -> DataFrame:
         return facts.build_transactions(batch, by_account, dims)
@@ -797,5 +920,4 @@ def _(wb):
         load_available(stream, build, f"{folder}/fact", f"{folder}/checkpoint").awaitTermination()
 
     folder = wb.once("stream", run)
-    rows = wb.spark.read.parquet(f"{folder}/fact")
-    return transaction_rows(rows, wb).select("transaction_id", "account_id", "customer_id", "card_id", "branch_id")
+    return transaction_rows(wb.spark.read.parquet(f"{folder}/fact"), wb)

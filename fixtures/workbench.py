@@ -120,10 +120,6 @@ class Workbench:
             return load_keys(self.transactions(), "transaction_key")
         if name == "fact_loans":
             return load_keys(self.loans(), "loan_key")
-        if name == "daily_branch_by_branch":
-            return marts.daily_branch_by_branch(
-                self["dim_date"], self["dim_branch"], self["fact_transactions"], BRANCH_LIMIT
-            )
         return self.mart(name)
 
     def transactions(self, stg: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,9 @@ RUN_SCHEMA = T.StructType(
         T.StructField("started_at", T.TimestampNTZType()),
         T.StructField("duration_seconds", T.DoubleType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("rejected_rows", T.LongType()),
         T.StructField("error", T.StringType()),
+        T.StructField("stack_trace", T.StringType()),
     ]
 )
 
@@ -42,6 +44,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("ingest_date", T.DateType()),
         T.StructField("total_tests", T.LongType()),
         T.StructField("failed_tests", T.ArrayType(_FAILED_TEST)),
+        T.StructField("stack_trace", T.StringType()),
     ]
 )
 
@@ -83,14 +86,19 @@ def events_from_run(runs: DataFrame, report: DataFrame, ingest_date: date) -> Da
         F.sum(F.when(F.col("stage") == "staging", F.col("rows"))).alias("records_loaded"),
         F.min_by(F.col("stage"), F.when(F.col("status") == "FAILED", F.col("started_at"))).alias("failed_stage"),
         F.min_by(F.col("error"), F.when(F.col("status") == "FAILED", F.col("started_at"))).alias("failed_error"),
+        F.min_by(F.col("stack_trace"), F.when(F.col("status") == "FAILED", F.col("started_at"))).alias("failed_trace"),
     )
     both = stages.withColumn("total_tests", total_tests).withColumn("failed_tests", failed_tests)
     none = F.lit(None)
     common = ["duration_seconds", "records_loaded", F.lit(ingest_date).alias("ingest_date"), "total_tests", "failed_tests"]
 
-    def events(kind: str, when, stage, error) -> DataFrame:
+    def events(kind: str, when, stage, error, trace=none) -> DataFrame:
         return both.filter(when).select(
-            F.lit(kind).alias("alert_type"), stage.cast("string").alias("stage"), error.cast("string").alias("error"), *common
+            F.lit(kind).alias("alert_type"),
+            stage.cast("string").alias("stage"),
+            error.cast("string").alias("error"),
+            *common,
+            trace.cast("string").alias("stack_trace"),
         )
 
     bad_suite = F.size("failed_tests") > 0
@@ -98,12 +106,12 @@ def events_from_run(runs: DataFrame, report: DataFrame, ingest_date: date) -> Da
     return (
         events("SUCCESS", ~bad_suite & ~bad_stage, none, none)
         .unionByName(events("DATA_QUALITY_ALERT", bad_suite, F.lit("Data Quality Suite"), none))
-        .unionByName(events("FAILURE", bad_stage, F.col("failed_stage"), F.col("failed_error")))
+        .unionByName(events("FAILURE", bad_stage, F.col("failed_stage"), F.col("failed_error"), F.col("failed_trace")))
     )
 
 
 def alert_rows(events: DataFrame) -> DataFrame:
-    """Priority, cut subject and message of each event (see ``EVENT_SCHEMA``)."""
+    """Priority, cut subject and message of each event (see ``EVENT_SCHEMA``), and a failure's stack trace."""
     kind = F.upper(F.coalesce("alert_type", F.lit("FAILURE")))
     failed = F.coalesce("failed_tests", F.array())
     n_failed = F.size(failed)
@@ -151,6 +159,7 @@ def alert_rows(events: DataFrame) -> DataFrame:
         stage.alias("stage"),
         F.substring(subject, 1, SUBJECT_LENGTH).alias("subject"),
         message.alias("message"),
+        F.when(~is_ok & ~is_quality, F.col("stack_trace")).alias("stack_trace"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,11 +135,24 @@ def duplicate_ids(members: DataFrame, id_col: str) -> DataFrame:
     return members.groupBy(id_col).count().filter("count > 1")
 
 
+def rejected_members(members: DataFrame, id_col: str) -> DataFrame:
+    """The rows :func:`one_per_id` does not keep, equal ones as one row with their number as ``copies``.
+
+    Equal rows collapse before the shuffle. Kept rows and copies add up to the batch.
+    """
+    rest = F.struct(*[c for c in members.columns if c != id_col])
+    rows = members.groupBy(*members.columns).agg(F.count("*").alias("copies"))
+    kept = rows.groupBy(id_col).agg(F.min(rest).alias("_kept"), F.sum("copies").alias("_n")).filter("_n > 1")
+    left = rows.join(kept, id_col).withColumn("copies", F.col("copies") - rest.eqNullSafe(F.col("_kept")).cast("int"))
+    return left.filter("copies > 0").select(*members.columns, "copies")
+
+
 def one_per_id(members: DataFrame, id_col: str, on_duplicate: str = "raise", spare: DataFrame | None = None) -> DataFrame:
     """One row per natural key.
 
-    ``raise`` fails the job on a repeated key, ``keep_first`` keeps the smallest
-    row in column order. Either way a repeated key collapses before the shuffle.
+    ``raise`` fails the job on a repeated key; ``keep_first`` and ``quarantine``
+    keep the smallest row in column order (:func:`rejected_members` has the
+    others). A repeated key collapses before the shuffle.
     ``spare`` rows stand in for ids the members lack (column ``_spare`` tells).
     """
     rest = [c for c in members.columns if c != id_col]
@@ -151,7 +165,7 @@ def one_per_id(members: DataFrame, id_col: str, on_duplicate: str = "raise", spa
     if on_duplicate == "raise":
         message = F.concat(F.lit(f"duplicate {id_col} in one batch: "), F.col(id_col))
         kept_id = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(id_col)).alias(id_col)
-    elif on_duplicate == "keep_first":
+    elif on_duplicate in ("keep_first", "quarantine"):
         kept_id = F.col(id_col)
     else:
         raise ValueError(f"on_duplicate: {on_duplicate!r}")
@@ -173,12 +187,15 @@ def upsert_dimension(
     batch: DataFrame,
     existing: DataFrame | None = None,
     on_duplicate: str = "raise",
+    store: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Type-1 upsert of cleaned members into a dimension, UNKNOWN row included.
 
     Known members keep their surrogate key and their insert-only columns; new
     members are numbered after the highest existing key. A cleaned member whose
     id is UNKNOWN itself overwrites the stand-in row, as an upsert would.
+    ``store`` may write down the numbers of new members (few, in an incremental
+    batch), which the one outer join of old and new rows then looks up.
     """
     spec = DIMENSIONS[dim]
     nk, sk = spec.natural_key, spec.surrogate_key
@@ -186,18 +203,19 @@ def upsert_dimension(
     if existing is None:
         return dense_keys(new.drop("_spare"), nk, sk)
 
+    unseen = new.select(nk).join(existing.select(nk), nk, "left_anti")
+    numbers = store(dense_keys(unseen, nk, sk, after=max_key(existing, sk))).select(nk, F.col(sk).alias("_number"))
     old = existing.select(nk, sk, F.struct(*spec.attributes).alias("_old"))
     fresh = new.select(nk, F.struct(*spec.attributes).alias("_new"), "_spare")
-    both = old.join(fresh, nk, "full_outer")
+    both = old.join(fresh, nk, "full_outer").join(numbers, nk, "left")
     update = F.col("_new").isNotNull() & ~F.col("_spare")
 
     def merged(column: str) -> Column:
         from_new = F.col("_old").isNull() if column in spec.insert_only else F.col("_old").isNull() | update
         return F.when(from_new, F.col(f"_new.{column}")).otherwise(F.col(f"_old.{column}")).alias(column)
 
-    rows = both.select(sk, nk, *[merged(c) for c in spec.attributes]).select(sk, *batch.columns)
-    added = dense_keys(rows.filter(F.col(sk).isNull()).drop(sk), nk, sk, after=max_key(existing, sk))
-    return rows.filter(F.col(sk).isNotNull()).unionByName(added)
+    key = F.coalesce(sk, "_number").alias(sk)
+    return both.select(key, nk, *[merged(c) for c in spec.attributes]).select(sk, *batch.columns)
 
 
 def build_dimension(
@@ -206,8 +224,9 @@ def build_dimension(
     run_date: date,
     existing: DataFrame | None = None,
     on_duplicate: str = "raise",
+    store: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    return upsert_dimension(dim, CLEANERS[dim](stg, run_date), existing, on_duplicate)
+    return upsert_dimension(dim, CLEANERS[dim](stg, run_date), existing, on_duplicate, store)
 
 
 def calendar(days: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import date_key
-from ledgermill.operators.lookups import BROADCAST_ROWS, absent_from, lookup
+from ledgermill.operators.lookups import BROADCAST_BYTES, absent_from, lookup
 from ledgermill.schemas import DIMENSIONS, UNKNOWN_ID
 
 TRANSACTION_COLUMNS = (
@@ -93,7 +93,7 @@ def account_keys(
     dim_account: DataFrame,
     dim_card: DataFrame,
     owners: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Everything an account id resolves to: customer, account and card keys.
 
@@ -109,7 +109,7 @@ def account_keys(
         )
     known = dim_customer.select("customer_id", "customer_key")
     customers = (
-        lookup(links, known, "customer_id", "account_id", broadcast_rows=broadcast_rows)
+        lookup(links, known, "customer_id", "account_id", broadcast_bytes=broadcast_bytes)
         .filter("customer_key is not null")
         .select("account_id", "customer_key")
     )
@@ -140,11 +140,14 @@ def outside_calendar(keyed: DataFrame, dim_date: DataFrame, key: str) -> DataFra
 
 
 def inside_calendar(keyed: DataFrame, dim_date: DataFrame, key: str, on_missing: str = "raise") -> DataFrame:
-    """Hold date keys to the calendar: fail the batch, or drop the rows for quarantine.
+    """Hold date keys to the calendar: fail the batch, or keep what :func:`outside_calendar` does not set aside.
 
-    The calendar has one row per day, which bounds the broadcast.
+    The calendar has one row per day, which bounds the broadcast. ``keep``
+    leaves the rows as they are, for a caller that divides them itself.
     """
     days = F.broadcast(dim_date.select(F.col("date_key").alias(key), F.lit(True).alias("_known")))
+    if on_missing == "keep":
+        return keyed
     if on_missing == "quarantine":
         return keyed.join(days.drop("_known"), key, "left_semi").select(*keyed.columns)
     if on_missing != "raise":
@@ -159,16 +162,16 @@ def build_transactions(
     keys_by_account: DataFrame,
     dims: dict[str, DataFrame],
     on_missing_date: str = "raise",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Enriched transactions, one row per id; lookups that find nothing give the UNKNOWN key.
 
     ``keys_by_account`` is the stored result of :func:`account_keys`.
     """
     rows = first_transactions(valid_transactions(stg_transactions))
-    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_rows)
+    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_bytes)
     merchants = dims["dim_merchant"].select("merchant_id", "merchant_key")
-    rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_rows)
+    rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_bytes)
     keyed = rows.select(
         "transaction_id",
         F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),
@@ -187,11 +190,11 @@ def build_loans(
     stg_loans: DataFrame,
     dims: dict[str, DataFrame],
     on_missing_date: str = "raise",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     rows = first_loans(valid_loans(stg_loans))
     customers = dims["dim_customer"].select("customer_id", "customer_key")
-    rows = lookup(rows, customers, "customer_id", "loan_id", stg_loans, broadcast_rows)
+    rows = lookup(rows, customers, "customer_id", "loan_id", stg_loans, broadcast_bytes)
     keyed = rows.select(
         "loan_id",
         F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),
@@ -204,6 +207,13 @@ def build_loans(
     return inside_calendar(keyed, dims["dim_date"], "start_date_key", on_missing_date)
 
 
+def one_of_each(batch: DataFrame, id_col: str) -> DataFrame:
+    """The smallest row of each id, copies collapsed before the shuffle."""
+    rest = [c for c in batch.columns if c != id_col]
+    one = batch.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row"))
+    return one.select(id_col, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*batch.columns)
+
+
 def insert_if_absent(batch: DataFrame, existing: DataFrame | None, id_col: str) -> DataFrame:
-    """The rows of a deduplicated batch that a load adds to the stored fact."""
+    """The rows of a batch with one row per id that a load adds to the stored fact."""
     return batch if existing is None else absent_from(batch, existing, id_col)

@@ -67,8 +67,10 @@ def generate_batch(
         numbered = positions(dims[name], spec.natural_key, spec.surrogate_key, members)
         batch = batch.withColumn("_at", i % cycle).join(F.broadcast(numbered), "_at", "left").drop("_at")
     moment = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
+    # at least six digits; lpad would cut longer numbers
+    number = F.when(i < 1_000_000, F.lpad(i.cast("string"), 6, "0")).otherwise(i.cast("string"))
     return batch.select(
-        F.concat(F.lit(DEMO_PREFIX), F.lpad(i.cast("string"), 6, "0")).alias("transaction_id"),
+        F.concat(F.lit(DEMO_PREFIX), number).alias("transaction_id"),
         "customer_key",
         "account_key",
         "card_key",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY_BUCKETS = 1024
+BUCKET_ROWS = 50_000
 
 
 def dense_keys(
@@ -13,16 +13,17 @@ def dense_keys(
     id_col: str,
     key_col: str,
     after: Column | int = 0,
-    buckets: int = KEY_BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Number unique members ``after + 1, after + 2, ...`` without gaps.
 
     Members are spread over hash buckets of their id; a bucket's numbers start
-    where the buckets before it end. Ids are unique, so buckets are even, each
-    is sorted on its own, and only one row per bucket (at most ``buckets``)
-    meets in one task. The result depends on the ids alone, so a task that is
+    where the buckets before it end. There are as many as keep a bucket near
+    ``bucket_rows`` members; ids are unique, so buckets are even, each is sorted
+    on its own, and only one row per bucket meets in one task. The result depends on the ids alone, so a task that is
     run again after a lost executor gives the same keys.
     """
+    buckets = max(1, -(-members.count() // bucket_rows))
     bucket = F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
     placed = members.withColumn("_bucket", bucket)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-HOT_KEYS = 256
-SPREAD = 512
+BROADCAST_BYTES = 64 << 20
+HOT_SHARE = 1 / 1024
 COUNTED_SHARE = 0.05
 
 
-def frequent_keys(rows: DataFrame, key: str, limit: int = HOT_KEYS, share: float = 1.0) -> list:
-    """The ``limit`` most frequent non-null keys, counted on a ``share`` of the rows."""
+def frequent_keys(rows: DataFrame, key: str, hot_share: float = HOT_SHARE, share: float = 1.0) -> list:
+    """Non-null keys that hold at least ``hot_share`` of the rows, counted on a ``share`` of them.
+
+    There can be no more than ``1 / hot_share`` such keys, which bounds the list.
+    """
     counted = rows.select(key) if share >= 1 else rows.select(key).sample(share, seed=7)
-    top = counted.filter(F.col(key).isNotNull()).groupBy(key).count().orderBy(F.desc("count"), key).limit(limit)
-    return [r[0] for r in top.collect()]
+    per_key = counted.groupBy(key).count()
+    least = per_key.agg(F.sum("count") * F.lit(float(hot_share)))
+    top = per_key.filter(F.col(key).isNotNull() & (F.col("count") > 1) & (F.col("count") >= least.scalar()))
+    return [r[0] for r in top.orderBy(F.desc("count"), key).select(key).collect()]
 
 
 def spread_lookup(
@@ -24,17 +28,16 @@ def spread_lookup(
     key: str,
     spread_by: str,
     seen: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
-    spread: int = SPREAD,
+    hot_share: float = HOT_SHARE,
     share: float = COUNTED_SHARE,
 ) -> DataFrame:
     """Left join to a large table with unique keys, without piling hot keys on one task.
 
-    The most frequent keys (at most ``hot_keys``), whether ``table`` holds them or
-    not, are resolved by a broadcast of as many rows. Their rows go through the
-    shuffle join under a salt that matches nothing, so they are spread evenly; all
-    others meet their match under salt 0. Null keys match nothing and are spread
-    as well.
+    Every key that holds a ``hot_share`` of the rows, whether ``table`` holds it or
+    not, is resolved by a broadcast of as many rows. Their rows go through the
+    shuffle join under their own hash as a salt that matches nothing, so they are
+    spread over all tasks, however many there are; all others meet their match
+    under salt 0. Null keys match nothing and are spread as well.
 
     ``seen`` may be a cheaper frame to count frequencies on, and ``share`` the part
     of it that is counted. Both only steer the spreading: every key is joined
@@ -42,16 +45,14 @@ def spread_lookup(
     join is planned, so a task that is run again sees the same ones.
     """
     values = [c for c in table.columns if c != key]
-    keys = frequent_keys(rows if seen is None else seen, key, hot_keys, share)
+    keys = frequent_keys(rows if seen is None else seen, key, hot_share, share)
     is_hot = F.col(key).isin(keys)
-    salt = F.when(
-        F.col(key).isNull() | is_hot,
-        F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int") + 1,
-    ).otherwise(F.lit(0))
+    # an odd hash is never 0
+    salt = F.when(F.col(key).isNull() | is_hot, F.xxhash64(spread_by).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
     hot = table.filter(is_hot).select(key, F.struct(*values).alias("_hot_values"))
     marked = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
     # a literal 0 would be folded into a plain condition and drop out of the shuffle key
-    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
     cold = table.select(key, zero.alias("_salt"), F.struct(*values).alias("_cold_values"))
     return marked.join(cold, [key, "_salt"], "left").select(
         *rows.columns,
@@ -59,16 +60,24 @@ def spread_lookup(
     )
 
 
+def stored_bytes(table: DataFrame) -> int:
+    """What the rows of a table take in memory, about: 16 bytes a row, 8 a column, and the length of texts."""
+    texts = [f.name for f in table.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    fixed = F.lit(16 + 8 * len(table.columns))
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed)
+    return table.agg(F.sum(size)).first()[0] or 0
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,
     key: str,
     spread_by: str,
     seen: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join to a stored table with unique keys; broadcast it only if it is counted small."""
-    if table.count() <= broadcast_rows:
+    """Left join to a stored table with unique keys; broadcast it only if it is measured small."""
+    if stored_bytes(table) <= broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
     return spread_lookup(rows, table, key, spread_by, seen)
 

@@ -40,6 +40,7 @@ def risk_tier(score: Column) -> Column:
 
 
 def customer_segment(balance: Column, spend: Column) -> Column:
+    # The bounds of the segments.
     return (
         F.when((balance >= 100000) | (spend >= 50000), "PLATINUM_VIP")
         .when((balance >= 30000) | (spend >= 15000), "GOLD_AFFLUENT")
@@ -165,19 +166,19 @@ def _branch_day_columns() -> list:
     ]
 
 
-def first_branches(dim_branch: DataFrame, limit: int = BRANCH_LIMIT, with_unknown: bool = False) -> DataFrame:
-    """The first ``limit`` branches by id; the UNKNOWN one only on request (beyond the limit)."""
-    known = dim_branch.filter(F.col("branch_id") != UNKNOWN_ID).orderBy("branch_id").limit(limit)
-    if with_unknown:
-        known = known.unionByName(dim_branch.filter(F.col("branch_id") == UNKNOWN_ID))
-    return known
+def first_branches(dim_branch: DataFrame, limit: int = BRANCH_LIMIT) -> DataFrame:
+    """The first ``limit`` real branches by id."""
+    return dim_branch.filter(F.col("branch_id") != UNKNOWN_ID).orderBy("branch_id").limit(limit)
 
 
 def _for_each_branch(days: DataFrame, branches: DataFrame) -> DataFrame:
-    """Each day once per branch; the branches are a list of known, small length."""
+    """Each day once per branch, as the marts define; branches are a dimension's few rows, worked out once.
+
+    The outer form spares a test of the list's size, which would work it out again.
+    """
     listed = branches.agg(F.collect_list(F.struct(*_BRANCH_COLUMNS))).scalar()
-    return days.withColumn("_branches", listed).select(
-        *days.columns, F.inline("_branches").alias(*_BRANCH_COLUMNS)
+    return days.select(*days.columns, F.explode_outer(listed).alias("_branch")).filter("_branch is not null").select(
+        *days.columns, "_branch.*"
     )
 
 
@@ -202,11 +203,10 @@ def daily_branch_by_branch(
     dim_date: DataFrame,
     dim_branch: DataFrame,
     fact_transactions: DataFrame,
-    limit: int = BRANCH_LIMIT,
     run_ts: datetime | None = None,
 ) -> DataFrame:
-    """Day by branch with each branch's own transactions, UNKNOWN branch included."""
-    grid = _for_each_branch(dim_date, first_branches(dim_branch, limit, with_unknown=True))
+    """Day by branch with each branch's own transactions: all branches, the UNKNOWN one included."""
+    grid = _for_each_branch(dim_date, dim_branch)
     own = _per_day(fact_transactions, "date_key", "branch_key")
     rows = grid.join(own, ["date_key", "branch_key"], "left")
     return _stamped(rows.select(*_branch_day_columns()), run_ts)

@@ -114,7 +114,20 @@ def children_stats(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_presence(
-    spark: SparkSession, tables: dict[str, DataFrame], column: str = "branch_id", names: tuple[str, ...] = BRANCH_CHECKED
+    tables: dict[str, DataFrame], column: str = "branch_id", names: tuple[str, ...] = BRANCH_CHECKED
 ) -> DataFrame:
-    rows = [(name, column, column in tables[name].columns) for name in names]
-    return spark.createDataFrame(rows, "table_name string, column_name string, present boolean")
+    """Whether each table has the column, and how many of its rows fill it."""
+
+    def one(name: str) -> DataFrame:
+        table = tables[name]
+        present = column in table.columns
+        filled = F.count(column) if present else F.lit(0).cast("bigint")
+        return table.agg(F.count("*").alias("rows"), F.max(F.lit(present)).alias("_any"), filled.alias("filled_rows")).select(
+            F.lit(name).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(present).alias("present"),
+            "rows",
+            "filled_rows",
+        )
+
+    return union_all([one(name) for name in names])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -296,20 +297,66 @@ def run_checks(tables: Tables, thresholds: dict[str, int] | None = None) -> Data
     )
 
 
+def run_parts(tables: Tables, store: Callable[[str, DataFrame], DataFrame], thresholds: dict[str, int] | None = None) -> DataFrame:
+    """The suite part by part: results of all parts, and a row of ``bad_count`` null for one that could not run.
+
+    ``store`` writes a part's results down under a name and returns them as
+    stored, so a part that throws is caught alone.
+    """
+    limits = thresholds or (MIN_ROWS_WAREHOUSE | MIN_ROWS_MARTS)
+    work: dict[str, Callable[[], list[DataFrame]]] = {
+        "min_rows_warehouse": lambda: [min_rows_warehouse(tables, {t: limits[t] for t in MIN_ROWS_WAREHOUSE})],
+        "min_rows_marts": lambda: [min_rows_marts(tables, {t: limits[t] for t in MIN_ROWS_MARTS})],
+        "pk_not_null": lambda: [pk_not_null(tables), pk_unique(tables)],
+        "fk_transactions": lambda: [fk_transactions(tables)],
+        "fk_loans": lambda: [fk_loans(tables)],
+        "amount_positive": lambda: [amount_positive(tables), loan_range(tables), fico_range(tables)],
+        "recon_c360": lambda: [recon_c360(tables), recon_merchant(tables), recon_credit_risk(tables)],
+    }
+    spark = next(iter(tables.values())).sparkSession
+    results = []
+    for first, checks in work.items():
+        try:
+            results.append(store(f"quality_{first}", union_all(checks())))
+        except Exception as failure:  # noqa: BLE001 - whatever a check throws is its part's result
+            reason = f"{type(failure).__name__}: {failure}"[:500]
+            results.append(
+                spark.range(1, numPartitions=1).select(
+                    F.lit(first).alias("check_name"),
+                    F.lit("*").alias("table_name"),
+                    F.lit("*").alias("column_name"),
+                    F.lit(None).cast("bigint").alias("bad_count"),
+                    F.lit(None).cast("boolean").alias("passed"),
+                    F.lit(reason).alias("detail"),
+                )
+            )
+    return union_all(results)
+
+
 def suite_report(results: DataFrame) -> DataFrame:
-    """One row per part of the suite: status, failed checks and the first reason."""
+    """One row per part of the suite: status, failed checks and the first reason.
+
+    A part is ERROR if a check of it could not run (``passed`` is null), else
+    FAILED if one did not pass.
+    """
     part = F.create_map(*[F.lit(x) for name, checks in SUITE for c in checks for x in (c, name)])
-    failed = ~F.col("passed")
+    failed, threw = ~F.col("passed"), F.col("passed").isNull()
     reason = F.concat_ws(" ", "check_name", F.concat_ws(".", "table_name", "column_name"), F.col("bad_count").cast("string"))
+    error = F.concat_ws(" ", "check_name", "detail")
     return (
         results.withColumn("part", part[F.col("check_name")])
         .groupBy("part")
         .agg(
             F.count("*").alias("checks"),
             F.count_if(failed).alias("failed_checks"),
-            F.min(F.when(failed, reason)).alias("reason"),
+            F.coalesce(F.min(F.when(threw, error)), F.min(F.when(failed, reason))).alias("reason"),
+            F.count_if(threw).alias("_threw"),
+        )
+        .withColumn(
+            "status",
+            F.when(F.col("_threw") > 0, "ERROR").when(F.col("failed_checks") == 0, "PASSED").otherwise("FAILED"),
         )
-        .withColumn("status", F.when(F.col("failed_checks") == 0, "PASSED").otherwise("FAILED"))
+        .drop("_threw")
     )
 
 

@@ -12,12 +12,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators import audit, dimensions, facts, incremental, marts, quality
-from ledgermill.operators.keys import load_keys
-from ledgermill.operators.lookups import BROADCAST_ROWS
+from ledgermill.operators.keys import dense_keys, load_keys
+from ledgermill.operators.lookups import BROADCAST_BYTES
 from ledgermill.operators.staging import with_loaded_at
 from ledgermill.schemas import DIMENSIONS, FACT_NATURAL_KEYS, MIN_ROWS_MARTS, MIN_ROWS_WAREHOUSE, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
@@ -35,13 +36,15 @@ class Settings:
     calendar_start: date = date(2018, 1, 1)
     calendar_end: date = date(2030, 12, 31)
     mode: str = "refresh"  # or "upsert"
-    on_duplicate: str = "raise"  # or "keep_first"
+    on_duplicate: str = "raise"  # or "keep_first", "quarantine"
     on_missing_date: str = "raise"  # or "quarantine"
+    multiline: bool = False  # raw files may hold quoted line breaks
     keep_account_links: bool = False
     branch_limit: int = marts.BRANCH_LIMIT
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
     thresholds: dict[str, int] = field(default_factory=lambda: MIN_ROWS_WAREHOUSE | MIN_ROWS_MARTS)
     partition_facts: bool = True
+    fused_checks: bool = False
 
     @property
     def run_id(self) -> str:
@@ -62,8 +65,13 @@ def load_staging(layers: Layers, source: Callable[[str], DataFrame], settings: S
 
 
 def _load_dims(layers: Layers, stg: dict[str, DataFrame], old: dict[str, DataFrame], s: Settings):
+    def stored(name: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: layers.write(DWH, f"{name}_new_keys", rows, s.run_id)
+
     rows = {
-        name: dimensions.build_dimension(name, stg[f"stg_{spec.source}"], s.run_date, old.get(name), s.on_duplicate)
+        name: dimensions.build_dimension(
+            name, stg[f"stg_{spec.source}"], s.run_date, old.get(name), s.on_duplicate, stored(name)
+        )
         for name, spec in DIMENSIONS.items()
     }
     if "dim_date" not in old:
@@ -72,6 +80,30 @@ def _load_dims(layers: Layers, stg: dict[str, DataFrame], old: dict[str, DataFra
     return {"dim_date": old.get("dim_date")} | dims
 
 
+def rejected_members(layers: Layers, stg: dict[str, DataFrame], s: Settings) -> list[str]:
+    """Write down the rows that lost their natural key to another one; returns the tables written."""
+    if s.on_duplicate != "quarantine":
+        return []
+    rows = {
+        f"{name}_rejected": dimensions.rejected_members(
+            dimensions.CLEANERS[name](stg[f"stg_{spec.source}"], s.run_date), spec.natural_key
+        )
+        for name, spec in DIMENSIONS.items()
+    }
+    layers.write_all(DWH, rows, s.run_id)
+    return list(rows)
+
+
+def divided(layers: Layers, fact: str, keyed: DataFrame, dim_date: DataFrame, s: Settings) -> tuple[DataFrame, list[str]]:
+    """The rows of a fact inside the calendar; the others are written as ``<fact>_rejected``."""
+    if s.on_missing_date != "quarantine":
+        return keyed, []
+    key = "date_key" if fact == "fact_transactions" else "start_date_key"
+    arrived = layers.write(DWH, f"{fact}_keyed", keyed, s.run_id)
+    layers.write(DWH, f"{fact}_rejected", facts.outside_calendar(arrived, dim_date, key), s.run_id)
+    return facts.inside_calendar(arrived, dim_date, key, "quarantine"), [f"{fact}_rejected"]
+
+
 def _month(fact: str, rows: DataFrame) -> DataFrame:
     return rows.withColumn("month_key", F.date_format(F.col(FACT_DATES[fact]).cast("date"), "yyyyMM").cast("int"))
 
@@ -82,14 +114,17 @@ def write_fact(
     """Write a fact: whole for a refresh, or only the ids not stored yet.
 
     An incremental batch is written down before it is compared with the stored
-    fact, so its size is known and a small one is sent to the stored files.
+    fact, so its size is known and a small one is sent to the stored files. The
+    new rows go to a folder of the run; publishing it adds them to the fact.
     """
     key, by = PRIMARY_KEYS[fact], "month_key" if s.partition_facts else None
 
     def finish(rows: DataFrame, after: int) -> DataFrame:
-        # keys come after the last shuffle, so the task that writes a row numbers it
+        # keys come after the last shuffle, so the task that writes a row numbers it; a batch is numbered
+        # without gaps, as it is small and there are many of them
         laid_out = _month(fact, rows).hint("rebalance", by) if by else rows
-        return with_loaded_at(load_keys(laid_out, key, after), s.run_ts)
+        numbered = load_keys(laid_out, key, after) if existing is None else dense_keys(laid_out, FACT_NATURAL_KEYS[fact], key, after)
+        return with_loaded_at(numbered, s.run_ts)
 
     if existing is None:
         layers.write(DWH, fact, finish(batch, 0), s.run_id, by)
@@ -97,7 +132,7 @@ def write_fact(
     arrived = layers.write(DWH, f"{fact}_batch", batch, s.run_id)
     fresh = facts.insert_if_absent(arrived, existing, FACT_NATURAL_KEYS[fact])
     last = existing.agg(F.max(key)).first()[0]
-    layers.append(DWH, fact, finish(fresh, last or 0), by)
+    layers.write(DWH, fact, finish(fresh, last or 0), s.run_id, by)
 
 
 def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -105,14 +140,18 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
 
     ``refresh`` rebuilds five dimensions and two facts next to the old ones and
     switches over when all are written; the calendar is kept. ``upsert`` merges
-    dimensions and adds facts whose ids are new.
+    dimensions and adds facts whose ids are new, and switches over in one step
+    as well; it needs a published warehouse. Rows that quarantine sets aside are
+    published as ``<table>_rejected`` and counted in the report.
     """
     s = settings
     if s.mode not in ("refresh", "upsert"):
         raise ValueError(f"mode: {s.mode!r}")
     stg = stg or layers.tables(STG)
     stored = layers.tables(DWH)
-    upsert = s.mode == "upsert" and "fact_transactions" in stored
+    upsert = s.mode == "upsert"
+    if upsert and "fact_transactions" not in stored:
+        raise ValueError(f"no warehouse is published under {layers.root}: load it with mode='refresh' first")
     old = stored if upsert else {k: v for k, v in stored.items() if k == "dim_date"}
     dims = _load_dims(layers, stg, old, s)
     links = None
@@ -134,26 +173,31 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
             dims["dim_account"],
             dims["dim_card"],
             links,
-            s.broadcast_rows,
+            s.broadcast_bytes,
         ),
         s.run_id,
     )
-    transactions = facts.build_transactions(
-        stg["stg_transactions"], by_account, dims, s.on_missing_date, s.broadcast_rows
-    )
-    loans = facts.build_loans(stg["stg_loans"], dims, s.on_missing_date, s.broadcast_rows)
+    on_missing = "keep" if s.on_missing_date == "quarantine" else s.on_missing_date
+    built = {
+        "fact_transactions": facts.build_transactions(
+            stg["stg_transactions"], by_account, dims, on_missing, s.broadcast_bytes
+        ),
+        "fact_loans": facts.build_loans(stg["stg_loans"], dims, on_missing, s.broadcast_bytes),
+    }
     names = [*DIMENSIONS, *(["account_links"] if s.keep_account_links else []), "account_keys"]
     if "dim_date" not in old:
         names.append("dim_date")
+    rejected = rejected_members(layers, stg, s)
+    for fact, rows in built.items():
+        kept, aside = divided(layers, fact, rows, dims["dim_date"], s)
+        write_fact(layers, fact, kept, s, stored[fact] if upsert else None)
+        rejected += aside
     if upsert:
-        layers.publish(DWH, s.run_id, names)
-        write_fact(layers, "fact_transactions", transactions, s, stored["fact_transactions"])
-        write_fact(layers, "fact_loans", loans, s, stored["fact_loans"])
+        layers.publish(DWH, s.run_id, [*names, *rejected], added=tuple(built))
     else:
-        write_fact(layers, "fact_transactions", transactions, s)
-        write_fact(layers, "fact_loans", loans, s)
-        layers.publish(DWH, s.run_id, [*names, "fact_transactions", "fact_loans"])
-    return audit.row_counts({t: layers.read(DWH, t) for t in PRIMARY_KEYS})
+        layers.publish(DWH, s.run_id, [*names, *rejected, *built])
+    counted = {t: layers.read(DWH, t) for t in (*PRIMARY_KEYS, *rejected)}
+    return audit.row_counts(counted)
 
 
 def mart_frames(
@@ -191,9 +235,17 @@ def build_marts(
 
 
 def run_quality(layers: Layers, settings: Settings) -> DataFrame:
-    """Run the suite and keep its results; returns the seven-row report."""
+    """Run the suite and keep its results; returns the seven-row report.
+
+    Parts run one after the other, so that one that throws is reported as ERROR
+    and the others still run; ``fused_checks`` reads each table once instead.
+    """
     tables = layers.tables(DWH) | layers.tables(MART)
-    results = layers.write(AUDIT, "quality_results", quality.run_checks(tables, settings.thresholds), settings.run_id)
+    if settings.fused_checks:
+        found = quality.run_checks(tables, settings.thresholds)
+    else:
+        found = quality.run_parts(tables, lambda name, rows: layers.write(AUDIT, name, rows, settings.run_id), settings.thresholds)
+    results = layers.write(AUDIT, "quality_results", found, settings.run_id)
     report = layers.write(AUDIT, "quality_report", quality.suite_report(results), settings.run_id)
     layers.publish(AUDIT, settings.run_id, ["quality_results", "quality_report"])
     return report
@@ -212,7 +264,9 @@ def run_pipeline(
 ) -> DataFrame:
     """Run all stages, record each, and return the run's alert rows.
 
-    A failed stage ends the run; its record and alert are written all the same.
+    A stage's record is written as RUNNING when it starts (``running_stages``)
+    and replaced by its outcome at the end. A failed stage ends the run; its
+    record and alert, with the stack trace, are written all the same.
     """
     s = settings or Settings()
     layers = Layers(spark, root)
@@ -225,16 +279,22 @@ def run_pipeline(
         record = {
             "run_id": s.run_id,
             "stage": name,
-            "status": "SUCCESS",
+            "status": "RUNNING",
             "started_at": datetime.now(timezone.utc).replace(tzinfo=None),
         }
+        audit.run_rows(spark, [record]).write.mode("append").json(f"{layers.root}/{AUDIT}/running/run={s.run_id}")
         try:
             out = work()
             if rows_column:
-                record["rows"] = out.agg(F.sum(rows_column)).first()[0]
+                set_aside = F.col("table_name").endswith("_rejected")
+                record["rows"], record["rejected_rows"] = out.agg(
+                    F.sum(F.when(~set_aside, F.col(rows_column))), F.sum(F.when(set_aside, F.col(rows_column)))
+                ).first()
+            record["status"] = "SUCCESS"
         except Exception as failure:
             record["status"] = "FAILED"
-            record["error"] = "".join(traceback.format_exception_only(failure)).strip()
+            record["error"] = f"{type(failure).__name__}: {failure}"
+            record["stack_trace"] = traceback.format_exc()
         record["duration_seconds"] = time.time() - started
         records.append(record)
         return record["status"] == "SUCCESS"
@@ -242,13 +302,14 @@ def run_pipeline(
     def staging() -> DataFrame:
         nonlocal day
         day = raw.resolve_date(spark, raw_base, ingest_date)
-        return load_staging(layers, lambda t: raw.read_typed(spark, raw_base, t, day), s)
+        return load_staging(layers, lambda t: raw.read_typed(spark, raw_base, t, day, s.multiline), s)
 
     def checks() -> DataFrame:
         nonlocal report
         report = run_quality(layers, s)
-        if not report.filter("status <> 'PASSED'").isEmpty():
-            raise QualityFailure("Data Quality Suite failed assertion checks.")
+        summary = quality.suite_summary(report).first()
+        if summary.failed_tests:
+            raise QualityFailure(f"{summary.failed_tests} of {summary.total_tests} parts of the quality suite did not pass")
         return report
 
     stages = (
@@ -274,6 +335,18 @@ def all_runs(layers: Layers) -> DataFrame:
     return layers.spark.read.parquet(f"{layers.root}/{AUDIT}/runs")
 
 
+def running_stages(layers: Layers) -> DataFrame:
+    """Stages that started and have no outcome yet, as after a driver that was lost."""
+    started = layers.spark.read.schema(audit.RUN_SCHEMA).json(f"{layers.root}/{AUDIT}/running/*")
+    try:
+        ended = all_runs(layers).select("run_id", "stage")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return started
+    return started.join(ended, ["run_id", "stage"], "left_anti")
+
+
 def add_demo_batch(layers: Layers, settings: Settings, rows: int = incremental.DEMO_ROWS) -> DataFrame:
     """Append the demonstration batch, rebuild the marts, and compare before and after."""
     dwh, mart = layers.tables(DWH), layers.tables(MART)
@@ -286,9 +359,10 @@ def add_demo_batch(layers: Layers, settings: Settings, rows: int = incremental.D
 
     before = snapshot(dwh | mart, "metrics_before")
     days = dimensions.missing_dates(dwh["dim_date"], incremental.demo_dates(layers.spark))
-    layers.append(DWH, "dim_date", layers.write(DWH, "dim_date_batch", days, settings.run_id))
-    batch = incremental.generate_batch(layers.spark, dwh, rows)
+    layers.write(DWH, "dim_date", days, settings.run_id)
+    batch = facts.one_of_each(incremental.generate_batch(layers.spark, dwh, rows), "transaction_id")
     write_fact(layers, "fact_transactions", batch, settings, dwh["fact_transactions"])
+    layers.publish(DWH, settings.run_id, [], added=("dim_date", "fact_transactions"))
     build_marts(layers, settings)
     after = snapshot(layers.tables(DWH) | layers.tables(MART), "metrics_after")
     return incremental.compare(before, after)

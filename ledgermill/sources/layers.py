@@ -10,52 +10,59 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SIDE_BY_SIDE = 4
-_RELEASE = "layer string, run_id string, table_name string, path string"
+_RELEASE = "layer string, run_id string, table_name string, paths array<string>"
 
 
 class Layers:
     """Tables under ``<root>/<layer>/<table>/<run>`` with a list of published runs.
 
-    A load writes every table of a layer to a new folder and publishes them at
-    the end in one step; until then readers keep the run before. Run ids must
-    sort in the order of the runs (a UTC timestamp does).
+    A load writes every table of a layer to a new folder of its run and
+    publishes them at the end by one small file, which names the folders that
+    make up each table: one for a table written whole, the earlier ones and a
+    new one for rows added. Until then readers keep the run before. A run's
+    table is written once: publishing it closes it. Run ids must sort in the
+    order of the runs (a UTC timestamp does). Folders are kept relative to the
+    root, so the whole tree may move.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._current: dict[str, dict[str, str]] = {}
-        self._schemas: dict[str, StructType] = {}
+        self._current: dict[str, dict[str, tuple[str, ...]]] = {}
+        self._schemas: dict[tuple[str, ...], StructType] = {}
 
     def path(self, layer: str, table: str, run_id: str) -> str:
-        return f"{self.root}/{layer}/{table}/run={run_id}"
+        return f"{layer}/{table}/run={run_id}"
 
     def write(
         self, layer: str, table: str, rows: DataFrame, run_id: str, partition_by: str | None = None
     ) -> DataFrame:
         """Write one table of a run (not yet published) and return it as stored."""
         target = self.path(layer, table, run_id)
+        if target in self._published(layer).get(table, ()):
+            raise ValueError(f"run {run_id} of {layer}.{table} is published")
         writer = rows.write.mode("overwrite")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
-        self._schemas[target] = rows.schema
-        return self._open(target)
-
-    def _open(self, path: str) -> DataFrame:
-        if path not in self._schemas:
-            self._schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(self._schemas[path]).parquet(path)
-
-    def append(self, layer: str, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
-        """Add rows to the published table."""
-        target = self._published(layer)[table]
-        writer = rows.write.mode("append")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
-
-    def publish(self, layer: str, run_id: str, tables: list[str]) -> None:
-        """Make a run's tables the current ones; tables not named keep their last run."""
-        paths = {t: self.path(layer, t, run_id) for t in tables}
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{target}")
+        self._schemas[(target,)] = rows.schema
+        return self._open((target,))
+
+    def _open(self, paths: tuple[str, ...]) -> DataFrame:
+        full = [f"{self.root}/{p}" for p in paths]
+        if paths not in self._schemas:
+            self._schemas[paths] = self.spark.read.parquet(full[0]).schema
+        return self.spark.read.schema(self._schemas[paths]).parquet(*full)
+
+    def publish(self, layer: str, run_id: str, tables: list[str], added: tuple[str, ...] = ()) -> None:
+        """Make a run's tables the current ones, all at once; tables not named keep their last run.
+
+        What a run wrote for a table in ``added`` joins the rows published before.
+        """
         known = self._published(layer)
-        entries = [F.struct(F.lit(t).alias("table_name"), F.lit(p).alias("path")) for t, p in paths.items()]
+        paths = {t: (self.path(layer, t, run_id),) for t in tables}
+        paths |= {t: (*known.get(t, ()), self.path(layer, t, run_id)) for t in added}
+        entries = [
+            F.struct(F.lit(t).alias("table_name"), F.array(*map(F.lit, p)).alias("paths")) for t, p in paths.items()
+        ]
         note = self.spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("x"))
         note.select(F.lit(layer).alias("layer"), F.lit(run_id).alias("run_id"), "x.*").write.mode("append").json(
             f"{self.root}/{layer}/_published/run={run_id}"
@@ -68,16 +75,21 @@ class Layers:
             jobs = {t: pool.submit(self.write, layer, t, rows, run_id) for t, rows in tables.items()}
         return {t: job.result() for t, job in jobs.items()}
 
-    def _listed(self, layer: str) -> dict[str, str]:
-        """table -> path of its newest published run (a few rows per run)."""
+    def _listed(self, layer: str) -> dict[str, tuple[str, ...]]:
+        """table -> folders of its newest published run (a few rows per run); nothing if no run is published.
+
+        Any other failure to read the list is an error: a load must not take it for an empty layer.
+        """
         try:
             runs = self.spark.read.schema(_RELEASE).json(f"{self.root}/{layer}/_published/*")
-            rows = runs.groupBy("table_name").agg({"path": "max"}).collect()
-        except AnalysisException:
+            newest = runs.groupBy("table_name").agg(F.max_by("paths", F.struct("run_id", F.size("paths"))))
+            return {r[0]: tuple(r[1]) for r in newest.collect()}
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return {}
-        return {r[0]: r[1] for r in rows}
 
-    def _published(self, layer: str) -> dict[str, str]:
+    def _published(self, layer: str) -> dict[str, tuple[str, ...]]:
         if layer not in self._current:
             self._current[layer] = self._listed(layer)
         return self._current[layer]

@@ -14,7 +14,15 @@ from pyspark.sql import types as T
 from ledgermill import schemas
 from ledgermill.operators.staging import clean_staging
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": False, "enforceSchema": False}
+# One set for batch and stream: headers must match the layout, and a record of another length fails the read.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "enforceSchema": False,
+    "mode": "FAILFAST",
+    "columnPruning": False,
+}
 
 RECORDS_PER_FILE = 1_000_000
 
@@ -32,12 +40,22 @@ MANIFEST_SCHEMA = T.StructType(
 
 
 def land(
-    rows: DataFrame, base: str, table: str, ingest_date: date | Column, records_per_file: int = RECORDS_PER_FILE
+    rows: DataFrame,
+    base: str,
+    table: str,
+    ingest_date: date | Column,
+    records_per_file: int = RECORDS_PER_FILE,
+    multiline: bool = False,
 ) -> None:
     """Write rows under the table's dated folder; landing a date again replaces only that date.
 
-    ``records_per_file`` bounds the files, so that each can be checksummed in one task.
+    ``records_per_file`` bounds the files, so that each can be checksummed in one
+    task. A text with a line break fails the write unless ``multiline`` says that
+    readers will look for such records.
     """
+    if not multiline:
+        texts = [f.name for f in rows.schema.fields if f.dataType == T.StringType()]
+        rows = rows.withColumns({c: _one_line(c) for c in texts})
     day = ingest_date if isinstance(ingest_date, Column) else F.lit(ingest_date)
     (
         rows.withColumn("ingest_date", day.cast("date"))
@@ -55,14 +73,24 @@ def land(
     )
 
 
+def _one_line(column: str) -> Column:
+    text = F.col(column)
+    broken = text.contains("\n") | text.contains("\r")
+    return F.when(broken, F.raise_error(F.lit(f"{column} holds a line break; land it with multiline=True"))).otherwise(text)
+
+
+def csv_options(multiline: bool = False) -> dict:
+    """``multiline`` allows quoted line breaks, at the price of unsplittable files."""
+    return _CSV | {"multiLine": multiline}
+
+
 def read_raw(spark: SparkSession, base: str, table: str, multiline: bool = False) -> DataFrame:
     """All dates of a raw table as text columns plus ``ingest_date``.
 
-    ``multiline`` allows quoted line breaks, at the price of unsplittable files.
+    A record with too many or too few fields, or a file with other headers, fails the read.
     """
     schema = schemas.raw_schema(table).add("ingest_date", T.DateType())
-    options = _CSV | {"multiLine": multiline}
-    return spark.read.schema(schema).options(**options).csv(f"{base}/{table}")
+    return spark.read.schema(schema).options(**csv_options(multiline)).csv(f"{base}/{table}")
 
 
 def landed_dates(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -136,7 +164,7 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV files anywhere below a folder: (table_name, file_name, path, file_size_bytes).
+    """CSV files anywhere below a folder: (table_name, file_name, path, file_size_bytes, file).
 
     File contents are not read. Files of zero bytes are left out, as by every
     Spark scan. No file at all is an error.
@@ -146,40 +174,55 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_extract("path", r"([^/]+)\z", 1).alias("file_name"),
         "path",
         F.col("length").alias("file_size_bytes"),
+        _file_path().alias("file"),
     )
     if found.isEmpty():
         raise FileNotFoundError(f"no CSV file below {folder}")
     return found
 
 
-def count_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Records per file, headers left out: (path, record_count). Files are split as usual."""
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
+def _file_path() -> Column:
+    """The scanned file as it is named, not as its URI spells it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def count_records(spark: SparkSession, folder: str, multiline: bool = False) -> DataFrame:
+    """CSV records per file, the header left out: (file, record_count).
+
+    ``multiline`` counts a record with quoted line breaks as one; files are not split then.
+    """
+    records = (
+        spark.read.schema("first string")
+        .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .text(folder)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .options(**(csv_options(multiline) | {"header": False, "enforceSchema": True, "mode": "PERMISSIVE"}))
+        .csv(folder)
+        .select(_file_path().alias("file"))
     )
-    return lines.groupBy("path").agg(F.greatest(F.count("*") - 1, F.lit(0).cast("bigint")).alias("record_count"))
+    return records.groupBy("file").agg((F.count("*") - 1).alias("record_count"))
 
 
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """SHA-256 per file. A file is one record here, so it must fit a task (2 GB at most)."""
-    return _files(spark, folder).select("path", F.sha2("content", 256).alias("checksum_sha256"))
+    return _files(spark, folder).select(_file_path().alias("file"), F.sha2("content", 256).alias("checksum_sha256"))
 
 
-def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True) -> DataFrame:
-    """One manifest row per landed file. Landed parts are far below the checksum's size limit."""
-    files = discover(spark, folder).join(count_records(spark, folder), "path", "left")
+def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True, multiline: bool = False) -> DataFrame:
+    """One manifest row per landed file. Landed parts are far below the checksum's size limit.
+
+    A file whose records were not counted fails the manifest.
+    """
+    files = discover(spark, folder).join(count_records(spark, folder, multiline), "file", "left")
     if with_checksum:
-        files = files.join(checksums(spark, folder), "path", "left")
+        files = files.join(checksums(spark, folder), "file", "left")
     else:
         files = files.withColumn("checksum_sha256", F.lit(None).cast("string"))
+    missed = F.raise_error(F.concat(F.lit("records not counted: "), F.col("file")))
     return files.select(
         "table_name",
         F.col("file_name").alias("source_file"),
         "path",
-        F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count"),
+        F.when(F.col("record_count").isNull(), missed.cast("bigint")).otherwise(F.col("record_count")).alias("record_count"),
         "file_size_bytes",
         "checksum_sha256",
         F.lit("SUCCESS").alias("status"),

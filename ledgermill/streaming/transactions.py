@@ -12,19 +12,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgermill import schemas
 from ledgermill.operators import facts
 from ledgermill.operators.staging import clean_staging
+from ledgermill.sources import raw
 
 
-def transaction_stream(spark: SparkSession, base: str, max_files: int = 1000) -> DataFrame:
-    """New files under ``<base>/transactions`` as typed staging rows."""
+def transaction_stream(spark: SparkSession, base: str, max_files: int = 1000, multiline: bool = False) -> DataFrame:
+    """New files under ``<base>/transactions`` as typed staging rows, read as strictly as in a batch."""
     schema = schemas.raw_schema("transactions").add("ingest_date", T.DateType())
-    raw = (
+    rows = (
         spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**raw.csv_options(multiline))
         .option("maxFilesPerTrigger", max_files)
         .csv(f"{base}/transactions")
     )
-    return clean_staging(raw, "transactions")
+    return clean_staging(rows, "transactions")
 
 
 def load_available(

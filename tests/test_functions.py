@@ -40,6 +40,12 @@ def test_dates_are_tried_per_value(spark):
         "2023-05": date(2023, 5, 1),
         "5 Mar 2021": date(2021, 3, 5),
         "March 5, 2021": date(2021, 3, 5),
+        "2022-01-15 garbage": None,
+        "20220115 xyz": None,
+        "2022-01-15 10:30 PM": date(2022, 1, 15),
+        "12/31/22": date(2022, 12, 31),
+        "31-12-68": date(2068, 12, 31),
+        "12/31/69": date(1969, 12, 31),
         "2023-02-30": None,
         "31-31-2023": None,
         "tomorrow": None,
@@ -56,6 +62,11 @@ def test_timestamps_drop_the_fraction_in_any_session_zone(spark, zone):
         "2023/05/10T4:05": datetime(2023, 5, 10, 4, 5),
         "15-08-2023 23:59:59": datetime(2023, 8, 15, 23, 59, 59),
         "2023-05-10": datetime(2023, 5, 10),
+        "2022-01-15 10:30 PM": datetime(2022, 1, 15, 22, 30),
+        "2022-01-15 12:05:09 am": datetime(2022, 1, 15, 0, 5, 9),
+        "2022-01-15 13:30 PM": None,
+        "2022-01-15 10:30 garbage": None,
+        "12/31/22 1:02": datetime(2022, 12, 31, 1, 2),
         "2023-05-10 25:00:00": None,
         "noon": None,
     }

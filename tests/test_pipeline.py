@@ -64,13 +64,51 @@ def test_loading_a_batch_again_changes_nothing(built):
     assert {t: again[t].count() for t in counts} == counts
 
 
-def test_upsert_from_empty_equals_refresh(spark, stg, tmp_path, built):
+def test_upsert_needs_a_published_warehouse(spark, stg, tmp_path):
     layers = Layers(spark, str(tmp_path))
-    pipeline.build_warehouse(layers, settings(1, mode="upsert", partition_facts=True), stg)
+    with pytest.raises(ValueError, match="no warehouse is published"):
+        pipeline.build_warehouse(layers, settings(1, mode="upsert"), stg)
+
+
+def test_partitioned_facts_hold_the_same_rows(spark, stg, tmp_path, built):
+    layers = Layers(spark, str(tmp_path))
+    pipeline.build_warehouse(layers, settings(1, partition_facts=True), stg)
     assert "month_key" in layers.read(DWH, "fact_transactions").columns
     assert by_natural_ids(layers.tables(DWH)) == built[1]
 
 
+def test_failed_upsert_leaves_the_old_warehouse(spark, stg, tmp_path, monkeypatch):
+    layers = Layers(spark, str(tmp_path))
+    few = stg | {"stg_merchants": stg["stg_merchants"].limit(1), "stg_transactions": stg["stg_transactions"].limit(50)}
+    pipeline.build_warehouse(layers, settings(1), few)
+    before = {t: df.count() for t, df in layers.tables(DWH).items()}
+
+    def killed(*_):
+        raise RuntimeError("killed between dimensions and facts")
+
+    monkeypatch.setattr(pipeline, "write_fact", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        pipeline.build_warehouse(layers, settings(2, mode="upsert"), stg)
+    stored = Layers(spark, str(tmp_path)).tables(DWH)
+    assert {t: df.count() for t, df in stored.items()} == before
+    monkeypatch.undo()
+    pipeline.build_warehouse(Layers(spark, str(tmp_path)), settings(3, mode="upsert"), stg)
+    after = Layers(spark, str(tmp_path)).tables(DWH)
+    keys = after["fact_transactions"].agg(F.count("*"), F.count_distinct("transaction_key"), F.count_distinct("transaction_id")).first()
+    assert keys[0] == keys[1] == keys[2] > before["fact_transactions"]
+
+
+def test_dates_outside_the_calendar_are_set_aside(spark, stg, tmp_path, built):
+    layers = Layers(spark, str(tmp_path))
+    short = {"calendar_end": date(1996, 12, 31), "on_missing_date": "quarantine", "on_duplicate": "quarantine"}
+    counts = {r.table_name: r["rows"] for r in pipeline.build_warehouse(layers, settings(1, **short), stg).collect()}
+    assert counts["fact_transactions"] + counts["fact_transactions_rejected"] == len(built[1])
+    assert counts["fact_transactions_rejected"] > 0 and counts["fact_loans_rejected"] > 0
+    assert counts["dim_card_rejected"] == 0
+    aside = layers.read(DWH, "fact_transactions_rejected")
+    assert aside.filter("date_key <= 19961231").isEmpty()
+
+
 def test_two_batches_equal_one(spark, stg, tmp_path, built):
     cut = F.col("transaction_date") < F.lit("1998-01-01").cast("timestamp_ntz")
     layers = Layers(spark, str(tmp_path))
@@ -139,6 +177,19 @@ def test_suite_finds_planted_faults(spark, stg, built):
     assert len(report) == 7 and report["Fact Loans Referential Integrity"].status == "PASSED"
 
 
+def test_a_check_that_throws_is_an_error_of_its_part(spark, stg, built, tmp_path):
+    dwh = built[0].tables(DWH)
+    tables = dwh | pipeline.mart_frames(stg, dwh, 10) | {"fact_loans": dwh["fact_loans"].drop("loan_amount")}
+    layers = Layers(spark, str(tmp_path))
+    results = quality.run_parts(tables, lambda name, rows: layers.write("audit", name, rows, "1"))
+    report = {r.part: r for r in quality.suite_report(results).collect()}
+    assert len(report) == 7
+    ranges = report["Financial Business Range Validation"]
+    assert ranges.status == "ERROR" and "loan_amount" in ranges.reason
+    assert report["Fact Loans Referential Integrity"].status == "PASSED"
+    assert quality.suite_summary(quality.suite_report(results)).first().failed_tests >= 1
+
+
 def test_whole_run_from_landed_files(spark, stg, tmp_path):
     base, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     for table in STAGING:
@@ -148,6 +199,8 @@ def test_whole_run_from_landed_files(spark, stg, tmp_path):
     # the fixtures hold stand-in scores and rates above the limit, so the range checks fail
     assert [(a.alert_type, a.priority) for a in alerts] == [("DATA_QUALITY_ALERT", "P2"), ("FAILURE", "P1")]
     assert "6/7 Tests Passed (1 Failed)" in alerts[0].message
+    assert alerts[1].message == "QualityFailure: 1 of 7 parts of the quality suite did not pass"
+    assert "Traceback" in alerts[1].stack_trace and alerts[0].stack_trace is None
     layers = Layers(spark, root)
     runs = {r.stage: r for r in pipeline.all_runs(layers).collect()}
     assert [runs[s].status for s in ("staging", "warehouse", "marts", "quality")] == ["SUCCESS"] * 3 + ["FAILED"]
@@ -158,6 +211,7 @@ def test_whole_run_from_landed_files(spark, stg, tmp_path):
         "merchant_analytics",
         "credit_risk_monitoring",
     }
+    assert pipeline.running_stages(layers).isEmpty()
     broken = pipeline.run_pipeline(spark, str(tmp_path / "nowhere"), root, settings=settings(2)).collect()
     assert [(a.alert_type, a.stage) for a in broken] == [("FAILURE", "staging")]
     assert {r.run_id for r in pipeline.all_runs(layers).collect()} == {settings(1).run_id, settings(2).run_id}
@@ -209,13 +263,24 @@ def test_stream_loads_each_id_once(spark, stg, tmp_path, built):
     assert spark.read.parquet(target).count() == len(built[1])
 
 
+def test_stream_is_as_strict_as_a_batch(spark, stg, tmp_path):
+    folder = tmp_path / "raw/transactions/ingest_date=2009-01-01"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("transaction_id,merchant_id,account_id,amount_usd,transaction_date\nT1,M1,A1,1.00,2009-01-01\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        raw.read_typed(spark, str(tmp_path / "raw"), "transactions").collect()
+    query = load_available(transaction_stream(spark, str(tmp_path / "raw")), lambda b: b, str(tmp_path / "f"), str(tmp_path / "c"))
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        query.awaitTermination()
+
+
 def test_alerts(spark):
     events = spark.createDataFrame(
         [
-            ("success", None, None, 12.345, 1000, date(2024, 1, 2), 7, []),
-            ("WARNING", "Data Quality Suite", None, None, None, None, 7, [("Ranges", "3 bad"), (None, None)]),
-            ("FAILURE", "x" * 200, "boom", None, None, None, None, None),
-            (None, None, None, None, None, None, None, None),
+            ("success", None, None, 12.345, 1000, date(2024, 1, 2), 7, [], None),
+            ("WARNING", "Data Quality Suite", None, None, None, None, 7, [("Ranges", "3 bad"), (None, None)], None),
+            ("FAILURE", "x" * 200, "boom", None, None, None, None, None, "Traceback\nboom"),
+            (None, None, None, None, None, None, None, None, None),
         ],
         audit.EVENT_SCHEMA,
     )
@@ -225,6 +290,7 @@ def test_alerts(spark):
     assert warn.priority == "P2" and "(2 tests failed)" in warn.subject
     assert warn.message == "5/7 Tests Passed (2 Failed)\n- Ranges: 3 bad\n- Test: Check failed"
     assert fail.priority == "P1" and len(fail.subject) == 100 and fail.message == "boom"
+    assert fail.stack_trace == "Traceback\nboom" and ok.stack_trace is None
     assert (empty.alert_type, empty.priority, empty.stage) == ("FAILURE", "P1", "UNKNOWN_STAGE")
 
 

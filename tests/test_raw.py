@@ -61,6 +61,46 @@ def test_quoted_line_breaks_need_multiline(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("B1", "two\nlines", "m")]
 
 
+def test_surplus_and_missing_fields_fail_the_batch(spark, tmp_path):
+    head = "branch_id,branch_name,manager_name\n"
+    for k, record in enumerate(("B3,Third,Cy,EXTRA,FIELDS", "B3,Third", '"B3,Third,Cy')):
+        base = tmp_path / str(k)
+        write(base / "branches/ingest_date=2024-01-01/b.csv", f"{head}B1,a,b\n{record}\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            raw.read_typed(spark, str(base), "branches").select("branch_id").collect()
+
+
+def test_line_breaks_survive_landing_on_request_only(spark, tmp_path):
+    rows = spark.createDataFrame([("B1", "two\nlines", "m"), ("B2", "one", None)], schemas.raw_schema("branches"))
+    with pytest.raises(Exception, match="line break"):
+        raw.land(rows, str(tmp_path / "a"), "branches", date(2024, 1, 1))
+    raw.land(rows, str(tmp_path / "b"), "branches", date(2024, 1, 1), multiline=True)
+    back = raw.read_typed(spark, str(tmp_path / "b"), "branches", multiline=True)
+    assert sorted(map(tuple, back.collect())) == [("B1", "two\nlines", "m"), ("B2", "one", None)]
+
+
+def test_manifest_of_odd_names_and_broken_records(spark, tmp_path):
+    write(tmp_path / "in/my file+100%.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    one = raw.manifest_tables(spark, str(tmp_path / "in"), multiline=True).first()
+    assert (one.source_file, one.record_count) == ("my file+100%.csv", 2)
+
+
+def test_only_a_missing_list_means_nothing_is_published(spark, tmp_path):
+    assert Layers(spark, str(tmp_path / "new")).tables("mart") == {}
+    (tmp_path / "mart/_published/run=1").mkdir(parents=True)
+    write(tmp_path / "mart/_published/run=1/part-0.parquet", "not a list")
+    with pytest.raises(Exception):
+        Layers(spark, "nosuchscheme://lake").tables("mart")
+
+
+def test_a_published_run_is_closed(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    layers.write("mart", "a", spark.range(2), "1")
+    layers.publish("mart", "1", ["a"])
+    with pytest.raises(ValueError, match="is published"):
+        layers.write("mart", "a", spark.range(3), "1")
+
+
 def test_dates_must_agree(spark, base):
     write(base / "branches/ingest_date=2024-01-01/branches.csv", "branch_id,branch_name,manager_name\nB1,a,b\n")
     assert raw.resolve_date(spark, str(base), tables=("accounts",)) == date(2024, 1, 2)
@@ -118,7 +158,9 @@ def test_layers_switch_when_published(spark, tmp_path):
     layers.write("mart", "a", spark.range(5), "2")
     assert layers.read("mart", "a").count() == 1
     layers.publish("mart", "2", ["a"])
-    layers.append("mart", "b", spark.range(3))
+    layers.write("mart", "b", spark.range(3), "2")
+    assert layers.read("mart", "b").count() == 2
+    layers.publish("mart", "2", [], added=("b",))
     fresh = Layers(spark, str(tmp_path))
     assert {t: df.count() for t, df in fresh.tables("mart").items()} == {"a": 5, "b": 5}
     assert not fresh.has("mart", "c") and not fresh.has("other", "a")

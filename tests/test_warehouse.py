@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
-from ledgermill.operators import dimensions, facts, marts
+from ledgermill.operators import dimensions, facts, incremental, marts
 from ledgermill.operators.keys import dense_keys, load_keys
 from ledgermill.operators.lookups import absent_from, frequent_keys, lookup, spread_lookup
 
@@ -180,8 +180,8 @@ def test_upsert_keeps_keys_and_creation_date(spark, dims):
 
 def test_keys_are_dense_and_repeatable(spark):
     members = spark.range(5000).selectExpr("concat('id', id) as m")
-    first = dense_keys(members, "m", "k", after=10, buckets=64)
-    again = dense_keys(members.repartition(13), "m", "k", after=10, buckets=64)
+    first = dense_keys(members, "m", "k", after=10, bucket_rows=20)
+    again = dense_keys(members.repartition(13), "m", "k", after=10, bucket_rows=20)
     got = {r.m: r.k for r in first.collect()}
     assert sorted(got.values()) == list(range(11, 5011))
     assert got == {r.m: r.k for r in again.collect()}
@@ -250,13 +250,13 @@ def test_hot_keys_join_like_any_other(spark):
         spark.sql("select 'hot' as k, -1L as v, 'x' as w")
     )
     plain = rows.join(table, "k", "left").select("t", "k", "v", "w")
-    for hot in (1, 5, 1000):
-        got = spread_lookup(rows, table, "k", "t", hot_keys=hot, spread=16, share=1.0).select("t", "k", "v", "w")
+    for hot in (0.3, 0.02, 0.0):
+        got = spread_lookup(rows, table, "k", "t", hot_share=hot, share=1.0).select("t", "k", "v", "w")
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
     small = lookup(rows, table, "k", "t").select("t", "k", "v", "w")
-    large = lookup(rows, table, "k", "t", broadcast_rows=10).select("t", "k", "v", "w")
+    large = lookup(rows, table, "k", "t", broadcast_bytes=10).select("t", "k", "v", "w")
     assert Counter(map(tuple, small.collect())) == Counter(map(tuple, large.collect()))
-    assert frequent_keys(rows, "k", 1) == ["hot"]
+    assert frequent_keys(rows, "k", 0.3) == ["hot"]
     none = rows.limit(0)
     assert spread_lookup(none, table, "k", "t").count() == 0
 
@@ -271,7 +271,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
             "case when id % 3 = 0 then 'k7' when id % 3 = 1 then 'gone' when id % 5 = 1 then null else concat('k', id % 400) end as k",
         )
         table = spark.range(300).selectExpr("concat('k', id) as k", "id as v")
-        joined = spread_lookup(rows, table, "k", "t", hot_keys=4, share=1.0)
+        joined = spread_lookup(rows, table, "k", "t", hot_share=0.1, share=1.0)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == 8 and max(sizes) < 2000
         assert joined.filter("v is not null").count() == rows.join(table, "k").count()
@@ -308,6 +308,21 @@ def test_without_an_unknown_member_nothing_is_spent(dims, transactions):
     assert marts.customer_spending(transactions, no_unknown).count() == 0
 
 
+def test_rejected_rows_and_kept_rows_add_up(spark):
+    rows = [("B1", "a", "x"), ("B1", "a", "x"), ("B1", "b", None), ("B2", None, "y"), (None, "n", "n")]
+    batch = spark.createDataFrame(rows, "branch_id string, branch_name string, manager_name string")
+    kept = dimensions.one_per_id(batch, "branch_id", "quarantine")
+    rejected = dimensions.rejected_members(batch, "branch_id")
+    assert sorted(map(tuple, rejected.collect()), key=str) == [("B1", "a", "x", 1), ("B1", "b", None, 1)]
+    assert kept.count() + rejected.agg(F.sum("copies")).first()[0] == len(rows)
+
+
+def test_demo_ids_past_six_digits_differ(spark, dims):
+    batch = incremental.generate_batch(spark, dims, 1_000_020).select("transaction_id")
+    assert batch.distinct().count() == 1_000_020
+    assert batch.agg(F.max(F.length("transaction_id"))).first()[0] == len("TXN_DEMO_1000000")
+
+
 def test_branch_marts(spark, dims, transactions):
     mart = marts.daily_branch_performance(dims["dim_date"], dims["dim_branch"], transactions, limit=1)
     assert mart.count() == 31
