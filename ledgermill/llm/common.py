@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,8 +50,14 @@ def learns(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 != 1, F.lit(False))
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc, doc_id, row, text_hash``: all columns of a row as one, so none can clash, beside what tells rows apart."""
+    return docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"),
+        "doc_id",
+        F.xxhash64("doc_id", "text").alias("row"),
+        F.xxhash64("text").alias("text_hash"),
+    )
 
 
 def numbered(rows: DataFrame, group: str, by: str, out: str, per_task: int = 50_000) -> DataFrame:
@@ -118,7 +122,3 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return pairs.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(
         pairs.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     )
-
-
-def any_of(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns)

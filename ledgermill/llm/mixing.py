@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import WORD, table, written
+from ledgermill.llm.common import WORD, carried, table, written
 
 GROUP_ROWS = 2_000
 """Rows that one task pairs at a time; a source of any size is split into such groups."""
@@ -191,14 +191,13 @@ def mixed(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
     Rows equal in id and text are interchangeable: each gets one of the counts
     found for them.
     """
-    same = Window.partitionBy("_id", "_hash")
-    taken = copies(docs, seed, **mixture).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies")
-    taken = taken.withColumn("_nth", F.row_number().over(same.orderBy("copies"))).where("copies > 0")
-    taken = taken.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), F.col("_nth").alias("_n"), F.col("copies").alias("_copies"))
-    rows = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
-    rows = rows.withColumn("_nth", F.row_number().over(same.orderBy(F.lit(0))))
-    kept = rows.join(taken, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")) & (F.col("_nth") == F.col("_n")))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    same = Window.partitionBy("row", "text_hash")
+    taken = copies(docs, seed, **mixture).select(F.xxhash64("doc_id", "text_hash").alias("id_hash"), "text_hash", "copies")
+    taken = taken.withColumn("nth", F.row_number().over(Window.partitionBy("id_hash", "text_hash").orderBy("copies")))
+    rows = carried(docs).withColumn("nth", F.row_number().over(same.orderBy(F.lit(0))))
+    rows = rows.withColumn("id_hash", F.xxhash64("doc_id", "text_hash"))
+    kept = rows.join(taken.where("copies > 0"), ["id_hash", "text_hash", "nth"])
+    return kept.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

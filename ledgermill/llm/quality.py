@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import learns, table, written
+from ledgermill.llm.common import carried, learns, table, written
 
 FIT_ROWS = 20_000
 """The classifier is fitted on so many trusted and as many unlabelled documents at most, those with the smallest id hashes."""
@@ -221,18 +221,11 @@ def accepted(docs: DataFrame, trusted: DataFrame, least: float = 0.5, **options)
     The score is the text's alone, so rows with the same id and text share
     their fate and rows of one id but different texts need not.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    scores = quality_scores(keyed.select(F.col("_row").alias("doc_id"), "text"), _rows(docs, trusted), unlabelled=_always, **options)
-    bad = scores.where(F.col("score") < least).select(F.col("doc_id").alias("_row")).distinct()
-    return keyed.join(bad, "_row", "left_anti").select(*docs.columns)
-
-
-def _always(doc_id):
-    return doc_id.isNotNull()
-
-
-def _rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    return docs.join(trusted, "doc_id", "left_semi").select(F.xxhash64("doc_id", "text").alias("doc_id"))
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    good = docs.select("doc_id", "text").join(trusted.select("doc_id"), "doc_id", "left_semi")
+    scores = quality_scores(texts, good.select(F.xxhash64("doc_id", "text").alias("doc_id")), unlabelled=F.isnotnull, **options)
+    bad = scores.where(F.col("score") < least).select(F.col("doc_id").alias("row")).distinct()
+    return carried(docs).join(bad, "row", "left_anti").select("doc.*")
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

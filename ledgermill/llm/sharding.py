@@ -237,11 +237,12 @@ def sharded(
 ) -> DataFrame:
     """All rows and columns of ``docs`` with their ``shard``, worked out as ``kd_shards`` does.
 
-    The tree is a bounded expression, so the texts are neither joined nor shuffled.
+    A column of that name is replaced; ``dimensions`` are over ``doc_id`` and ``text`` here. The tree is a bounded expression, so the texts are neither joined nor shuffled.
     """
-    measured, names = _measured(docs, dimensions)
+    measured, names = _measured(docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_doc"), "doc_id", "text"), dimensions)
     leaf = _leaf(written(measured.select(*names)), names, shards, target_bytes)
-    return measured.select(*(docs[c] for c in docs.columns if c != "shard"), leaf.alias("shard"))
+    kept = (F.col("_doc")[c].alias(c) for c in docs.columns if c != "shard")
+    return measured.select(*kept, leaf.alias("shard"))
 
 
 def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

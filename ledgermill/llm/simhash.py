@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import components, table, written
+from ledgermill.llm.common import carried, components, table, written
 
 # Fixed values of the fingerprint.
 BITS = 64
@@ -173,12 +173,11 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     """
     _, named = _grouped(docs, shingle, distance)
     kept = named.groupBy("component").agg(F.min("first").alias("first")).select(
-        F.col("first.row").alias("_row"), F.col("first.text_hash").alias("_text_hash")
+        "first.row", "first.text_hash"
     )
-    rows = docs.withColumns({"_row": F.xxhash64("doc_id", "text"), "_text_hash": F.xxhash64("text")})
-    same = Window.partitionBy("_row", "_text_hash").orderBy(F.lit(0))
-    one = rows.join(kept, ["_row", "_text_hash"], "left_semi").withColumn("_nth", F.row_number().over(same))
-    return one.where("_nth = 1").select(*docs.columns)
+    same = Window.partitionBy("row", "text_hash").orderBy(F.lit(0))
+    one = carried(docs).join(kept, ["row", "text_hash"], "left_semi").withColumn("nth", F.row_number().over(same))
+    return one.where("nth = 1").select("doc.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,6 +275,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     table gives no rows. Without labels of both kinds every score is the share
     of toxic labels (0 without any). Columns other than those named are ignored.
     """
+    docs = docs.select("doc_id", "text")
     counts = np.zeros(SYMBOLS**3, np.int64)
     for r in trigram_counts(docs).collect():  # bounded by the alphabet
         counts[r["trigram"]] = r["n"]
