@@ -34,7 +34,7 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
-READ, DROP_SIGN, DROP_REPEAT, DROP_SPACE = 1.0, 2.5, 0.7, 1.0
+READ, DROP_INSIDE, DROP_AT_EDGE, DROP_REPEAT, DROP_SPACE = 1.0, 8.0, 1.0, 0.7, 1.0
 
 # The model's alphabet: a-z, the lower-case letters of Latin-1, and one symbol each for word ends and all else.
 SYMBOLS = 64
@@ -117,14 +117,17 @@ class Decoder:
         """The cheapest reading of a token or of letters spaced out.
 
         Every character offers what it may stand for: a letter itself, a digit
-        or sign the letters it looks like or nothing, the repetition of a
-        letter nothing too, a space a word's end or nothing. States are the
-        last two symbols read; the language model pays for each step.
+        or sign the letters it looks like or (a sign at the edges cheaply)
+        nothing, the repetition of a letter nothing too, a space a word's end
+        or nothing. States are the last two symbols read; the language model
+        pays for each step.
         """
         cost = self.cost
+        letters = [k for k, c in enumerate(text) if c in _INDEX]
+        inside = range(letters[0], letters[-1]) if letters else range(0)
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
         before = ""
-        for c in text:
+        for at, c in enumerate(text):
             options: list[tuple[str, float]] = []
             if c in _INDEX:
                 options.append((c, 0.0))
@@ -134,7 +137,8 @@ class Decoder:
                 options += [(" ", 0.0), ("", DROP_SPACE)]
             else:
                 options += [(x, READ) for x in LEET.get(c, "")]
-                options.append(("", DROP_SIGN if c.isalnum() or c in LEET else 0.0))
+                drop = 0.0 if c not in LEET else DROP_INSIDE if c.isalnum() or at in inside else DROP_AT_EDGE
+                options.append(("", drop))
             step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (paid, back) in states.items():
                 for letter, price in options:

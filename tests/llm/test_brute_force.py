@@ -175,12 +175,14 @@ def test_words_come_near_their_targets(spark, settings, group):
     settings(mixing, "GROUP_ROWS", group)
     settings(mixing, "FAN_IN", 3)
     rows = mixing.op2_pivotal_mixing(spark, SF).collect()
-    taken, sources = {}, {}
+    taken, sources, largest = {}, {}, {}
     for r in rows:
+        largest[r.source_size] = max(largest.get(r.source_size, 0), r.size)
         assert r.taken % max(1, r.size) == 0 and 0 <= r.taken <= 2 * r.size
         sources[r.source_size] = r.target
         taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
-    assert all(abs(taken[s] - t) < 0.05 * t for s, t in sources.items())
+    # in groups of seven the last one has few rows to make up for a long one
+    assert all(abs(taken[s] - t) < 0.01 * t + (group < 100) * largest[s] / 2 for s, t in sources.items())
     again = mixing.op2_pivotal_mixing(spark, SF).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
