@@ -191,13 +191,15 @@ def mixed(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
     Rows equal in id and text are interchangeable: each gets one of the counts
     found for them.
     """
-    same = Window.partitionBy("row", "text_hash")
     taken = copies(docs, seed, **mixture).select(F.xxhash64("doc_id", "text_hash").alias("id_hash"), "text_hash", "copies")
-    taken = taken.withColumn("nth", F.row_number().over(Window.partitionBy("id_hash", "text_hash").orderBy("copies")))
-    rows = carried(docs).withColumn("nth", F.row_number().over(same.orderBy(F.lit(0))))
-    rows = rows.withColumn("id_hash", F.xxhash64("doc_id", "text_hash"))
-    kept = rows.join(taken.where("copies > 0"), ["id_hash", "text_hash", "nth"])
-    return kept.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
+    # as many as there are rows equal in id and text
+    counts = taken.groupBy("id_hash", "text_hash").agg(F.array_sort(F.collect_list("copies")).alias("counts"))
+    rows = carried(docs).withColumn("id_hash", F.xxhash64("doc_id", "text_hash"))
+    same = Window.partitionBy("id_hash", "text_hash").orderBy(F.lit(0))
+    numbered = rows.join(counts, ["id_hash", "text_hash"]).withColumn("nth", F.row_number().over(same))
+    number = F.element_at("counts", F.col("nth"))
+    kept = numbered.withColumn("number", number).where("number > 0")
+    return kept.select("doc", F.explode(F.sequence(F.lit(1), F.col("number")))).select("doc.*")
 
 
 def op2_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import carried, learns, table, written
+from ledgermill.llm.common import learns, table, written
 
 FIT_ROWS = 20_000
 """The classifier is fitted on so many trusted and as many unlabelled documents at most, those with the smallest id hashes."""
@@ -164,6 +165,34 @@ def fitted(positive: np.ndarray, unlabelled: np.ndarray) -> list[Network]:
     return [train(positive, unlabelled, prior, seed) for seed in range(MODELS)]
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """``doc_id, x`` for each row: the measures of its whole text."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([measures(t.as_py()) for t in batch.column("text")], np.float32).reshape(batch.num_rows, -1)
+            flat = pa.ListArray.from_arrays(np.arange(0, found.size + 1, len(MEASURES), dtype=np.int32), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), flat], ["doc_id", "x"])
+
+    return docs.select("doc_id", "text").mapInArrow(measured, f"doc_id {id_type}, x array<float>")
+
+
+def _networks(rows: DataFrame, trusted: DataFrame, fit_rows: int, unlabelled) -> list[tuple]:
+    """The networks' parts, fitted on bounded samples of measured rows; none without trusted ones."""
+    by_hash = [F.xxhash64("doc_id"), "doc_id"]
+    good = rows.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*by_hash).limit(fit_rows)
+    some = rows.where(unlabelled(F.col("doc_id"))).orderBy(*by_hash).limit(fit_rows)
+    positive, other = _local(good), _local(some)
+    nets = fitted(positive, other) if len(positive) > 1 and len(other) > 1 else []
+    return [(n.mean, n.spread, n.weights) for n in nets]
+
+
+def _score(parts: list[tuple], x: np.ndarray) -> np.ndarray:
+    margins = [Network(*p).margin(x) for p in parts] or [np.zeros(len(x))]
+    return _sigmoid(np.mean(margins, axis=0))
+
+
 def quality_scores(docs: DataFrame, trusted: DataFrame, fit_rows: int = FIT_ROWS, unlabelled=learns) -> DataFrame:
     """``doc_id, score`` for each row of ``docs(doc_id, text)``: the probability of good quality.
 
@@ -178,30 +207,15 @@ def quality_scores(docs: DataFrame, trusted: DataFrame, fit_rows: int = FIT_ROWS
     table gives no rows. Without trusted documents every score is 0.5. Columns
     other than those named are ignored.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([measures(t.as_py()) for t in batch.column("text")], np.float32).reshape(batch.num_rows, -1)
-            flat = pa.ListArray.from_arrays(np.arange(0, found.size + 1, len(MEASURES), dtype=np.int32), pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), flat], ["doc_id", "x"])
-
-    rows = written(docs.select("doc_id", "text").mapInArrow(measured, f"doc_id {id_type}, x array<float>"))
-    by_hash = [F.xxhash64("doc_id"), "doc_id"]
-    good = rows.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*by_hash).limit(fit_rows)
-    some = rows.where(unlabelled(F.col("doc_id"))).orderBy(*by_hash).limit(fit_rows)
-    positive, other = _local(good), _local(some)
-    nets = fitted(positive, other) if len(positive) > 1 and len(other) > 1 else []
-    parts = [(n.mean, n.spread, n.weights) for n in nets]
+    rows = written(_measured(docs))
+    parts = _networks(rows, trusted, fit_rows, unlabelled)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().astype(float).reshape(batch.num_rows, -1)
-            margins = [Network(*p).margin(x) for p in parts] or [np.zeros(batch.num_rows)]
-            score = _sigmoid(np.mean(margins, axis=0))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_score(parts, x))], ["doc_id", "score"])
 
-    return rows.mapInArrow(scored, f"doc_id {id_type}, score double")
+    return rows.mapInArrow(scored, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def _local(df: DataFrame) -> np.ndarray:
@@ -215,17 +229,20 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("quality") == 1).where(learns(F.col("doc_id"))).select("doc_id")
 
 
-def accepted(docs: DataFrame, trusted: DataFrame, least: float = 0.5, **options) -> DataFrame:
+def accepted(docs: DataFrame, trusted: DataFrame, least: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
     """``docs`` without the rows whose text scores below ``least``; all columns stay.
 
-    The score is the text's alone, so rows with the same id and text share
-    their fate and rows of one id but different texts need not.
+    The score is the text's alone, so it is worked out beside each row once the
+    networks are fitted: texts are read twice and never shuffled.
     """
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
-    good = docs.select("doc_id", "text").join(trusted.select("doc_id"), "doc_id", "left_semi")
-    scores = quality_scores(texts, good.select(F.xxhash64("doc_id", "text").alias("doc_id")), unlabelled=F.isnotnull, **options)
-    bad = scores.where(F.col("score") < least).select(F.col("doc_id").alias("row")).distinct()
-    return carried(docs).join(bad, "row", "left_anti").select("doc.*")
+    parts = _networks(written(_measured(docs)), trusted, fit_rows, F.isnotnull)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        x = np.array([measures(t) for t in texts], np.float32).reshape(len(texts), -1).astype(float)
+        return pd.Series(_score(parts, x))
+
+    return docs.where(score(docs["text"]) >= least)
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
