@@ -143,6 +143,24 @@ def _(wb):
     )
 
 
+@query("src_ingest")
+def _(wb):
+    """All tables found below a folder, landed, and as the batch's manifest records them."""
+
+    def export(folder: str) -> None:
+        for table in STAGING:
+            wb[f"stg_{table}"].write.mode("overwrite").option("header", True).csv(f"{folder}/export/{table}")
+
+    def land(folder: str) -> None:
+        raw.ingest(wb.spark, f"{wb.once('exported', export)}/export", folder, RUN_DATE, "b1")
+
+    base = wb.once("ingested", land)
+    document = wb.spark.read.json(f"{base}/manifests/manifest_b1")
+    recorded = document.select("status", F.explode("tables").alias("t")).select("status", "t.table_name", "t.record_count")
+    landed = [raw.read_raw(wb.spark, base, t).agg(F.count("*").alias("landed")).withColumn("table_name", F.lit(t)) for t in STAGING]
+    return recorded.join(quality.union_all(landed), "table_name")
+
+
 # table -> columns whose totals tell its contents
 TOTALS = {
     "fact_transactions": ("amount_usd",),

@@ -261,9 +261,13 @@ def run_pipeline(
     root: str,
     ingest_date: date | None = None,
     settings: Settings | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """Run all stages, record each, and return the run's alert rows.
 
+    With a ``source`` folder its CSV files are landed first, under the given
+    date or the run's.
+
     A stage's record is written as RUNNING when it starts (``running_stages``)
     and replaced by its outcome at the end. A failed stage ends the run; its
     record and alert, with the stack trace, are written all the same.
@@ -299,9 +303,15 @@ def run_pipeline(
         records.append(record)
         return record["status"] == "SUCCESS"
 
+    def ingest() -> DataFrame:
+        nonlocal day
+        day = ingest_date or s.run_date
+        files = raw.ingest(spark, source, raw_base, day, s.run_id, s.multiline)
+        return files.groupBy("table_name").agg(F.sum("record_count").alias("rows"))
+
     def staging() -> DataFrame:
         nonlocal day
-        day = raw.resolve_date(spark, raw_base, ingest_date)
+        day = raw.resolve_date(spark, raw_base, day)
         return load_staging(layers, lambda t: raw.read_typed(spark, raw_base, t, day, s.multiline), s)
 
     def checks() -> DataFrame:
@@ -313,6 +323,7 @@ def run_pipeline(
         return report
 
     stages = (
+        *([("ingest", ingest, "rows")] if source else []),
         ("staging", staging, "rows"),
         ("warehouse", lambda: build_warehouse(layers, s), "rows"),
         ("marts", lambda: build_marts(layers, s), "rows"),

@@ -5,7 +5,7 @@ Layout: ``<base>/<table>/ingest_date=YYYY-MM-DD/*.csv``.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,10 +236,10 @@ def manifest(
     source: str,
     ingest_date: date,
     started_at: datetime,
-    completed_at: datetime,
+    completed_at: datetime | None,
     error: str | None = None,
 ) -> DataFrame:
-    """One document per batch with a record per table nested: SUCCESS, or FAILED with the error.
+    """One document per batch with a record per table nested: SUCCESS, FAILED with the error, or RUNNING until it ends.
 
     A table of one file carries that file's checksum; with more files the
     checksums are in the file records (:func:`manifest_tables`).
@@ -262,10 +262,10 @@ def manifest(
         F.lit(source).alias("source"),
         F.lit(ingest_date).alias("ingest_date"),
         F.lit(started_at.isoformat()).alias("ingestion_timestamp"),
-        F.lit("FAILED" if error else "SUCCESS").alias("status"),
+        F.lit("FAILED" if error else "SUCCESS" if completed_at else "RUNNING").alias("status"),
         "tables",
         F.lit(error).cast("string").alias("error"),
-        F.lit(completed_at.isoformat()).alias("completed_at"),
+        F.lit(completed_at and completed_at.isoformat()).cast("string").alias("completed_at"),
     )
 
 
@@ -274,3 +274,46 @@ def write_manifest(document: DataFrame, base: str, batch_id: str, files: DataFra
     document.coalesce(1).write.mode("overwrite").json(f"{base}/manifests/manifest_{batch_id}")
     if files is not None:
         files.write.mode("overwrite").json(f"{base}/manifest_files/manifest_{batch_id}")
+
+
+def ingest(
+    spark: SparkSession,
+    source: str,
+    base: str,
+    ingest_date: date,
+    batch_id: str,
+    multiline: bool = False,
+    tables: tuple[str, ...] = tuple(schemas.STAGING),
+) -> DataFrame:
+    """Find the tables' CSV files below ``source``, land them under a date, and write the batch's manifest.
+
+    Returns a record per landed file. The manifest says RUNNING from the start
+    and then SUCCESS, or FAILED with the error that is raised. A table without
+    a file is an error; several files of a table are landed together. What
+    meets the driver is the listing of the source's files.
+    """
+    started = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def note(files: DataFrame | None, completed: datetime | None, error: str | None = None) -> None:
+        write_manifest(manifest(files, spark, batch_id, source, ingest_date, started, completed, error), base, batch_id, files)
+
+    note(None, None)
+    try:
+        paths: dict[str, list[str]] = {}
+        for r in discover(spark, source).filter(F.col("table_name").isin(*tables)).select("table_name", "path").collect():
+            paths.setdefault(r.table_name, []).append(r.path)
+        if missing := sorted(set(tables) - set(paths)):
+            raise FileNotFoundError(f"no CSV file below {source} for {', '.join(missing)}")
+        files = []
+        for table in tables:
+            rows = spark.read.schema(schemas.raw_schema(table)).options(**csv_options(multiline)).csv(sorted(paths[table]))
+            land(rows, base, table, ingest_date, multiline=multiline)
+            files.append(manifest_tables(spark, f"{base}/{table}/ingest_date={ingest_date}", multiline=multiline))
+        landed = files[0]
+        for more in files[1:]:
+            landed = landed.unionByName(more)
+        note(landed, datetime.now(timezone.utc).replace(tzinfo=None))
+    except Exception as failure:
+        note(None, datetime.now(timezone.utc).replace(tzinfo=None), f"{type(failure).__name__}: {failure}"[:2000])
+        raise
+    return spark.read.schema(MANIFEST_SCHEMA).json(f"{base}/manifest_files/manifest_{batch_id}")

@@ -145,6 +145,24 @@ def test_discovery_and_manifest(spark, base, tmp_path):
     assert (failed.status, failed.error, failed.tables) == ("FAILED", "no source", [])
 
 
+def test_ingest_lands_all_tables_and_records_its_end(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "raw")
+    write(source / "x/Accounts.csv", "account_id,customer_id,account_type,balance_usd,open_date\nA1,C1,x,1,2020-01-01\n")
+    write(source / "branches.csv", "branch_id,branch_name,manager_name\nB1,a,b\nB2,c,d\n")
+    write(source / "other.csv", "q\n1\n")
+    day, tables = date(2024, 1, 2), ("accounts", "branches")
+    files = raw.ingest(spark, str(source), base, day, "b1", tables=tables).collect()
+    assert sorted((r.table_name, r.record_count, len(r.checksum_sha256)) for r in files) == [("accounts", 1, 64), ("branches", 2, 64)]
+    assert [r.account_id for r in raw.read_typed(spark, base, "accounts").collect()] == ["A1"]
+    assert spark.read.json(f"{base}/manifests/manifest_b1").first().status == "SUCCESS"
+    with pytest.raises(FileNotFoundError, match="loans"):
+        raw.ingest(spark, str(source), base, day, "b2", tables=(*tables, "loans"))
+    failed = spark.read.json(f"{base}/manifests/manifest_b2").first()
+    assert failed.status == "FAILED" and "loans" in failed.error
+    at = datetime(2024, 1, 2)
+    assert raw.manifest(None, spark, "b3", "folder", day, at, None).first().status == "RUNNING"
+
+
 def test_no_file_is_an_error(spark, tmp_path):
     write(tmp_path / "readme.txt", "x")
     with pytest.raises(FileNotFoundError):
