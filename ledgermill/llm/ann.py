@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import table, written
+from ledgermill.llm.common import sampled, table, written
 
 FIT_ROWS = 32_768
 """The tree is fitted on so many vectors at most, those with the smallest id hashes; every vector is indexed."""
@@ -269,12 +269,11 @@ def nearest(
     if row["width"] != row["least"]:
         raise ValueError(f"vectors have {row['least']} to {row['width']} numbers")
     width, kind = row["width"], vectors.schema["embedding"].dataType.simpleString()
-    share = F.xxhash64("vec_id")
-    sample = _local(rows.orderBy(share, "vec_id").limit(fit_rows), width)[1]
+    sample = _local(sampled(rows, "vec_id", fit_rows), width)[1]
     tree = fit(sample, row["longest"] * (1 + 1e-9), max(1, min(leaf_rows, len(sample))))
     sent = spark.sparkContext.broadcast((tree.centres, tree.children, tree.leaf, tree.longest))
     placed = written(rows.mapInArrow(_placing(sent, width), f"vec_id bigint, embedding {kind}, leaf bigint"))
-    some = _local(asked.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATION), width)
+    some = _local(sampled(asked, "vec_id", CALIBRATION, seed=1), width)
     visits = _calibrated(tree, placed, some, width, count, recall) if len(some[0]) else 1
     sizes = dict(placed.groupBy("leaf").count().collect())  # a row per leaf, no more than the fitted sample
     first, number = _blocks(sizes, tree.leaves)

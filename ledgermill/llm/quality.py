@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import learns, table, written
+from ledgermill.llm.common import learns, sampled, table, written
 
 FIT_ROWS = 20_000
 """The classifier is fitted on so many trusted and as many unlabelled documents at most, those with the smallest id hashes."""
@@ -180,9 +180,8 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def _networks(rows: DataFrame, trusted: DataFrame, fit_rows: int, unlabelled) -> list[tuple]:
     """The networks' parts, fitted on bounded samples of measured rows; none without trusted ones."""
-    by_hash = [F.xxhash64("doc_id"), "doc_id"]
-    good = rows.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*by_hash).limit(fit_rows)
-    some = rows.where(unlabelled(F.col("doc_id"))).orderBy(*by_hash).limit(fit_rows)
+    good = sampled(rows.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", fit_rows)
+    some = sampled(rows.where(unlabelled(F.col("doc_id"))), "doc_id", fit_rows)
     positive, other = _local(good), _local(some)
     nets = fitted(positive, other) if len(positive) > 1 and len(other) > 1 else []
     return [(n.mean, n.spread, n.weights) for n in nets]

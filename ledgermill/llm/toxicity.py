@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import learns, table, written
+from ledgermill.llm.common import learns, sampled, table, written
 
 FIT_ROWS = 12_000
 """The classifier is fitted on so many labelled documents at most, those with the smallest id hashes."""
@@ -285,7 +285,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
         counts[r["trigram"]] = r["n"]
     cost = language_model(counts)
     marked = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = written(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    chosen = written(sampled(marked, "doc_id", fit_rows))
     sample = written(
         restored_words(docs.join(F.broadcast(chosen), "doc_id"), cost, ("doc_id", "toxic")).withColumn("doc", F.monotonically_increasing_id())
     )
