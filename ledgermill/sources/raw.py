@@ -25,6 +25,8 @@ _CSV = {
 }
 
 RECORDS_PER_FILE = 1_000_000
+CHECKSUM_BYTES = 1 << 30
+"""Larger files are not hashed as a whole, which takes one task; their lines' digest is taken all the same."""
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -34,6 +36,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("record_count", T.LongType()),
         T.StructField("file_size_bytes", T.LongType()),
         T.StructField("checksum_sha256", T.StringType()),
+        T.StructField("line_digest", T.StringType()),
         T.StructField("status", T.StringType()),
     ]
 )
@@ -203,20 +206,38 @@ def count_records(spark: SparkSession, folder: str, multiline: bool = False) ->
 
 
 def checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """SHA-256 per file. A file is one record here, so it must fit a task (2 GB at most)."""
-    return _files(spark, folder).select(_file_path().alias("file"), F.sha2("content", 256).alias("checksum_sha256"))
+    """SHA-256 of each file of at most ``CHECKSUM_BYTES``; larger ones are not read."""
+    small = _files(spark, folder).filter(F.col("length") <= CHECKSUM_BYTES)
+    return small.select(_file_path().alias("file"), F.sha2("content", 256).alias("checksum_sha256"))
+
+
+def line_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """A digest of each file's lines, whatever its size: (file, line_digest).
+
+    The number of lines and the sum of their SHA-256's first 15 digits, so files
+    are split as usual; the order of the lines does not count.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .text(folder)
+        .select(_file_path().alias("file"), F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)").alias("h"))
+    )
+    summed = lines.groupBy("file").agg(F.count("*").alias("n"), F.sum("h").alias("h"))
+    return summed.select("file", F.concat_ws(":", F.col("n").cast("string"), F.col("h").cast("string")).alias("line_digest"))
 
 
 def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True, multiline: bool = False) -> DataFrame:
-    """One manifest row per landed file. Landed parts are far below the checksum's size limit.
+    """One manifest row per landed file, with a checksum of the whole (see ``CHECKSUM_BYTES``) and one of its lines.
 
     A file whose records were not counted fails the manifest.
     """
     files = discover(spark, folder).join(count_records(spark, folder, multiline), "file", "left")
     if with_checksum:
-        files = files.join(checksums(spark, folder), "file", "left")
+        files = files.join(checksums(spark, folder), "file", "left").join(line_digests(spark, folder), "file", "left")
     else:
-        files = files.withColumn("checksum_sha256", F.lit(None).cast("string"))
+        none = F.lit(None).cast("string")
+        files = files.withColumns({"checksum_sha256": none, "line_digest": none})
     missed = F.raise_error(F.concat(F.lit("records not counted: "), F.col("file")))
     return files.select(
         "table_name",
@@ -225,6 +246,7 @@ def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True
         F.when(F.col("record_count").isNull(), missed.cast("bigint")).otherwise(F.col("record_count")).alias("record_count"),
         "file_size_bytes",
         "checksum_sha256",
+        "line_digest",
         F.lit("SUCCESS").alias("status"),
     )
 

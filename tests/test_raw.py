@@ -85,6 +85,18 @@ def test_manifest_of_odd_names_and_broken_records(spark, tmp_path):
     assert (one.source_file, one.record_count) == ("my file+100%.csv", 2)
 
 
+def test_large_files_have_a_digest_of_their_lines(spark, tmp_path, monkeypatch):
+    write(tmp_path / "in/a.csv", "a,b\n1,x\n2,y\n")
+    write(tmp_path / "in/b.csv", "a,b\n2,y\n1,x\n")
+    write(tmp_path / "in/c.csv", "a,b\n2,y\n1,z\n")
+    monkeypatch.setattr(raw, "CHECKSUM_BYTES", 3)
+    rows = {r.source_file: r for r in raw.manifest_tables(spark, str(tmp_path / "in")).collect()}
+    assert {r.checksum_sha256 for r in rows.values()} == {None}
+    assert rows["a.csv"].line_digest == rows["b.csv"].line_digest != rows["c.csv"].line_digest
+    first = [int(hashlib.sha256(x.encode()).hexdigest()[:15], 16) for x in ("a,b", "1,x", "2,y")]
+    assert rows["a.csv"].line_digest == f"3:{sum(first)}"
+
+
 def test_only_a_missing_list_means_nothing_is_published(spark, tmp_path):
     assert Layers(spark, str(tmp_path / "new")).tables("mart") == {}
     (tmp_path / "mart/_published/run=1").mkdir(parents=True)
