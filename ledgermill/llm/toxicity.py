@@ -33,6 +33,7 @@ MEMORY = 200_000
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ο": "o", "α": "a", "ι": "i",
 }
 READ, DROP_INSIDE, DROP_AT_EDGE, DROP_REPEAT, DROP_SPACE = 1.0, 8.0, 1.0, 0.7, 1.0
 

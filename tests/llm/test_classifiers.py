@@ -63,6 +63,7 @@ def test_disguised_words_are_read(decoder):
     for disguised, meant in {
         "1d10t": "idiot", "stup1d": "stupid", "m0r0n": "moron", "l0ser": "loser", "tr4sh": "trash", "iiidiooot": "idiot",
         "s-t-u-p-i-d": "stupid", "clown!!!": "clown", "scum###": "scum", "idiot.": "idiot", "(loser)": "loser",
+        "idi\u200bot": "idiot", "m\u043er\u043en": "moron", "l.o.s.e.r": "loser", "TR@SH": "trash",
     }.items():
         assert meant in decoder.words(f"The {disguised} was"), (disguised, decoder.words(disguised))
     assert "idiot" in decoder.words("an i d i o t was") and "stupid" in decoder.words("S T U P I D")
