@@ -117,16 +117,17 @@ class Findings:
 
 
 def _anchors(h: np.ndarray) -> np.ndarray:
-    """The upper 40 bits, the lowest of them 0; that bit will say whether any is a block.
+    """The upper 32 bits, the lowest of them 0; that bit will say whether any is a block.
 
-    Within a partition five bytes tell anchors apart well enough: a chance hit
-    only costs a comparison of whole windows.
+    Within a partition, whose size is bounded, four bytes tell anchors apart
+    well enough: one in some thousand hits is by chance, and costs no more than
+    a comparison of whole windows.
     """
-    return (h >> np.uint64(24)) & ~np.uint64(1)
+    return (h >> np.uint64(32)) & ~np.uint64(1)
 
 
-def _five(values: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+def _four(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :4]
 
 
 def _eight(raw: np.ndarray) -> np.ndarray:
@@ -188,7 +189,7 @@ def _probe(parts: int, block: int):
                 continue
             several = ids[starts] != ids[starts + sizes - 1]
             blocks = np.logical_or.reduceat(is_block, starts)
-            anchors = _five(_anchors(h[starts]) | blocks.astype(np.uint64))
+            anchors = _four(_anchors(h[starts]) | blocks.astype(np.uint64))
             rows = []
             for p in np.unique(part[starts]):
                 mine = part[starts] == p
@@ -197,7 +198,7 @@ def _probe(parts: int, block: int):
             once = inside & np.r_[True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])]
             for p in np.unique(part[once]):
                 mine = once & (part == p)
-                rows.append(_by_document(int(p), 1, ids[mine], _five(_anchors(h[mine]))))
+                rows.append(_by_document(int(p), 1, ids[mine], _four(_anchors(h[mine]))))
             yield from _tables(rows, _SHUFFLED).to_batches()
 
     return run
@@ -207,16 +208,16 @@ def _hits(buckets: int):
     """Anchors that are a block in one place and occur in another document."""
 
     def run(group: pa.Table) -> pa.Table:
-        ids, raw = _read(group, 0, 5)
+        ids, raw = _read(group, 0, 4)
         values = _eight(raw)
         order = np.argsort(values >> np.uint64(1), kind="stable")
         ids, values = ids[order], values[order]
         starts, sizes = _groups(values >> np.uint64(1))
-        known_ids, known = _read(group, 1, 5)
+        known_ids, known = _read(group, 1, 4)
         if len(starts):
             hit = np.repeat((sizes > 1) & (np.bitwise_or.reduceat(values & np.uint64(1), starts) > 0), sizes)
             known_ids = np.concatenate([known_ids, ids[hit]])
-            known = np.concatenate([known, _five(values[hit] & ~np.uint64(1))])
+            known = np.concatenate([known, _four(values[hit] & ~np.uint64(1))])
         return _returned(group.column("part")[0].as_py(), buckets, known_ids, known)
 
     return run
@@ -240,7 +241,7 @@ def _extend(parts: int, block: int, window: int):
 
     def run(docs: pa.Table, packed: pa.Table) -> pa.Table:
         rows: list[dict] = []
-        for held in _chunks(near(docs, Findings(packed, 5))):
+        for held in _chunks(near(docs, Findings(packed, 4))):
             h, more = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
             ids = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[1]) for x in held])
             order = np.lexsort((ids, more, h))
