@@ -26,7 +26,7 @@ from ledgermill.operators import (
 from ledgermill.operators.keys import load_keys
 from ledgermill.operators.lookups import lookup, spread_lookup
 from ledgermill.plans import pipeline
-from ledgermill.schemas import DIMENSIONS, MARTS, PRIMARY_KEYS, STAGING
+from ledgermill.schemas import DIMENSIONS, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
 from ledgermill.sources.layers import Layers
 from ledgermill.streaming.transactions import load_available, transaction_stream
