@@ -200,11 +200,12 @@ def upsert_dimension(
     spec = DIMENSIONS[dim]
     nk, sk = spec.natural_key, spec.surrogate_key
     new = one_per_id(batch, nk, on_duplicate, unknown_member(batch.sparkSession, dim, batch))
+    at_most = batch.count() + 1
     if existing is None:
-        return dense_keys(new.drop("_spare"), nk, sk)
+        return dense_keys(new.drop("_spare"), nk, sk, at_most=at_most)
 
     unseen = new.select(nk).join(existing.select(nk), nk, "left_anti")
-    numbers = store(dense_keys(unseen, nk, sk, after=max_key(existing, sk))).select(nk, F.col(sk).alias("_number"))
+    numbers = store(dense_keys(unseen, nk, sk, after=max_key(existing, sk), at_most=at_most)).select(nk, F.col(sk).alias("_number"))
     old = existing.select(nk, sk, F.struct(*spec.attributes).alias("_old"))
     fresh = new.select(nk, F.struct(*spec.attributes).alias("_new"), "_spare")
     both = old.join(fresh, nk, "full_outer").join(numbers, nk, "left")

@@ -14,16 +14,19 @@ def dense_keys(
     key_col: str,
     after: Column | int = 0,
     bucket_rows: int = BUCKET_ROWS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Number unique members ``after + 1, after + 2, ...`` without gaps.
 
     Members are spread over hash buckets of their id; a bucket's numbers start
     where the buckets before it end. There are as many as keep a bucket near
     ``bucket_rows`` members; ids are unique, so buckets are even, each is sorted
-    on its own, and only one row per bucket meets in one task. The result depends on the ids alone, so a task that is
-    run again after a lost executor gives the same keys.
+    on its own, and only one row per bucket meets in one task. ``at_most`` is a
+    bound of the members that is cheaper to know than their number. The result
+    depends on the ids and that bound alone, so a task that is run again after
+    a lost executor gives the same keys.
     """
-    buckets = max(1, -(-members.count() // bucket_rows))
+    buckets = max(1, -(-(members.count() if at_most is None else at_most) // bucket_rows))
     bucket = F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
     placed = members.withColumn("_bucket", bucket)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
