@@ -28,6 +28,8 @@ PENALTY = 2.0
 """Residual documents a word beginning must explain before it weighs anything."""
 MEMORY = 200_000
 """Restored words a task remembers."""
+CHUNK = 1 << 20
+"""Characters a task counts at a time."""
 
 # What may stand for which letters, and what it costs in nats to read it so.
 LEET = {
@@ -46,7 +48,10 @@ _CODES = np.full(256, OTHER, np.int64)
 _CODES[[ord(c) for c in _LETTERS]] = range(len(_LETTERS))
 _CODES[[9, 10, 11, 12, 13, 32]] = END
 
+_START, _STOP, _NONE = np.array([END, END]), np.array([END]), np.empty(0, np.int64)
+
 _PLAIN = re.compile(f"[{_LETTERS}]+")
+_PUNCTUATION = ".,;:?\"'-)"
 _THRICE = re.compile(r"(.)\1\1")
 _EDGE = re.compile(r"^[^\w$@!|+(€£¡]+|[^\w$@!|+(€£¡]+$")
 _RUN_AT_EDGE = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
@@ -56,14 +61,25 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     """``trigram, n`` over every character of all texts: at most 64 cubed rows, combined in each task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**3, np.int64)
+        total, held, size = np.zeros(SYMBOLS**3, np.int64), [], 0
+
+        def add() -> None:
+            c = np.concatenate(held) if held else np.empty(0, np.int64)
+            if len(c) > 2:
+                total[:] += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
+
         for batch in batches:
             for text in batch.column("text"):
                 lower = (text.as_py() or "").lower()
-                for at in range(0, len(lower), 1 << 20):  # a long text is counted in pieces that overlap by a trigram
-                    c = _codes(lower[max(0, at - 2) : at + (1 << 20)], first=at == 0)
-                    if len(c) > 2:
-                        total += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
+                for at in range(0, len(lower), CHUNK):  # a long text is counted in pieces that overlap by two characters
+                    if size > CHUNK:
+                        add()
+                        # the next piece of the same text goes on from the last two symbols
+                        held, size = ([held[-1][-2:]] if at else []), 0
+                    held.append(_codes(lower[at : at + CHUNK], at == 0, at + CHUNK >= len(lower), held[-1][-1] if at else OTHER))
+                    size += len(held[-1])
+        add()
+        total.reshape(SYMBOLS, SYMBOLS, SYMBOLS)[:, END, END] = 0  # only where one text ends and the next begins
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["trigram", "n"])
 
@@ -71,12 +87,16 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
-def _codes(lower: str, first: bool) -> np.ndarray:
-    """Symbols of a text between word ends, white space as one."""
+def _codes(lower: str, first: bool, last: bool, before: int) -> np.ndarray:
+    """Symbols of a text, or of a piece of it behind the symbol ``before``, with white space and the text's ends as word ends."""
     c = _CODES[np.frombuffer(lower.encode("latin-1", "replace"), np.uint8)]
-    c = np.r_[[END, END], c, END] if first else np.r_[c, END]
-    twice = (c[1:] == END) & (c[:-1] == END)
-    return np.r_[c[0], c[1:][~twice]]
+    c = np.concatenate([_START if first else _NONE, c, _STOP if last else _NONE])
+    kept = c != END
+    kept[1:] |= c[:-1] != END
+    kept[: 2 * first] = True
+    if not first and len(c):
+        kept[0] = c[0] != END or before != END
+    return c[kept]
 
 
 def language_model(counts: np.ndarray) -> np.ndarray:
@@ -99,6 +119,9 @@ class Decoder:
 
     def read(self, word: str) -> tuple[str, ...]:
         """A lower-case token's restored words; a token of plain letters is its own."""
+        core = word.strip(_PUNCTUATION)
+        if not _THRICE.search(core) and (core.isascii() and core.isalpha() or _PLAIN.fullmatch(core)):
+            return (core,)
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= MEMORY:
@@ -107,8 +130,6 @@ class Decoder:
         return found
 
     def _read(self, word: str) -> tuple[str, ...]:
-        if _PLAIN.fullmatch(word) and not _THRICE.search(word):
-            return (word,)
         core = _EDGE.sub("", _RUN_AT_EDGE.sub("", word))
         if not core or (_PLAIN.fullmatch(core) and not _THRICE.search(core)):
             return (core,) if core else ()
@@ -196,6 +217,34 @@ def beginnings(word: str) -> list[str]:
     return [word[:k] + "-" for k in range(SHORTEST, min(LONGEST, len(word) - 1) + 1)] + [word]
 
 
+class Marks:
+    """Which weighed features a text's restored words have; remembers tokens."""
+
+    def __init__(self, decoder: Decoder, weight: dict[str, float]):
+        self.decoder, self.weight = decoder, weight
+        self.starts = {f[:SHORTEST] for f in weight}
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def of_text(self, text: str | None) -> set[str]:
+        tokens, found, known = (text or "").lower().split(), set(), self.known
+        for token in set(tokens):
+            own = known.get(token)
+            if own is None:
+                own = self._of(self.decoder.read(token))
+                if len(known) >= MEMORY:
+                    known.clear()
+                known[token] = own
+            if own:
+                found.update(own)
+        for spelt in spelt_out(tokens):
+            found.update(self._of(self.decoder.read_spelt(spelt)))
+        return found
+
+    def _of(self, words: tuple[str, ...]) -> tuple[str, ...]:
+        # few words begin like a feature
+        return tuple(f for w in words if w[:SHORTEST] in self.starts for f in beginnings(w) if f in self.weight)
+
+
 def restored_words(docs: DataFrame, cost: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and the distinct restored ``words`` of each text."""
     spark = docs.sparkSession
@@ -299,20 +348,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cost, weight = sent.value
-        decoder = Decoder(cost)
-        held: dict[str, tuple[str, ...]] = {}
+        marks = Marks(Decoder(cost), weight)
         for batch in batches:
-            margins = []
-            for text in batch.column("text"):
-                found: set[str] = set()
-                for word in decoder.words(text.as_py()):
-                    own = held.get(word)
-                    if own is None:
-                        if len(held) >= MEMORY:
-                            held.clear()
-                        own = held[word] = tuple(f for f in beginnings(word) if f in weight)
-                    found.update(own)
-                margins.append(offset + sum(weight[f] for f in found))
+            margins = [offset + sum(weight[f] for f in marks.of_text(text.as_py())) for text in batch.column("text")]
             score = 0.5 * (1 + np.tanh(np.array(margins, float) / 2))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
