@@ -24,7 +24,7 @@ CALIBRATION = 96
 """Queries whose exact neighbours say how many leaves to visit."""
 RECALL = 0.95
 """Recall the visits are widened to on the calibration queries."""
-BLOCK = 2_048
+BLOCK = 8_192
 """Rows that meet queries in one task at a time: neighbouring leaves together, or a part of a larger leaf."""
 COUNT = 20
 
