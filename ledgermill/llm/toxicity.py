@@ -28,6 +28,8 @@ PENALTY = 2.0
 """Residual documents a word beginning must explain before it weighs anything."""
 MEMORY = 200_000
 """Restored words a task remembers."""
+LONG_KEY = 64
+"""Longer stretches between letter pairs are searched each time instead of remembered."""
 CHUNK = 1 << 20
 """Characters a task counts at a time."""
 
@@ -52,9 +54,12 @@ _START, _STOP, _NONE = np.array([END, END]), np.array([END]), np.empty(0, np.int
 
 _PLAIN = re.compile(f"[{_LETTERS}]+")
 _PUNCTUATION = ".,;:?\"'-)"
-_THRICE = re.compile(r"(.)\1\1")
+_TWICE, _THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _EDGE = re.compile(r"^[^\w$@!|+(€£¡]+|[^\w$@!|+(€£¡]+$")
 _RUN_AT_EDGE = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
+_REPEATS = re.compile(r"(.)\1+")
+# two different letters side by side: behind them the lattice has one state, whatever came before
+_PAIR = re.compile(f"([{_LETTERS}])(?!\\1)[{_LETTERS}]")
 
 
 def trigram_counts(docs: DataFrame) -> DataFrame:
@@ -116,11 +121,14 @@ class Decoder:
 
     cost: np.ndarray
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    shapes: dict[str, tuple[str, str, str]] = field(default_factory=dict)
+    gaps: dict[str, tuple[bool, ...]] = field(default_factory=dict)
+    repeats: dict[str, int] = field(default_factory=dict)
 
     def read(self, word: str) -> tuple[str, ...]:
-        """A lower-case token's restored words; a token of plain letters is its own."""
+        """A lower-case token's restored words; a token of plain letters is its own, and with doubled ones also what they may be short for."""
         core = word.strip(_PUNCTUATION)
-        if not _THRICE.search(core) and (core.isascii() and core.isalpha() or _PLAIN.fullmatch(core)):
+        if not _TWICE.search(core) and (core.isascii() and core.isalpha() or _PLAIN.fullmatch(core)):
             return (core,)
         found = self.known.get(word)
         if found is None:
@@ -131,12 +139,49 @@ class Decoder:
 
     def _read(self, word: str) -> tuple[str, ...]:
         core = _EDGE.sub("", _RUN_AT_EDGE.sub("", word))
-        if not core or (_PLAIN.fullmatch(core) and not _THRICE.search(core)):
-            return (core,) if core else ()
+        if not core:
+            return ()
+        if _PLAIN.fullmatch(core) and not _THRICE.search(core):
+            return tuple(dict.fromkeys([core, self.squeezed(core)]))
         return tuple(w for w in self.viterbi(core).split() if w)
 
+    def squeezed(self, letters: str) -> str:
+        """What ``viterbi`` reads in a word of plain letters.
+
+        Only repeated letters leave a choice there; the letter before them and
+        the one behind fix the lattice's states, so each such place is decided
+        on its own.
+        """
+
+        def kept(found: re.Match) -> str:
+            start, end = found.span()
+            key = letters[start - 1 : end + 1] if start else " " + letters[: end + 1]
+            size = self.repeats.get(key)
+            if size is None:
+                size = self._repeats(letters, start, end)
+                if len(self.repeats) < MEMORY:
+                    self.repeats[key] = size
+            return found[1] * size
+
+        return _REPEATS.sub(kept, letters)
+
+    def _repeats(self, letters: str, start: int, end: int) -> int:
+        """How many of a run of one letter are meant."""
+        before = _INDEX[letters[start - 1]] if start else END
+        behind = _INDEX[letters[end]] if end < len(letters) else END
+        a, size, cost = _INDEX[letters[start]], end - start, self.cost
+        paid = [float(cost[before, a, behind]) + (size - 1) * DROP_REPEAT]
+        for k in range(2, size + 1):
+            more = cost[before, a, a] + (k - 2) * cost[a, a, a] + cost[a, a, behind]
+            paid.append(float(more) + (size - k) * DROP_REPEAT)
+        return 1 + paid.index(min(paid))
+
     def viterbi(self, text: str) -> str:
-        """The cheapest reading of a token or of letters spaced out.
+        """The cheapest reading of a token or of letters spaced out."""
+        return self._path(text).replace("\n", "")
+
+    def _path(self, text: str) -> str:
+        """The cheapest reading, with a line feed for each space that is read as nothing.
 
         Every character offers what it may stand for: a letter itself, a digit
         or sign the letters it looks like or (a sign at the edges cheaply)
@@ -168,7 +213,7 @@ class Decoder:
                         s = END if letter == " " else _INDEX[letter]
                         to, total, path = (b, s), paid + price + float(cost[a, b, s]), (letter, back)
                     else:
-                        to, total, path = (a, b), paid + price, back
+                        to, total, path = (a, b), paid + price, ("\n", back) if c == " " else back
                     if to not in step or total < step[to][0]:
                         step[to] = (total, path)
             states, before = step, c
@@ -185,10 +230,115 @@ class Decoder:
         found: set[str] = set()
         for token in set(tokens):
             found.update(self.read(token))
-        for spelt in spelt_out(tokens):
+        shapes = self.shaped(tokens)
+        for spelt in spelt_out([core for core, _, _ in shapes]):
             found.update(self.read_spelt(spelt))
+        for word in self.joined(shapes):
+            found.update(self.read_joined(word))
         return found
 
+    def shape(self, token: str) -> tuple[str, str, str]:
+        """A token without the signs at its edges, its beginning up to its first two different letters, and its end from the last two on."""
+        found = self.shapes.get(token)
+        if found is None:
+            if len(self.shapes) >= MEMORY:
+                self.shapes.clear()
+            core = token.strip(_PUNCTUATION)
+            if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
+                found = self.shapes[token] = core, core[:2], core[-2:]
+                return found
+            core = token if len(token) == 1 else _EDGE.sub("", _RUN_AT_EDGE.sub("", token))
+            first, last = _PAIR.search(core), _PAIR.search(core[::-1])
+            found = self.shapes[token] = (core, core[: first.end()], core[len(core) - last.end() :]) if first and last else (core, "", "")
+        return found
+
+    def shaped(self, tokens: list[str]) -> list[tuple[str, str, str]]:
+        get, shape = self.shapes.get, self.shape
+        return [get(token) or shape(token) for token in tokens]
+
+    def dropped(self, text: str) -> tuple[bool, ...]:
+        """Which spaces of a text the cheapest reading leaves out."""
+        if len(text) == 5 and text[2] == " " and _PLAIN.fullmatch(text[:2]) and _PLAIN.fullmatch(text[3:]) and text[0] != text[1] and text[3] != text[4]:
+            a, b, c, d, cost = *(_INDEX[x] for x in text.replace(" ", "")), self.cost  # two readings only
+            apart = float(cost[a, b, END]) + float(cost[b, END, c]) + float(cost[END, c, d])
+            return (float(cost[a, b, c]) + float(cost[b, c, d]) + DROP_SPACE < apart,)
+        return tuple(c == "\n" for c in self._path(text) if c in " \n")
+
+    def joined(self, shapes: list[tuple[str, str, str]]) -> set[str]:
+        """Neighbouring tokens, run together where the cheapest reading of the text has no space between them.
+
+        Between two different letters in one token and two in a later one, the
+        lattice starts and ends in one state, so these stretches are searched
+        one by one and remembered, and together are the search of the whole
+        text. A token with letters the model doesn't have is not joined.
+        """
+        out: set[str] = set()
+        gaps = self.gaps
+        run: list[str] = []  # cores without a space between them so far
+        end, between = "", []  # the open stretch: the end of its first token and the tokens behind
+
+        def close(beginning: str) -> tuple[bool, ...]:
+            key = " ".join([end, *between, beginning]).strip()
+            dropped = gaps.get(key)
+            if dropped is None:
+                dropped = self.dropped(key)
+                if len(gaps) >= MEMORY:
+                    gaps.clear()
+                if len(key) <= LONG_KEY:
+                    gaps[key] = dropped
+            return dropped
+
+        def settle(cores: list[str], dropped: tuple[bool, ...]) -> None:
+            nonlocal run
+            for core, together in zip(cores, dropped, strict=True):
+                if together:
+                    run.append(core)
+                    continue
+                if len(run) > 1:
+                    out.add("".join(run))
+                run = [core]
+
+        for core, beginning, ending in shapes:
+            if end and beginning and not between:
+                dropped = gaps.get(f"{end} {beginning}") or close(beginning)
+                if dropped[0]:
+                    run.append(core)
+                else:
+                    if len(run) > 1:
+                        out.add("".join(run))
+                    run = [core]
+                end = ending
+            elif beginning:
+                cores = [*between, core]
+                if end:
+                    settle(cores, close(beginning))
+                elif between:  # the first token has no letter pair
+                    run = cores[:1]
+                    settle(cores[1:], close(beginning))
+                else:
+                    run = [core]
+                end, between = ending, []
+            elif core and all(c in _INDEX or c in LEET for c in core):
+                between.append(core)
+            elif any(c.isalnum() for c in core):
+                if between:
+                    run = run if end else between[:1]
+                    settle(between if end else between[1:], close(""))
+                settle([""], (False,))
+                run, end, between = [], "", []
+        if between:
+            run = run if end else between[:1]
+            settle(between if end else between[1:], close(""))
+        if len(run) > 1:
+            out.add("".join(run))
+        return out
+
+    def read_joined(self, word: str) -> tuple[str, ...]:
+        """Like ``read``; words of plain letters are not remembered, as few occur twice."""
+        if not _PLAIN.fullmatch(word) or _THRICE.search(word):
+            return self.read(word)
+        return (word, self.squeezed(word)) if _TWICE.search(word) else (word,)
+
     def read_spelt(self, letters: tuple[str, ...]) -> tuple[str, ...]:
         key = " ".join(letters)
         found = self.known.get(key)
@@ -200,11 +350,13 @@ class Decoder:
 
 
 def spelt_out(tokens: list[str]) -> set[tuple[str, ...]]:
-    """Runs of at least three single characters that aren't all the same."""
+    """Runs of at least three single characters that aren't all the same; tokens come without the signs at their edges."""
     out, run = set(), []
-    for token in [*tokens, ""]:
-        if len(token) == 1:
-            run.append(token)
+    for token in [*tokens, "  "]:
+        if len(token) < 2:
+            run += token  # nothing is left of a token of signs
+            continue
+        if not run:
             continue
         if len(run) >= 3 and len(set(run)) > 1:
             out.add(tuple(run))
@@ -236,8 +388,11 @@ class Marks:
                 known[token] = own
             if own:
                 found.update(own)
-        for spelt in spelt_out(tokens):
+        shapes = self.decoder.shaped(tokens)
+        for spelt in spelt_out([core for core, _, _ in shapes]):
             found.update(self._of(self.decoder.read_spelt(spelt)))
+        for word in self.decoder.joined(shapes):
+            found.update(self._of(self.decoder.read_joined(word)))
         return found
 
     def _of(self, words: tuple[str, ...]) -> tuple[str, ...]:
@@ -318,8 +473,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     """``doc_id, score`` for each row of ``docs(doc_id, text)``: the probability of toxicity.
 
     ``labels(doc_id, toxic)`` are learnt from as they come. Character trigrams
-    of all texts make the language model; words with signs, digits, spacing or
-    repetition are read by a Viterbi search under it; beginnings of the
+    of all texts make the language model; words with signs, digits, spacing
+    (between any tokens) or repetition (of two letters or more) are read by a Viterbi search under it; beginnings of the
     restored words are weighed by a sparse logistic classifier fitted on a
     bounded sample. Whole texts are read, in one pass for the model and one for
     the scores.

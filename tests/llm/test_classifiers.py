@@ -71,6 +71,31 @@ def test_disguised_words_are_read(decoder):
     assert decoder.words("Plain words, stay.") == {"plain", "words", "stay"}
 
 
+def test_doubled_letters_and_any_spacing_are_read(decoder):
+    for disguised, meant in {
+        "iiddiioott": "idiot", "sstupid": "stupid", "stuupid": "stupid", "st upid": "stupid", "id iot": "idiot", "i di ot": "idiot",
+        "i, d, i, o, t": "idiot", "s tupid": "stupid", "mo. ron!": "moron", "1d iot": "idiot", "iid ioot": "idiot",
+    }.items():
+        for text in (disguised, f"The {disguised} was", f"the {disguised}, 7 \u0436\u0436 {disguised}."):
+            assert meant in decoder.words(text), (text, decoder.words(text))
+    assert {"letter", "look"} <= decoder.words("a letter, look") and decoder.joined(decoder.shaped("it is of the man".split())) == set()
+    for word in ("iiddiioott", "letter", "aab", "baa", "aa", "ooffee", "stuuupid", "wwhheenn"):
+        assert decoder.squeezed(word) == decoder.viterbi(word), word
+
+
+def test_stretches_are_the_search_of_the_whole_text(decoder):
+    rng = np.random.default_rng(0)
+    pieces = "the st upid id iot i di ot a of and tra sh look oo 1d x| s scu m er los".split()
+    for _ in range(300):
+        tokens = [str(t) for t in rng.choice(pieces, rng.integers(2, 9))]
+        dropped = [c == "\n" for c in decoder._path(" ".join(tokens)) if c in " \n"]
+        shapes = decoder.shaped(tokens)
+        runs = [tokens[:1]]
+        for token, together in zip(tokens[1:], dropped, strict=True):
+            runs[-1].append(token) if together else runs.append([token])
+        assert decoder.joined(shapes) == {"".join(r) for r in runs if len(r) > 1}, tokens
+
+
 def test_counts_follow_every_character(spark):
     docs = spark.createDataFrame([("Ab b",), (None,), ("",), ("a" * (1 << 20) + "bc",)], "text string")
     n = {r["trigram"]: r["n"] for r in toxicity.trigram_counts(docs).collect()}
