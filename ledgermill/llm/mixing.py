@@ -90,7 +90,7 @@ def pivot(size: np.ndarray, part: np.ndarray, draw: np.ndarray) -> int:
 
 
 def settle(size: np.ndarray, part: np.ndarray, left: int) -> None:
-    """Round a source's last fraction to the nearer side and let smaller rows of its group make up for the miss.
+    """Round a source's last fraction to the nearer side and let the other rows at hand make up for the miss.
 
     Rows come largest first. A row changes sides only where that brings the
     source's words nearer to its target.
@@ -107,6 +107,16 @@ def _whole(x: float) -> float:
     return 0.0 if x < 1e-12 else 1.0 if x > 1 - 1e-12 else x
 
 
+def spare(size: np.ndarray, part: np.ndarray, largest: float) -> np.ndarray:
+    """Decided rows that go up the tree: of those taken and those not, the smallest that hold half the source's ``largest`` row together."""
+    out = np.zeros(len(size), bool)
+    for side in (0.0, 1.0):
+        rows = np.flatnonzero((part == side) & (size > 0))[::-1]  # rows come largest first
+        before = np.cumsum(size[rows]) - size[rows]
+        out[rows[before < largest / 2]] = True
+    return out
+
+
 def rounder(seed: int, level: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def rounded(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "id_hash"], ascending=[False, True], kind="stable")
@@ -115,7 +125,10 @@ def rounder(seed: int, level: int, last: bool) -> Callable[[pd.DataFrame], pd.Da
         left = pivot(size, part, draws(ids, seed, level))
         if last and left >= 0:
             settle(size, part, left)
-        return group.assign(part=part, bucket=group["bucket"] // FAN_IN)
+        up = (part > 0) & (part < 1)
+        if not last and len(group):
+            up |= spare(size, part, float(group["largest"].iloc[0]))
+        return group.assign(part=part, up=up, bucket=group["bucket"] // FAN_IN)
 
     return rounded
 
@@ -129,8 +142,11 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
     for all of a source. Whole copies are given, fractions are rounded by
     pairs: inside groups of at most about ``GROUP_ROWS`` rows first, then each group's one
     residual meets those of ``FAN_IN`` groups, up the tree, until a source has
-    one left, which ``settle`` rounds. So a source's words miss its target by at
-    most half a document. Draws depend on ids alone; reruns agree.
+    one left, which ``settle`` rounds. With it go each group's smallest decided
+    rows, as many as hold half the source's longest document (so no more than it
+    has words), and make up for the miss: at every size, a source's words miss
+    its target by half a short document where it has enough of them, and by half
+    a document at most. Draws depend on ids alone; reruns agree.
 
     A null text or one without words has size 0 and is taken by whole copies
     only; a null source is a source, the last one; null ids and repeated rows
@@ -144,15 +160,16 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
             F.col("source").cast("string").alias("source"),
         )
     )
-    per_source = measured.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    per_source = measured.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"), F.max("size").alias("largest"))
     counted = written(per_source)
     goal = targets(counted.select("source", "source_size"), **mixture)
     plan = written(
-        goal.join(counted.select(F.col("source").alias("s"), "rows"), F.col("source").eqNullSafe(F.col("s"))).select(
+        goal.join(counted.select(F.col("source").alias("s"), "rows", "largest"), F.col("source").eqNullSafe(F.col("s"))).select(
             F.xxhash64(F.col("source").isNull(), "source").alias("source_key"),
             F.col("source").alias("s"),
             "source_size",
             "target",
+            "largest",
             F.ceil(F.col("rows") / GROUP_ROWS).cast("bigint").alias("groups"),
         )
     )
@@ -165,6 +182,8 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
         F.floor(rate).cast("int").alias("whole"),
         F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(F.lit(0.0)).alias("part"),
         F.pmod(F.xxhash64(id_hash, F.lit(seed)), F.col("groups")).alias("bucket"),
+        "largest",
+        F.lit(False).alias("up"),
     )
     schema = rows.schema
     decided, level, most = [], 0, most or 1
@@ -173,10 +192,10 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
         last = most == 1
 
         done = written(rows.groupBy("source_key", "bucket").applyInPandas(rounder(seed, level, last), schema))
-        decided.append(done.where("part = 0 OR part = 1"))
+        decided.append(done.where("NOT up"))
         if last:
             break
-        rows, most = done.where("part > 0 AND part < 1"), math.ceil(most / FAN_IN)
+        rows, most = done.where("up"), math.ceil(most / FAN_IN)
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)

@@ -187,6 +187,16 @@ def test_words_come_near_their_targets(spark, settings, group):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_short_rows_make_up_for_a_long_one_at_every_size(spark, settings):
+    settings(mixing, "GROUP_ROWS", 50)
+    settings(mixing, "FAN_IN", 3)
+    rows = [(k, "w " * (3000 if k % 100 == 0 else 1 + k % 20), "abc"[k % 3]) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    for seed in (1, 2):
+        found = mixing.copies(docs, seed).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")), F.first("target"), F.count("*")).collect()
+        assert len(found) == 3 and all(abs(taken - target) <= 1 and n == 1000 for _, taken, target, n in found), found
+
+
 def test_pivots_keep_sums_and_expectations():
     rng = np.random.default_rng(0)
     size = rng.integers(1, 50, 11).astype(float)
