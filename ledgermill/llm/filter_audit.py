@@ -20,11 +20,13 @@ MASKS = 1 << len(FILTERS)
 PREFIXES = tuple(4**k for k in range(2, 16))
 """Lengths in bytes a text's prefix may take; a text as long or shorter is its own prefix."""
 PART_BYTES = 64 << 20
-"""Bytes of texts aimed at in a range; a prefix that holds more is lengthened."""
+"""Bytes of texts a range holds at most, while ``MOST_PARTS`` suffice; a prefix that holds more than a range is lengthened."""
 MOST_PARTS = 1 << 16
-"""Ranges at most, so that heavy prefixes are bounded: no more than this for each length."""
+"""Ranges at most; beyond, ranges grow, and a task empties its trie between their prefixes."""
+HEAVY = 1 << 18
+"""Heavy prefixes of a length at most: beyond, a prefix may hold as much as gives no more of them."""
 TRIE_BYTES, TRIE_ROWS = 32 << 20, 200_000
-"""Texts and rows a task's own trie takes before it is emptied into the output."""
+"""Texts and rows a task's trie takes before it is emptied into the output."""
 BATCH_BYTES, BATCH_ROWS = 16 << 20, 10_000
 
 
@@ -117,48 +119,47 @@ class _Rows:
         return out
 
 
-def _own_duplicates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of texts a smaller id of the same task has are flagged and lose the text; of other rows with a text one carries it for all equal ids."""
-    out = None
-    trie, held, rows = Trie(), 0, 0
-
-    def emptied() -> Iterator[pa.RecordBatch]:
-        for text, least, members in trie.terminals():
-            for place, (doc_id, part, mask) in members:
-                known = place != least
-                if out.add((doc_id, part, mask | DUPLICATE * known, None if known else text), 0 if known else len(text)):
-                    yield out.batch()
-
+def _inserted(batches: Iterator[pa.RecordBatch], together: str | None) -> Iterator[tuple[pa.DataType, Iterator[tuple[bytes, tuple, list]]]]:
+    """The terminals of one trie after the other, each full, and not left between rows equal in the column ``together``."""
+    trie, held, rows, last, kind = Trie(), 0, 0, None, None
     for batch in batches:
-        out = out or _Rows(batch.column("doc_id").type, ("text", pa.binary()))
-        texts = batch.column("text")
+        kind = batch.column("doc_id").type
+        texts, keys = batch.column("text"), batch.column(together) if together else None
         for at, (doc_id, part, mask) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "mask")), strict=True)):
+            if held >= TRIE_BYTES or rows >= TRIE_ROWS:
+                if keys is None or keys[at].as_py() != last:
+                    yield kind, trie.terminals()
+                    trie, held, rows = Trie(), 0, 0
             text = texts[at].as_py()
             held += len(text) * trie.insert(text, _place(doc_id), (doc_id, part, mask))
             rows += 1
-            if held >= TRIE_BYTES or rows >= TRIE_ROWS:
-                yield from emptied()
-                trie, held, rows = Trie(), 0, 0
-    if out is not None:
-        yield from emptied()
+            if keys is not None and (held >= TRIE_BYTES or rows >= TRIE_ROWS):
+                last = keys[at].as_py()
+    if kind is not None:
+        yield kind, trie.terminals()
+
+
+def _own_duplicates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts that a smaller id of the same trie has are flagged and lose the text; rows of the smallest keep it."""
+    for kind, terminals in _inserted(batches, None):
+        out = _Rows(kind, ("text", pa.binary()))
+        for text, least, members in terminals:
+            for place, (doc_id, part, mask) in members:
+                known = place != least
+                if out.add((doc_id, part, mask | DUPLICATE * known, None if known else text), 0 if known else len(text)):
+                    yield out.batch()
         yield out.batch()
 
 
 def _all_duplicates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows of a range in one trie; then the rows without their text, flagged where a smaller id has it."""
-    out, trie = None, Trie()
-    for batch in batches:
-        out = out or _Rows(batch.column("doc_id").type)
-        texts = batch.column("text")
-        for at, (doc_id, part, mask) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "mask")), strict=True)):
-            trie.insert(texts[at].as_py(), _place(doc_id), (doc_id, part, mask))
-    if out is None:
-        return
-    for _, least, members in trie.terminals():
-        for place, (doc_id, part, mask) in members:
-            if out.add((doc_id, part, mask | DUPLICATE * (place != least))):
-                yield out.batch()
-    yield out.batch()
+    """All rows of a range, sorted by prefix, in tries that hold whole prefixes; the rows without their text, flagged where a smaller id has it."""
+    for kind, terminals in _inserted(batches, "prefix"):
+        out = _Rows(kind)
+        for _, least, members in terminals:
+            for place, (doc_id, part, mask) in members:
+                if out.add((doc_id, part, mask | DUPLICATE * (place != least))):
+                    yield out.batch()
+        yield out.batch()
 
 
 def adaptive_prefix(rows: DataFrame, part_bytes: int = PART_BYTES) -> tuple[Column, int]:
@@ -167,12 +168,14 @@ def adaptive_prefix(rows: DataFrame, part_bytes: int = PART_BYTES) -> tuple[Colu
     Bytes are counted for every prefix length at once, over all rows, combined
     in each task first. A text goes by its shortest prefix that doesn't hold
     more than a range's bytes, or by the whole text; equal texts go by the same
-    one. Only hashes of heavy prefixes reach the driver, at most
-    ``MOST_PARTS`` for each length.
+    one. There are as many ranges as the session has shuffle partitions, or
+    more, as ``part_bytes`` ask for. Only hashes of heavy prefixes reach the
+    driver, at most ``HEAVY`` for each length.
     """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    aimed = max(part_bytes, math.ceil(total / MOST_PARTS))
-    parts = max(1, math.ceil(total / aimed))
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(MOST_PARTS, max(least, math.ceil(total / part_bytes))))
+    aimed = max(min(total // parts, part_bytes), total // HEAVY)
     cut = lambda n: F.substring(F.col("text"), F.lit(1), F.lit(n))
     hashed = lambda n: F.xxhash64(F.lit(n), cut(n))
     shorter = F.array(*(F.when(F.octet_length("text") > n, F.struct(F.lit(n).alias("n"), hashed(n).alias("h"))) for n in PREFIXES))
@@ -196,7 +199,7 @@ def flagged(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
     Each task first puts its texts into tries of its own. Rows that a smaller
     id of the task beats are decided; the rest, a row per text and task, are
-    stored and meet by range of an adaptive text prefix, each range in one
+    stored and meet by range of an adaptive text prefix, each prefix in one
     trie. A text that a third of all rows share is thus at most a row per task
     (and as many more as repeat the smallest id there), however frequent it is.
     """
@@ -207,7 +210,7 @@ def flagged(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     first = written(rows.mapInArrow(_own_duplicates, f"{kind}, text binary"))
     open_rows = first.where(F.col("text").isNotNull())
     prefix, parts = adaptive_prefix(open_rows, part_bytes)
-    ranged = open_rows.withColumn("prefix", prefix).repartitionByRange(parts, "prefix").drop("prefix")
+    ranged = open_rows.withColumn("prefix", prefix).repartitionByRange(parts, "prefix").sortWithinPartitions("prefix")
     return first.where(F.col("text").isNull()).drop("text").unionByName(ranged.mapInArrow(_all_duplicates, kind))
 
 
