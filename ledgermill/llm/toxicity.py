@@ -121,10 +121,12 @@ class Decoder:
 
     cost: np.ndarray
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    shapes: dict[str, tuple[str, str, str]] = field(default_factory=dict)
     gaps: dict[str, tuple[bool, ...]] = field(default_factory=dict)
     repeats: dict[str, int] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.seen = Seen(self)
+
     def read(self, word: str) -> tuple[str, ...]:
         """A lower-case token's restored words; a token of plain letters is its own, and with doubled ones also what they may be short for."""
         core = word.strip(_PUNCTUATION)
@@ -225,36 +227,42 @@ class Decoder:
         return "".join(reversed(out))
 
     def words(self, text: str | None) -> set[str]:
-        """The distinct words of a text as restored, spelt-out ones too."""
-        tokens = (text or "").lower().split()
-        found: set[str] = set()
-        for token in set(tokens):
-            found.update(self.read(token))
-        shapes = self.shaped(tokens)
-        for spelt in spelt_out([core for core, _, _ in shapes]):
+        """The distinct words of a text as restored, spelt-out and joined ones too."""
+        at = self.shaped((text or "").lower().split())
+        found = {w for k in set(at.tolist()) for w in self.read(self.seen.tokens[k])}
+        for spelt in self.seen.spelt_out(at):
             found.update(self.read_spelt(spelt))
-        for word in self.joined(shapes):
+        for word in self.joined(at):
             found.update(self.read_joined(word))
         return found
 
+    def shaped(self, tokens: list[str]) -> np.ndarray:
+        """The tokens' numbers in ``seen``, which knows their shapes."""
+        return self.seen.numbers(tokens)
+
+    def joined(self, shaped: np.ndarray) -> set[str]:
+        """Neighbouring tokens, run together where the cheapest reading of the text has no space between them."""
+        return set(self.seen.joined(shaped))
+
     def shape(self, token: str) -> tuple[str, str, str]:
         """A token without the signs at its edges, its beginning up to its first two different letters, and its end from the last two on."""
-        found = self.shapes.get(token)
-        if found is None:
-            if len(self.shapes) >= MEMORY:
-                self.shapes.clear()
-            core = token.strip(_PUNCTUATION)
-            if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
-                found = self.shapes[token] = core, core[:2], core[-2:]
-                return found
-            core = token if len(token) == 1 else _EDGE.sub("", _RUN_AT_EDGE.sub("", token))
-            first, last = _PAIR.search(core), _PAIR.search(core[::-1])
-            found = self.shapes[token] = (core, core[: first.end()], core[len(core) - last.end() :]) if first and last else (core, "", "")
-        return found
-
-    def shaped(self, tokens: list[str]) -> list[tuple[str, str, str]]:
-        get, shape = self.shapes.get, self.shape
-        return [get(token) or shape(token) for token in tokens]
+        core = token.strip(_PUNCTUATION)
+        if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
+            return core, core[:2], core[-2:]
+        core = token if len(token) == 1 else _EDGE.sub("", _RUN_AT_EDGE.sub("", token))
+        first, last = _PAIR.search(core), _PAIR.search(core[::-1])
+        return (core, core[: first.end()], core[len(core) - last.end() :]) if first and last else (core, "", "")
+
+    def gap(self, key: str) -> tuple[bool, ...]:
+        """``dropped``, remembered."""
+        dropped = self.gaps.get(key)
+        if dropped is None:
+            dropped = self.dropped(key)
+            if len(self.gaps) >= MEMORY:
+                self.gaps.clear()
+            if len(key) <= LONG_KEY:
+                self.gaps[key] = dropped
+        return dropped
 
     def dropped(self, text: str) -> tuple[bool, ...]:
         """Which spaces of a text the cheapest reading leaves out."""
@@ -264,75 +272,6 @@ class Decoder:
             return (float(cost[a, b, c]) + float(cost[b, c, d]) + DROP_SPACE < apart,)
         return tuple(c == "\n" for c in self._path(text) if c in " \n")
 
-    def joined(self, shapes: list[tuple[str, str, str]]) -> set[str]:
-        """Neighbouring tokens, run together where the cheapest reading of the text has no space between them.
-
-        Between two different letters in one token and two in a later one, the
-        lattice starts and ends in one state, so these stretches are searched
-        one by one and remembered, and together are the search of the whole
-        text. A token with letters the model doesn't have is not joined.
-        """
-        out: set[str] = set()
-        gaps = self.gaps
-        run: list[str] = []  # cores without a space between them so far
-        end, between = "", []  # the open stretch: the end of its first token and the tokens behind
-
-        def close(beginning: str) -> tuple[bool, ...]:
-            key = " ".join([end, *between, beginning]).strip()
-            dropped = gaps.get(key)
-            if dropped is None:
-                dropped = self.dropped(key)
-                if len(gaps) >= MEMORY:
-                    gaps.clear()
-                if len(key) <= LONG_KEY:
-                    gaps[key] = dropped
-            return dropped
-
-        def settle(cores: list[str], dropped: tuple[bool, ...]) -> None:
-            nonlocal run
-            for core, together in zip(cores, dropped, strict=True):
-                if together:
-                    run.append(core)
-                    continue
-                if len(run) > 1:
-                    out.add("".join(run))
-                run = [core]
-
-        for core, beginning, ending in shapes:
-            if end and beginning and not between:
-                dropped = gaps.get(f"{end} {beginning}") or close(beginning)
-                if dropped[0]:
-                    run.append(core)
-                else:
-                    if len(run) > 1:
-                        out.add("".join(run))
-                    run = [core]
-                end = ending
-            elif beginning:
-                cores = [*between, core]
-                if end:
-                    settle(cores, close(beginning))
-                elif between:  # the first token has no letter pair
-                    run = cores[:1]
-                    settle(cores[1:], close(beginning))
-                else:
-                    run = [core]
-                end, between = ending, []
-            elif core and all(c in _INDEX or c in LEET for c in core):
-                between.append(core)
-            elif any(c.isalnum() for c in core):
-                if between:
-                    run = run if end else between[:1]
-                    settle(between if end else between[1:], close(""))
-                settle([""], (False,))
-                run, end, between = [], "", []
-        if between:
-            run = run if end else between[:1]
-            settle(between if end else between[1:], close(""))
-        if len(run) > 1:
-            out.add("".join(run))
-        return out
-
     def read_joined(self, word: str) -> tuple[str, ...]:
         """Like ``read``; words of plain letters are not remembered, as few occur twice."""
         if not _PLAIN.fullmatch(word) or _THRICE.search(word):
@@ -349,19 +288,144 @@ class Decoder:
         return found
 
 
-def spelt_out(tokens: list[str]) -> set[tuple[str, ...]]:
-    """Runs of at least three single characters that aren't all the same; tokens come without the signs at their edges."""
-    out, run = set(), []
-    for token in [*tokens, "  "]:
-        if len(token) < 2:
-            run += token  # nothing is left of a token of signs
-            continue
-        if not run:
-            continue
-        if len(run) >= 3 and len(set(run)) > 1:
-            out.add(tuple(run))
-        run = []
-    return out
+class Seen:
+    """The distinct tokens of many texts by number, with what joins need to know of each in arrays.
+
+    Texts become arrays of numbers, so what is true of each token or gap is
+    looked up for all of them at once, and a token is taken apart once.
+    """
+
+    def __init__(self, decoder: Decoder, room: int = MEMORY):
+        self.decoder, self.room = decoder, room
+        self.cost = decoder.cost.astype(np.float64).ravel()
+        self.forgotten = 0
+        self.number: dict[str, int] = {}
+        self.tokens: list[str] = []
+        self.shapes: list[tuple[str, str, str]] = []
+        # kind, code of the two letters a token begins with and ends with (-1: more than these), length of its core, whether all letters
+        self.facts = np.empty((256, 5), np.int32)
+
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """Each token's number, the same until tokens are forgotten, which only happens here."""
+        if len(self.tokens) > self.room:
+            self.forget()
+        number, known = self.number, len(self.tokens)
+        for token in tokens:
+            if token not in number:
+                number[token] = len(self.tokens)
+                self.tokens.append(token)
+        if len(self.tokens) > known:
+            self.add(known)
+        return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+
+    def forget(self) -> None:
+        self.forgotten += 1
+        self.number.clear()
+        self.tokens.clear()
+        self.shapes.clear()
+
+    def add(self, start: int) -> None:
+        """Take the tokens from ``start`` on apart."""
+        shape, facts = self.decoder.shape, []
+        for token in self.tokens[start:]:
+            found = core, beginning, ending = shape(token)
+            if beginning:
+                kind = PAIRED
+            elif core and all(c in _INDEX or c in LEET for c in core):
+                kind = BETWEEN
+            else:
+                kind = FOREIGN if any(c.isalnum() for c in core) else SIGNS
+            letters = core.isalpha() if core.isascii() else _PLAIN.fullmatch(core) is not None
+            facts.append((kind, _PAIRS.get(beginning, -1), _PAIRS.get(ending, -1), len(core), letters))
+            self.shapes.append(found)
+        if len(self.tokens) > len(self.facts):
+            more = np.empty((max(len(self.tokens), 2 * len(self.facts)) - len(self.facts), 5), np.int32)
+            self.facts = np.concatenate([self.facts, more])
+        self.facts[start : len(self.tokens)] = facts
+
+    def spelt_out(self, at: np.ndarray) -> set[tuple[str, ...]]:
+        """Runs of at least three single characters that aren't all the same; nothing is left of a token of signs."""
+        size = self.facts[at, 3]
+        longer = size > 1
+        singles = np.cumsum(size == 1)
+        if not len(at) or singles[-1] < 3:
+            return set()
+        ends = np.append(np.flatnonzero(longer), len(at))  # runs lie between longer tokens
+        held = np.diff(np.append(0, np.append(singles, singles[-1])[ends]))
+        out = set()
+        for k in np.flatnonzero(held >= 3):
+            run = tuple(c for t in at[ends[k - 1] + 1 if k else 0 : ends[k]] for c in self.shapes[t][0])
+            if len(set(run)) > 1:
+                out.add(run)
+        return out
+
+    def joined(self, at: np.ndarray, matters: np.ndarray | None = None) -> Iterator[str]:
+        """Neighbouring tokens, run together where the cheapest reading of the text has no space between them.
+
+        Between two different letters in one token and two in a later one, the
+        lattice starts and ends in one state, so these stretches are searched
+        one by one and remembered, and together are the search of the whole
+        text. A token with letters the model doesn't have is not joined. Of
+        runs of letters only, those whose first token ``matters`` (by number)
+        are returned.
+        """
+        kind = self.facts[at, 0]
+        if SIGNS in kind:
+            at = at[kind != SIGNS]
+        together = np.flatnonzero(self.together(at))
+        if not len(together):
+            return
+        parts = np.flatnonzero(np.diff(together) > 1)
+        first = together[np.append(0, parts + 1)]
+        last = together[np.append(parts, len(together) - 1)] + 2
+        if matters is not None:
+            others = np.append(0, np.cumsum(self.facts[at, 4] == 0))
+            some = matters[at[first]] | (others[last] > others[first])
+            first, last = first[some], last[some]
+        numbers, shapes = at.tolist(), self.shapes
+        for f, l in zip(first.tolist(), last.tolist(), strict=True):
+            yield "".join([shapes[t][0] for t in numbers[f:l]])
+
+    def together(self, at: np.ndarray) -> np.ndarray:
+        """Which tokens the cheapest reading joins to the next one."""
+        kind, begins, ends = self.facts[at, 0], self.facts[at, 1], self.facts[at, 2]
+        out = np.zeros(max(0, len(at) - 1), bool)
+        paired = (kind[:-1] == PAIRED) & (kind[1:] == PAIRED)
+        end, begin = ends[:-1].astype(np.int64), begins[1:].astype(np.int64)
+        plain = np.flatnonzero(paired & (end >= 0) & (begin >= 0))
+        # two readings only: with the space and without
+        a_b, c_d = end[plain], begin[plain]
+        b, c, cost = a_b % SYMBOLS * SYMBOLS**2, c_d // SYMBOLS, self.cost
+        apart = cost[a_b * SYMBOLS + END] + cost[b + END * SYMBOLS + c] + cost[END * SYMBOLS**2 + c_d]
+        out[plain] = cost[a_b * SYMBOLS + c] + cost[b + c_d] + DROP_SPACE < apart
+        shapes, gap, numbers = self.shapes, self.decoder.gap, at.tolist()
+        others = np.flatnonzero(paired & ((end < 0) | (begin < 0))).tolist()
+        if others:
+            out[others] = [gap(f"{shapes[numbers[k]][2]} {shapes[numbers[k + 1]][1]}")[0] for k in others]
+        between = np.flatnonzero(kind == BETWEEN)
+        if not len(between):
+            return out
+        parts = np.flatnonzero(np.diff(between) > 1)
+        firsts, lasts = between[np.append(0, parts + 1)], between[np.append(parts, len(between) - 1)]
+        pairs = np.append(kind == PAIRED, False)  # the last also stands before the first
+        for first, last, left, right in zip(firsts.tolist(), lasts.tolist(), pairs[firsts - 1].tolist(), pairs[lasts + 1].tolist(), strict=True):
+            key = [shapes[t][0] for t in numbers[first : last + 1]]
+            if left:
+                first -= 1
+                key.insert(0, shapes[numbers[first]][2])
+            if right:
+                last += 1
+                key.append(shapes[numbers[last]][1])
+            if last > first:
+                out[first:last] = gap(" ".join(key))
+        return out
+
+
+# Kinds of tokens: with two different letters side by side, without but readable, with letters the model lacks, without any sign of a letter.
+PAIRED, BETWEEN, FOREIGN, SIGNS = range(4)
+
+
+_PAIRS = {a + b: _INDEX[a] * SYMBOLS + _INDEX[b] for a in _LETTERS for b in _LETTERS}
 
 
 def beginnings(word: str) -> list[str]:
@@ -375,26 +439,47 @@ class Marks:
     def __init__(self, decoder: Decoder, weight: dict[str, float]):
         self.decoder, self.weight = decoder, weight
         self.starts = {f[:SHORTEST] for f in weight}
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.seen = decoder.seen
+        self.known: dict[int, tuple[str, ...]] = {}
+        self.read, self.forgotten = 0, 0
+        # by number of the token: whether it has marks, and whether it or a run that it starts may have any
+        self.marked, self.matters = np.zeros(256, bool), np.zeros(256, bool)
 
     def of_text(self, text: str | None) -> set[str]:
-        tokens, found, known = (text or "").lower().split(), set(), self.known
-        for token in set(tokens):
-            own = known.get(token)
-            if own is None:
-                own = self._of(self.decoder.read(token))
-                if len(known) >= MEMORY:
-                    known.clear()
-                known[token] = own
-            if own:
-                found.update(own)
-        shapes = self.decoder.shaped(tokens)
-        for spelt in spelt_out([core for core, _, _ in shapes]):
+        seen, found = self.seen, set()
+        at = self.decoder.shaped((text or "").lower().split())
+        self._read_new()
+        for k in np.unique(at[self.marked[at]]).tolist():
+            found.update(self.known[k])
+        for spelt in seen.spelt_out(at):
             found.update(self._of(self.decoder.read_spelt(spelt)))
-        for word in self.decoder.joined(shapes):
+        for word in seen.joined(at, self.matters):
             found.update(self._of(self.decoder.read_joined(word)))
         return found
 
+    def _read_new(self) -> None:
+        """Marks of the tokens seen since; all anew when tokens were forgotten."""
+        tokens, shapes, starts = self.seen.tokens, self.seen.shapes, self.starts
+        if self.forgotten != self.seen.forgotten:
+            self.read, self.forgotten = 0, self.seen.forgotten
+            self.marked[:] = False
+            self.known.clear()
+        if self.read == len(tokens):
+            return
+        if len(tokens) > len(self.marked):
+            more = np.zeros(max(len(tokens), 2 * len(self.marked)) - len(self.marked), bool)
+            self.marked, self.matters = np.append(self.marked, more), np.append(self.matters, more)
+        plain = self.seen.facts[self.read : len(tokens), 4].tolist()
+        for k, letters in enumerate(plain, self.read):
+            core = shapes[k][0]
+            # without a doubled letter at its beginning, what a word of letters is read as begins as it does
+            self.matters[k] = matters = (
+                not letters or core[:SHORTEST] in starts or len(core) < SHORTEST or core[0] == core[1] or core[1] == core[2]
+            )
+            if matters and (own := self._of(self.decoder.read(tokens[k]))):
+                self.known[k], self.marked[k] = own, True
+        self.read = len(tokens)
+
     def _of(self, words: tuple[str, ...]) -> tuple[str, ...]:
         # few words begin like a feature
         return tuple(f for w in words if w[:SHORTEST] in self.starts for f in beginnings(w) if f in self.weight)
