@@ -230,7 +230,7 @@ class Decoder:
         """The distinct words of a text as restored, spelt-out and joined ones too."""
         at = self.shaped((text or "").lower().split())
         found = {w for k in set(at.tolist()) for w in self.read(self.seen.tokens[k])}
-        for spelt in self.seen.spelt_out(at):
+        for _, spelt in self.seen.spelt_out(at):
             found.update(self.read_spelt(spelt))
         for word in self.joined(at):
             found.update(self.read_joined(word))
@@ -242,7 +242,7 @@ class Decoder:
 
     def joined(self, shaped: np.ndarray) -> set[str]:
         """Neighbouring tokens, run together where the cheapest reading of the text has no space between them."""
-        return set(self.seen.joined(shaped))
+        return {word for _, word, _ in self.seen.joined(shaped)}
 
     def shape(self, token: str) -> tuple[str, str, str]:
         """A token without the signs at its edges, its beginning up to its first two different letters, and its end from the last two on."""
@@ -288,41 +288,53 @@ class Decoder:
         return found
 
 
+class Numbers(dict):
+    """Numbers tokens as they come."""
+
+    def __init__(self, tokens: list[str]):
+        self.tokens = tokens
+
+    def __missing__(self, token: str) -> int:
+        at = self[token] = len(self.tokens)
+        self.tokens.append(token)
+        return at
+
+
 class Seen:
     """The distinct tokens of many texts by number, with what joins need to know of each in arrays.
 
     Texts become arrays of numbers, so what is true of each token or gap is
-    looked up for all of them at once, and a token is taken apart once.
+    looked up for all of them at once, and a token is taken apart once. Texts
+    in one array are parted by ``BOUND``, which joins nothing.
     """
 
     def __init__(self, decoder: Decoder, room: int = MEMORY):
         self.decoder, self.room = decoder, room
-        self.cost = decoder.cost.astype(np.float64).ravel()
-        self.forgotten = 0
-        self.number: dict[str, int] = {}
-        self.tokens: list[str] = []
-        self.shapes: list[tuple[str, str, str]] = []
+        self.cost = decoder.cost.ravel()
+        self.forgotten = -1
         # kind, code of the two letters a token begins with and ends with (-1: more than these), length of its core, whether all letters
         self.facts = np.empty((256, 5), np.int32)
-
-    def numbers(self, tokens: list[str]) -> np.ndarray:
-        """Each token's number, the same until tokens are forgotten, which only happens here."""
-        if len(self.tokens) > self.room:
-            self.forget()
-        number, known = self.number, len(self.tokens)
-        for token in tokens:
-            if token not in number:
-                number[token] = len(self.tokens)
-                self.tokens.append(token)
-        if len(self.tokens) > known:
-            self.add(known)
-        return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        self.forget()
 
     def forget(self) -> None:
         self.forgotten += 1
-        self.number.clear()
-        self.tokens.clear()
-        self.shapes.clear()
+        self.tokens: list[str] = ["  "]
+        self.number = Numbers(self.tokens)
+        self.shapes: list[tuple[str, str, str]] = [("  ", "", "")]
+        self.facts[BOUND] = FOREIGN, -1, -1, 2, 0
+
+    def numbers(self, *texts: list[str]) -> np.ndarray:
+        """Each token's number, with ``BOUND`` between texts; the same ones until tokens are forgotten, which only happens here."""
+        if len(self.tokens) > self.room:
+            self.forget()
+        number, out = self.number.__getitem__, []
+        for tokens in texts:
+            if out:
+                out.append(BOUND)
+            out += map(number, tokens)
+        if len(self.tokens) > len(self.shapes):
+            self.add(len(self.shapes))
+        return np.array(out, np.int64)
 
     def add(self, start: int) -> None:
         """Take the tokens from ``start`` on apart."""
@@ -343,48 +355,50 @@ class Seen:
             self.facts = np.concatenate([self.facts, more])
         self.facts[start : len(self.tokens)] = facts
 
-    def spelt_out(self, at: np.ndarray) -> set[tuple[str, ...]]:
-        """Runs of at least three single characters that aren't all the same; nothing is left of a token of signs."""
+    def spelt_out(self, at: np.ndarray) -> list[tuple[int, tuple[str, ...]]]:
+        """Runs of at least three single characters that aren't all the same, and where they begin; nothing is left of a token of signs."""
         size = self.facts[at, 3]
         longer = size > 1
         singles = np.cumsum(size == 1)
         if not len(at) or singles[-1] < 3:
-            return set()
+            return []
         ends = np.append(np.flatnonzero(longer), len(at))  # runs lie between longer tokens
         held = np.diff(np.append(0, np.append(singles, singles[-1])[ends]))
-        out = set()
+        out = []
         for k in np.flatnonzero(held >= 3):
-            run = tuple(c for t in at[ends[k - 1] + 1 if k else 0 : ends[k]] for c in self.shapes[t][0])
+            start = int(ends[k - 1]) + 1 if k else 0
+            run = tuple(c for t in at[start : ends[k]] for c in self.shapes[t][0])
             if len(set(run)) > 1:
-                out.add(run)
+                out.append((start, run))
         return out
 
-    def joined(self, at: np.ndarray, matters: np.ndarray | None = None) -> Iterator[str]:
+    def joined(self, at: np.ndarray, matters: np.ndarray | None = None) -> Iterator[tuple[int, str, bool]]:
         """Neighbouring tokens, run together where the cheapest reading of the text has no space between them.
 
-        Between two different letters in one token and two in a later one, the
-        lattice starts and ends in one state, so these stretches are searched
-        one by one and remembered, and together are the search of the whole
-        text. A token with letters the model doesn't have is not joined. Of
-        runs of letters only, those whose first token ``matters`` (by number)
-        are returned.
+        Also where they begin and whether all are letters. Between two
+        different letters in one token and two in a later one, the lattice
+        starts and ends in one state, so these stretches are searched one by
+        one and remembered, and together are the search of the whole text. A
+        token with letters the model doesn't have is not joined. Of runs of
+        letters only, those whose first token ``matters`` (by number) are
+        returned.
         """
-        kind = self.facts[at, 0]
-        if SIGNS in kind:
-            at = at[kind != SIGNS]
+        place = np.flatnonzero(self.facts[at, 0] != SIGNS)
+        at = at[place]
         together = np.flatnonzero(self.together(at))
         if not len(together):
             return
         parts = np.flatnonzero(np.diff(together) > 1)
         first = together[np.append(0, parts + 1)]
         last = together[np.append(parts, len(together) - 1)] + 2
+        others = np.append(0, np.cumsum(self.facts[at, 4] == 0))
+        plain = others[last] == others[first]
         if matters is not None:
-            others = np.append(0, np.cumsum(self.facts[at, 4] == 0))
-            some = matters[at[first]] | (others[last] > others[first])
-            first, last = first[some], last[some]
+            some = matters[at[first]] | ~plain
+            first, last, plain = first[some], last[some], plain[some]
         numbers, shapes = at.tolist(), self.shapes
-        for f, l in zip(first.tolist(), last.tolist(), strict=True):
-            yield "".join([shapes[t][0] for t in numbers[f:l]])
+        for f, l, letters, where in zip(first.tolist(), last.tolist(), plain.tolist(), place[first].tolist(), strict=True):
+            yield where, "".join([shapes[t][0] for t in numbers[f:l]]), letters
 
     def together(self, at: np.ndarray) -> np.ndarray:
         """Which tokens the cheapest reading joins to the next one."""
@@ -395,9 +409,10 @@ class Seen:
         plain = np.flatnonzero(paired & (end >= 0) & (begin >= 0))
         # two readings only: with the space and without
         a_b, c_d = end[plain], begin[plain]
-        b, c, cost = a_b % SYMBOLS * SYMBOLS**2, c_d // SYMBOLS, self.cost
-        apart = cost[a_b * SYMBOLS + END] + cost[b + END * SYMBOLS + c] + cost[END * SYMBOLS**2 + c_d]
-        out[plain] = cost[a_b * SYMBOLS + c] + cost[b + c_d] + DROP_SPACE < apart
+        b, c = a_b % SYMBOLS * SYMBOLS**2, c_d // SYMBOLS
+        cost = lambda k: self.cost[k].astype(np.float64)
+        apart = cost(a_b * SYMBOLS + END) + cost(b + END * SYMBOLS + c) + cost(END * SYMBOLS**2 + c_d)
+        out[plain] = cost(a_b * SYMBOLS + c) + cost(b + c_d) + DROP_SPACE < apart
         shapes, gap, numbers = self.shapes, self.decoder.gap, at.tolist()
         others = np.flatnonzero(paired & ((end < 0) | (begin < 0))).tolist()
         if others:
@@ -423,6 +438,7 @@ class Seen:
 
 # Kinds of tokens: with two different letters side by side, without but readable, with letters the model lacks, without any sign of a letter.
 PAIRED, BETWEEN, FOREIGN, SIGNS = range(4)
+BOUND = 0
 
 
 _PAIRS = {a + b: _INDEX[a] * SYMBOLS + _INDEX[b] for a in _LETTERS for b in _LETTERS}
@@ -441,41 +457,44 @@ class Marks:
         self.starts = {f[:SHORTEST] for f in weight}
         self.seen = decoder.seen
         self.known: dict[int, tuple[str, ...]] = {}
-        self.read, self.forgotten = 0, 0
+        self.read, self.forgotten = BOUND + 1, 0
         # by number of the token: whether it has marks, and whether it or a run that it starts may have any
         self.marked, self.matters = np.zeros(256, bool), np.zeros(256, bool)
 
-    def of_text(self, text: str | None) -> set[str]:
-        seen, found = self.seen, set()
-        at = self.decoder.shaped((text or "").lower().split())
+    def of_texts(self, texts: list[str | None]) -> list[set[str]]:
+        seen, found = self.seen, [set() for _ in texts]
+        if not texts:
+            return found
+        at = seen.numbers(*((text or "").lower().split() for text in texts))
         self._read_new()
-        for k in np.unique(at[self.marked[at]]).tolist():
-            found.update(self.known[k])
-        for spelt in seen.spelt_out(at):
-            found.update(self._of(self.decoder.read_spelt(spelt)))
-        for word in seen.joined(at, self.matters):
-            found.update(self._of(self.decoder.read_joined(word)))
+        bounds = np.flatnonzero(at == BOUND)
+        hits = np.flatnonzero(self.marked[at])
+        for k, t in zip(np.searchsorted(bounds, hits).tolist(), at[hits].tolist(), strict=True):
+            found[k].update(self.known[t])
+        for place, spelt in seen.spelt_out(at):
+            found[np.searchsorted(bounds, place)].update(self._of(self.decoder.read_spelt(spelt)))
+        for place, word, letters in seen.joined(at, self.matters):
+            if self._may(word, letters) and (own := self._of(self.decoder.read_joined(word))):
+                found[np.searchsorted(bounds, place)].update(own)
         return found
 
+    def _may(self, word: str, letters: bool) -> bool:
+        """Whether a word may be read as one with a feature: without a doubled letter at its beginning, letters are read as a word that begins so."""
+        return not letters or word[:SHORTEST] in self.starts or len(word) < SHORTEST or word[0] == word[1] or word[1] == word[2]
+
     def _read_new(self) -> None:
         """Marks of the tokens seen since; all anew when tokens were forgotten."""
-        tokens, shapes, starts = self.seen.tokens, self.seen.shapes, self.starts
+        tokens, shapes = self.seen.tokens, self.seen.shapes
         if self.forgotten != self.seen.forgotten:
-            self.read, self.forgotten = 0, self.seen.forgotten
+            self.read, self.forgotten = BOUND + 1, self.seen.forgotten
             self.marked[:] = False
             self.known.clear()
-        if self.read == len(tokens):
-            return
         if len(tokens) > len(self.marked):
             more = np.zeros(max(len(tokens), 2 * len(self.marked)) - len(self.marked), bool)
             self.marked, self.matters = np.append(self.marked, more), np.append(self.matters, more)
-        plain = self.seen.facts[self.read : len(tokens), 4].tolist()
-        for k, letters in enumerate(plain, self.read):
-            core = shapes[k][0]
-            # without a doubled letter at its beginning, what a word of letters is read as begins as it does
-            self.matters[k] = matters = (
-                not letters or core[:SHORTEST] in starts or len(core) < SHORTEST or core[0] == core[1] or core[1] == core[2]
-            )
+        letters = self.seen.facts[self.read : len(tokens), 4].tolist()
+        for k, plain in enumerate(letters, self.read):
+            self.matters[k] = matters = self._may(shapes[k][0], plain)
             if matters and (own := self._of(self.decoder.read(tokens[k]))):
                 self.known[k], self.marked[k] = own, True
         self.read = len(tokens)
@@ -590,13 +609,26 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
         cost, weight = sent.value
         marks = Marks(Decoder(cost), weight)
         for batch in batches:
-            margins = [offset + sum(weight[f] for f in marks.of_text(text.as_py())) for text in batch.column("text")]
+            margins = [offset + sum(weight[f] for f in sorted(own)) for part in _parts(batch.column("text")) for own in marks.of_texts(part)]
             score = 0.5 * (1 + np.tanh(np.array(margins, float) / 2))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {id_type}, score double")
 
 
+def _parts(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Consecutive texts of about ``CHUNK`` characters together."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _fit(sample: DataFrame, number: dict[str, int]) -> tuple[np.ndarray, float]:
     """The classifier on the sample; only the chosen features of its documents reach the driver."""
     marks = sample.select("toxic", "words").mapInArrow(_marking(number), "toxic int, marks array<int>").toArrow()
