@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from ledgermill.operators import (
     staging,
 )
 from ledgermill.operators.keys import load_keys
-from ledgermill.operators.lookups import lookup, spread_lookup
+from ledgermill.operators.lookups import in_buckets, lookup, spread_lookup
 from ledgermill.plans import pipeline
 from ledgermill.schemas import DIMENSIONS, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
@@ -458,7 +459,7 @@ def natural(rows: DataFrame, wb: Workbench, *dims: str) -> DataFrame:
 TRANSACTION_IDS = ("dim_customer", "dim_account", "dim_card", "dim_merchant", "dim_branch")
 
 
-def transaction_rows(rows: DataFrame, wb: Workbench) -> DataFrame:
+def transaction_rows(rows: DataFrame, wb: Workbench | dict[str, DataFrame]) -> DataFrame:
     return natural(rows, wb, *TRANSACTION_IDS).select(
         "transaction_id",
         "customer_id",
@@ -562,10 +563,23 @@ def first_load(wb: Workbench) -> DataFrame:
 
 @query("fact_insert_if_absent")
 def _(wb):
-    stored = first_load(wb)
+    """Two loads after the first, each of ids that came before and new ones, against ids stored by bucket."""
+    stored, id_col, buckets = first_load(wb), "transaction_id", 64
     arrived = wb.stored("arrived_transactions", wb.transactions)
-    added = facts.insert_if_absent(arrived, stored, "transaction_id")
-    return transaction_rows(stored.select(*facts.TRANSACTION_COLUMNS).unionByName(added), wb)
+
+    def placed(name: str, rows: DataFrame) -> DataFrame:
+        def write(folder: str) -> None:
+            in_buckets(rows, id_col, buckets).hint("rebalance", "id_bucket").write.partitionBy("id_bucket").parquet(folder)
+
+        return wb.spark.read.parquet(wb.once(name, write))
+
+    ids = placed("ids_of_first_load", stored)
+    few = arrived.filter("transaction_id like '%-1' or date_key < 19980301")
+    second = wb.stored("second_load", lambda: facts.insert_if_absent(few, ids, id_col, buckets))
+    ids = ids.unionByName(placed("ids_of_second_load", second))
+    third = facts.insert_if_absent(arrived, ids, id_col, buckets)
+    rows = stored.select(*facts.TRANSACTION_COLUMNS).unionByName(second).unionByName(third)
+    return transaction_rows(rows, wb)
 
 
 # --- marts -------------------------------------------------------------------
@@ -856,6 +870,42 @@ def _(wb):
     )
 
 
+def merged_layers(wb: Workbench) -> Layers:
+    """An early load, one of all rows, the demonstration batch and its reset: marts from sums stored load by load."""
+    layers = Layers(wb.spark, f"{wb.root}/merged")
+
+    def run(_: str) -> None:
+        first, second, third, fourth = (wb.settings(run_ts=RUN_TS.replace(hour=h), compact_folders=2) for h in (1, 2, 3, 4))
+        early = wb["stg_transactions"].filter(F.col("transaction_date") < F.lit("1996-07-01").cast("timestamp_ntz"))
+        for table, rows in wb.staging().items():
+            layers.write(pipeline.STG, table, rows, first.run_id)
+        layers.publish(pipeline.STG, first.run_id, list(wb.staging()))
+        pipeline.build_warehouse(layers, first, wb.staging() | {"stg_transactions": early})
+        pipeline.build_warehouse(layers, replace(second, mode="upsert"))
+        pipeline.add_demo_batch(layers, third)
+        pipeline.reset_demo(layers, fourth)
+
+    wb.once("merged_done", run)
+    return layers
+
+
+@query("inc_marts_customers")
+def _(wb):
+    return merged_layers(wb).read(pipeline.MART, "customer_360").drop("mart_updated_at", "customer_key")
+
+
+@query("inc_marts_merchants")
+def _(wb):
+    return merged_layers(wb).read(pipeline.MART, "merchant_analytics").drop("mart_updated_at", "merchant_key")
+
+
+@query("inc_compact")
+def _(wb):
+    """The transactions after their small folders were merged."""
+    stored = merged_layers(wb).tables(pipeline.DWH)
+    return transaction_rows(stored["fact_transactions"].select(*facts.TRANSACTION_COLUMNS), stored)
+
+
 @query("inc_refresh_marts")
 def _(wb):
     with_days = dimensions.ensure_dates(wb["dim_date"], incremental.demo_dates(wb.spark))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import date_key
-from ledgermill.operators.lookups import BROADCAST_BYTES, absent_from, lookup
+from ledgermill.operators.lookups import BROADCAST_BYTES, absent_from, absent_from_buckets, lookup
 from ledgermill.schemas import DIMENSIONS, UNKNOWN_ID
 
 TRANSACTION_COLUMNS = (
@@ -214,6 +214,14 @@ def one_of_each(batch: DataFrame, id_col: str) -> DataFrame:
     return one.select(id_col, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*batch.columns)
 
 
-def insert_if_absent(batch: DataFrame, existing: DataFrame | None, id_col: str) -> DataFrame:
-    """The rows of a batch with one row per id that a load adds to the stored fact."""
-    return batch if existing is None else absent_from(batch, existing, id_col)
+def insert_if_absent(
+    batch: DataFrame, existing: DataFrame | None, id_col: str, buckets: int | None = None
+) -> DataFrame:
+    """The rows of a batch with one row per id that a load adds to the stored fact.
+
+    ``existing`` holds the ids loaded before: the fact itself, or with
+    ``buckets`` its ids in folders by hash, of which only the batch's are read.
+    """
+    if existing is None:
+        return batch
+    return absent_from_buckets(batch, existing, id_col, buckets) if buckets else absent_from(batch, existing, id_col)

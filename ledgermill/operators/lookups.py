@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
@@ -91,3 +91,29 @@ def absent_from(batch: DataFrame, existing: DataFrame, id_col: str) -> DataFrame
     """
     present = existing.select(id_col).join(batch.select(id_col), id_col, "left_semi")
     return batch.join(present, id_col, "left_anti")
+
+
+def bucket_of(id_col: str, buckets: int) -> Column:
+    """The folder an id's copy is kept in."""
+    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
+
+
+def in_buckets(rows: DataFrame, id_col: str, buckets: int) -> DataFrame:
+    """``id_col`` and its ``id_bucket``, to be written by bucket."""
+    return rows.select(id_col, bucket_of(id_col, buckets).alias("id_bucket"))
+
+
+def absent_from_buckets(batch: DataFrame, ids: DataFrame, id_col: str, buckets: int) -> DataFrame:
+    """Rows of a stored batch whose id is not among ids stored by :func:`in_buckets` with the same number of buckets.
+
+    Only the folders of buckets the batch has an id in are read; their numbers,
+    at most ``buckets``, are fixed before the scan is planned. Of what is read,
+    the ids both sides share are found with the batch as the inner side, bucket
+    and id being the key, so a small batch is sent to the stored files.
+    """
+    placed = batch.withColumn("id_bucket", bucket_of(id_col, buckets))
+    touched = sorted(r[0] for r in placed.select("id_bucket").distinct().collect())
+    near = ids.where(F.col("id_bucket").isin(touched))
+    on = ["id_bucket", id_col]
+    present = near.select(*on).join(placed.select(*on), on, "left_semi")
+    return placed.join(present, on, "left_anti").select(*batch.columns)

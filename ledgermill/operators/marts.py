@@ -69,6 +69,26 @@ def _known_customers(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return fact.filter(F.col("customer_key") != unknown.scalar())
 
 
+SUMS = {"sums_by_customer": ("customer_key",), "sums_by_day": ("date_key",), "sums_by_merchant": ("merchant_key",)}
+"""Stored partial sums of transactions the marts may be worked out from, and their keys."""
+
+
+def sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """Count, sum, bounds and last date per key: of transactions, or of such sums stored load by load.
+
+    All of them merge exactly, so sums of the sums of several loads are those
+    of one load of all their rows.
+    """
+    if "amount_usd" in rows.columns:
+        amount = F.col("amount_usd")
+        n, valued, total, least, most, last = F.count("*"), F.count(amount), F.sum(amount), F.min(amount), F.max(amount), F.max("transaction_date")
+    else:
+        n, valued, total, least, most, last = F.sum("n"), F.sum("valued"), F.sum("amount"), F.min("least"), F.max("most"), F.max("last")
+    return rows.groupBy(*keys).agg(
+        n.alias("n"), valued.alias("valued"), money(total).alias("amount"), least.alias("least"), most.alias("most"), last.alias("last")
+    )
+
+
 def customer_accounts(stg_accounts: DataFrame, dim_account: DataFrame) -> DataFrame:
     return (
         stg_accounts.select("account_id", "customer_id")
@@ -82,16 +102,13 @@ def customer_accounts(stg_accounts: DataFrame, dim_account: DataFrame) -> DataFr
 
 
 def customer_spending(fact_transactions: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    amount = F.col("amount_usd")
-    return (
-        _known_customers(fact_transactions, dim_customer)
-        .groupBy("customer_key")
-        .agg(
-            F.count("*").alias("total_transactions"),
-            money(F.sum(amount)).alias("total_spend_usd"),
-            money(exact_avg(amount)).alias("avg_txn_amount_usd"),
-            F.max("transaction_date").alias("last_transaction_date"),
-        )
+    """Per known customer, from transactions or from :func:`sums` of them."""
+    return sums(_known_customers(fact_transactions, dim_customer), "customer_key").select(
+        "customer_key",
+        F.col("n").alias("total_transactions"),
+        F.col("amount").alias("total_spend_usd"),
+        money(exact_ratio(F.col("amount"), F.col("valued"))).alias("avg_txn_amount_usd"),
+        F.col("last").alias("last_transaction_date"),
     )
 
 
@@ -144,11 +161,11 @@ def customer_360(
 
 
 def _per_day(fact: DataFrame, *keys: str) -> DataFrame:
-    amount = F.col("amount_usd")
-    return fact.groupBy(*keys).agg(
-        F.count("*").alias("daily_transactions_count"),
-        money(F.sum(amount)).alias("daily_transaction_volume_usd"),
-        money(exact_avg(amount)).alias("avg_ticket_size_usd"),
+    return sums(fact, *keys).select(
+        *keys,
+        F.col("n").alias("daily_transactions_count"),
+        F.col("amount").alias("daily_transaction_volume_usd"),
+        money(exact_ratio(F.col("amount"), F.col("valued"))).alias("avg_ticket_size_usd"),
     )
 
 
@@ -215,13 +232,13 @@ def daily_branch_by_branch(
 def merchant_analytics(
     dim_merchant: DataFrame, fact_transactions: DataFrame, run_ts: datetime | None = None
 ) -> DataFrame:
-    amount = F.col("amount_usd")
-    sales = fact_transactions.groupBy("merchant_key").agg(
-        F.count("*").alias("total_transactions"),
-        money(F.sum(amount)).alias("total_sales_volume_usd"),
-        money(exact_avg(amount)).alias("avg_order_value_usd"),
-        money(F.min(amount)).alias("min_txn_amount_usd"),
-        money(F.max(amount)).alias("max_txn_amount_usd"),
+    sales = sums(fact_transactions, "merchant_key").select(
+        "merchant_key",
+        F.col("n").alias("total_transactions"),
+        F.col("amount").alias("total_sales_volume_usd"),
+        money(exact_ratio(F.col("amount"), F.col("valued"))).alias("avg_order_value_usd"),
+        money(F.col("least")).alias("min_txn_amount_usd"),
+        money(F.col("most")).alias("max_txn_amount_usd"),
     )
     total = F.coalesce("total_sales_volume_usd", F.lit(0)).cast("decimal(25,2)")
     rows = dim_merchant.join(sales, "merchant_key", "left").select(

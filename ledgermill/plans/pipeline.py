@@ -18,13 +18,17 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators import audit, dimensions, facts, incremental, marts, quality
 from ledgermill.operators.keys import dense_keys, load_keys
-from ledgermill.operators.lookups import BROADCAST_BYTES
+from ledgermill.operators.lookups import BROADCAST_BYTES, in_buckets
 from ledgermill.operators.staging import with_loaded_at
 from ledgermill.schemas import DIMENSIONS, FACT_NATURAL_KEYS, MIN_ROWS_MARTS, MIN_ROWS_WAREHOUSE, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
-from ledgermill.sources.layers import Layers
+from ledgermill.sources.layers import COMPACT_FOLDERS, Layers
 
 STG, DWH, MART, AUDIT = "staging", "warehouse", "mart", "audit"
+IDS = {fact: f"{fact}_ids" for fact in FACT_NATURAL_KEYS}
+"""The ids of each fact, stored in folders by hash bucket."""
+LAST = {fact: f"{fact}_last" for fact in FACT_NATURAL_KEYS}
+"""The largest key of each load of a fact."""
 FACT_DATES = {"fact_transactions": "transaction_date", "fact_loans": "start_date"}
 
 
@@ -45,6 +49,8 @@ class Settings:
     thresholds: dict[str, int] = field(default_factory=lambda: MIN_ROWS_WAREHOUSE | MIN_ROWS_MARTS)
     partition_facts: bool = True
     fused_checks: bool = False
+    id_buckets: int = 256  # of the stored ids; the same for all loads of a warehouse
+    compact_folders: int = COMPACT_FOLDERS  # small folders of a fact that are merged into one
 
     @property
     def run_id(self) -> str:
@@ -109,30 +115,66 @@ def _month(fact: str, rows: DataFrame) -> DataFrame:
 
 
 def write_fact(
-    layers: Layers, fact: str, batch: DataFrame, s: Settings, existing: DataFrame | None = None
-) -> None:
-    """Write a fact: whole for a refresh, or only the ids not stored yet.
-
-    An incremental batch is written down before it is compared with the stored
-    fact, so its size is known and a small one is sent to the stored files. The
-    new rows go to a folder of the run; publishing it adds them to the fact.
+    layers: Layers, fact: str, batch: DataFrame, s: Settings, existing: DataFrame | None = None, ids: DataFrame | None = None
+) -> list[str]:
+    """Write a fact: whole for a refresh, or only the ids not stored yet; returns the tables that were written.
+
+    An incremental batch is written down before it is compared with what is
+    stored, so its size is known and a small one is sent to the stored files:
+    those of its own hash buckets of ``ids``, or all of the fact's if these are
+    not stored. Its fresh rows are written down as well, since numbering takes
+    them twice. They go to a folder of the run; publishing it adds them to the
+    fact. So do their ids, and the partial sums the marts are worked out from.
     """
-    key, by = PRIMARY_KEYS[fact], "month_key" if s.partition_facts else None
+    key, id_col, by = PRIMARY_KEYS[fact], FACT_NATURAL_KEYS[fact], "month_key" if s.partition_facts else None
 
-    def finish(rows: DataFrame, after: int) -> DataFrame:
-        # keys come after the last shuffle, so the task that writes a row numbers it; a batch is numbered
-        # without gaps, as it is small and there are many of them
-        laid_out = _month(fact, rows).hint("rebalance", by) if by else rows
-        numbered = load_keys(laid_out, key, after) if existing is None else dense_keys(laid_out, FACT_NATURAL_KEYS[fact], key, after)
-        return with_loaded_at(numbered, s.run_ts)
+    def laid_out(rows: DataFrame) -> DataFrame:
+        return _month(fact, rows).hint("rebalance", by) if by else rows
 
     if existing is None:
-        layers.write(DWH, fact, finish(batch, 0), s.run_id, by)
-        return
-    arrived = layers.write(DWH, f"{fact}_batch", batch, s.run_id)
-    fresh = facts.insert_if_absent(arrived, existing, FACT_NATURAL_KEYS[fact])
-    last = existing.agg(F.max(key)).first()[0]
-    layers.write(DWH, fact, finish(fresh, last or 0), s.run_id, by)
+        # keys come after the last shuffle, so the task that writes a row numbers it
+        rows = load_keys(laid_out(batch), key)
+    else:
+        arrived = layers.write(DWH, f"{fact}_batch", batch, s.run_id)
+        fresh = facts.insert_if_absent(arrived, existing if ids is None else ids, id_col, None if ids is None else s.id_buckets)
+        fresh = layers.write(DWH, f"{fact}_fresh", fresh, s.run_id)
+        last = layers.read(DWH, LAST[fact]).agg(F.max("last")) if layers.has(DWH, LAST[fact]) else existing.agg(F.max(key))
+        # a batch is numbered without gaps, as it is small and there are many of them; the numbers depend on the ids
+        # alone, so rows may be laid out for their files afterwards
+        rows = laid_out(dense_keys(fresh, id_col, key, last.first()[0] or 0))
+    stored = layers.write(DWH, fact, with_loaded_at(rows, s.run_ts), s.run_id, by)
+    return [fact, *_write_beside(layers, fact, stored, s, existing is None)]
+
+
+def _write_beside(layers: Layers, fact: str, stored: DataFrame, s: Settings, whole: bool) -> list[str]:
+    """Store what later loads and the marts need of a fact's new rows, so that neither reads the fact: see :func:`write_fact`.
+
+    A batch is only added where the loads before it are stored as well.
+    """
+    key = PRIMARY_KEYS[fact]
+    rows = {
+        IDS[fact]: in_buckets(stored, FACT_NATURAL_KEYS[fact], s.id_buckets).hint("rebalance", "id_bucket"),
+        LAST[fact]: stored.agg(F.max(key).alias("last")).where("last is not null"),
+    }
+    if fact == "fact_transactions":
+        rows |= {t: marts.sums(stored, *keys) for t, keys in marts.SUMS.items()}
+    kept = {t: r for t, r in rows.items() if whole or layers.has(DWH, t)}
+    for table, r in kept.items():
+        layers.write(DWH, table, r, s.run_id, "id_bucket" if table == IDS[fact] else None)
+    return list(kept)
+
+
+def known_ids(fact: str, stored: dict[str, DataFrame]) -> DataFrame | None:
+    """The ids of a fact by bucket, if all of them are stored so."""
+    return stored.get(IDS[fact])
+
+
+def compact_facts(layers: Layers, s: Settings) -> list[str]:
+    """Merge the small folders that batches left; as a run of its own, named after the batch's."""
+    by_month = "month_key" if s.partition_facts else None
+    tables = {fact: by_month for fact in IDS} | {ids: "id_bucket" for ids in IDS.values()}
+    tables |= {t: None for t in (*LAST.values(), *marts.SUMS)}
+    return layers.compact(DWH, tables, f"{s.run_id}-merged", s.compact_folders)
 
 
 def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -188,14 +230,16 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
     if "dim_date" not in old:
         names.append("dim_date")
     rejected = rejected_members(layers, stg, s)
+    loaded = []
     for fact, rows in built.items():
         kept, aside = divided(layers, fact, rows, dims["dim_date"], s)
-        write_fact(layers, fact, kept, s, stored[fact] if upsert else None)
+        loaded += write_fact(layers, fact, kept, s, *((stored[fact], known_ids(fact, stored)) if upsert else ()))
         rejected += aside
     if upsert:
-        layers.publish(DWH, s.run_id, [*names, *rejected], added=tuple(built))
+        layers.publish(DWH, s.run_id, [*names, *rejected], added=tuple(loaded))
+        compact_facts(layers, s)
     else:
-        layers.publish(DWH, s.run_id, [*names, *rejected, *built])
+        layers.publish(DWH, s.run_id, [*names, *rejected, *loaded])
     counted = {t: layers.read(DWH, t) for t in (*PRIMARY_KEYS, *rejected)}
     return audit.row_counts(counted)
 
@@ -203,19 +247,14 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
 def mart_frames(
     stg: dict[str, DataFrame], dwh: dict[str, DataFrame], branch_limit: int = marts.BRANCH_LIMIT, run_ts=None
 ) -> dict[str, DataFrame]:
+    """The four marts, from stored partial sums of transactions where the warehouse has them, else from the fact."""
+    by_customer, by_day, by_merchant = (dwh.get(t, dwh["fact_transactions"]) for t in marts.SUMS)
     return {
         "customer_360": marts.customer_360(
-            dwh["dim_customer"],
-            dwh["dim_account"],
-            stg["stg_accounts"],
-            dwh["fact_transactions"],
-            dwh["fact_loans"],
-            run_ts,
-        ),
-        "daily_branch_performance": marts.daily_branch_performance(
-            dwh["dim_date"], dwh["dim_branch"], dwh["fact_transactions"], branch_limit, run_ts
+            dwh["dim_customer"], dwh["dim_account"], stg["stg_accounts"], by_customer, dwh["fact_loans"], run_ts
         ),
-        "merchant_analytics": marts.merchant_analytics(dwh["dim_merchant"], dwh["fact_transactions"], run_ts),
+        "daily_branch_performance": marts.daily_branch_performance(dwh["dim_date"], dwh["dim_branch"], by_day, branch_limit, run_ts),
+        "merchant_analytics": marts.merchant_analytics(dwh["dim_merchant"], by_merchant, run_ts),
         "credit_risk_monitoring": marts.credit_risk_monitoring(dwh["fact_loans"], dwh["dim_customer"], run_ts),
     }
 
@@ -372,8 +411,11 @@ def add_demo_batch(layers: Layers, settings: Settings, rows: int = incremental.D
     days = dimensions.missing_dates(dwh["dim_date"], incremental.demo_dates(layers.spark))
     layers.write(DWH, "dim_date", days, settings.run_id)
     batch = facts.one_of_each(incremental.generate_batch(layers.spark, dwh, rows), "transaction_id")
-    write_fact(layers, "fact_transactions", batch, settings, dwh["fact_transactions"])
-    layers.publish(DWH, settings.run_id, [], added=("dim_date", "fact_transactions"))
+    loaded = write_fact(
+        layers, "fact_transactions", batch, settings, dwh["fact_transactions"], known_ids("fact_transactions", dwh)
+    )
+    layers.publish(DWH, settings.run_id, [], added=("dim_date", *loaded))
+    compact_facts(layers, settings)
     build_marts(layers, settings)
     after = snapshot(layers.tables(DWH) | layers.tables(MART), "metrics_after")
     return incremental.compare(before, after)
@@ -385,6 +427,7 @@ def reset_demo(layers: Layers, settings: Settings) -> None:
     kept = incremental.without_demo(layers.read(DWH, "fact_transactions"))
     if by:
         kept = kept.hint("rebalance", by)
-    layers.write(DWH, "fact_transactions", kept, settings.run_id, by)
-    layers.publish(DWH, settings.run_id, ["fact_transactions"])
+    stored = layers.write(DWH, "fact_transactions", kept, settings.run_id, by)
+    beside = _write_beside(layers, "fact_transactions", stored, settings, True)
+    layers.publish(DWH, settings.run_id, ["fact_transactions", *beside])
     build_marts(layers, settings)

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SIDE_BY_SIDE = 4
+COMPACT_FOLDERS = 16
+"""Small folders of a table that are merged into one."""
+SMALL_BYTES = 1 << 30
+"""Folders below this are small."""
 _RELEASE = "layer string, run_id string, table_name string, paths array<string>"
 
 
@@ -50,16 +54,31 @@ class Layers:
         full = [f"{self.root}/{p}" for p in paths]
         if paths not in self._schemas:
             self._schemas[paths] = self.spark.read.parquet(full[0]).schema
-        return self.spark.read.schema(self._schemas[paths]).parquet(*full)
-
-    def publish(self, layer: str, run_id: str, tables: list[str], added: tuple[str, ...] = ()) -> None:
+        schema = self._schemas[paths]
+        if len(full) == 1:
+            return self.spark.read.schema(schema).parquet(*full)
+        # folders of several runs may be partitioned below, so the run is taken for a partition column too
+        rows = self.spark.read.schema(schema).option("basePath", full[0].rpartition("/")[0]).parquet(*full)
+        return rows.select(*schema.names)
+
+    def publish(
+        self,
+        layer: str,
+        run_id: str,
+        tables: list[str],
+        added: tuple[str, ...] = (),
+        merged: dict[str, tuple[str, ...]] | None = None,
+    ) -> None:
         """Make a run's tables the current ones, all at once; tables not named keep their last run.
 
-        What a run wrote for a table in ``added`` joins the rows published before.
+        What a run wrote for a table in ``added`` joins the rows published
+        before; for one in ``merged`` it takes the place of the folders named.
         """
         known = self._published(layer)
         paths = {t: (self.path(layer, t, run_id),) for t in tables}
         paths |= {t: (*known.get(t, ()), self.path(layer, t, run_id)) for t in added}
+        for t, old in (merged or {}).items():
+            paths[t] = (*(p for p in known[t] if p not in old), self.path(layer, t, run_id))
         entries = [
             F.struct(F.lit(t).alias("table_name"), F.array(*map(F.lit, p)).alias("paths")) for t, p in paths.items()
         ]
@@ -69,6 +88,39 @@ class Layers:
         )
         self._current[layer] = known | paths
 
+    def folder_bytes(self, layer: str, table: str) -> dict[str, int]:
+        """Folder -> bytes of its files, from the listing alone."""
+        sizes = {}
+        for path in self._published(layer).get(table, ()):
+            files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+            sizes[path] = files.load(f"{self.root}/{path}").agg(F.sum("length")).first()[0] or 0
+        return sizes
+
+    def compact(
+        self, layer: str, tables: dict[str, str | None], run_id: str, least: int = COMPACT_FOLDERS, small_bytes: int = SMALL_BYTES
+    ) -> list[str]:
+        """Write a table's small folders as one and publish it in their place; returns the tables that were merged.
+
+        ``tables`` gives what each is partitioned by. Folders below
+        ``small_bytes`` are merged once there are ``least`` of them, so a row is
+        rewritten a bounded number of times before it rests in a large one, and
+        a table of many small batches keeps fewer than ``least`` small folders. All
+        tables are switched in one step; the old folders stay where they are,
+        so readers that opened them before go on undisturbed.
+        """
+        merged = {}
+        for table, by in tables.items():
+            if len(self._published(layer).get(table, ())) < least:
+                continue
+            small = tuple(p for p, size in self.folder_bytes(layer, table).items() if size < small_bytes)
+            if len(small) >= least:
+                rows = self._open(small)
+                self.write(layer, table, rows.hint("rebalance", by) if by else rows.hint("rebalance"), run_id, by)
+                merged[table] = small
+        if merged:
+            self.publish(layer, run_id, [], merged=merged)
+        return list(merged)
+
     def write_all(self, layer: str, tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame]:
         """Write independent tables at the same time, so small ones do not wait for large ones."""
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:

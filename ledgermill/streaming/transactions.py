@@ -27,37 +27,53 @@ def transaction_stream(spark: SparkSession, base: str, max_files: int = 1000, mu
     return clean_staging(rows, "transactions")
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_of_each(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """Valid rows whose transaction id has not come before, by ids in the keyed state of the stream.
+
+    The state holds ids only, hash-partitioned as the shuffle is, and is saved
+    with every micro-batch: nothing loaded before is read again. An invalid
+    row doesn't take an id. Of rows of one id that first come together, one
+    stays.
+
+    All ids are kept, unless copies are known to come within a ``delay`` of the
+    first ("30 days", by ``transaction_date``): then older ids are forgotten,
+    and rows that come later than that are let through.
+    """
+    valid = facts.valid_transactions(stream)
+    if delay is None:
+        return valid.dropDuplicates(["transaction_id"])
+    seen = F.col("transaction_date").cast("timestamp")
+    marked = valid.withColumn("_seen", seen).withWatermark("_seen", delay)
+    return marked.dropDuplicatesWithinWatermark(["transaction_id"]).drop("_seen")
+
+
 def load_available(
     stream: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
+    delay: str | None = None,
 ) -> StreamingQuery:
     """Run the fact build on everything that has arrived, then stop.
 
-    Each micro-batch is written under its own number, so a batch that is run
-    again after a failure replaces its first try. Ids found in earlier batches
-    are left out, which makes the load insert-if-absent; for that the batch is
-    written down first, so that its size is known and it is built only once.
+    Rows of ids that came in earlier batches are left out by the stream's
+    state (:func:`first_of_each`), which makes the load insert-if-absent. Each
+    micro-batch is written under its own number; one that is run again after a
+    failure starts from the state before it and replaces its first try. The
+    state is kept in RocksDB files under the checkpoint, so it may exceed
+    memory; its partitions are the shuffle's of the first start.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = build(batch)
-        if batch_id > 0:
-            earlier = (
-                spark.read.schema(rows.schema.add("batch", T.LongType()))
-                .option("basePath", target)
-                .parquet(target)
-                .filter(F.col("batch") < batch_id)
-            )
-            arrived = f"{target}_arrived/batch={batch_id}"
-            rows.write.mode("overwrite").parquet(arrived)
-            rows = facts.insert_if_absent(spark.read.schema(rows.schema).parquet(arrived), earlier, "transaction_id")
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        build(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return (
-        stream.writeStream.foreachBatch(load)
+        first_of_each(stream, delay)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
