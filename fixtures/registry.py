@@ -564,7 +564,7 @@ def first_load(wb: Workbench) -> DataFrame:
 @query("fact_insert_if_absent")
 def _(wb):
     """Two loads after the first, each of ids that came before and new ones, against ids stored by bucket."""
-    stored, id_col, buckets = first_load(wb), "transaction_id", 64
+    stored, id_col, buckets = first_load(wb), "transaction_id", 8
     arrived = wb.stored("arrived_transactions", wb.transactions)
 
     def placed(name: str, rows: DataFrame) -> DataFrame:
@@ -882,6 +882,7 @@ def merged_layers(wb: Workbench) -> Layers:
         layers.publish(pipeline.STG, first.run_id, list(wb.staging()))
         pipeline.build_warehouse(layers, first, wb.staging() | {"stg_transactions": early})
         pipeline.build_warehouse(layers, replace(second, mode="upsert"))
+        pipeline.build_marts(layers, second)
         pipeline.add_demo_batch(layers, third)
         pipeline.reset_demo(layers, fourth)
 

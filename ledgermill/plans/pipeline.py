@@ -28,7 +28,8 @@ STG, DWH, MART, AUDIT = "staging", "warehouse", "mart", "audit"
 IDS = {fact: f"{fact}_ids" for fact in FACT_NATURAL_KEYS}
 """The ids of each fact, stored in folders by hash bucket."""
 LAST = {fact: f"{fact}_last" for fact in FACT_NATURAL_KEYS}
-"""The largest key of each load of a fact."""
+"""The largest key of each load of a fact, and the number of buckets its ids are in."""
+IDS_A_BUCKET, MOST_BUCKETS = 1_000_000, 4096
 FACT_DATES = {"fact_transactions": "transaction_date", "fact_loans": "start_date"}
 
 
@@ -49,7 +50,7 @@ class Settings:
     thresholds: dict[str, int] = field(default_factory=lambda: MIN_ROWS_WAREHOUSE | MIN_ROWS_MARTS)
     partition_facts: bool = True
     fused_checks: bool = False
-    id_buckets: int = 256  # of the stored ids; the same for all loads of a warehouse
+    id_buckets: int | None = None  # of a fact's stored ids; by default a bucket for every million of the first load
     compact_folders: int = COMPACT_FOLDERS  # small folders of a fact that are merged into one
 
     @property
@@ -131,30 +132,39 @@ def write_fact(
     def laid_out(rows: DataFrame) -> DataFrame:
         return _month(fact, rows).hint("rebalance", by) if by else rows
 
+    buckets = None
     if existing is None:
         # keys come after the last shuffle, so the task that writes a row numbers it
         rows = load_keys(laid_out(batch), key)
     else:
+        if ids is None:
+            last = existing.agg(F.max(key)).first()[0]
+        else:
+            last, buckets = layers.read(DWH, LAST[fact]).agg(F.max("last"), F.max("buckets")).first()
         arrived = layers.write(DWH, f"{fact}_batch", batch, s.run_id)
-        fresh = facts.insert_if_absent(arrived, existing if ids is None else ids, id_col, None if ids is None else s.id_buckets)
+        fresh = facts.insert_if_absent(arrived, existing if ids is None else ids, id_col, buckets)
         fresh = layers.write(DWH, f"{fact}_fresh", fresh, s.run_id)
-        last = layers.read(DWH, LAST[fact]).agg(F.max("last")) if layers.has(DWH, LAST[fact]) else existing.agg(F.max(key))
         # a batch is numbered without gaps, as it is small and there are many of them; the numbers depend on the ids
         # alone, so rows may be laid out for their files afterwards
-        rows = laid_out(dense_keys(fresh, id_col, key, last.first()[0] or 0))
+        rows = laid_out(dense_keys(fresh, id_col, key, last or 0))
     stored = layers.write(DWH, fact, with_loaded_at(rows, s.run_ts), s.run_id, by)
-    return [fact, *_write_beside(layers, fact, stored, s, existing is None)]
+    return [fact, *_write_beside(layers, fact, stored, s, existing is None, buckets)]
 
 
-def _write_beside(layers: Layers, fact: str, stored: DataFrame, s: Settings, whole: bool) -> list[str]:
+def _write_beside(
+    layers: Layers, fact: str, stored: DataFrame, s: Settings, whole: bool, buckets: int | None = None
+) -> list[str]:
     """Store what later loads and the marts need of a fact's new rows, so that neither reads the fact: see :func:`write_fact`.
 
     A batch is only added where the loads before it are stored as well.
     """
-    key = PRIMARY_KEYS[fact]
+    last, n = stored.agg(F.max(PRIMARY_KEYS[fact]), F.count("*")).first()
+    if whole:
+        buckets = s.id_buckets or max(1, min(MOST_BUCKETS, n // IDS_A_BUCKET))
+    noted = layers.spark.range(int(whole or n > 0), numPartitions=1)
     rows = {
-        IDS[fact]: in_buckets(stored, FACT_NATURAL_KEYS[fact], s.id_buckets).hint("rebalance", "id_bucket"),
-        LAST[fact]: stored.agg(F.max(key).alias("last")).where("last is not null"),
+        IDS[fact]: in_buckets(stored, FACT_NATURAL_KEYS[fact], buckets or 1).hint("rebalance", "id_bucket"),
+        LAST[fact]: noted.select(F.lit(last or 0).cast("bigint").alias("last"), F.lit(buckets).cast("int").alias("buckets")),
     }
     if fact == "fact_transactions":
         rows |= {t: marts.sums(stored, *keys) for t, keys in marts.SUMS.items()}
