@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ COMPACT_FOLDERS = 16
 """Small folders of a table that are merged into one."""
 SMALL_BYTES = 1 << 30
 """Folders below this are small."""
-_RELEASE = "layer string, run_id string, table_name string, paths array<string>"
+_RELEASE = "layer string, run_id string, table_name string, paths array<string>, schema string"
 
 
 class Layers:
@@ -52,15 +53,17 @@ class Layers:
 
     def _open(self, paths: tuple[str, ...]) -> DataFrame:
         full = [f"{self.root}/{p}" for p in paths]
-        if paths not in self._schemas:
-            self._schemas[paths] = self.spark.read.parquet(full[0]).schema
-        schema = self._schemas[paths]
+        schema = self._schemas[paths] = self._schema(paths) or self.spark.read.parquet(full[0]).schema
         if len(full) == 1:
             return self.spark.read.schema(schema).parquet(*full)
         # folders of several runs may be partitioned below, so the run is taken for a partition column too
         rows = self.spark.read.schema(schema).option("basePath", full[0].rpartition("/")[0]).parquet(*full)
         return rows.select(*schema.names)
 
+    def _schema(self, paths: tuple[str, ...]) -> StructType | None:
+        """What is known of a table's columns; a folder without rows can't tell them."""
+        return next((self._schemas[p] for p in (paths, *((p,) for p in paths)) if p in self._schemas), None)
+
     def publish(
         self,
         layer: str,
@@ -79,8 +82,15 @@ class Layers:
         paths |= {t: (*known.get(t, ()), self.path(layer, t, run_id)) for t in added}
         for t, old in (merged or {}).items():
             paths[t] = (*(p for p in known[t] if p not in old), self.path(layer, t, run_id))
+        schemas = {t: self._schema(p) or self._schema(known.get(t, ())) for t, p in paths.items()}
+        self._schemas |= {paths[t]: schema for t, schema in schemas.items() if schema}
         entries = [
-            F.struct(F.lit(t).alias("table_name"), F.array(*map(F.lit, p)).alias("paths")) for t, p in paths.items()
+            F.struct(
+                F.lit(t).alias("table_name"),
+                F.array(*map(F.lit, p)).alias("paths"),
+                F.lit(schemas[t] and schemas[t].json()).cast("string").alias("schema"),
+            )
+            for t, p in paths.items()
         ]
         note = self.spark.range(1, numPartitions=1).select(F.explode(F.array(*entries)).alias("x"))
         note.select(F.lit(layer).alias("layer"), F.lit(run_id).alias("run_id"), "x.*").write.mode("append").json(
@@ -134,8 +144,12 @@ class Layers:
         """
         try:
             runs = self.spark.read.schema(_RELEASE).json(f"{self.root}/{layer}/_published/*")
-            newest = runs.groupBy("table_name").agg(F.max_by("paths", F.struct("run_id", F.size("paths"))))
-            return {r[0]: tuple(r[1]) for r in newest.collect()}
+            newest = runs.groupBy("table_name").agg(
+                F.max_by(F.struct("paths", "schema"), F.struct("run_id", F.size("paths"))).alias("newest")
+            )
+            found = {r[0]: (tuple(r[1].paths), r[1].schema) for r in newest.collect()}
+            self._schemas |= {p: StructType.fromJson(json.loads(schema)) for p, schema in found.values() if schema}
+            return {t: p for t, (p, _) in found.items()}
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise

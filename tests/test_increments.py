@@ -110,6 +110,15 @@ def test_many_batches_leave_few_folders(spark, tmp_path):
     assert pipeline.compact_facts(layers, settings(11, compact_folders=4)) == []
 
 
+def test_a_first_load_without_rows(spark, tmp_path):
+    load(Layers(spark, str(tmp_path)), 0, batch(spark, []))
+    layers = Layers(spark, str(tmp_path))  # as another process sees it
+    assert loaded(layers) == [] and layers.read(DWH, "fact_transactions_ids").columns == ["transaction_id", "id_bucket"]
+    load(layers, 1, batch(spark, range(5)))
+    load(Layers(spark, str(tmp_path)), 2, batch(spark, range(7)))
+    assert [t for t, _ in loaded(Layers(spark, str(tmp_path)))] == [f"t{k:05d}" for k in range(7)]
+
+
 def test_large_folders_stay(spark, tmp_path):
     layers = Layers(spark, str(tmp_path))
     for n in range(4):
