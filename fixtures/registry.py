@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from fixtures.adapter import CALENDAR, RUN_DATE
 from fixtures.workbench import RUN_TS, Workbench, workbench
+from ledgermill import schemas
 from ledgermill.functions import capitalise_words, parse_date, parse_timestamp
 from ledgermill.operators import (
     audit,
@@ -98,6 +99,24 @@ def _(wb):
     return quality.union_all([as_text(raw.read_typed(wb.spark, raw_base(wb), t, RUN_DATE), t) for t in STAGING])
 
 
+@query("src_csv_rejected")
+def _(wb):
+    """Loans in files where some records have a field too many: those kept and those set aside."""
+
+    def land(folder: str) -> None:
+        rows = wb["stg_loans"].select(*(F.col(c).cast("string") for c in schemas.raw_schema("loans").names))
+        last = rows.columns[-1]
+        longer = F.when(F.col("loan_id").like("%7"), F.concat(F.coalesce(last, F.lit("")), F.lit(",more"))).otherwise(F.col(last))
+        # without quoting, a comma in a value is a field of its own
+        files = rows.withColumn(last, longer).write.option("header", True).option("quote", "")
+        files.csv(f"{folder}/loans/ingest_date={RUN_DATE}")
+
+    kept, rejected = raw.read_divided(wb.spark, wb.once("raw_malformed", land), "loans", RUN_DATE)
+    return kept.select("loan_id", "loan_amount", F.lit(False).alias("rejected")).unionByName(
+        rejected.select(F.col("first_field").alias("loan_id"), F.lit(True).alias("rejected")), allowMissingColumns=True
+    )
+
+
 @query("src_csv_chunked")
 def _(wb):
     return raw.read_typed(wb.spark, raw_base(wb), "transactions", RUN_DATE)

@@ -43,6 +43,7 @@ class Settings:
     mode: str = "refresh"  # or "upsert"
     on_duplicate: str = "raise"  # or "keep_first", "quarantine"
     on_missing_date: str = "raise"  # or "quarantine"
+    on_malformed: str = "raise"  # or "quarantine": raw records of another length
     multiline: bool = False  # raw files may hold quoted line breaks
     keep_account_links: bool = False
     branch_limit: int = marts.BRANCH_LIMIT
@@ -62,13 +63,24 @@ class Settings:
         return self.run_ts.date()
 
 
-def load_staging(layers: Layers, source: Callable[[str], DataFrame], settings: Settings) -> DataFrame:
-    """Overwrite the staging tables one by one; a failure keeps the tables already loaded."""
+def load_staging(layers: Layers, source: Callable[[str], DataFrame | tuple[DataFrame, DataFrame]], settings: Settings) -> DataFrame:
+    """Overwrite the staging tables one by one; a failure keeps the tables already loaded.
+
+    A source may give the records it set aside as well; they are published as
+    ``stg_<table>_rejected`` together with the table, and counted in the report.
+    """
+    loaded = []
     for table in STAGING:
-        rows = with_loaded_at(source(table), settings.run_ts)
-        layers.write(STG, f"stg_{table}", rows, settings.run_id)
-        layers.publish(STG, settings.run_id, [f"stg_{table}"])
-    return audit.row_counts(layers.tables(STG))
+        given = source(table)
+        rows, rejected = given if isinstance(given, tuple) else (given, None)
+        names = [f"stg_{table}"]
+        layers.write(STG, names[0], with_loaded_at(rows, settings.run_ts), settings.run_id)
+        if rejected is not None:
+            names.append(f"stg_{table}_rejected")
+            layers.write(STG, names[1], rejected, settings.run_id)
+        layers.publish(STG, settings.run_id, names)
+        loaded += names
+    return audit.row_counts({t: layers.read(STG, t) for t in loaded})
 
 
 def _load_dims(layers: Layers, stg: dict[str, DataFrame], old: dict[str, DataFrame], s: Settings):
@@ -361,7 +373,10 @@ def run_pipeline(
     def staging() -> DataFrame:
         nonlocal day
         day = raw.resolve_date(spark, raw_base, day)
-        return load_staging(layers, lambda t: raw.read_typed(spark, raw_base, t, day, s.multiline), s)
+        if s.on_malformed not in ("raise", "quarantine"):
+            raise ValueError(f"on_malformed: {s.on_malformed!r}")
+        read = raw.read_typed if s.on_malformed == "raise" else raw.read_divided
+        return load_staging(layers, lambda t: read(spark, raw_base, t, day, s.multiline), s)
 
     def checks() -> DataFrame:
         nonlocal report

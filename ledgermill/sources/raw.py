@@ -150,6 +150,31 @@ def read_typed(
     return clean_staging(read_partition(spark, base, table, ingest_date, multiline), table)
 
 
+def read_divided(
+    spark: SparkSession, base: str, table: str, ingest_date: date | None = None, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """One date of a raw table, cleaned and typed, and the records :func:`read_typed` would fail on.
+
+    The latter as ``table_name, file, first_field, record, reason``: records
+    whose fields are more or fewer than the layout's. Every record is in one of
+    the two. A file with other headers fails the read all the same.
+    """
+    layout = schemas.raw_schema(table)
+    schema = T.StructType([*layout.fields, T.StructField("_record", T.StringType()), T.StructField("ingest_date", T.DateType())])
+    options = csv_options(multiline) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"}
+    wanted = F.lit(ingest_date) if ingest_date else latest_date(spark, base, table)
+    rows = spark.read.schema(schema).options(**options).csv(f"{base}/{table}").filter(F.col("ingest_date") == wanted)
+    kept = rows.filter("_record is null").select(*layout.names)
+    rejected = rows.filter("_record is not null").select(
+        F.lit(table).alias("table_name"),
+        _file_path().alias("file"),
+        F.col(layout.names[0]).alias("first_field"),
+        F.col("_record").alias("record"),
+        F.lit(f"not the {len(layout)} fields of {', '.join(layout.names)}").alias("reason"),
+    )
+    return clean_staging(kept, table), rejected
+
+
 def _table_of(path: Column) -> Column:
     """File stem in lower case; a part file is named after the folder of its table."""
     stem = F.lower(F.regexp_extract(path, r"([^/]+)\.csv\z", 1))

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 
 from ledgermill import schemas
+from ledgermill.plans import pipeline
 from ledgermill.sources import raw
 from ledgermill.sources.layers import Layers
 
@@ -194,3 +195,26 @@ def test_layers_switch_when_published(spark, tmp_path):
     fresh = Layers(spark, str(tmp_path))
     assert {t: df.count() for t, df in fresh.tables("mart").items()} == {"a": 5, "b": 5}
     assert not fresh.has("mart", "c") and not fresh.has("other", "a")
+
+
+def test_malformed_records_are_set_aside_on_request(spark, tmp_path):
+    names = schemas.raw_schema("loans").names
+    good = [f"L{k}" + "," * (len(names) - 1) for k in range(5)]
+    folder = tmp_path / "loans/ingest_date=2024-01-01"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("\n".join([",".join(names), *good[:3], "L9,short", *good[3:], good[0] + ",long", ""]))
+    (folder / "b.csv").write_text(",".join(names) + "\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        raw.read_typed(spark, str(tmp_path), "loans").collect()
+    kept, rejected = raw.read_divided(spark, str(tmp_path), "loans")
+    assert sorted(r.loan_id for r in kept.collect()) == [f"L{k}" for k in range(5)]
+    aside = sorted((r.first_field, r.record, r.file.rpartition("/")[2], r.table_name) for r in rejected.collect())
+    assert aside == [("L0", good[0] + ",long", "a.csv", "loans"), ("L9", "L9,short", "a.csv", "loans")]
+    assert kept.schema == raw.read_typed(spark, str(tmp_path), "loans").schema
+
+    layers = Layers(spark, str(tmp_path / "lake"))
+    s = pipeline.Settings(on_malformed="quarantine")
+    empty = spark.createDataFrame([], kept.schema)
+    counts = pipeline.load_staging(layers, lambda t: (kept, rejected) if t == "loans" else empty, s).collect()
+    assert {r.table_name: r["rows"] for r in counts if r["rows"]} == {"stg_loans": 5, "stg_loans_rejected": 2}
+    assert layers.read(pipeline.STG, "stg_loans_rejected").count() == 2
