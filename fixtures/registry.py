@@ -957,6 +957,14 @@ def pipeline_run(wb: Workbench) -> tuple[Layers, DataFrame]:
     return layers, layers.read(pipeline.AUDIT, "alerts")
 
 
+@query("snk_rowcount_observed")
+def _(wb):
+    """The rows of all layers as counted while they were written."""
+    stored = Layers(wb.spark, pipeline_run(wb)[0].root)  # as another process reads the notes
+    counts = [stored.row_counts(pipeline.STG), stored.row_counts(pipeline.DWH, list(PRIMARY_KEYS)), stored.row_counts(pipeline.MART)]
+    return quality.union_all(counts)
+
+
 @query("audit_run_table")
 def _(wb):
     layers, _ = pipeline_run(wb)

@@ -80,7 +80,7 @@ def load_staging(layers: Layers, source: Callable[[str], DataFrame | tuple[DataF
             layers.write(STG, names[1], rejected, settings.run_id)
         layers.publish(STG, settings.run_id, names)
         loaded += names
-    return audit.row_counts({t: layers.read(STG, t) for t in loaded})
+    return layers.row_counts(STG, loaded)
 
 
 def _load_dims(layers: Layers, stg: dict[str, DataFrame], old: dict[str, DataFrame], s: Settings):
@@ -262,8 +262,7 @@ def build_warehouse(layers: Layers, settings: Settings, stg: dict[str, DataFrame
         compact_facts(layers, s)
     else:
         layers.publish(DWH, s.run_id, [*names, *rejected, *loaded])
-    counted = {t: layers.read(DWH, t) for t in (*PRIMARY_KEYS, *rejected)}
-    return audit.row_counts(counted)
+    return layers.row_counts(DWH, [*PRIMARY_KEYS, *rejected])
 
 
 def mart_frames(
@@ -292,7 +291,7 @@ def build_marts(
     frames = mart_frames(stg, dwh, settings.branch_limit, settings.run_ts)
     layers.write_all(MART, frames, settings.run_id)
     layers.publish(MART, settings.run_id, list(frames))
-    return audit.row_counts(layers.tables(MART))
+    return layers.row_counts(MART)
 
 
 def run_quality(layers: Layers, settings: Settings) -> DataFrame:

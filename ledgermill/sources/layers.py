@@ -6,7 +6,7 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,7 +15,7 @@ COMPACT_FOLDERS = 16
 """Small folders of a table that are merged into one."""
 SMALL_BYTES = 1 << 30
 """Folders below this are small."""
-_RELEASE = "layer string, run_id string, table_name string, paths array<string>, schema string"
+_RELEASE = "layer string, run_id string, table_name string, paths array<string>, schema string, rows array<bigint>"
 
 
 class Layers:
@@ -35,6 +35,7 @@ class Layers:
         self.root = root.rstrip("/")
         self._current: dict[str, dict[str, tuple[str, ...]]] = {}
         self._schemas: dict[tuple[str, ...], StructType] = {}
+        self._rows: dict[str, int] = {}
 
     def path(self, layer: str, table: str, run_id: str) -> str:
         return f"{layer}/{table}/run={run_id}"
@@ -42,12 +43,17 @@ class Layers:
     def write(
         self, layer: str, table: str, rows: DataFrame, run_id: str, partition_by: str | None = None
     ) -> DataFrame:
-        """Write one table of a run (not yet published) and return it as stored."""
+        """Write one table of a run (not yet published) and return it as stored.
+
+        Its rows are counted as they are written, which :meth:`row_counts` tells.
+        """
         target = self.path(layer, table, run_id)
         if target in self._published(layer).get(table, ()):
             raise ValueError(f"run {run_id} of {layer}.{table} is published")
-        writer = rows.write.mode("overwrite")
+        seen = Observation()
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{target}")
+        self._rows[target] = seen.get["rows"]
         self._schemas[(target,)] = rows.schema
         return self._open((target,))
 
@@ -89,6 +95,7 @@ class Layers:
                 F.lit(t).alias("table_name"),
                 F.array(*map(F.lit, p)).alias("paths"),
                 F.lit(schemas[t] and schemas[t].json()).cast("string").alias("schema"),
+                F.array(*(F.lit(self._rows.get(x)).cast("bigint") for x in p)).alias("rows"),
             )
             for t, p in paths.items()
         ]
@@ -145,9 +152,12 @@ class Layers:
         try:
             runs = self.spark.read.schema(_RELEASE).json(f"{self.root}/{layer}/_published/*")
             newest = runs.groupBy("table_name").agg(
-                F.max_by(F.struct("paths", "schema"), F.struct("run_id", F.size("paths"))).alias("newest")
+                F.max_by(F.struct("paths", "schema", "rows"), F.struct("run_id", F.size("paths"))).alias("newest")
             )
-            found = {r[0]: (tuple(r[1].paths), r[1].schema) for r in newest.collect()}
+            found = {}
+            for table, note in newest.collect():
+                found[table] = tuple(note.paths), note.schema
+                self._rows |= {p: n for p, n in zip(note.paths, note.rows or ()) if n is not None}
             self._schemas |= {p: StructType.fromJson(json.loads(schema)) for p, schema in found.values() if schema}
             return {t: p for t, (p, _) in found.items()}
         except AnalysisException as missing:
@@ -170,5 +180,19 @@ class Layers:
     def read(self, layer: str, table: str) -> DataFrame:
         return self._open(self._published(layer)[table])
 
+    def row_counts(self, layer: str, tables: list[str] | None = None) -> DataFrame:
+        """``table_name, rows`` of the published tables (or those named), as counted when they were written: none is read.
+
+        A folder whose rows weren't counted then is counted now.
+        """
+        known = self._published(layer)
+        counts = []
+        for table in known if tables is None else tables:
+            for path in known[table]:
+                if path not in self._rows:
+                    self._rows[path] = self._open((path,)).count()
+            counts.append((table, sum(self._rows[p] for p in known[table])))
+        return self.spark.createDataFrame(counts, "table_name string, rows bigint")
+
     def has(self, layer: str, table: str) -> bool:
         return table in self._published(layer)

@@ -119,6 +119,21 @@ def test_a_first_load_without_rows(spark, tmp_path):
     assert [t for t, _ in loaded(Layers(spark, str(tmp_path)))] == [f"t{k:05d}" for k in range(7)]
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    load(layers, 0, batch(spark, range(40)))
+    load(layers, 1, batch(spark, range(30, 50)))
+    for reader in (layers, Layers(spark, str(tmp_path))):
+        counts = reader.row_counts(DWH)
+        told = {r.table_name: r["rows"] for r in counts.collect()}
+        assert told == {t: df.count() for t, df in reader.tables(DWH).items()} and told["fact_transactions"] == 50
+        assert "FileScan" not in plan_of(counts) and "Scan parquet" not in plan_of(counts)
+    later = Layers(spark, str(tmp_path))
+    later._published(DWH)
+    later._rows.clear()  # as with notes of loads that didn't count
+    assert {r.table_name: r["rows"] for r in later.row_counts(DWH).collect()} == told
+
+
 def test_large_folders_stay(spark, tmp_path):
     layers = Layers(spark, str(tmp_path))
     for n in range(4):
