@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests)."""
+    """The folder all executors share; a temporary one only in local mode, where the session names none (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master", "").startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         named = tempfile.mkdtemp(prefix="ledgermill-llm-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
