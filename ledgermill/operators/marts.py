@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.money import exact_avg, exact_ratio, money
+from ledgermill.operators.lookups import BROADCAST_BYTES, stored_bytes
 from ledgermill.schemas import UNKNOWN_ID
 
 # Thresholds and labels of the marts.
@@ -189,7 +190,7 @@ def first_branches(dim_branch: DataFrame, limit: int = BRANCH_LIMIT) -> DataFram
 
 
 def _for_each_branch(days: DataFrame, branches: DataFrame) -> DataFrame:
-    """Each day once per branch, as the marts define; branches are a dimension's few rows, worked out once.
+    """Each day once per branch of a bounded list, as the mart defines.
 
     The outer form spares a test of the list's size, which would work it out again.
     """
@@ -222,8 +223,13 @@ def daily_branch_by_branch(
     fact_transactions: DataFrame,
     run_ts: datetime | None = None,
 ) -> DataFrame:
-    """Day by branch with each branch's own transactions: all branches, the UNKNOWN one included."""
-    grid = _for_each_branch(dim_date, dim_branch)
+    """Day by branch with each branch's own transactions: all branches, the UNKNOWN one included.
+
+    Every day with every branch is what the mart holds; branches are sent to
+    the days' tasks if they are measured small.
+    """
+    branches = dim_branch.select(*_BRANCH_COLUMNS)
+    grid = dim_date.crossJoin(F.broadcast(branches) if stored_bytes(branches) <= BROADCAST_BYTES else branches)
     own = _per_day(fact_transactions, "date_key", "branch_key")
     rows = grid.join(own, ["date_key", "branch_key"], "left")
     return _stamped(rows.select(*_branch_day_columns()), run_ts)

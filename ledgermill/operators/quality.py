@@ -319,7 +319,7 @@ def run_parts(tables: Tables, store: Callable[[str, DataFrame], DataFrame], thre
         try:
             results.append(store(f"quality_{first}", union_all(checks())))
         except Exception as failure:  # noqa: BLE001 - whatever a check throws is its part's result
-            reason = f"{type(failure).__name__}: {failure}"[:500]
+            reason = f"{type(failure).__name__}: {failure}"
             results.append(
                 spark.range(1, numPartitions=1).select(
                     F.lit(first).alias("check_name"),

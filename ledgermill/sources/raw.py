@@ -361,6 +361,6 @@ def ingest(
             landed = landed.unionByName(more)
         note(landed, datetime.now(timezone.utc).replace(tzinfo=None))
     except Exception as failure:
-        note(None, datetime.now(timezone.utc).replace(tzinfo=None), f"{type(failure).__name__}: {failure}"[:2000])
+        note(None, datetime.now(timezone.utc).replace(tzinfo=None), f"{type(failure).__name__}: {failure}")
         raise
     return spark.read.schema(MANIFEST_SCHEMA).json(f"{base}/manifest_files/manifest_{batch_id}")
