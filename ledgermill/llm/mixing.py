@@ -16,6 +16,9 @@ GROUP_ROWS = 2_000
 """Rows that one task pairs at a time; a source of any size is split into such groups."""
 FAN_IN = 64
 """Groups whose residuals meet in one group of the next level of the reduction tree."""
+RUNG = 2
+SPARES = 4_096
+"""Of the rows it takes, and of those it leaves, a group hands up at most ``RUNG`` for each power of two of size; all that meet hand up at most ``SPARES`` more."""
 BROADCAST_SOURCES = 50_000
 """Up to so many sources (about 100 bytes each) are sent to all tasks; beyond, they are joined by a shuffle."""
 
@@ -107,13 +110,20 @@ def _whole(x: float) -> float:
     return 0.0 if x < 1e-12 else 1.0 if x > 1 - 1e-12 else x
 
 
-def spare(size: np.ndarray, part: np.ndarray, largest: float) -> np.ndarray:
-    """Decided rows that go up the tree: of those taken and those not, the smallest that hold half the source's ``largest`` row together."""
+def spare(size: np.ndarray, part: np.ndarray, need: float, most: int) -> np.ndarray:
+    """Decided rows that go up the tree, of those taken and of those not: a few of each power of two of size, and the smallest that hold ``need`` words.
+
+    Of either side at most ``RUNG`` rows go for each power of two and ``most``
+    besides, so what a group hands up is bounded whatever its rows are.
+    """
     out = np.zeros(len(size), bool)
     for side in (0.0, 1.0):
         rows = np.flatnonzero((part == side) & (size > 0))[::-1]  # rows come largest first
+        power = np.frexp(size[rows])[1]
+        nth = np.arange(len(rows)) - np.searchsorted(power, power)
         before = np.cumsum(size[rows]) - size[rows]
-        out[rows[before < largest / 2]] = True
+        smallest = (before < need) & (np.arange(len(rows)) < most)
+        out[rows[smallest | (nth < RUNG)]] = True
     return out
 
 
@@ -127,8 +137,11 @@ def rounder(seed: int, level: int, last: bool) -> Callable[[pd.DataFrame], pd.Da
             settle(size, part, left)
         up = (part > 0) & (part < 1)
         if not last and len(group):
-            up |= spare(size, part, float(group["largest"].iloc[0]))
-        return group.assign(part=part, up=up, bucket=group["bucket"] // FAN_IN)
+            # the groups that meet above hold what makes up for half the longest row together
+            meet = min(FAN_IN, int(group["meeting"].iloc[0]))
+            up |= spare(size, part, float(group["largest"].iloc[0]) / 2 / meet, SPARES // meet)
+        meeting = -(-group["meeting"] // FAN_IN)
+        return group.assign(part=part, up=up, bucket=group["bucket"] // FAN_IN, meeting=meeting)
 
     return rounded
 
@@ -142,11 +155,11 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
     for all of a source. Whole copies are given, fractions are rounded by
     pairs: inside groups of at most about ``GROUP_ROWS`` rows first, then each group's one
     residual meets those of ``FAN_IN`` groups, up the tree, until a source has
-    one left, which ``settle`` rounds. With it go each group's smallest decided
-    rows, as many as hold half the source's longest document (so no more than it
-    has words), and make up for the miss: at every size, a source's words miss
-    its target by half a short document where it has enough of them, and by half
-    a document at most. Draws depend on ids alone; reruns agree.
+    one left, which ``settle`` rounds. With it go a bounded number of each
+    group's decided rows, ``spare`` tells which, and make up for the miss: a
+    source's words miss its target by half a short document where those rows
+    hold half its longest one, and by half a document at most. Draws depend on
+    ids alone; reruns agree.
 
     A null text or one without words has size 0 and is taken by whole copies
     only; a null source is a source, the last one; null ids and repeated rows
@@ -183,6 +196,7 @@ def copies(docs: DataFrame, seed: int = 1, **mixture) -> DataFrame:
         F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(F.lit(0.0)).alias("part"),
         F.pmod(F.xxhash64(id_hash, F.lit(seed)), F.col("groups")).alias("bucket"),
         "largest",
+        F.col("groups").alias("meeting"),
         F.lit(False).alias("up"),
     )
     schema = rows.schema

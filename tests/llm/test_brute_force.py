@@ -234,3 +234,30 @@ def test_a_common_vector_is_split_over_blocks(spark, settings):
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = ann.nearest(vectors, vectors.where("vec_id % 100 = 1"), count=5, leaf_rows=20).orderBy("query_id", "rank").collect()
     assert [r.vec_id for r in got if r.query_id == 1] == [2, 4, 5, 7, 8]
+
+
+@pytest.mark.parametrize("words", [1, 40])
+def test_a_group_hands_up_few_rows_whatever_its_rows_are(words):
+    """One document of very many words beside short ones: the tree shrinks all the same."""
+    size = np.array([200_000.0] + [float(words)] * 2_000)
+    part = np.array([0.5] + [0.0, 1.0] * 1_000)
+    up = mixing.spare(size, part, 100_000.0, 64)
+    assert not up[0]
+    assert up.sum() == 2 * 64
+    mixed = np.sort(np.random.default_rng(3).integers(1, 5_000, 2_001))[::-1].astype(float)
+    up = mixing.spare(mixed, part, 1e9, 64)
+    powers = {(side, int(np.log2(s))) for s, side in zip(mixed[up], part[up], strict=True)}
+    assert {(side, k) for side in (0.0, 1.0) for k in range(6, 13)} <= powers
+    assert up.sum() <= 2 * (64 + 13 * mixing.RUNG)
+
+
+def test_a_long_document_beside_short_ones_leaves_a_small_miss(spark, settings):
+    """Groups of a source meet with rows that make up for its longest document together."""
+    settings(mixing, "GROUP_ROWS", 200)
+    settings(mixing, "FAN_IN", 8)
+    rows = [(0, "w " * 6_000, "a")] + [(k, "w " * (20 + k % 30), "a") for k in range(1, 3_000)] + [(k, "w", "b") for k in range(3_000, 3_500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for seed in (1, 2):
+        taken = mixing.copies(docs, seed).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")), F.first("target")).collect()
+        for _, got, target in taken:
+            assert abs(got - target) <= 25
