@@ -721,6 +721,27 @@ def _(wb):
     return quality.suite_summary(quality.suite_report(quality.run_checks(wb.warehouse() | wb.marts())))
 
 
+@query("dq_recon_contents")
+def _(wb):
+    """Errors that cancel in every total: a count moved from one key to another, a row kept twice and one lost."""
+    marts = wb.marts()
+
+    def moved(mart: str, key: str, column: str) -> DataFrame:
+        rows = marts[mart]
+        first, last = rows.agg(F.min(key)).scalar(), rows.agg(F.max(key)).scalar()
+        by = F.when(F.col(key) == first, 1).when(F.col(key) == last, -1).otherwise(0)
+        return rows.withColumn(column, (F.col(column) + by).cast(rows.schema[column].dataType))
+
+    customers = marts["customer_360"]
+    first, last = customers.agg(F.min("customer_id")).scalar(), customers.agg(F.max("customer_id")).scalar()
+    stored = marts | {
+        "customer_360": customers.where(F.col("customer_id") != last).unionByName(customers.where(F.col("customer_id") == first)),
+        "merchant_analytics": moved("merchant_analytics", "merchant_id", "total_transactions"),
+        "credit_risk_monitoring": moved("credit_risk_monitoring", "credit_risk_tier", "total_loans_originated"),
+    }
+    return quality.recon_contents(stored, {name: wb.mart(name) for name in quality.MART_KEYS})
+
+
 @query("dq_max_length")
 def _(wb):
     return quality.max_length(wb.staging() | wb.dims())

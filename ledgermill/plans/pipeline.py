@@ -294,6 +294,16 @@ def build_marts(
     return layers.row_counts(MART)
 
 
+def mart_differences(layers: Layers, stg: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Keys and columns of the published marts that differ from a rebuild out of the whole facts.
+
+    The stored partial sums are left aside, so a mart that was kept by them is
+    held against the fact itself.
+    """
+    whole = {name: rows for name, rows in layers.tables(DWH).items() if name not in marts.SUMS}
+    return quality.recon_contents(layers.tables(MART), mart_frames(stg or layers.tables(STG), whole))
+
+
 def run_quality(layers: Layers, settings: Settings) -> DataFrame:
     """Run the suite and keep its results; returns the seven-row report.
 

@@ -177,6 +177,42 @@ def test_suite_finds_planted_faults(spark, stg, built):
     assert len(report) == 7 and report["Fact Loans Referential Integrity"].status == "PASSED"
 
 
+def test_errors_that_cancel_are_found_key_by_key(spark, stg, built):
+    dwh = built[0].tables(DWH)
+    expected = pipeline.mart_frames(stg, dwh, 10, datetime(2024, 1, 1))
+    right = pipeline.mart_frames(stg, dwh, 10, datetime(2025, 1, 1))
+    assert quality.recon_contents(right, expected).collect() == []
+    rows = right["merchant_analytics"]
+    one, two = (r.merchant_id for r in rows.select("merchant_id").orderBy("merchant_id").limit(2).collect())
+    swapped = F.col("total_sales_volume_usd") + F.when(F.col("merchant_id") == one, 5).when(F.col("merchant_id") == two, -5).otherwise(0)
+    customers = right["customer_360"]
+    first = customers.agg(F.min("customer_id")).first()[0]
+    wrong = {
+        "merchant_analytics": rows.withColumn("total_sales_volume_usd", swapped.cast("decimal(20,2)")),
+        "customer_360": customers.withColumn("email", F.when(F.col("customer_id") != first, F.col("email"))).where(F.col("customer_id") == first)
+        .withColumn("email", F.lit(None).cast("string")).unionByName(customers.where(F.col("customer_id") != first)),
+        "credit_risk_monitoring": right["credit_risk_monitoring"].limit(0),
+    }
+    found = {tuple(r) for r in quality.recon_contents(wrong, expected).collect()}
+    tiers = {("credit_risk_monitoring", r.credit_risk_tier, "*", 0, 1) for r in right["credit_risk_monitoring"].collect()}
+    sales = {("merchant_analytics", m, "total_sales_volume_usd", 1, 1) for m in (one, two)}
+    assert found == tiers | sales | {("customer_360", first, "email", 1, 1)}
+
+
+def test_marts_kept_by_sums_hold_what_the_facts_give(stg, built):
+    layers = built[0]
+    assert set(marts.SUMS) <= set(layers.tables(DWH))
+    pipeline.build_marts(layers, settings(4, mode="upsert"), stg)
+    assert pipeline.mart_differences(layers, stg).collect() == []
+
+
+def test_each_mart_meets_both_sides_once(spark, stg, built):
+    frames = pipeline.mart_frames(stg, built[0].tables(DWH), 10)
+    only = {"merchant_analytics": frames["merchant_analytics"]}
+    plan = quality.recon_contents(only, only)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [key_value") == 1 and "Join FullOuter" not in plan
+
+
 def test_a_check_that_throws_is_an_error_of_its_part(spark, stg, built, tmp_path):
     dwh = built[0].tables(DWH)
     tables = dwh | pipeline.mart_frames(stg, dwh, 10) | {"fact_loans": dwh["fact_loans"].drop("loan_amount")}
