@@ -74,7 +74,7 @@ def sampled(rows: DataFrame, by: str, limit: int, seed: int = 42) -> DataFrame:
     return some.orderBy(place, by).limit(limit)
 
 
-def numbered(rows: DataFrame, group: str, by: str, out: str, per_task: int = 50_000) -> DataFrame:
+def numbered(rows: DataFrame, group: str, by: str | list[str], out: str, per_task: int = 50_000) -> DataFrame:
     """Number the rows of each (non-null) group 0, 1, 2, ... without gaps and without a task per group.
 
     Rows fall into hash buckets of ``by``, as many as keep a bucket near
@@ -82,14 +82,15 @@ def numbered(rows: DataFrame, group: str, by: str, out: str, per_task: int = 50_
     buckets before it in its group end. Rows that agree in ``by`` share a
     bucket, so ``by`` should be nearly unique; equal rows get different numbers.
     """
+    by = [by] if isinstance(by, str) else by
     total = rows.count()
     buckets = max(1, math.ceil(total / per_task))
-    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(by), F.lit(buckets)).cast("int"))
+    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy(group, "_bucket").count().select(
         group, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")
     )
-    within = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(by))
+    within = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*by))
     return (
         placed.withColumn("_rank", within)
         .join(starts, [group, "_bucket"])

@@ -219,14 +219,16 @@ def kd_shards(
 
     A null text counts as an empty one (size 1); null coordinates as 0; a null
     id is placed like any other; repeated rows are all kept, each with its own
-    slot; an empty table gives no rows. Only the texts' measures are shuffled
-    or written. Columns other than those named are ignored.
+    slot, and numbered in many tasks however many share an id; an empty table
+    gives no rows. Only the texts' measures are shuffled or written. Columns other than those named are ignored.
     """
     measured, names = _measured(docs, dimensions)
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
     rows = written(measured.select("doc_id", crc.alias("text_crc32"), *names))
     placed = rows.select("doc_id", F.col("_bytes").alias("size"), "text_crc32", _leaf(rows, names, shards, target_bytes).alias("shard"))
-    return numbered(placed, "shard", "doc_id", "slot")
+    # rows of one id, null ones too, are spread by their place in the written table
+    spread = placed.withColumn("_place", F.monotonically_increasing_id())
+    return numbered(spread, "shard", ["doc_id", "text_crc32", "_place"], "slot").drop("_place")
 
 
 def sharded(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,41 +38,131 @@ CHUNK = 1 << 20
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ο": "o", "α": "a", "ι": "i",
 }
+ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ο": "o", "α": "a", "ι": "i"}
+CYRILLIC_LEET = {"3": "з", "4": "ч", "6": "б"}
 READ, DROP_INSIDE, DROP_AT_EDGE, DROP_REPEAT, DROP_SPACE = 1.0, 8.0, 1.0, 0.7, 1.0
 
-# The model's alphabet: a-z, the lower-case letters of Latin-1, and one symbol each for word ends and all else.
+# Symbols of the model: 0-59 and from 64 on letters; word ends, all that is no letter, and letters too rare for a symbol of their own.
 SYMBOLS = 64
-END, OTHER = 60, 61
-_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
-_INDEX = {c: k for k, c in enumerate(_LETTERS)}
-_CODES = np.full(256, OTHER, np.int64)
-_CODES[[ord(c) for c in _LETTERS]] = range(len(_LETTERS))
-_CODES[[9, 10, 11, 12, 13, 32]] = END
+END, OTHER, RARE = 60, 61, 62
+MOST_SYMBOLS = 192
+"""Letters beyond so many symbols, the rarest ones, share ``RARE`` in the counts; each is still read as itself."""
+_LATIN = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+# places in Unicode that no text gives a meaning: letters of a token that can be read in one way only, and those that can't
+_TWINS, _LATIN_TWINS = 0x10F000, 0x10F800
 
 _START, _STOP, _NONE = np.array([END, END]), np.array([END]), np.empty(0, np.int64)
 
-_PLAIN = re.compile(f"[{_LETTERS}]+")
 _PUNCTUATION = ".,;:?\"'-)"
 _TWICE, _THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _EDGE = re.compile(r"^[^\w$@!|+(€£¡]+|[^\w$@!|+(€£¡]+$")
 _RUN_AT_EDGE = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
 _REPEATS = re.compile(r"(.)\1+")
-# two different letters side by side: behind them the lattice has one state, whatever came before
-_PAIR = re.compile(f"([{_LETTERS}])(?!\\1)[{_LETTERS}]")
 
 
-def trigram_counts(docs: DataFrame) -> DataFrame:
-    """``trigram, n`` over every character of all texts: at most 64 cubed rows, combined in each task first."""
+class Alphabet:
+    """The letters of a corpus, each one's symbol, and what every character may be read as.
+
+    a-z and the lower-case letters of Latin-1 always have symbols; ``more`` are
+    the corpus' other letters, the most frequent first. A letter that looks
+    like a Latin one may be read as either; but in a token with a letter that
+    looks like none, it is itself, and a Latin letter there may stand for it.
+    Such tokens are written with twins of these letters (``own``, ``back``).
+    """
+
+    def __init__(self, more: str = ""):
+        self.more = more
+        symbol = {c: k for k, c in enumerate(_LATIN)}
+        for c in more:
+            k = len(symbol) if len(symbol) < END else len(symbol) + SYMBOLS - END
+            symbol[c] = k if k < MOST_SYMBOLS else RARE
+        self.symbols = max(SYMBOLS, max(symbol.values()) + 1)
+        self.codes = np.full(0x110000 if more else 256, OTHER, np.uint8)
+        self.codes[[ord(c) for c in symbol]] = list(symbol.values())
+        self.codes[[9, 10, 11, 12, 13, 32]] = END
+        twins = {c: chr(_TWINS + k) for k, c in enumerate(ALIKE) if c in symbol}
+        latin: dict[str, list[str]] = {}
+        for c in twins:
+            latin.setdefault(ALIKE[c], []).append(c)
+        self.twins = str.maketrans(twins | {x: chr(_LATIN_TWINS + ord(x)) for x in latin})
+        self.back = {ord(t): c for c, t in twins.items()} | {_LATIN_TWINS + ord(x): x for x in latin}
+        self.index = {c: k for c, k in symbol.items() if c not in ALIKE} | {twins[c]: symbol[c] for c in twins}
+        # all that isn't itself only: what it may be read as, and the cost
+        self.readings = {c: [(x, READ) for x in letters] for c, letters in LEET.items()}
+        for c, x in ALIKE.items():
+            self.readings[c] = [(x, READ)] + ([(twins[c], 0.0)] if c in twins else [])
+        for found in self.readings.values():
+            found += [(twins[c], READ) for x, _ in list(found[: len(found)]) for c in latin.get(x, ()) if (twins[c], 0.0) not in found]
+        for c, x in CYRILLIC_LEET.items():
+            self.readings[c] += [(x, READ)] if x in symbol else []
+        for x, letters in latin.items():
+            self.readings[chr(_LATIN_TWINS + ord(x))] = [(x, 0.0)] + [(twins[c], READ) for c in letters]
+        self.solid = {chr(_LATIN_TWINS + ord(x)) for x in latin}
+        only = "".join(map(re.escape, self.index))
+        self.plain = re.compile(f"[{only}]+")
+        # two different letters side by side: behind them the lattice has one state, whatever came before
+        self.pair = re.compile(f"([{only}])(?!\\1)[{only}]")
+        foreign = "".join(re.escape(c) for c in more if c not in ALIKE)
+        self.foreign = re.compile(f"[{foreign}]") if foreign else None
+
+    def __reduce__(self):
+        return Alphabet, (self.more,)
+
+    def own(self, token: str) -> str:
+        """A token with a letter that looks like no Latin one, in letters of one reading where they have one."""
+        return token.translate(self.twins) if self.foreign and not token.isascii() and self.foreign.search(token) else token
+
+    def shown(self, word: str) -> str:
+        """The letters that twins stand for."""
+        return word.translate(self.back) if self.back and not word.isascii() else word
+
+    def pair_code(self, two: str) -> int:
+        """The symbols of two letters as one number, -1 if they aren't two letters."""
+        return self.index[two[0]] * self.symbols + self.index[two[1]] if len(two) == 2 and two[0] in self.index and two[1] in self.index else -1
+
+
+LATIN = Alphabet()
+
+
+def is_letter(c: str) -> bool:
+    """Letters, and vowel signs and the like that words of some scripts are written with; not accents put on other letters."""
+    kind = unicodedata.category(c)
+    return kind[0] == "L" or kind in ("Mn", "Mc") and not unicodedata.name(c, "").startswith(("COMBINING", "VARIATION"))
+
+
+def corpus_alphabet(docs: DataFrame) -> Alphabet:
+    """The alphabet of all texts; what reaches the driver is a row per letter."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0x110000, np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                lower = text.as_py().lower()
+                for at in range(0, len(lower), CHUNK):
+                    code = np.frombuffer(lower[at : at + CHUNK].encode("utf-32-le", "replace"), np.uint32)
+                    seen, n = np.unique(code[code > 0xFF], return_counts=True)
+                    total[seen] += n
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["code", "n"])
+
+    wider = docs.select("text").where(F.col("text").rlike(r"[^\x00-\xFF]"))
+    counted = wider.mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    found = sorted((-r["n"], chr(r["code"])) for r in counted)
+    return Alphabet("".join(c for _, c in found if is_letter(c)))
+
+
+def trigram_counts(docs: DataFrame, alphabet: Alphabet = LATIN) -> DataFrame:
+    """``trigram, n`` over every character of all texts: at most as many rows as symbols cubed, combined in each task first."""
+    symbols = alphabet.symbols
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size = np.zeros(SYMBOLS**3, np.int64), [], 0
+        total, held, size = np.zeros(symbols**3, np.int64), [], 0
 
         def add() -> None:
             c = np.concatenate(held) if held else np.empty(0, np.int64)
             if len(c) > 2:
-                total[:] += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
+                total[:] += np.bincount((c[:-2] * symbols + c[1:-1]) * symbols + c[2:], minlength=symbols**3)
 
         for batch in batches:
             for text in batch.column("text"):
@@ -81,10 +172,10 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                         add()
                         # the next piece of the same text goes on from the last two symbols
                         held, size = ([held[-1][-2:]] if at else []), 0
-                    held.append(_codes(lower[at : at + CHUNK], at == 0, at + CHUNK >= len(lower), held[-1][-1] if at else OTHER))
+                    held.append(_codes(lower[at : at + CHUNK], at == 0, at + CHUNK >= len(lower), held[-1][-1] if at else OTHER, alphabet))
                     size += len(held[-1])
         add()
-        total.reshape(SYMBOLS, SYMBOLS, SYMBOLS)[:, END, END] = 0  # only where one text ends and the next begins
+        total.reshape(symbols, symbols, symbols)[:, END, END] = 0  # only where one text ends and the next begins
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["trigram", "n"])
 
@@ -92,9 +183,13 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
-def _codes(lower: str, first: bool, last: bool, before: int) -> np.ndarray:
+def _codes(lower: str, first: bool, last: bool, before: int, alphabet: Alphabet = LATIN) -> np.ndarray:
     """Symbols of a text, or of a piece of it behind the symbol ``before``, with white space and the text's ends as word ends."""
-    c = _CODES[np.frombuffer(lower.encode("latin-1", "replace"), np.uint8)]
+    try:
+        c = np.frombuffer(lower.encode("latin-1", "strict" if alphabet.more else "replace"), np.uint8)
+    except UnicodeEncodeError:
+        c = np.frombuffer(lower.encode("utf-32-le", "replace"), np.uint32)
+    c = alphabet.codes[c].astype(np.int64)
     c = np.concatenate([_START if first else _NONE, c, _STOP if last else _NONE])
     kept = c != END
     kept[1:] |= c[:-1] != END
@@ -106,7 +201,8 @@ def _codes(lower: str, first: bool, last: bool, before: int) -> np.ndarray:
 
 def language_model(counts: np.ndarray) -> np.ndarray:
     """Cost in nats of each symbol after two others, trigrams backed by bigrams and single symbols."""
-    n = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype(float)
+    symbols = round(len(counts) ** (1 / 3))
+    n = counts.reshape(symbols, symbols, symbols).astype(float)
     one = n.sum(axis=(0, 1)) + 0.5
     one /= one.sum()
     pairs = n.sum(axis=0)
@@ -120,6 +216,7 @@ class Decoder:
     """Reads words as what was most likely meant; remembers what it has read."""
 
     cost: np.ndarray
+    alphabet: Alphabet = LATIN
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
     gaps: dict[str, tuple[bool, ...]] = field(default_factory=dict)
     repeats: dict[str, int] = field(default_factory=dict)
@@ -130,7 +227,7 @@ class Decoder:
     def read(self, word: str) -> tuple[str, ...]:
         """A lower-case token's restored words; a token of plain letters is its own, and with doubled ones also what they may be short for."""
         core = word.strip(_PUNCTUATION)
-        if not _TWICE.search(core) and (core.isascii() and core.isalpha() or _PLAIN.fullmatch(core)):
+        if not _TWICE.search(core) and (core.isascii() and core.isalpha() or self.alphabet.plain.fullmatch(self.alphabet.own(core))):
             return (core,)
         found = self.known.get(word)
         if found is None:
@@ -140,11 +237,11 @@ class Decoder:
         return found
 
     def _read(self, word: str) -> tuple[str, ...]:
-        core = _EDGE.sub("", _RUN_AT_EDGE.sub("", word))
+        core = self.alphabet.own(_EDGE.sub("", _RUN_AT_EDGE.sub("", word)))
         if not core:
             return ()
-        if _PLAIN.fullmatch(core) and not _THRICE.search(core):
-            return tuple(dict.fromkeys([core, self.squeezed(core)]))
+        if self.alphabet.plain.fullmatch(core) and not _THRICE.search(core):
+            return tuple(dict.fromkeys([self.alphabet.shown(core), self.alphabet.shown(self.squeezed(core))]))
         return tuple(w for w in self.viterbi(core).split() if w)
 
     def squeezed(self, letters: str) -> str:
@@ -169,9 +266,10 @@ class Decoder:
 
     def _repeats(self, letters: str, start: int, end: int) -> int:
         """How many of a run of one letter are meant."""
-        before = _INDEX[letters[start - 1]] if start else END
-        behind = _INDEX[letters[end]] if end < len(letters) else END
-        a, size, cost = _INDEX[letters[start]], end - start, self.cost
+        index = self.alphabet.index
+        before = index[letters[start - 1]] if start else END
+        behind = index[letters[end]] if end < len(letters) else END
+        a, size, cost = index[letters[start]], end - start, self.cost
         paid = [float(cost[before, a, behind]) + (size - 1) * DROP_REPEAT]
         for k in range(2, size + 1):
             more = cost[before, a, a] + (k - 2) * cost[a, a, a] + cost[a, a, behind]
@@ -180,7 +278,7 @@ class Decoder:
 
     def viterbi(self, text: str) -> str:
         """The cheapest reading of a token or of letters spaced out."""
-        return self._path(text).replace("\n", "")
+        return self.alphabet.shown(self._path(text).replace("\n", ""))
 
     def _path(self, text: str) -> str:
         """The cheapest reading, with a line feed for each space that is read as nothing.
@@ -191,28 +289,28 @@ class Decoder:
         or nothing. States are the last two symbols read; the language model
         pays for each step.
         """
-        cost = self.cost
-        letters = [k for k, c in enumerate(text) if c in _INDEX]
+        cost, index, readings, solid = self.cost, self.alphabet.index, self.alphabet.readings, self.alphabet.solid
+        letters = [k for k, c in enumerate(text) if c in index]
         inside = range(letters[0], letters[-1]) if letters else range(0)
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
         before = ""
         for at, c in enumerate(text):
             options: list[tuple[str, float]] = []
-            if c in _INDEX:
+            if c in index:
                 options.append((c, 0.0))
                 if c == before:
                     options.append(("", DROP_REPEAT))
             elif c == " ":
                 options += [(" ", 0.0), ("", DROP_SPACE)]
             else:
-                options += [(x, READ) for x in LEET.get(c, "")]
-                drop = 0.0 if c not in LEET else DROP_INSIDE if c.isalnum() or at in inside else DROP_AT_EDGE
-                options.append(("", drop))
+                options += readings.get(c, ())
+                drop = 0.0 if c not in readings else DROP_INSIDE if c.isalnum() or c in solid or at in inside else DROP_AT_EDGE
+                options.append(("", DROP_REPEAT if c == before and c in solid else drop))
             step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (paid, back) in states.items():
                 for letter, price in options:
                     if letter:
-                        s = END if letter == " " else _INDEX[letter]
+                        s = END if letter == " " else index[letter]
                         to, total, path = (b, s), paid + price + float(cost[a, b, s]), (letter, back)
                     else:
                         to, total, path = (a, b), paid + price, ("\n", back) if c == " " else back
@@ -249,8 +347,8 @@ class Decoder:
         core = token.strip(_PUNCTUATION)
         if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
             return core, core[:2], core[-2:]
-        core = token if len(token) == 1 else _EDGE.sub("", _RUN_AT_EDGE.sub("", token))
-        first, last = _PAIR.search(core), _PAIR.search(core[::-1])
+        core = token if len(token) == 1 else self.alphabet.own(_EDGE.sub("", _RUN_AT_EDGE.sub("", token)))
+        first, last = self.alphabet.pair.search(core), self.alphabet.pair.search(core[::-1])
         return (core, core[: first.end()], core[len(core) - last.end() :]) if first and last else (core, "", "")
 
     def gap(self, key: str) -> tuple[bool, ...]:
@@ -266,17 +364,19 @@ class Decoder:
 
     def dropped(self, text: str) -> tuple[bool, ...]:
         """Which spaces of a text the cheapest reading leaves out."""
-        if len(text) == 5 and text[2] == " " and _PLAIN.fullmatch(text[:2]) and _PLAIN.fullmatch(text[3:]) and text[0] != text[1] and text[3] != text[4]:
-            a, b, c, d, cost = *(_INDEX[x] for x in text.replace(" ", "")), self.cost  # two readings only
+        plain, index = self.alphabet.plain, self.alphabet.index
+        if len(text) == 5 and text[2] == " " and plain.fullmatch(text[:2]) and plain.fullmatch(text[3:]) and text[0] != text[1] and text[3] != text[4]:
+            a, b, c, d, cost = *(index[x] for x in text.replace(" ", "")), self.cost  # two readings only
             apart = float(cost[a, b, END]) + float(cost[b, END, c]) + float(cost[END, c, d])
             return (float(cost[a, b, c]) + float(cost[b, c, d]) + DROP_SPACE < apart,)
         return tuple(c == "\n" for c in self._path(text) if c in " \n")
 
     def read_joined(self, word: str) -> tuple[str, ...]:
         """Like ``read``; words of plain letters are not remembered, as few occur twice."""
-        if not _PLAIN.fullmatch(word) or _THRICE.search(word):
+        own = self.alphabet.own(word)
+        if not self.alphabet.plain.fullmatch(own) or _THRICE.search(own):
             return self.read(word)
-        return (word, self.squeezed(word)) if _TWICE.search(word) else (word,)
+        return (word, self.alphabet.shown(self.squeezed(own))) if _TWICE.search(own) else (word,)
 
     def read_spelt(self, letters: tuple[str, ...]) -> tuple[str, ...]:
         key = " ".join(letters)
@@ -284,7 +384,7 @@ class Decoder:
         if found is None:
             if len(self.known) >= MEMORY:
                 self.known.clear()
-            found = self.known[key] = tuple(w for w in {*self.viterbi(key).split(), *self.read("".join(letters))} if len(w) > 1)
+            found = self.known[key] = tuple(w for w in {*self.viterbi(self.alphabet.own(key)).split(), *self.read("".join(letters))} if len(w) > 1)
         return found
 
 
@@ -309,8 +409,8 @@ class Seen:
     """
 
     def __init__(self, decoder: Decoder, room: int = MEMORY):
-        self.decoder, self.room = decoder, room
-        self.cost = decoder.cost.ravel()
+        self.decoder, self.alphabet, self.room = decoder, decoder.alphabet, room
+        self.cost, self.symbols = decoder.cost.ravel(), decoder.alphabet.symbols
         self.forgotten = -1
         # kind, code of the two letters a token begins with and ends with (-1: more than these), length of its core, whether all letters
         self.facts = np.empty((256, 5), np.int32)
@@ -338,17 +438,17 @@ class Seen:
 
     def add(self, start: int) -> None:
         """Take the tokens from ``start`` on apart."""
-        shape, facts = self.decoder.shape, []
+        shape, facts, known, readings, pair_code = self.decoder.shape, [], self.alphabet.index, self.alphabet.readings, self.alphabet.pair_code
         for token in self.tokens[start:]:
             found = core, beginning, ending = shape(token)
             if beginning:
                 kind = PAIRED
-            elif core and all(c in _INDEX or c in LEET for c in core):
+            elif core and all(c in known or c in readings for c in core):
                 kind = BETWEEN
             else:
                 kind = FOREIGN if any(c.isalnum() for c in core) else SIGNS
-            letters = core.isalpha() if core.isascii() else _PLAIN.fullmatch(core) is not None
-            facts.append((kind, _PAIRS.get(beginning, -1), _PAIRS.get(ending, -1), len(core), letters))
+            letters = core.isalpha() if core.isascii() else self.alphabet.plain.fullmatch(core) is not None
+            facts.append((kind, pair_code(beginning), pair_code(ending), len(core), letters))
             self.shapes.append(found)
         if len(self.tokens) > len(self.facts):
             more = np.empty((max(len(self.tokens), 2 * len(self.facts)) - len(self.facts), 5), np.int32)
@@ -398,7 +498,7 @@ class Seen:
             first, last, plain = first[some], last[some], plain[some]
         numbers, shapes = at.tolist(), self.shapes
         for f, l, letters, where in zip(first.tolist(), last.tolist(), plain.tolist(), place[first].tolist(), strict=True):
-            yield where, "".join([shapes[t][0] for t in numbers[f:l]]), letters
+            yield where, self.alphabet.shown("".join([shapes[t][0] for t in numbers[f:l]])), letters
 
     def together(self, at: np.ndarray) -> np.ndarray:
         """Which tokens the cheapest reading joins to the next one."""
@@ -409,10 +509,11 @@ class Seen:
         plain = np.flatnonzero(paired & (end >= 0) & (begin >= 0))
         # two readings only: with the space and without
         a_b, c_d = end[plain], begin[plain]
-        b, c = a_b % SYMBOLS * SYMBOLS**2, c_d // SYMBOLS
+        symbols = self.symbols
+        b, c = a_b % symbols * symbols**2, c_d // symbols
         cost = lambda k: self.cost[k].astype(np.float64)
-        apart = cost(a_b * SYMBOLS + END) + cost(b + END * SYMBOLS + c) + cost(END * SYMBOLS**2 + c_d)
-        out[plain] = cost(a_b * SYMBOLS + c) + cost(b + c_d) + DROP_SPACE < apart
+        apart = cost(a_b * symbols + END) + cost(b + END * symbols + c) + cost(END * symbols**2 + c_d)
+        out[plain] = cost(a_b * symbols + c) + cost(b + c_d) + DROP_SPACE < apart
         shapes, gap, numbers = self.shapes, self.decoder.gap, at.tolist()
         others = np.flatnonzero(paired & ((end < 0) | (begin < 0))).tolist()
         if others:
@@ -441,9 +542,6 @@ PAIRED, BETWEEN, FOREIGN, SIGNS = range(4)
 BOUND = 0
 
 
-_PAIRS = {a + b: _INDEX[a] * SYMBOLS + _INDEX[b] for a in _LETTERS for b in _LETTERS}
-
-
 def beginnings(word: str) -> list[str]:
     """A word's features: its beginnings, marked as such, and the word."""
     return [word[:k] + "-" for k in range(SHORTEST, min(LONGEST, len(word) - 1) + 1)] + [word]
@@ -484,7 +582,7 @@ class Marks:
 
     def _read_new(self) -> None:
         """Marks of the tokens seen since; all anew when tokens were forgotten."""
-        tokens, shapes = self.seen.tokens, self.seen.shapes
+        tokens, shapes, shown = self.seen.tokens, self.seen.shapes, self.seen.alphabet.shown
         if self.forgotten != self.seen.forgotten:
             self.read, self.forgotten = BOUND + 1, self.seen.forgotten
             self.marked[:] = False
@@ -494,7 +592,7 @@ class Marks:
             self.marked, self.matters = np.append(self.marked, more), np.append(self.matters, more)
         letters = self.seen.facts[self.read : len(tokens), 4].tolist()
         for k, plain in enumerate(letters, self.read):
-            self.matters[k] = matters = self._may(shapes[k][0], plain)
+            self.matters[k] = matters = self._may(shown(shapes[k][0]), plain)
             if matters and (own := self._of(self.decoder.read(tokens[k]))):
                 self.known[k], self.marked[k] = own, True
         self.read = len(tokens)
@@ -504,15 +602,15 @@ class Marks:
         return tuple(f for w in words if w[:SHORTEST] in self.starts for f in beginnings(w) if f in self.weight)
 
 
-def restored_words(docs: DataFrame, cost: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def restored_words(docs: DataFrame, cost: np.ndarray, keep: tuple[str, ...] = ("doc_id",), alphabet: Alphabet = LATIN) -> DataFrame:
     """The columns ``keep`` and the distinct restored ``words`` of each text."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(cost)  # one megabyte
+    sent = spark.sparkContext.broadcast((cost, alphabet))  # 1 to 28 megabytes
     kept = docs.select(*keep, "text")
     types = ", ".join(f"{n} {kept.schema[n].dataType.simpleString()}" for n in keep)
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(sent.value)
+        decoder = Decoder(*sent.value)
         for batch in batches:
             words = pa.array([sorted(decoder.words(t.as_py())) for t in batch.column("text")], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), words], [*keep, "words"])
@@ -580,34 +678,36 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     of all texts make the language model; words with signs, digits, spacing
     (between any tokens) or repetition (of two letters or more) are read by a Viterbi search under it; beginnings of the
     restored words are weighed by a sparse logistic classifier fitted on a
-    bounded sample. Whole texts are read, in one pass for the model and one for
-    the scores.
+    bounded sample. Whole texts are read: in one pass for the alphabet, one for the model and one for
+    the scores. Letters of any script are read as themselves, and in words with
+    letters of another script look-alikes are read as what fits best.
 
     A null or empty text has no words and scores the classifier's offset; null
-    ids are scored but not learnt from; repeated rows are all scored; an empty
+    ids are scored but not learnt from; repeated rows are all scored, and of the
+    rows of one id the one with the smallest hash is learnt from; an empty
     table gives no rows. Without labels of both kinds every score is the share
     of toxic labels (0 without any). Columns other than those named are ignored.
     """
     docs = docs.select("doc_id", "text")
-    counts = np.zeros(SYMBOLS**3, np.int64)
-    for r in trigram_counts(docs).collect():  # bounded by the alphabet
-        counts[r["trigram"]] = r["n"]
+    alphabet = corpus_alphabet(docs)
+    counts = np.zeros(alphabet.symbols**3, np.int64)
+    counted = trigram_counts(docs, alphabet).toArrow()  # bounded by the alphabet
+    counts[counted.column("trigram").to_numpy()] = counted.column("n").to_numpy()
     cost = language_model(counts)
     marked = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = written(sampled(marked, "doc_id", fit_rows))
-    sample = written(
-        restored_words(docs.join(F.broadcast(chosen), "doc_id"), cost, ("doc_id", "toxic")).withColumn("doc", F.monotonically_increasing_id())
-    )
+    learnt = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = written(restored_words(learnt, cost, ("doc_id", "toxic"), alphabet).withColumn("doc", F.monotonically_increasing_id()))
     features = selected(sample)
     number = {f: k for k, f in enumerate(features)}
     weights, offset = _fit(sample, number)
     weight = {f: float(weights[k]) for f, k in number.items() if weights[k] > 0}
-    sent = docs.sparkSession.sparkContext.broadcast((cost, weight))  # bounded by the alphabet and FEATURES
+    sent = docs.sparkSession.sparkContext.broadcast((cost, alphabet, weight))  # bounded by the alphabet and FEATURES
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cost, weight = sent.value
-        marks = Marks(Decoder(cost), weight)
+        cost, alphabet, weight = sent.value
+        marks = Marks(Decoder(cost, alphabet), weight)
         for batch in batches:
             margins = [offset + sum(weight[f] for f in sorted(own)) for part in _parts(batch.column("text")) for own in marks.of_texts(part)]
             score = 0.5 * (1 + np.tanh(np.array(margins, float) / 2))

@@ -116,3 +116,58 @@ def test_disguise_does_not_help(spark):
     scores = toxicity.toxicity_scores(docs.select("doc_id", "text").unionByName(more), docs.select("doc_id", "toxic"))
     got = {r.doc_id: r.score for r in scores.where("doc_id >= 1000").collect()}
     assert got[1000] > 0.7 and got[1001] > 0.7 and got[1002] < 0.5
+
+
+RUSSIAN = "он сказал что этот идиот опять пришёл на работу и дурак не понял ничего а вот собака спит дома около окна"
+GREEK = "αυτός ο ηλίθιος ήρθε πάλι στο σπίτι και ο βλάκας δεν κατάλαβε τίποτα από όλα αυτά"
+CZECH = "ten hloupý žlutý kůň řekl že tvůj debil přišel zase pozdě a łódź płynie dalej przez żółte morze"
+JAPANESE = "これ は 馬鹿 です また 今日 も 来た"
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    docs = spark.createDataFrame([(t,) for t in [RUSSIAN, GREEK, CZECH, JAPANESE] * 50] + [("the man was an idiot of the house and a moron at home",)] * 100, "text string")
+    alphabet = toxicity.corpus_alphabet(docs)
+    counts = np.zeros(alphabet.symbols**3, np.int64)
+    for r in toxicity.trigram_counts(docs, alphabet).collect():
+        counts[r["trigram"]] = r["n"]
+    return toxicity.Decoder(toxicity.language_model(counts), alphabet)
+
+
+def test_every_script_is_read_as_itself(wide):
+    for text in (RUSSIAN, GREEK, CZECH, JAPANESE):
+        longer = {w for w in text.split() if len(w) > 1 and not set(w) <= set(toxicity.ALIKE)}
+        assert longer <= wide.words(text), longer - wide.words(text)
+    assert {"moron", "the"} <= wide.words("the mоrоn")  # Cyrillic letters in a Latin word
+
+
+def test_disguise_in_other_scripts_is_read(wide):
+    for disguised, meant in {
+        "иди0т": "идиот", "ииддииот": "идиот", "и д и о т": "идиот", "и-д-и-о-т": "идиот", "иди от": "идиот", "идиoт": "идиот", "дурaк": "дурак",
+        "ηηλίθιος": "ηλίθιος", "β λ ά κ α ς": "βλάκας", "hl0upý": "hloupý", "žžlutý": "žlutý", "řř3kl": "řekl", "馬 馬鹿": "馬鹿",
+    }.items():
+        assert meant in wide.words(f"{disguised}"), (disguised, wide.words(disguised))
+
+
+def test_rare_letters_share_a_symbol_and_stay_themselves(spark):
+    many = "".join(chr(0x4E00 + k) for k in range(300))
+    docs = spark.createDataFrame([(many,), (many[:100],), (None,), ("",)], "text string")
+    alphabet = toxicity.corpus_alphabet(docs)
+    assert alphabet.symbols == toxicity.MOST_SYMBOLS and sorted(alphabet.more) == sorted(many)
+    n = {r["trigram"]: r["n"] for r in toxicity.trigram_counts(docs, alphabet).collect()}
+    assert sum(n.values()) == 300 + 100 + 2  # a trigram ends in each letter and at each text's end; empty texts have none
+    cost = toxicity.language_model(np.bincount(list(n), list(n.values()), alphabet.symbols**3))
+    assert many in toxicity.Decoder(cost, alphabet).words(many)
+
+
+def test_toxic_words_of_another_script_are_learnt_once_per_id(spark):
+    rows = []
+    for k in range(400):
+        bad = k % 4 == 0
+        rows.append((k, f"вот {chr(0x430 + k % 26)}бв {'идиот' if bad else 'хороший'} и ещё {chr(0x430 + k % 17)}де", int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    repeated = spark.range(300).selectExpr("CAST(1 AS BIGINT) AS doc_id", "'вот идиот' AS text")  # one id in many rows
+    more = spark.createDataFrame([(1000, "вот иди0т и"), (1001, "вот и д и о т ещё"), (1002, "вот хороший и")], "doc_id bigint, text string")
+    scores = toxicity.toxicity_scores(docs.select("doc_id", "text").unionByName(more).unionByName(repeated), docs.select("doc_id", "toxic"))
+    got = {r.doc_id: r.score for r in scores.where("doc_id >= 1000").collect()}
+    assert got[1000] > 0.7 and got[1001] > 0.7 and got[1002] < 0.5 and scores.count() == 703

@@ -118,3 +118,11 @@ def test_sha_is_of_the_utf8_text(spark):
     docs = spark.createDataFrame([(1, "é  à\nb")], "doc_id bigint, text string")
     kept = substrings.without_repeats(docs).select(F.sha2(F.encode("kept", "UTF-8"), 256)).first()[0]
     assert kept == hashlib.sha256("é à b".encode()).hexdigest()
+
+
+def test_slots_have_no_gaps_where_ids_are_null_or_equal(spark):
+    docs = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS doc_id", "repeat('ab ', CAST(id % 50 AS INT)) AS text")
+    slots = {}
+    for r in sharding.kd_shards(docs, shards=4).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == 3000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
