@@ -163,7 +163,7 @@ def test_rare_letters_share_a_symbol_and_stay_themselves(spark):
 def test_toxic_words_of_another_script_are_learnt_once_per_id(spark):
     rows = []
     for k in range(400):
-        bad = k % 4 == 0
+        bad = k % 8 == 0
         rows.append((k, f"вот {chr(0x430 + k % 26)}бв {'идиот' if bad else 'хороший'} и ещё {chr(0x430 + k % 17)}де", int(bad)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     repeated = spark.range(300).selectExpr("CAST(1 AS BIGINT) AS doc_id", "'вот идиот' AS text")  # one id in many rows
