@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,8 +25,8 @@ _CSV = {
 }
 
 RECORDS_PER_FILE = 1_000_000
-CHECKSUM_BYTES = 1 << 30
-"""Larger files are not hashed as a whole, which takes one task; their lines' digest is taken all the same."""
+CHECKSUM_BYTES = 1 << 27
+"""Larger files are not hashed as one value, which takes one task's memory; their ``content_digest`` is taken all the same."""
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -37,6 +37,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("file_size_bytes", T.LongType()),
         T.StructField("checksum_sha256", T.StringType()),
         T.StructField("line_digest", T.StringType()),
+        T.StructField("content_digest", T.StringType()),
         T.StructField("status", T.StringType()),
     ]
 )
@@ -236,25 +237,64 @@ def checksums(spark: SparkSession, folder: str) -> DataFrame:
     return small.select(_file_path().alias("file"), F.sha2("content", 256).alias("checksum_sha256"))
 
 
-def line_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """A digest of each file's lines, whatever its size: (file, line_digest).
+# hexadecimal digits of a line's SHA-256 in each of three sums: times a line's number, they stay below 38 decimal digits
+_DIGITS = 12
+_IN_TASK = (1 << 33) - 1
+
 
-    The number of lines and the sum of their SHA-256's first 15 digits, so files
-    are split as usual; the order of the lines does not count.
+def line_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of each file's lines, whatever its size: ``file, line_digest, ordered``.
+
+    ``line_digest`` is the number of lines and the sum of their SHA-256's first
+    15 digits; the order of the lines does not count. In ``ordered`` it does:
+    the number of lines, and for each 12 of the first 36 digits the sum of
+    these times the line's number, counted from 1. Files are split as usual
+    and read once: a block gives its number of lines, and its sums with lines
+    counted from the block's start, which the lines of the blocks before shift.
+    Lines end at line feeds only, so no other byte is lost.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
+        .option("lineSep", "\n")
         .text(folder)
-        .select(_file_path().alias("file"), F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)").alias("h"))
+        .select(
+            _file_path().alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_TASK)).alias("place"),
+            F.sha2("value", 256).alias("hash"),
+        )
+    )
+    number = lambda at, size, digits: F.conv(F.substring("hash", at, size), 16, 10).cast(f"decimal({digits},0)")
+    parts = range(3)
+    hashed = lines.select(
+        "file", "start", F.col("place").cast("decimal(10,0)").alias("place"), number(1, 15, 20).alias("h"),
+        *(number(1 + k * _DIGITS, _DIGITS, 15).alias(f"h{k}") for k in parts),
+    )
+    blocks = hashed.groupBy("file", "start").agg(
+        F.count("*").alias("n"),
+        F.min("place").alias("first"),
+        F.sum("h").alias("h"),
+        *(F.sum(f"h{k}").alias(f"s{k}") for k in parts),
+        *(F.sum(F.col("place") * F.col(f"h{k}")).alias(f"w{k}") for k in parts),
+    )
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifted = blocks.withColumn("shift", before.cast("decimal(13,0)") + 1 - F.col("first"))
+    summed = shifted.groupBy("file").agg(
+        F.sum("n").alias("n"),
+        F.sum("h").alias("h"),
+        *(F.sum((F.col(f"w{k}") + F.col("shift") * F.col(f"s{k}")).cast("decimal(38,0)")).alias(f"w{k}") for k in parts),
     )
-    summed = lines.groupBy("file").agg(F.count("*").alias("n"), F.sum("h").alias("h"))
-    return summed.select("file", F.concat_ws(":", F.col("n").cast("string"), F.col("h").cast("string")).alias("line_digest"))
+    joined = lambda *columns: F.concat_ws(":", *(F.col(c).cast("string") for c in columns))
+    return summed.select("file", joined("n", "h").alias("line_digest"), joined("n", *(f"w{k}" for k in parts)).alias("ordered"))
 
 
 def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True, multiline: bool = False) -> DataFrame:
-    """One manifest row per landed file, with a checksum of the whole (see ``CHECKSUM_BYTES``) and one of its lines.
+    """One manifest row per landed file, with a checksum of the whole (see ``CHECKSUM_BYTES``) and digests of its lines.
 
+    ``content_digest`` is the SHA-256 of size and ``ordered`` digest, so any
+    changed, moved, added or lost byte of a file of any size tells; it is taken
+    block by block.
     A file whose records were not counted fails the manifest.
     """
     files = discover(spark, folder).join(count_records(spark, folder, multiline), "file", "left")
@@ -262,7 +302,7 @@ def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True
         files = files.join(checksums(spark, folder), "file", "left").join(line_digests(spark, folder), "file", "left")
     else:
         none = F.lit(None).cast("string")
-        files = files.withColumns({"checksum_sha256": none, "line_digest": none})
+        files = files.withColumns({"checksum_sha256": none, "line_digest": none, "ordered": none})
     missed = F.raise_error(F.concat(F.lit("records not counted: "), F.col("file")))
     return files.select(
         "table_name",
@@ -272,6 +312,7 @@ def manifest_tables(spark: SparkSession, folder: str, with_checksum: bool = True
         "file_size_bytes",
         "checksum_sha256",
         "line_digest",
+        F.sha2(F.concat(F.col("file_size_bytes").cast("string"), F.lit(":"), F.col("ordered")), 256).alias("content_digest"),
         F.lit("SUCCESS").alias("status"),
     )
 

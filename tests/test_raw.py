@@ -1,4 +1,5 @@
 import hashlib
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -218,3 +219,36 @@ def test_malformed_records_are_set_aside_on_request(spark, tmp_path):
     counts = pipeline.load_staging(layers, lambda t: (kept, rejected) if t == "loans" else empty, s).collect()
     assert {r.table_name: r["rows"] for r in counts if r["rows"]} == {"stg_loans": 5, "stg_loans_rejected": 2}
     assert layers.read(pipeline.STG, "stg_loans_rejected").count() == 2
+
+
+def ordered_digest(content: bytes) -> str:
+    lines = content.split(b"\n")[: -1 if content.endswith(b"\n") else None]
+    hashes = [hashlib.sha256(line).hexdigest() for line in lines]
+    sums = [sum(p * int(h[k : k + 12], 16) for p, h in enumerate(hashes, 1)) for k in (0, 12, 24)]
+    return hashlib.sha256(":".join(map(str, [len(content), len(lines), *sums])).encode()).hexdigest()
+
+
+def test_digest_of_whole_files_read_in_many_blocks(spark, tmp_path):
+    rng = random.Random(0)
+    lines = ["id,text"] + [f"{k},{'x' * rng.randrange(40)}é" for k in range(500)]
+    swapped = lines[:]
+    swapped[100], swapped[400] = swapped[400], swapped[100]
+    files = {
+        "a": "\n".join(lines) + "\n", "copy": "\n".join(lines) + "\n", "swapped": "\n".join(swapped) + "\n", "open": "\n".join(lines),
+        "returns": "\r\n".join(lines) + "\r\n", "gaps": "\n\n".join(lines) + "\n\n", "one": "id,text",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    digests = []
+    for size in ("700", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            lined = raw.line_digests(spark, str(tmp_path))
+            rows = raw.manifest_tables(spark, str(tmp_path)).collect() if size == "128m" else None
+            digests.append({r.file.rsplit("/", 1)[1]: (r.line_digest, r.ordered) for r in lined.collect()})
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert digests[0] == digests[1] and len(digests[0]) == len(files)
+    got = {r.table_name: r.content_digest for r in rows}
+    assert got == {n: ordered_digest(t.encode()) for n, t in files.items()}
+    assert got["a"] == got["copy"] and len(set(got.values())) == len(files) - 1
