@@ -600,17 +600,22 @@ def _(wb):
     stored, id_col, buckets = first_load(wb), "transaction_id", 8
     arrived = wb.stored("arrived_transactions", wb.transactions)
 
-    def placed(name: str, rows: DataFrame) -> DataFrame:
+    def placed(load: int, rows: DataFrame) -> None:
         def write(folder: str) -> None:
-            in_buckets(rows, id_col, buckets).hint("rebalance", "id_bucket").write.partitionBy("id_bucket").parquet(folder)
+            in_buckets(rows, id_col, buckets).hint("rebalance", "id_bucket").write.mode("overwrite").partitionBy("id_bucket").parquet(folder)
 
-        return wb.spark.read.parquet(wb.once(name, write))
+        wb.once(f"ids_by_load/load={load}", write)
 
-    ids = placed("ids_of_first_load", stored)
+    def ids() -> DataFrame:
+        """The ids of all loads so far as one scan, as :class:`Layers` opens the folders of a table."""
+        return wb.spark.read.schema(in_buckets(stored, id_col, buckets).schema).parquet(f"{wb.root}/ids_by_load").select(id_col, "id_bucket")
+
+    placed(1, stored)
     few = arrived.filter("transaction_id like '%-1' or date_key < 19980301")
-    second = wb.stored("second_load", lambda: facts.insert_if_absent(few, ids, id_col, buckets))
-    ids = ids.unionByName(placed("ids_of_second_load", second))
-    third = facts.insert_if_absent(arrived, ids, id_col, buckets)
+    second = wb.stored("second_load", lambda: facts.insert_if_absent(few, ids(), id_col, buckets))
+    placed(2, second)
+    # written like the load before, as turning keys back into ids reads the rows more than once
+    third = wb.stored("third_load", lambda: facts.insert_if_absent(arrived, ids(), id_col, buckets))
     rows = stored.select(*facts.TRANSACTION_COLUMNS).unionByName(second).unionByName(third)
     return transaction_rows(rows, wb)
 

@@ -110,6 +110,11 @@ def absent_from_buckets(batch: DataFrame, ids: DataFrame, id_col: str, buckets:
     at most ``buckets``, are fixed before the scan is planned. Of what is read,
     the ids both sides share are found with the batch as the inner side, bucket
     and id being the key, so a small batch is sent to the stored files.
+
+    ``ids`` of several loads should be one scan of their folders, as ``Layers``
+    opens a table. Spark 4.1 takes a union of scans, joined here by shuffles,
+    for one that keeps their partitions, and fails where it is read twice
+    (``Can't zip RDDs with unequal numbers of partitions``).
     """
     placed = batch.withColumn("id_bucket", bucket_of(id_col, buckets))
     touched = sorted(r[0] for r in placed.select("id_bucket").distinct().collect())

@@ -24,6 +24,21 @@ def test_oracles_name_queries():
     assert set(oracles.all_oracles()) == set(QUERIES)
 
 
+def test_loads_join_stored_ids_by_shuffles(spark, monkeypatch):
+    """As over large tables, where neither the ids nor a dimension is broadcast."""
+    from functools import partial
+
+    monkeypatch.setattr(registry, "lookup", partial(registry.lookup, broadcast_bytes=0))
+    run, again = registry.registered(), f"{SF}/../sf0.001"  # a workbench of its own
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loaded, whole = run["fact_insert_if_absent"](spark, again), run["fact_tx_build"](spark, again)
+        assert loaded.exceptAll(whole).isEmpty() and whole.exceptAll(loaded).isEmpty() and not loaded.isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_entry(spark):
     import __spark_entry__
 
