@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
 from threading import RLock
 
@@ -42,6 +42,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Tables(Mapping[str, DataFrame]):
+    """Tables by name, each written when it is first asked for.
+
+    A check that reads one dimension need not wait for facts and marts nobody reads.
+    """
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers = makers
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __or__(self, other: Mapping[str, DataFrame]) -> Tables:
+        more = other._makers if isinstance(other, Tables) else {n: lambda rows=rows: rows for n, rows in other.items()}
+        return Tables(self._makers | more)
+
+
 class Workbench:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -67,20 +93,23 @@ class Workbench:
     def source(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
-    def staging(self) -> dict[str, DataFrame]:
-        return {f"stg_{t}": self[f"stg_{t}"] for t in STAGING}
+    def named(self, *names: str) -> Tables:
+        return Tables({n: lambda n=n: self[n] for n in names})
+
+    def staging(self) -> Tables:
+        return self.named(*(f"stg_{t}" for t in STAGING))
 
     def plain_staging(self) -> dict[str, DataFrame]:
         return {t: self[f"stg_{t}"] for t in STAGING}
 
-    def dims(self) -> dict[str, DataFrame]:
-        return {d: self[d] for d in (*DIMENSIONS, "dim_date")}
+    def dims(self) -> Tables:
+        return self.named(*DIMENSIONS, "dim_date")
 
-    def warehouse(self) -> dict[str, DataFrame]:
-        return self.dims() | {f: self[f] for f in ("fact_transactions", "fact_loans")}
+    def warehouse(self) -> Tables:
+        return self.dims() | self.named("fact_transactions", "fact_loans")
 
-    def marts(self) -> dict[str, DataFrame]:
-        return {m: self[m] for m in MARTS}
+    def marts(self) -> Tables:
+        return self.named(*MARTS)
 
     def once(self, name: str, work: Callable[[str], None]) -> str:
         """Run a job that writes a folder once, and return the folder."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +19,7 @@ from ledgermill.schemas import (
     UNKNOWN_ID,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Accepted ranges.
 MAX_INTEREST_RATE = 40
@@ -144,12 +144,12 @@ def fico_range(tables: Tables) -> DataFrame:
     return scan(tables, _fico_range())
 
 
-def _listed(tables: Tables, check: str, found: DataFrame, targets: list[tuple[str, str]], detail: Column) -> DataFrame:
+def _listed(check: str, found: DataFrame, targets: list[tuple[str, str]], detail: Column) -> DataFrame:
     """A result row for each (table, column), with what was ``found`` for its position ``i``.
 
     ``found`` has at most one row per position.
     """
-    spark = next(iter(tables.values())).sparkSession
+    spark = found.sparkSession
     entries = [
         F.struct(F.lit(i).alias("i"), F.lit(t).alias("t"), F.lit(c).alias("c")) for i, (t, c) in enumerate(targets)
     ]
@@ -181,7 +181,7 @@ def _unique(check: str, tables: Tables, keys: dict[str, str], kind: str) -> Data
         F.array_join(F.transform(F.array_sort(F.collect_list("k")), lambda k: k.cast("string")), ", ").alias("examples")
     )
     found = repeated.groupBy("i").agg(F.count("*").alias("n")).join(smallest, "i", "left")
-    return _listed(tables, check, found, targets, F.coalesce("examples", F.lit("")))
+    return _listed(check, found, targets, F.coalesce("examples", F.lit("")))
 
 
 def pk_unique(tables: Tables, keys: dict[str, str] = PRIMARY_KEYS) -> DataFrame:
@@ -211,7 +211,7 @@ def _foreign_keys(check: str, fact: str, tables: Tables) -> DataFrame:
     lost = used.join(known, ["i", "k"], "left_anti").groupBy("i").agg(F.sum("count").alias("n"))
     dims = F.array(*[F.lit(f"not in {d}") for _, d, _ in links])
     targets = [(fact, key) for key, _, _ in links]
-    return _listed(tables, check, lost, targets, F.get(dims, F.col("i")))
+    return _listed(check, lost, targets, F.get(dims, F.col("i")))
 
 
 def fk_transactions(tables: Tables) -> DataFrame:

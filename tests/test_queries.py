@@ -4,6 +4,7 @@ import pytest
 
 from fixtures import oracles, registry
 from fixtures.check import compare, duck
+from fixtures.workbench import Workbench
 
 SF = "/root/testdata/sf0.001"
 QUERIES = sorted(registry.registered())
@@ -39,6 +40,19 @@ def test_loads_join_stored_ids_by_shuffles(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize(
+    "name, built",
+    [
+        ("dq_fico_range", {"stg_customers", "dim_customer"}),
+        ("dq_fk_loans", {"stg_customers", "stg_branches", "stg_loans", "dim_customer", "dim_branch", "dim_date", "fact_loans"}),
+    ],
+)
+def test_checks_wait_for_their_own_tables_only(spark, name, built):
+    bench = Workbench(spark, f"{SF}/../sf0.001/{'./' * len(name)}")
+    assert registry.REGISTRY[name](bench).count() == len(registry.REGISTRY[name](bench).collect()) > 0
+    assert set(bench._schemas) == built
+
+
 def test_entry(spark):
     import __spark_entry__
 
