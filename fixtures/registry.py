@@ -31,7 +31,7 @@ from ledgermill.plans import pipeline
 from ledgermill.schemas import DIMENSIONS, PRIMARY_KEYS, STAGING
 from ledgermill.sources import raw
 from ledgermill.sources.layers import Layers
-from ledgermill.streaming.transactions import load_available, transaction_stream
+from ledgermill.streaming.transactions import BATCH_BROADCAST_BYTES, load_available, transaction_stream
 
 Query = Callable[[Workbench], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -1039,7 +1039,8 @@ def _(wb):
 @query("stream_fact_load")
 def _(wb):
     """Transactions that land on one day and, a third of them, again on the next."""
-    by_account, dims = wb["account_keys"], wb.dims()
+    # opened before the stream starts: its thread must not wait for a table, as this one holds the workbench meanwhile
+    by_account, dims = wb["account_keys"], dict(wb.dims())
     rows = wb.stored("first_copies", lambda: facts.first_transactions(facts.valid_transactions(wb["stg_transactions"])))
 
     def land(folder: str) -> None:
@@ -1049,7 +1050,7 @@ def _(wb):
     base = wb.once("raw_stream", land)
 
     def build(batch: DataFrame) -> DataFrame:
-        return facts.build_transactions(batch, by_account, dims)
+        return facts.build_transactions(batch, by_account, dims, broadcast_bytes=BATCH_BROADCAST_BYTES)
 
     def run(folder: str) -> None:
         stream = transaction_stream(wb.spark, base, max_files=4)

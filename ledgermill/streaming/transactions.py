@@ -14,6 +14,9 @@ from ledgermill.operators import facts
 from ledgermill.operators.staging import clean_staging
 from ledgermill.sources import raw
 
+BATCH_BROADCAST_BYTES = 4 << 20
+"""Larger tables are joined to a micro-batch by a shuffle: each one sends what it broadcasts through the driver anew, and there are more with more files."""
+
 
 def transaction_stream(spark: SparkSession, base: str, max_files: int = 1000, multiline: bool = False) -> DataFrame:
     """New files under ``<base>/transactions`` as typed staging rows, read as strictly as in a batch."""

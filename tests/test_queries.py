@@ -1,10 +1,13 @@
 """Every registered query against its oracle."""
 
+import threading
+
 import pytest
 
 from fixtures import oracles, registry
 from fixtures.check import compare, duck
 from fixtures.workbench import Workbench
+from ledgermill.operators import facts
 
 SF = "/root/testdata/sf0.001"
 QUERIES = sorted(registry.registered())
@@ -53,6 +56,27 @@ def test_checks_wait_for_their_own_tables_only(spark, name, built):
     assert set(bench._schemas) == built
 
 
+def test_stream_opens_its_tables_before_it_starts(spark, monkeypatch):
+    """The stream's thread needs the workbench for nothing, neither in its first batch nor later, and sends no large table to the driver."""
+    bench, main, asked, limits = Workbench(spark, f"{SF}/../sf0.001/./../sf0.001"), threading.get_ident(), [], []
+    stored, build = Workbench.stored, facts.build_transactions
+
+    def noted(self, name, rows):
+        if threading.get_ident() != main:
+            asked.append(name)
+            raise RuntimeError(f"{name} is asked for by the stream")  # it would wait forever
+        return stored(self, name, rows)
+
+    def built(*args, **options):
+        limits.append(options["broadcast_bytes"])
+        return build(*args, **options)
+
+    monkeypatch.setattr(Workbench, "stored", noted)
+    monkeypatch.setattr(facts, "build_transactions", built)
+    assert registry.REGISTRY["stream_fact_load"](bench).count() > 0
+    assert not asked and limits and max(limits) <= 4 << 20
+
+
 def test_entry(spark):
     import __spark_entry__
 
