@@ -125,6 +125,13 @@ class Alphabet:
 LATIN = Alphabet()
 
 
+def bare(token: str) -> str:
+    """A token without the signs at its edges that are read as nothing; letters and digits there are never signs."""
+    if token and token[0].isalnum() and token[-1].isalnum():
+        return token
+    return _EDGE.sub("", _RUN_AT_EDGE.sub("", token))
+
+
 def is_letter(c: str) -> bool:
     """Letters, and vowel signs and the like that words of some scripts are written with; not accents put on other letters."""
     kind = unicodedata.category(c)
@@ -223,6 +230,8 @@ class Decoder:
 
     def __post_init__(self) -> None:
         self.seen = Seen(self)
+        # one price at a time is read faster from here than from an array
+        self.prices = memoryview(np.ascontiguousarray(self.cost).ravel())
 
     def read(self, word: str) -> tuple[str, ...]:
         """A lower-case token's restored words; a token of plain letters is its own, and with doubled ones also what they may be short for."""
@@ -237,7 +246,7 @@ class Decoder:
         return found
 
     def _read(self, word: str) -> tuple[str, ...]:
-        core = self.alphabet.own(_EDGE.sub("", _RUN_AT_EDGE.sub("", word)))
+        core = self.alphabet.own(bare(word))
         if not core:
             return ()
         if self.alphabet.plain.fullmatch(core) and not _THRICE.search(core):
@@ -289,10 +298,11 @@ class Decoder:
         or nothing. States are the last two symbols read; the language model
         pays for each step.
         """
-        cost, index, readings, solid = self.cost, self.alphabet.index, self.alphabet.readings, self.alphabet.solid
+        prices, symbols, index, readings, solid = self.prices, self.alphabet.symbols, self.alphabet.index, self.alphabet.readings, self.alphabet.solid
         letters = [k for k, c in enumerate(text) if c in index]
         inside = range(letters[0], letters[-1]) if letters else range(0)
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(END, END): (0.0, None)}
+        # a state is the two symbols as one number
+        states: dict[int, tuple[float, tuple | None]] = {END * symbols + END: (0.0, None)}
         before = ""
         for at, c in enumerate(text):
             options: list[tuple[str, float]] = []
@@ -306,18 +316,21 @@ class Decoder:
                 options += readings.get(c, ())
                 drop = 0.0 if c not in readings else DROP_INSIDE if c.isalnum() or c in solid or at in inside else DROP_AT_EDGE
                 options.append(("", DROP_REPEAT if c == before and c in solid else drop))
-            step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (paid, back) in states.items():
-                for letter, price in options:
+            step: dict[int, tuple[float, tuple | None]] = {}
+            moves = [(letter, END if letter == " " else index[letter] if letter else -1, price) for letter, price in options]
+            for state, (paid, back) in states.items():
+                row, last = state * symbols, state % symbols * symbols
+                for letter, s, price in moves:
                     if letter:
-                        s = END if letter == " " else index[letter]
-                        to, total, path = (b, s), paid + price + float(cost[a, b, s]), (letter, back)
+                        to, total = last + s, paid + price + prices[row + s]
+                        if to not in step or total < step[to][0]:
+                            step[to] = total, (letter, back)
                     else:
-                        to, total, path = (a, b), paid + price, ("\n", back) if c == " " else back
-                    if to not in step or total < step[to][0]:
-                        step[to] = (total, path)
+                        total = paid + price
+                        if state not in step or total < step[state][0]:
+                            step[state] = total, ("\n", back) if c == " " else back
             states, before = step, c
-        _, path = min((paid + float(cost[a, b, END]), k, path) for k, ((a, b), (paid, path)) in enumerate(states.items()))[::2]
+        _, path = min((paid + prices[state * symbols + END], k, path) for k, (state, (paid, path)) in enumerate(states.items()))[::2]
         out = []
         while path:
             letter, path = path
@@ -347,7 +360,7 @@ class Decoder:
         core = token.strip(_PUNCTUATION)
         if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
             return core, core[:2], core[-2:]
-        core = token if len(token) == 1 else self.alphabet.own(_EDGE.sub("", _RUN_AT_EDGE.sub("", token)))
+        core = token if len(token) == 1 else self.alphabet.own(bare(token))
         first, last = self.alphabet.pair.search(core), self.alphabet.pair.search(core[::-1])
         return (core, core[: first.end()], core[len(core) - last.end() :]) if first and last else (core, "", "")
 
@@ -400,6 +413,17 @@ class Numbers(dict):
         return at
 
 
+class PairCodes(dict):
+    """The codes of two ASCII letters, of which there are few."""
+
+    def __init__(self, alphabet: Alphabet):
+        self.alphabet = alphabet
+
+    def __missing__(self, two: str) -> int:
+        code = self[two] = self.alphabet.pair_code(two)
+        return code
+
+
 class Seen:
     """The distinct tokens of many texts by number, with what joins need to know of each in arrays.
 
@@ -412,6 +436,7 @@ class Seen:
         self.decoder, self.alphabet, self.room = decoder, decoder.alphabet, room
         self.cost, self.symbols = decoder.cost.ravel(), decoder.alphabet.symbols
         self.forgotten = -1
+        self.pairs = PairCodes(self.alphabet)
         # kind, code of the two letters a token begins with and ends with (-1: more than these), length of its core, whether all letters
         self.facts = np.empty((256, 5), np.int32)
         self.forget()
@@ -439,7 +464,15 @@ class Seen:
     def add(self, start: int) -> None:
         """Take the tokens from ``start`` on apart."""
         shape, facts, known, readings, pair_code = self.decoder.shape, [], self.alphabet.index, self.alphabet.readings, self.alphabet.pair_code
+        shapes, pairs = self.shapes, self.pairs
         for token in self.tokens[start:]:
+            core = token.strip(_PUNCTUATION)
+            if core.isascii() and core.isalpha() and len(core) > 1 and core[0] != core[1] and core[-1] != core[-2]:
+                # most tokens; as below, with two letters' code looked up
+                found = core, beginning, ending = core, core[:2], core[-2:]
+                facts += PAIRED, pairs[beginning], pairs[ending], len(core), True
+                shapes.append(found)
+                continue
             found = core, beginning, ending = shape(token)
             if beginning:
                 kind = PAIRED
@@ -448,12 +481,12 @@ class Seen:
             else:
                 kind = FOREIGN if any(c.isalnum() for c in core) else SIGNS
             letters = core.isalpha() if core.isascii() else self.alphabet.plain.fullmatch(core) is not None
-            facts.append((kind, pair_code(beginning), pair_code(ending), len(core), letters))
-            self.shapes.append(found)
+            facts += kind, pair_code(beginning), pair_code(ending), len(core), letters
+            shapes.append(found)
         if len(self.tokens) > len(self.facts):
             more = np.empty((max(len(self.tokens), 2 * len(self.facts)) - len(self.facts), 5), np.int32)
             self.facts = np.concatenate([self.facts, more])
-        self.facts[start : len(self.tokens)] = facts
+        self.facts[start : len(self.tokens)] = np.array(facts, np.int32).reshape(-1, 5)
 
     def spelt_out(self, at: np.ndarray) -> list[tuple[int, tuple[str, ...]]]:
         """Runs of at least three single characters that aren't all the same, and where they begin; nothing is left of a token of signs."""
@@ -577,8 +610,16 @@ class Marks:
         return found
 
     def _may(self, word: str, letters: bool) -> bool:
-        """Whether a word may be read as one with a feature: without a doubled letter at its beginning, letters are read as a word that begins so."""
-        return not letters or word[:SHORTEST] in self.starts or len(word) < SHORTEST or word[0] == word[1] or word[1] == word[2]
+        """Whether a word may be read as one with a feature.
+
+        Its first letters, a-z and none like the one before, are read as
+        themselves whatever follows, as only signs, digits and repetitions
+        leave a choice; so it is known how the word begins.
+        """
+        start = word[:SHORTEST]
+        if not letters and not (start.isascii() and start.isalpha() and self.decoder.alphabet.own(word) == word):
+            return True
+        return start in self.starts or len(word) < SHORTEST or word[0] == word[1] or word[1] == word[2]
 
     def _read_new(self) -> None:
         """Marks of the tokens seen since; all anew when tokens were forgotten."""
@@ -590,11 +631,14 @@ class Marks:
         if len(tokens) > len(self.marked):
             more = np.zeros(max(len(tokens), 2 * len(self.marked)) - len(self.marked), bool)
             self.marked, self.matters = np.append(self.marked, more), np.append(self.matters, more)
-        letters = self.seen.facts[self.read : len(tokens), 4].tolist()
+        letters, may = self.seen.facts[self.read : len(tokens), 4].tolist(), []
         for k, plain in enumerate(letters, self.read):
-            self.matters[k] = matters = self._may(shown(shapes[k][0]), plain)
+            word = shown(shapes[k][0])
+            matters = self._may(word, plain)
+            may.append(matters)
             if matters and (own := self._of(self.decoder.read(tokens[k]))):
                 self.known[k], self.marked[k] = own, True
+        self.matters[self.read : len(tokens)] = may
         self.read = len(tokens)
 
     def _of(self, words: tuple[str, ...]) -> tuple[str, ...]:

@@ -96,6 +96,19 @@ def test_stretches_are_the_search_of_the_whole_text(decoder):
         assert decoder.joined(shapes) == {"".join(r) for r in runs if len(r) > 1}, tokens
 
 
+def test_words_that_begin_like_no_feature_are_not_searched(decoder, monkeypatch):
+    """What is found is the same as when every word is read."""
+    searched, path = [], toxicity.Decoder._path
+    monkeypatch.setattr(toxicity.Decoder, "_path", lambda self, text: searched.append(text) or path(self, text))
+    rng, weight = np.random.default_rng(1), {"idi-": 1.0, "stupid": 1.0, "tra-": 1.0, "scum": 1.0}
+    pieces = "harml3ss harm!less the 1diot idi0t st up1d iidiot stuppid5 tr4sh tras# sc\u00fc scu m. ###scum tra\u0436h \u00e9t3 id1 (idiot) x| of".split()
+    texts = [" ".join(rng.choice(pieces, rng.integers(1, 9)).tolist()) for _ in range(300)]
+    found = toxicity.Marks(toxicity.Decoder(decoder.cost), weight).of_texts(texts)
+    assert "idi0t" in searched and not [t for t in searched if t.startswith("harm")]
+    whole = toxicity.Decoder(decoder.cost)
+    assert found == [{f for w in whole.words(t) for f in toxicity.beginnings(w) if f in weight} for t in texts]
+
+
 def test_counts_follow_every_character(spark):
     docs = spark.createDataFrame([("Ab b",), (None,), ("",), ("a" * (1 << 20) + "bc",)], "text string")
     n = {r["trigram"]: r["n"] for r in toxicity.trigram_counts(docs).collect()}
