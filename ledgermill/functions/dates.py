@@ -61,8 +61,20 @@ def parse_date(text: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Text to a zone-less timestamp cut to whole seconds; unreadable text gives null."""
+    """Text to a zone-less timestamp cut to whole seconds; unreadable text gives null.
+
+    The rarer layouts are tried inside ``transform``, which Spark doesn't compile
+    into the code of the whole row: with them that is too long for the JVM to
+    compile in turn, and every plain value pays for it.
+    """
     t = F.trim(text)
+    return F.coalesce(
+        F.when(t.rlike(_PLAIN_TIMESTAMP), F.substring(t, 1, 19)).try_cast("timestamp_ntz"),
+        F.get(F.transform(F.array(t), _rarer_timestamp), F.lit(0)),
+    )
+
+
+def _rarer_timestamp(t: Column) -> Column:
     part = lambda k: F.regexp_extract(t, _CLOCK, k)
     hour, half = part(1).try_cast("int"), F.lower(part(4))
     # on a 12-hour clock 12 is the hour before 1; an hour beyond 12 is no time
@@ -76,10 +88,7 @@ def parse_timestamp(text: Column) -> Column:
         .when(~t.rlike(_ANY_CLOCK), F.lit("00:00:00"))
     )
     day = parse_date(F.regexp_replace(t, _CLOCK, ""))
-    return F.coalesce(
-        F.when(t.rlike(_PLAIN_TIMESTAMP), F.substring(t, 1, 19)).try_cast("timestamp_ntz"),
-        F.concat(day.cast("string"), F.lit(" "), clock).try_cast("timestamp_ntz"),
-    )
+    return F.concat(day.cast("string"), F.lit(" "), clock).try_cast("timestamp_ntz")
 
 
 def date_key(day: Column) -> Column:

@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill import schemas
 from ledgermill.functions import (
     capitalise_words,
     exact_avg,
@@ -110,3 +112,13 @@ def test_over_long_text_fails_the_batch(spark):
     with pytest.raises(Exception, match="branch_id: text longer than 50"):
         clean_staging(raw, "branches").collect()
     assert clean_staging(raw, "branches", check_width=False).count() == 1
+
+
+def test_typing_transactions_stays_short_enough_for_the_jvm_to_compile(spark):
+    """A method beyond 8,000 bytes is never compiled, so each value would be parsed by the JVM's interpreter."""
+    raw = spark.createDataFrame([("T1", "A1", "M1", "1.00", "1996-09-13T00:00:00.000")], schemas.raw_schema("transactions"))
+    typed = clean_staging(raw, "transactions")
+    code = typed._sc._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+    assert typed.first().transaction_date == datetime(1996, 9, 13)
