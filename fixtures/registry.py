@@ -481,11 +481,15 @@ def _(wb):
 
 
 def natural(rows: DataFrame, wb: Workbench, *dims: str) -> DataFrame:
-    """Surrogate keys turned back into natural ids (the UNKNOWN key may be a hot one)."""
+    """Surrogate keys turned back into natural ids (the UNKNOWN key may be a hot one).
+
+    Hot keys are looked for in the rows as given, not in what was joined to them so far.
+    """
+    given = rows
     spread_by = next((c for c in ("transaction_id", "loan_id") if c in rows.columns), rows.columns[0])
     for dim in dims:
         spec = DIMENSIONS[dim]
-        rows = lookup(rows, wb[dim].select(spec.surrogate_key, spec.natural_key), spec.surrogate_key, spread_by)
+        rows = lookup(rows, wb[dim].select(spec.surrogate_key, spec.natural_key), spec.surrogate_key, spread_by, given)
     return rows
 
 
@@ -578,7 +582,8 @@ def _(wb):
 
 @query("fact_tx_build")
 def _(wb):
-    return transaction_rows(wb.transactions(), wb)
+    # written down, as turning keys back into ids reads the rows more than once
+    return transaction_rows(wb.stored("arrived_transactions", wb.transactions), wb)
 
 
 @query("fact_loan_build")

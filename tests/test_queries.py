@@ -81,3 +81,19 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_keys_turn_back_into_ids_from_stored_rows(spark, monkeypatch):
+    """Hot keys are counted on rows that are written down, not on a fact that is built again for each dimension."""
+    counted = []
+
+    def lookup(rows, table, key, spread_by, seen=None, **more):
+        counted.append((rows if seen is None else seen)._jdf.queryExecution().optimizedPlan().toString())
+        return joined(rows, table, key, spread_by, seen, **more)
+
+    joined = registry.lookup
+    monkeypatch.setattr(registry, "lookup", lookup)
+    bench = Workbench(spark, f"{SF}/../sf0.001/././.")
+    assert registry.REGISTRY["fact_tx_build"](bench).count() > 0
+    assert len(counted) == len(registry.TRANSACTION_IDS)
+    assert not [plan for plan in counted if "Join" in plan or "Aggregate" in plan]
