@@ -75,7 +75,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def raw_base(wb: Workbench) -> str:
     def land_all(folder: str) -> None:
         for table in STAGING:
-            raw.land(wb[f"stg_{table}"], folder, table, RUN_DATE)
+            raw.land(wb.read_once(f"stg_{table}"), folder, table, RUN_DATE)
 
     return wb.once("raw", land_all)
 
@@ -183,7 +183,7 @@ def _(wb):
 
     def export(folder: str) -> None:
         for table in STAGING:
-            wb[f"stg_{table}"].write.mode("overwrite").option("header", True).csv(f"{folder}/export/{table}")
+            wb.read_once(f"stg_{table}").write.mode("overwrite").option("header", True).csv(f"{folder}/export/{table}")
 
     def land(folder: str) -> None:
         raw.ingest(wb.spark, f"{wb.once('exported', export)}/export", folder, RUN_DATE, "b1")
@@ -888,14 +888,19 @@ def with_demo(wb: Workbench) -> DataFrame:
     return stored.unionByName(added)
 
 
+def stage(wb: Workbench, layers: Layers, settings: pipeline.Settings) -> None:
+    """Publish the staging tables, each written once: in its layer."""
+    for table in wb.staging():
+        layers.write(pipeline.STG, table, wb.read_once(table), settings.run_id)
+    layers.publish(pipeline.STG, settings.run_id, list(wb.staging()))
+
+
 def demo_layers(wb: Workbench) -> tuple[Layers, DataFrame]:
     layers = Layers(wb.spark, f"{wb.root}/demo")
     first = wb.settings(run_ts=RUN_TS.replace(hour=1))
 
     def run(folder: str) -> None:
-        for table, rows in wb.staging().items():
-            layers.write(pipeline.STG, table, rows, first.run_id)
-        layers.publish(pipeline.STG, first.run_id, list(wb.staging()))
+        stage(wb, layers, first)
         pipeline.build_warehouse(layers, first)
         pipeline.build_marts(layers, first)
         compared = pipeline.add_demo_batch(layers, wb.settings(run_ts=RUN_TS.replace(hour=2)))
@@ -940,11 +945,10 @@ def merged_layers(wb: Workbench) -> Layers:
 
     def run(_: str) -> None:
         first, second, third, fourth = (wb.settings(run_ts=RUN_TS.replace(hour=h), compact_folders=2) for h in (1, 2, 3, 4))
-        early = wb["stg_transactions"].filter(F.col("transaction_date") < F.lit("1996-07-01").cast("timestamp_ntz"))
-        for table, rows in wb.staging().items():
-            layers.write(pipeline.STG, table, rows, first.run_id)
-        layers.publish(pipeline.STG, first.run_id, list(wb.staging()))
-        pipeline.build_warehouse(layers, first, wb.staging() | {"stg_transactions": early})
+        stage(wb, layers, first)
+        stg = layers.tables(pipeline.STG)
+        early = stg["stg_transactions"].filter(F.col("transaction_date") < F.lit("1996-07-01").cast("timestamp_ntz"))
+        pipeline.build_warehouse(layers, first, stg | {"stg_transactions": early})
         pipeline.build_warehouse(layers, replace(second, mode="upsert"))
         pipeline.build_marts(layers, second)
         pipeline.add_demo_batch(layers, third)

@@ -132,6 +132,11 @@ class Workbench:
     def __getitem__(self, name: str) -> DataFrame:
         return self.stored(name, lambda: self.build(name))
 
+    def read_once(self, name: str) -> DataFrame:
+        """A table for a single reader: as stored if a query wrote it, else its plan, so nothing is written to be read once."""
+        with self._lock:
+            return self[name] if name in self._schemas else self.build(name)
+
     def build(self, name: str) -> DataFrame:
         """The lazy plan of a table over the stored tables below it."""
         if name in VIEWS:

@@ -8,6 +8,7 @@ from fixtures import oracles, registry
 from fixtures.check import compare, duck
 from fixtures.workbench import Workbench
 from ledgermill.operators import facts
+from ledgermill.sources.layers import Layers
 
 SF = "/root/testdata/sf0.001"
 QUERIES = sorted(registry.registered())
@@ -97,3 +98,17 @@ def test_keys_turn_back_into_ids_from_stored_rows(spark, monkeypatch):
     assert registry.REGISTRY["fact_tx_build"](bench).count() > 0
     assert len(counted) == len(registry.TRANSACTION_IDS)
     assert not [plan for plan in counted if "Join" in plan or "Aggregate" in plan]
+
+
+@pytest.mark.parametrize("name", ["src_discover", "src_ingest"])
+def test_tables_read_once_are_not_written_first(spark, name):
+    bench = Workbench(spark, f"{SF}/../sf0.001/{'./' * (len(name) + 20)}")
+    assert registry.REGISTRY[name](bench).count() == 7
+    assert not bench._schemas
+
+
+def test_staging_is_written_in_its_layer_only(spark):
+    bench = Workbench(spark, f"{SF}/../sf0.001/{'./' * 40}")
+    layers = Layers(spark, f"{bench.root}/staged")
+    registry.stage(bench, layers, bench.settings())
+    assert set(layers.tables("staging")) == set(bench.staging()) and not bench._schemas
