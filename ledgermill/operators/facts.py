@@ -166,12 +166,14 @@ def build_transactions(
 ) -> DataFrame:
     """Enriched transactions, one row per id; lookups that find nothing give the UNKNOWN key.
 
-    ``keys_by_account`` is the stored result of :func:`account_keys`.
+    ``keys_by_account`` is the stored result of :func:`account_keys`. Merchants
+    are fewer than accounts and come first, so that rows which are shuffled to
+    their account's keys carry a number in place of the merchant's id.
     """
     rows = first_transactions(valid_transactions(stg_transactions))
-    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_bytes)
     merchants = dims["dim_merchant"].select("merchant_id", "merchant_key")
-    rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_bytes)
+    rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_bytes).drop("merchant_id")
+    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_bytes)
     keyed = rows.select(
         "transaction_id",
         F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),

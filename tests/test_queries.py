@@ -112,3 +112,20 @@ def test_staging_is_written_in_its_layer_only(spark):
     layers = Layers(spark, f"{bench.root}/staged")
     registry.stage(bench, layers, bench.settings())
     assert set(layers.tables("staging")) == set(bench.staging()) and not bench._schemas
+
+
+def test_tables_of_the_fact_are_written_side_by_side(spark, monkeypatch):
+    """Transactions are staged while accounts and their keys are, each once."""
+    bench, build, asked, accounts, met = Workbench(spark, f"{SF}/../sf0.001/{'./' * 41}"), Workbench.build, [], threading.Event(), []
+
+    def noted(self, name):
+        asked.append(name)
+        if name == "stg_accounts":
+            accounts.set()
+        if name == "stg_transactions":
+            met.append(accounts.wait(30))
+        return build(self, name)
+
+    monkeypatch.setattr(Workbench, "build", noted)
+    assert bench["fact_transactions"].count() > 0
+    assert met == [True] and len(asked) == len(set(asked))

@@ -116,6 +116,19 @@ def transactions(stg, dims, by_account, stored):
     return stored(facts.build_transactions(stg["transactions"], by_account, dims))
 
 
+def test_rows_meet_accounts_without_the_merchant_id(stg, dims, by_account, monkeypatch):
+    """The wider shuffle comes last and carries the merchant's key alone."""
+    carried, joined = {}, facts.lookup
+
+    def noted(rows, table, key, *more):
+        carried[key] = rows.columns
+        return joined(rows, table, key, *more)
+
+    monkeypatch.setattr(facts, "lookup", noted)
+    assert facts.build_transactions(stg["transactions"], by_account, dims, broadcast_bytes=0).count() > 0
+    assert "merchant_key" in carried["account_id"] and "merchant_id" not in carried["account_id"]
+
+
 def test_customer_rules(dims):
     rows = {r.customer_id: r for r in dims["dim_customer"].collect()}
     assert set(rows) == {"C1", "C2", "UNKNOWN"}
