@@ -1050,7 +1050,7 @@ def _(wb):
     """Transactions that land on one day and, a third of them, again on the next."""
     # opened before the stream starts: its thread must not wait for a table, as this one holds the workbench meanwhile
     by_account, dims = wb["account_keys"], dict(wb.dims())
-    rows = wb.stored("first_copies", lambda: facts.first_transactions(facts.valid_transactions(wb["stg_transactions"])))
+    rows = wb.stored("first_copies", lambda: facts.first_transactions(facts.valid_transactions(wb.read_once("stg_transactions"))))
 
     def land(folder: str) -> None:
         raw.land(rows, folder, "transactions", RUN_DATE)
@@ -1058,12 +1058,17 @@ def _(wb):
 
     base = wb.once("raw_stream", land)
 
-    def build(batch: DataFrame) -> DataFrame:
-        return facts.build_transactions(batch, by_account, dims, broadcast_bytes=BATCH_BROADCAST_BYTES)
-
     def run(folder: str) -> None:
-        stream = transaction_stream(wb.spark, base, max_files=4)
-        load_available(stream, build, f"{folder}/fact", f"{folder}/checkpoint").awaitTermination()
+        tables = facts.held_tables(by_account, dims, BATCH_BROADCAST_BYTES)
+
+        def build(batch: DataFrame) -> DataFrame:
+            return facts.build_transactions(batch, by_account, dims, broadcast_bytes=BATCH_BROADCAST_BYTES, tables=tables)
+
+        try:
+            stream = transaction_stream(wb.spark, base, max_files=4)
+            load_available(stream, build, f"{folder}/fact", f"{folder}/checkpoint").awaitTermination()
+        finally:
+            tables.release()
 
     folder = wb.once("stream", run)
     return transaction_rows(wb.spark.read.parquet(f"{folder}/fact"), wb)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import date_key
-from ledgermill.operators.lookups import BROADCAST_BYTES, absent_from, absent_from_buckets, lookup
+from ledgermill.operators.lookups import BROADCAST_BYTES, Held, absent_from, absent_from_buckets, held, lookup
 from ledgermill.schemas import DIMENSIONS, UNKNOWN_ID
 
 TRANSACTION_COLUMNS = (
@@ -133,6 +136,37 @@ def unknown_key(dims: dict[str, DataFrame], name: str) -> Column:
     return dims[name].filter(F.col(spec.natural_key) == UNKNOWN_ID).agg(F.max(spec.surrogate_key)).scalar()
 
 
+@dataclass(frozen=True)
+class HeldTables:
+    """What many batches of transactions meet, measured and dealt out once (:func:`held_tables`)."""
+
+    accounts: Held
+    merchants: Held
+    unknown: Mapping[str, Column]
+
+    def release(self) -> None:
+        self.accounts.release()
+        self.merchants.release()
+
+
+def held_tables(
+    keys_by_account: DataFrame, dims: Mapping[str, DataFrame], broadcast_bytes: int = BROADCAST_BYTES
+) -> HeldTables:
+    """Prepare the tables of :func:`build_transactions` for one batch after another.
+
+    Without it each batch measures, shuffles and sorts them and looks for the
+    UNKNOWN keys anew, however few rows it has.
+    """
+    members = {name: dims[name] for name in DIMENSIONS}
+    keys = unknown_keys(members)
+    found = keys.first()
+    unknown = {name: F.lit(found[f.name]).cast(f.dataType) for name, f in zip(members, keys.schema.fields, strict=True)}
+    merchants = dims["dim_merchant"].select("merchant_id", "merchant_key")
+    return HeldTables(
+        held(keys_by_account, "account_id", broadcast_bytes), held(merchants, "merchant_id", broadcast_bytes), unknown
+    )
+
+
 def outside_calendar(keyed: DataFrame, dim_date: DataFrame, key: str) -> DataFrame:
     """Rows whose date key the calendar does not hold."""
     days = F.broadcast(dim_date.select(F.col("date_key").alias(key)))
@@ -163,24 +197,28 @@ def build_transactions(
     dims: dict[str, DataFrame],
     on_missing_date: str = "raise",
     broadcast_bytes: int = BROADCAST_BYTES,
+    tables: HeldTables | None = None,
 ) -> DataFrame:
     """Enriched transactions, one row per id; lookups that find nothing give the UNKNOWN key.
 
     ``keys_by_account`` is the stored result of :func:`account_keys`. Merchants
     are fewer than accounts and come first, so that rows which are shuffled to
     their account's keys carry a number in place of the merchant's id.
+    ``tables`` may hold both, and the UNKNOWN keys, for batch after batch.
     """
     rows = first_transactions(valid_transactions(stg_transactions))
-    merchants = dims["dim_merchant"].select("merchant_id", "merchant_key")
+    merchants = tables.merchants if tables else dims["dim_merchant"].select("merchant_id", "merchant_key")
+    accounts = tables.accounts if tables else keys_by_account
     rows = lookup(rows, merchants, "merchant_id", "transaction_id", stg_transactions, broadcast_bytes).drop("merchant_id")
-    rows = lookup(rows, keys_by_account, "account_id", "transaction_id", stg_transactions, broadcast_bytes)
+    rows = lookup(rows, accounts, "account_id", "transaction_id", stg_transactions, broadcast_bytes)
+    unknown = (lambda name: tables.unknown[name]) if tables else (lambda name: unknown_key(dims, name))
     keyed = rows.select(
         "transaction_id",
-        F.coalesce("customer_key", unknown_key(dims, "dim_customer")).alias("customer_key"),
-        F.coalesce("account_key", unknown_key(dims, "dim_account")).alias("account_key"),
-        F.coalesce("card_key", unknown_key(dims, "dim_card")).alias("card_key"),
-        F.coalesce("merchant_key", unknown_key(dims, "dim_merchant")).alias("merchant_key"),
-        unknown_key(dims, "dim_branch").alias("branch_key"),
+        F.coalesce("customer_key", unknown("dim_customer")).alias("customer_key"),
+        F.coalesce("account_key", unknown("dim_account")).alias("account_key"),
+        F.coalesce("card_key", unknown("dim_card")).alias("card_key"),
+        F.coalesce("merchant_key", unknown("dim_merchant")).alias("merchant_key"),
+        unknown("dim_branch").alias("branch_key"),
         date_key(F.col("transaction_date").cast("date")).alias("date_key"),
         "amount_usd",
         "transaction_date",

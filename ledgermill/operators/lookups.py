@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
+HELD_BYTES = 8 << 20
+"""Of a table that is held for many joins, about what a partition holds."""
 HOT_SHARE = 1 / 1024
 COUNTED_SHARE = 0.05
 
@@ -30,6 +35,7 @@ def spread_lookup(
     seen: DataFrame | None = None,
     hot_share: float = HOT_SHARE,
     share: float = COUNTED_SHARE,
+    cold: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a large table with unique keys, without piling hot keys on one task.
 
@@ -43,6 +49,8 @@ def spread_lookup(
     of it that is counted. Both only steer the spreading: every key is joined
     correctly whether or not it is found hot. The hot keys are fixed before the
     join is planned, so a task that is run again sees the same ones.
+
+    ``cold`` may be the table's :func:`cold_rows` as they were dealt out before.
     """
     values = [c for c in table.columns if c != key]
     keys = frequent_keys(rows if seen is None else seen, key, hot_share, share)
@@ -51,15 +59,20 @@ def spread_lookup(
     salt = F.when(F.col(key).isNull() | is_hot, F.xxhash64(spread_by).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
     hot = table.filter(is_hot).select(key, F.struct(*values).alias("_hot_values"))
     marked = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
-    # a literal 0 would be folded into a plain condition and drop out of the shuffle key
-    zero = F.pmod(F.xxhash64(key), F.lit(1))
-    cold = table.select(key, zero.alias("_salt"), F.struct(*values).alias("_cold_values"))
-    return marked.join(cold, [key, "_salt"], "left").select(
+    return marked.join(cold_rows(table, key) if cold is None else cold, [key, "_salt"], "left").select(
         *rows.columns,
         *[F.coalesce(F.col(f"_hot_values.{v}"), F.col(f"_cold_values.{v}")).alias(v) for v in values],
     )
 
 
+def cold_rows(table: DataFrame, key: str) -> DataFrame:
+    """What rows under salt 0 meet in :func:`spread_lookup`."""
+    values = [c for c in table.columns if c != key]
+    # a literal 0 would be folded into a plain condition and drop out of the shuffle key
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return table.select(key, zero.alias("_salt"), F.struct(*values).alias("_cold_values"))
+
+
 def stored_bytes(table: DataFrame) -> int:
     """What the rows of a table take in memory, about: 16 bytes a row, 8 a column, and the length of texts."""
     texts = [f.name for f in table.schema.fields if f.dataType.simpleString() in ("string", "binary")]
@@ -68,15 +81,51 @@ def stored_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(size)).first()[0] or 0
 
 
+@dataclass(frozen=True)
+class Held:
+    """A stored table that batches of rows are joined to one after another (:func:`held`)."""
+
+    table: DataFrame
+    cold: DataFrame | None
+
+    def release(self) -> None:
+        if self.cold is not None:
+            self.cold.unpersist()
+
+
+def held(table: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> Held:
+    """Measure a table once for all joins to come and, if it's too large to broadcast, deal it out and sort it by key once.
+
+    A join then moves and sorts the batch only; the table's partitions stay in
+    files of the executors until :meth:`Held.release`, and one that is lost with
+    its executor is made again from the stored table.
+    """
+    size = stored_bytes(table)
+    if size <= broadcast_bytes:
+        return Held(table, None)
+    on = [key, "_salt"]
+    parts = max(table.sparkSession.sparkContext.defaultParallelism, -(-size // HELD_BYTES))
+    cold = cold_rows(table, key).repartition(parts, *on).sortWithinPartitions(*on).persist(StorageLevel.DISK_ONLY)
+    cold.count()
+    return Held(table, cold)
+
+
 def lookup(
     rows: DataFrame,
-    table: DataFrame,
+    table: DataFrame | Held,
     key: str,
     spread_by: str,
     seen: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join to a stored table with unique keys; broadcast it only if it is measured small."""
+    """Left join to a stored table with unique keys; broadcast it only if it is measured small.
+
+    One that is held was measured before.
+    """
+    if isinstance(table, Held):
+        if table.cold is None:
+            return rows.join(F.broadcast(table.table), key, "left")
+        return spread_lookup(rows, table.table, key, spread_by, seen, cold=table.cold)
     if stored_bytes(table) <= broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
     return spread_lookup(rows, table, key, spread_by, seen)

@@ -25,7 +25,7 @@ def clean_text(text: Column) -> Column:
 
 
 def _typed(column: schemas.Column, check_width: bool) -> Column:
-    text = clean_text(F.col(column.name))
+    text = F.col(column.name)
     if isinstance(column.type, T.DecimalType):
         value = number_or_fail(text, column.type, column.name)
     elif isinstance(column.type, T.IntegerType):
@@ -47,9 +47,11 @@ def clean_staging(raw: DataFrame, table: str, *, check_width: bool = True) -> Da
     """Type one raw table.
 
     Unreadable dates become null; unreadable numbers and over-long texts fail
-    the batch, as they would on load into a declared table.
+    the batch, as they would on load into a declared table. Texts are cleaned
+    in a step of their own: typing looks at one several times.
     """
-    return raw.select([_typed(c, check_width) for c in schemas.STAGING[table]])
+    cleaned = raw.select([clean_text(F.col(c.name)).alias(c.name) for c in schemas.STAGING[table]])
+    return cleaned.select([_typed(c, check_width) for c in schemas.STAGING[table]])
 
 
 def with_loaded_at(rows: DataFrame, run_ts: datetime) -> DataFrame:

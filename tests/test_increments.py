@@ -14,7 +14,7 @@ from ledgermill.plans import pipeline
 from ledgermill.plans.pipeline import DWH
 from ledgermill.sources import raw
 from ledgermill.sources.layers import Layers
-from ledgermill.streaming.transactions import load_available, transaction_stream
+from ledgermill.streaming.transactions import load_available, state_partitions, transaction_stream
 
 
 def plan_of(df):
@@ -193,3 +193,49 @@ def test_ids_are_forgotten_after_the_delay(spark, tmp_path, landed):
     base, target, state = (str(tmp_path / p) for p in ("raw", "fact", "state"))
     load_available(transaction_stream(spark, base), lambda b: b, target, state, delay="30 days").awaitTermination()
     assert sorted(r.transaction_id for r in spark.read.parquet(target).collect()) == ["T1", "T2"]
+
+
+def test_a_micro_batch_is_read_and_looked_up_once(spark, tmp_path, landed):
+    """Whatever a build runs on a batch, it runs on stored rows: not on the files and the state again."""
+    landed(1, range(20))
+    landed(2, range(10, 30))
+    base, target, state = (str(tmp_path / p) for p in ("raw", "fact", "state"))
+    plans, counts = [], []
+
+    def build(rows):
+        plans.append(plan_of(rows))
+        counts.append((rows.count(), rows.select("transaction_id").distinct().count()))
+        return rows
+
+    load_available(transaction_stream(spark, base, max_files=1), build, target, state).awaitTermination()
+    assert counts == [(20, 20), (10, 10)]
+    assert not any("ExistingRDD" in p or "StateStore" in p for p in plans)
+    assert all("Scan parquet" in p for p in plans)
+    assert spark.read.parquet(target).count() == 30
+
+
+def test_ids_dealt_by_hash_before_are_dealt_evenly_again(spark, tmp_path, landed):
+    assert [state_partitions(n, c) for n, c in ((100, 6), (600, 3), (8, 2), (2, 8), (1, 8))] == [23, 11, 7, 2, 1]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    landed(1, [k for k, in spark.range(2000).filter("pmod(hash(concat('T', id)), 8) = 3").collect()])
+    base, target, state = (str(tmp_path / p) for p in ("raw", "fact", "state"))
+    sizes = []
+
+    def build(rows):
+        sizes.extend(r["count"] for r in rows.groupBy(F.input_file_name()).count().collect())
+        return rows
+
+    load_available(transaction_stream(spark, base), build, target, state).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before == "8"
+    assert len(sizes) == len([p for p in Path(state, "state", "0").iterdir() if p.name.isdigit()]) == 7
+    assert max(sizes) < sum(sizes) / 4
+
+
+def test_texts_of_the_stream_are_cleaned_once(spark, tmp_path, landed):
+    landed(1, [1])
+    base, target, state = (str(tmp_path / p) for p in ("raw", "fact", "state"))
+    query = load_available(transaction_stream(spark, base), lambda b: b, target, state)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(True).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.index("Filter") < plan.index("Generate inline") and plan.count("Filter") == 1
+    assert plan.count("#N/A N/A") <= 5  # one list of missing markers for a column

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill import schemas
 from ledgermill.operators import dimensions, facts, incremental, marts
 from ledgermill.operators.keys import dense_keys, load_keys
-from ledgermill.operators.lookups import absent_from, frequent_keys, lookup, spread_lookup
+from ledgermill.operators.lookups import absent_from, frequent_keys, held, lookup, spread_lookup
 
 RUN = date(2024, 1, 1)
 
@@ -293,6 +293,42 @@ def test_hot_rows_are_spread_over_tasks(spark):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_held_tables_join_like_stored_ones(spark, stored, broadcast_bytes):
+    """Hot, unmatched and null keys, and a key the table has twice; a large table is dealt out once, not for each batch."""
+    table = stored(spark.range(300).selectExpr("concat('k', id % 299) as k", "id as v", "cast(null as string) as w"))
+    kept = held(table, "k", broadcast_bytes)
+    try:
+        for n in range(3):
+            rows = spark.range(1000).selectExpr(
+                "concat('t', id) as t", f"case when id % 3 = {n} then 'k7' when id % 50 = 1 then null else concat('k', id % 400) end as k"
+            )
+            got = lookup(rows, kept, "k", "t").select("t", "k", "v", "w")
+            assert Counter(map(tuple, got.collect())) == Counter(map(tuple, rows.join(table, "k", "left").select("t", "k", "v", "w").collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        exchanges = plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning")
+        assert exchanges == (0 if broadcast_bytes else 1)
+        assert ("InMemoryTableScan" in plan) == (not broadcast_bytes)
+    finally:
+        kept.release()
+    assert "InMemoryTableScan" not in lookup(rows, table, "k", "t", broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_transactions_with_held_tables(stg, dims, by_account, transactions):
+    for limit in (0, 1 << 20):
+        tables = facts.held_tables(by_account, dims, limit)
+        try:
+            got = facts.build_transactions(stg["transactions"], by_account, dims, tables=tables)
+            assert got.dtypes == facts.build_transactions(stg["transactions"], by_account, dims).dtypes
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, transactions.collect()))
+        finally:
+            tables.release()
+    nobody = {d: rows.filter("false") if d == "dim_branch" else rows for d, rows in dims.items()}
+    tables = facts.held_tables(by_account, nobody)
+    rows = facts.build_transactions(stg["transactions"], by_account, nobody, tables=tables).collect()
+    assert rows and {r.branch_key for r in rows} == {None}
+
+
 @pytest.fixture(scope="module")
 def loans(stg, dims, stored):
     return stored(load_keys(facts.build_loans(stg["loans"], dims), "loan_key"))
